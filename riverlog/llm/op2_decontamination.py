@@ -21,13 +21,24 @@ from riverlog.llm.common import let, lower_ascii, table
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, K = 13, 5
 W = WINDOW - K + 1
+assert W == 9  # winnow() takes the least of 3 of the least of 3
 #: A key holds a hash in its high bits and a word's place in the low ones; no text has more words than Spark's 2 GB allow.
 PLACE_BITS = 30
 BROADCAST_BYTES = 8 << 20
+#: The key that stands for a document itself in the join, so that documents without hits stay.
+SELF = 0
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), GAP), lambda w: w != "")
+    """Only the first and the last part of a split can be empty."""
+    cut = F.split(lower_ascii(F.coalesce(text, F.lit(""))), GAP)
+
+    def trimmed(x: Column) -> Column:
+        first = F.when(F.get(x, F.lit(0)) == "", 2).otherwise(1)
+        last = F.when((F.size(x) > 1) & (F.element_at(x, -1) == ""), F.size(x) - 1).otherwise(F.size(x))
+        return F.slice(x, first, F.greatest(F.lit(0), last - first + 1))
+
+    return let(cut, trimmed)
 
 
 def _key(h: Column, i: Column) -> Column:
@@ -57,13 +68,13 @@ def grams(h: Column, k: int) -> Column:
 
 def winnow(h: Column) -> Column:
     """Keys of the least hash of each WINDOW words."""
-    return let(grams(h, K), lambda g: F.array_distinct(F.transform(_range(F.size(g) - (W - 1)), lambda i: F.array_min(F.slice(g, i + 1, W)))))
+    least3 = lambda g, step: F.transform(_range(F.size(g) - 2 * step), lambda i: F.least(F.get(g, i), F.get(g, i + step), F.get(g, i + 2 * step)))
+    return let(grams(h, K), lambda g: let(least3(g, 1), lambda m: F.array_distinct(least3(m, 3))))
 
 
 def fingerprints(ws: Column, lengths: list[int]) -> Column:
-    """array<struct<k int, key long>>: winnowed (k = 0), and every run of k words for each short item length k."""
-    tag = lambda k: lambda key: F.struct(F.lit(k).alias("k"), key.alias("key"))
-    return let(F.transform(ws, lambda w: F.xxhash64(w)), lambda h: F.concat(F.transform(winnow(h), tag(0)), *[F.transform(grams(h, k), tag(k)) for k in lengths]))
+    """array<long>: winnowed keys, and the keys of every run of k words for each short item length k."""
+    return let(F.transform(ws, lambda w: F.xxhash64(w)), lambda h: F.concat(winnow(h), *[grams(h, k) for k in lengths]))
 
 
 def _span(dw: Column, p: Column, iw: Column, q: Column) -> Column:
@@ -84,30 +95,33 @@ def decontaminate(docs: DataFrame, items: DataFrame, broadcast_bytes: int = BROA
     items = items.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("iw")).where(F.size("iw") > 0)
     stats = items.agg(F.collect_set(F.when(F.size("iw") < WINDOW, F.size("iw"))).alias("short"), F.sum(F.octet_length(F.array_join("iw", " ")) + 64 * F.size("iw")).alias("bytes")).first()
     lengths = sorted(stats["short"])
-    # A short item's own run is its only one; a long item is winnowed.
+    need = F.least(F.size("iw"), F.lit(WINDOW))
     index = (
-        items.withColumn("f", F.explode(fingerprints(F.col("iw"), lengths)))
-        .where(F.col("f.k") == F.when(F.size("iw") < WINDOW, F.size("iw")).otherwise(0))
-        .select("item_id", "iw", F.col("f.k").alias("k"), _hash_of(F.col("f.key")).alias("h"), _place_of(F.col("f.key")).alias("q"))
+        items.withColumn("keys", fingerprints(F.col("iw"), lengths))
+        .withColumn("key", F.explode_outer("keys"))
+        .select("item_id", "iw", _hash_of(F.col("key")).alias("h"), _place_of(F.col("key")).alias("q"))
         .distinct()
     )
     small = (stats["bytes"] or 0) * 4 <= broadcast_bytes
     base = docs.select("doc_id", words(F.col("text")).alias("dw")).withColumn("row", F.monotonically_increasing_id())
-    # The first element stands for the document itself: it stays whether or not any hash matches.
-    marked = base.withColumn("n_words", F.size("dw").cast("long")).withColumn("f", F.explode(F.concat(F.array(F.struct(F.lit(-1).alias("k"), F.lit(0).cast("long").alias("key"))), fingerprints(F.col("dw"), lengths))))
-    keyed = marked.select("row", "doc_id", "n_words", "dw", F.col("f.k").alias("k"), _hash_of(F.col("f.key")).alias("h"), _place_of(F.col("f.key")).alias("p"))
-    on, span = ["k", "h"], _span(F.col("dw"), F.col("p"), F.col("iw"), F.col("q"))
-    need = F.least(F.size("iw"), F.lit(WINDOW))
-    out = ["row", "doc_id", "n_words", "item_id", "b", "e"]
+    base = base.withColumn("n_words", F.size("dw").cast("long"))
+    # A column of its own, so that explode runs in generated code and copies no words for keys that meet nothing; outer,
+    # as else the optimizer filters by the array's size and so computes it twice.
+    keyed = base.withColumn("keys", F.concat(F.array(F.lit(SELF)), fingerprints(F.col("dw"), lengths))).withColumn("key", F.explode_outer("keys"))
+    keyed = keyed.select("row", "doc_id", "n_words", "dw", _hash_of(F.col("key")).alias("h"), F.when(F.col("key") != SELF, _place_of(F.col("key"))).alias("p"))
+    span = F.when(F.col("p").isNotNull() & F.col("q").isNotNull(), _span(F.col("dw"), F.col("p"), F.col("iw"), F.col("q")))
     if small:
-        met = keyed.join(F.broadcast(index), on, "left").where((F.col("k") == -1) | F.col("item_id").isNotNull())
-        hits = met.withColumn("s", F.when(F.col("k") >= 0, span)).withColumn("ok", F.col("s.e") - F.col("s.b") >= need).where((F.col("k") == -1) | F.col("ok"))
-        hits = hits.select("row", "doc_id", "n_words", "item_id", F.col("s.b").alias("b"), F.col("s.e").alias("e"))
+        self_row = index.sparkSession.range(1).select(F.lit(None).cast("string").alias("item_id"), F.lit(None).cast("array<string>").alias("iw"), F.lit(SELF >> PLACE_BITS).cast("long").alias("h"), F.lit(None).cast("int").alias("q"))
+        met = keyed.join(F.broadcast(index.unionByName(self_row)), "h").withColumn("s", span)
+        # No filter here: it would become part of the join, which would then leave generated code and copy each row's words.
+        # A hit that is too short turns into one more row for the document itself.
+        good = (F.col("s.e") - F.col("s.b")) >= need
+        hits = met.select("row", "doc_id", "n_words", F.when(good, F.col("item_id")).alias("item_id"), F.when(good, F.col("s.b")).alias("b"), F.when(good, F.col("s.e")).alias("e"))
     else:
-        met = keyed.where("k >= 0").drop("dw").join(index.drop("iw"), on).select("row", "item_id", "p", "q").distinct()
-        full = met.join(base.select("row", "dw"), "row").join(items.distinct(), "item_id")
-        spans = full.withColumn("s", span).where(F.col("s.e") - F.col("s.b") >= need).select("row", "item_id", F.col("s.b").alias("b"), F.col("s.e").alias("e"))
-        hits = keyed.where("k = -1").select("row", "doc_id", "n_words").join(spans, "row", "left").select(*out)
+        met = keyed.where("p IS NOT NULL").drop("dw").join(index.drop("iw"), "h").select("row", "item_id", "p", "q").distinct()
+        full = met.join(base.select("row", "dw"), "row").join(items.distinct(), "item_id").withColumn("s", span)
+        spans = full.where(F.col("s.e") - F.col("s.b") >= need).select("row", "item_id", F.col("s.b").alias("b"), F.col("s.e").alias("e"))
+        hits = base.select("row", "doc_id", "n_words").join(spans, "row", "left")
     # First one row for each span, then spans of a document are united in order: no more than the document has places.
     spans = hits.groupBy("row", "doc_id", "n_words", "b", "e").agg(F.collect_set("item_id").alias("ids"))
     per = spans.groupBy("row", "doc_id", "n_words").agg(F.array_sort(F.collect_list(F.when(F.col("b").isNotNull(), F.struct("b", "e")))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("item_ids"))
