@@ -21,40 +21,59 @@ from riverlog.llm.common import hash01, map_arrow, table
 
 #: Bounds of the training sample: documents of each label, and characters of all its texts.
 SAMPLE_DOCS, SAMPLE_CHARS = 2500, 24_000_000
-#: A word is a feature if so many sampled documents hold it; so many features at most, the most frequent.
-MIN_DOCS, MAX_WORDS = 5, 1 << 16
+#: A word or stem is a feature if so many sampled documents hold it and the labels' shares of them differ by so many
+#: standard errors; so many features at most, the most telling.
+MIN_DOCS, MIN_SIGMA, MAX_WORDS = 3, 4.0, 1 << 13
 ROUNDS, RATE, RIDGE = 150, 0.3, 2e-3
 THRESHOLD = 0.7
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 WORD = re.compile(r"\w+")
 
 
+#: Beginnings of words are features as well: insults come with endings.
+STEMS = (4, 5, 6)
+CACHE_WORDS = 400_000
+
+
+def features(word: str) -> list[str]:
+    return [word, *("^" + word[:n] for n in STEMS if len(word) > n)]
+
+
 def sentences(text: str | None) -> list[str]:
     return [s for s in SENTENCE.split(text) if s] if text else []
 
 
 def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict:
-    """{"bias": b, "weights": {word: w}, "shift": s} from labelled(doc_id, text, toxic), a bounded, repeatable sample of it.
+    """{"bias": b, "weights": {word: w}} from labelled(doc_id, text, toxic), a bounded, repeatable sample of it.
 
     Rows whose toxic is not 0 or 1 are passed over; a null text is empty. Without both labels the model is empty and scores 0.
     """
     rows = labelled.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").where("toxic IN (0, 1)")
     stats = {r["toxic"]: r for r in rows.groupBy("toxic").agg(F.count("*").alias("n"), F.sum(F.char_length("text")).alias("c")).collect()}
     if len(stats) < 2:
-        return {"bias": -30.0, "weights": {}, "shift": 0.0}
+        return {"bias": -30.0, "weights": {}}
     chance = {y: min(1.0, sample_docs / r["n"], sample_chars / 2 / max(1, r["c"])) for y, r in stats.items()}
     u = hash01(F.col("doc_id"), "toxicity")
     picked = rows.where(u < F.when(F.col("toxic") == 1, chance[1]).otherwise(chance[0])).collect()
     picked.sort(key=lambda r: (r["doc_id"], r["toxic"], r["text"]))
-    bags = [[set(WORD.findall(s.lower())) for s in sentences(r["text"])] for r in picked]
-    seen = Counter(w for bag in bags for w in set().union(*bag))
-    words = sorted(w for w, n in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:MAX_WORDS] if n >= MIN_DOCS)
+    size = {y: max(1, sum(r["toxic"] == y for r in picked)) for y in (0, 1)}
+    held: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    for r in picked:
+        held[r["toxic"]].update({f for w in set(WORD.findall(r["text"].lower())) for f in features(w)})
+
+    def sigma(f: str) -> float:
+        share = (held[0][f] + held[1][f]) / (size[0] + size[1])
+        return (held[1][f] / size[1] - held[0][f] / size[0]) / math.sqrt(share * (1 - share) * (1 / size[0] + 1 / size[1]) + 1e-12)
+
+    telling = sorted(((abs(sigma(f)), f) for f in set(held[0]) | set(held[1]) if held[0][f] + held[1][f] >= MIN_DOCS), reverse=True)
+    words = [f for s, f in telling[:MAX_WORDS] if s >= MIN_SIGMA]
     at = {w: i for i, w in enumerate(words)}
+    bags = [[{f for w in set(WORD.findall(s.lower())) for f in features(w) if f in at} for s in sentences(r["text"])] for r in picked]
     y = np.array([r["toxic"] for r in picked], float)
     doc_of, row_of, col_of = [], [], []
     for d, bag in enumerate(bags):
         for s in bag:
-            ids = [at[w] for w in s if w in at]
+            ids = [at[w] for w in s]
             row_of += [len(doc_of)] * len(ids)
             col_of += ids
             doc_of.append(d)
@@ -72,17 +91,30 @@ def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int
         dw, db = np.bincount(col_of, slope[row_of], len(words)) - RIDGE / len(words) * w, slope.sum()
         gw, gb = gw + dw**2, gb + db**2
         w, b = w + RATE * dw / np.sqrt(gw), b + RATE * db / math.sqrt(gb)
-    return {"bias": float(b), "weights": {x: float(v) for x, v in zip(words, w) if abs(v) > 1e-3}, "shift": 0.0}
+    return {"bias": float(b), "weights": {x: float(v) for x, v in zip(words, w) if abs(v) > 1e-3}}
+
+
+class Scorer:
+    """A model with the summed weights of words seen lately."""
+
+    def __init__(self, model: dict):
+        self.bias, self.weights, self.words = model["bias"], model["weights"], {}
 
+    def word(self, w: str) -> float:
+        if (z := self.words.get(w)) is None:
+            if len(self.words) >= CACHE_WORDS:
+                self.words.clear()
+            z = self.words[w] = sum(self.weights.get(f, 0.0) for f in features(w))
+        return z
 
-def sentence_score(sentence: str, model: dict) -> float:
-    get = model["weights"].get
-    z = model["bias"] + sum(get(w, 0.0) for w in set(WORD.findall(sentence.lower())))
-    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+    def sentence(self, s: str) -> float:
+        z = self.bias + sum(map(self.word, set(WORD.findall(s.lower()))))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def score_text(text: str | None, model: dict) -> tuple[float, list[float]]:
-    each = [sentence_score(s, model) for s in sentences(text)]
+def score_text(text: str | None, scorer: Scorer) -> tuple[float, list[float]]:
+    """The document's probability and its sentences' own."""
+    each = [scorer.sentence(s) for s in sentences(text)]
     return 1 - math.exp(sum(math.log1p(-min(p, 1 - 1e-12)) for p in each)), each
 
 
@@ -94,10 +126,11 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_WORDS words at most
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
         for b in batches:
             scores, worst = [], []
             for text in b.column(1).to_pylist():
-                s, each = score_text(text, shared.value)
+                s, each = score_text(text, scorer)
                 scores.append(s)
                 worst.append([x for x, p in zip(sentences(text), each) if p >= 0.5])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(worst, pa.list_(pa.string()))], names=["doc_id", "score", "worst"])
