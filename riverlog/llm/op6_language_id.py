@@ -23,8 +23,8 @@ SAMPLE_TEXTS, DICTIONARY_BYTES, ALL_BYTES = 400, 64 << 10, 32 << 20
 CHUNK, LEVEL, MIN_MATCH = 2048, 6, 3
 #: Of a text under SHORT bytes, up to SUFFIXES more are compressed, each from a later word on: sizes are whole bytes, their sum is finer.
 SHORT, SUFFIXES = 400, 12
-#: Rejected below it. Clean texts of the synthetic corpora lie above 0.03.
-MARGIN = 0.004
+#: Rejected below it: hardly any but ties of very short texts and junk.
+MARGIN = 0.001
 UNKNOWN = "und"
 
 
