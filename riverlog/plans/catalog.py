@@ -1,4 +1,406 @@
-"""The registered queries of the recording operators, and the SQL each is compared with."""
+"""The registered queries of the recording operators over the driver's tables, and the SQL each is compared with.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+A user's events are one recording, an event type is a camera topic, value is a detection's score. Times are LONG microseconds.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import tempfile
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riverlog.functions import wire
+from riverlog.operators import boxes, cut, detect, intervals, joins, manifest
+from riverlog.sources import mcap_source
+from riverlog.streaming import sessions as streaming
+
+HOUR = 3_600_000_000
+GAP, PAD, MIN_KEEP, CONF, OVERRIDES = 6 * HOUR, HOUR, 12 * HOUR, 100.0, [("err", 150.0), ("click", 120.0)]
+BY, CHANNEL = ["file"], ["file", "topic"]
+LEVELS = [50.0, 100.0, 150.0, 200.0, 250.0]
+SWEEP = [0, HOUR, 6 * HOUR, 12 * HOUR, 24 * HOUR, 48 * HOUR]
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    e = _table(spark, sf_dir, "events")
+    return e.select("event_id", F.col("user_id").alias("file"), F.col("event_type").alias("topic"), F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), "value")
+
+
+def _relative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    return _events(spark, sf_dir).withColumn("t", F.col("t") - F.min("t").over(Window.partitionBy("file")))
+
+
+def _bounds(rel: DataFrame) -> DataFrame:
+    return rel.groupBy("file").agg(F.max("t").alias("duration"))
+
+
+def _hits(rel: DataFrame) -> DataFrame:
+    return rel.where(F.col("value") >= detect.threshold(F.col("topic"), CONF, OVERRIDES))
+
+
+def _drops(rel: DataFrame) -> DataFrame:
+    return intervals.union(intervals.pad(intervals.sessions(_hits(rel), CHANNEL, gap=GAP), 0, PAD), BY)
+
+
+def _keys(rel: DataFrame) -> DataFrame:
+    """Every tenth row of a topic is a keyframe."""
+    return detect.indexed(rel, CHANNEL, ["t", "event_id"]).where("idx % 10 = 1").select("file", "topic", "t")
+
+
+#: Common parts of the SQL.
+_E = "e AS (SELECT event_id, user_id AS file, event_type AS topic, epoch_us(ts) AS t, value FROM events)"
+_REL = f"{_E}, rel AS (SELECT event_id, file, topic, t - min(t) OVER (PARTITION BY file) AS t, value FROM e), bounds AS (SELECT file, max(t) AS duration FROM rel GROUP BY file)"
+_HITS = f"{_REL}, hits AS (SELECT * FROM rel WHERE value >= CASE WHEN topic LIKE '%err%' THEN 150 WHEN topic LIKE '%click%' THEN 120 ELSE 100 END)"
+_SESS = f"""{_HITS}, s1 AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY file, topic ORDER BY t) <= {GAP} THEN 0 ELSE 1 END AS brk FROM hits),
+s2 AS (SELECT *, sum(brk) OVER (PARTITION BY file, topic ORDER BY t ROWS UNBOUNDED PRECEDING) AS g FROM s1),
+sess AS (SELECT file, topic, min(t) AS a, max(t) AS b, count(*) AS n FROM s2 GROUP BY file, topic, g)"""
+_DROPS = f"""{_SESS}, padded AS (SELECT file, greatest(0, a - {PAD}) AS a, b + {PAD} AS b FROM sess),
+u1 AS (SELECT *, max(b) OVER (PARTITION BY file ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM padded),
+u2 AS (SELECT *, sum(CASE WHEN reach IS NULL OR a > reach THEN 1 ELSE 0 END) OVER (PARTITION BY file ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM u1),
+drops AS (SELECT file, min(a) AS a, max(b) AS b FROM u2 GROUP BY file, g)"""
+_RUNS = f"""{_DROPS}, runs AS (SELECT file, coalesce(lag(b) OVER (PARTITION BY file ORDER BY a), 0) AS a, a AS b FROM drops
+  UNION ALL SELECT bounds.file, coalesce(m, 0), duration FROM bounds LEFT JOIN (SELECT file, max(b) AS m FROM drops GROUP BY file) x ON x.file = bounds.file)"""
+_KEEP = f"{_RUNS}, keep AS (SELECT * FROM runs WHERE b - a >= {MIN_KEEP})"
+_KEYS = "ks AS (SELECT file, topic, t FROM (SELECT *, row_number() OVER (PARTITION BY file, topic ORDER BY t, event_id) - 1 AS idx FROM rel) WHERE idx % 10 = 1)"
+_CLIPS = f"""{_KEEP}, {_KEYS}, topics AS (SELECT DISTINCT file, topic FROM ks), each AS (SELECT * FROM keep JOIN topics USING (file)),
+ahead AS (SELECT each.file, a, b, k.t AS nx FROM each ASOF LEFT JOIN ks k ON k.file = each.file AND k.topic = each.topic AND k.t >= each.a),
+nxt AS (SELECT file, a, b, max(coalesce(nx, b)) AS nxt, count(*) FILTER (nx IS NULL) AS topics_without FROM ahead GROUP BY file, a, b),
+back AS (SELECT n.*, topic FROM nxt n JOIN topics USING (file)),
+low AS (SELECT back.file, a, b, nxt, topics_without, min(coalesce(k.t, 0)) AS low FROM back ASOF LEFT JOIN ks k ON k.file = back.file AND k.topic = back.topic AND k.t <= back.nxt GROUP BY back.file, a, b, nxt, topics_without),
+clips AS (SELECT * FROM (SELECT file, CASE WHEN low < a THEN nxt ELSE low END AS a, b, topics_without FROM low) WHERE b - a >= {MIN_KEEP})"""
+
+
+def _keep(rel: DataFrame) -> DataFrame:
+    return intervals.complement(_drops(rel), _bounds(rel), BY, MIN_KEEP)
+
+
+def _clips(rel: DataFrame) -> DataFrame:
+    return cut.snap(_keep(rel), _keys(rel), BY, "topic", MIN_KEEP)
+
+
+def threshold_by_topic(spark, sf_dir):
+    return _hits(_relative(spark, sf_dir)).select("event_id", "file", "topic", "t")
+
+
+def stride_sample(spark, sf_dir):
+    return detect.strided(_events(spark, sf_dir), CHANNEL, ["t", "event_id"], 3).select("event_id", "idx")
+
+
+def sessions(spark, sf_dir):
+    return intervals.sessions(_hits(_relative(spark, sf_dir)), CHANNEL, gap=GAP)
+
+
+def channel_summary(spark, sf_dir):
+    rel = _relative(spark, sf_dir)
+    hit = F.col("value") >= detect.threshold(F.col("topic"), CONF, OVERRIDES)
+    return detect.channel_summary(rel, CHANNEL, "t", hit, 3).select("file", "topic", "messages", "with_hits", "start_t", "end_t", "checked", "hold_us", F.floor(F.col("fps") * 1e6).alias("fps_millionths"))
+
+
+def interval_union(spark, sf_dir):
+    return _drops(_relative(spark, sf_dir))
+
+
+def complement_keep(spark, sf_dir):
+    return _keep(_relative(spark, sf_dir))
+
+
+def gaps_removed(spark, sf_dir):
+    rel = _relative(spark, sf_dir)
+    return intervals.gaps(_keep(rel), _bounds(rel), BY)
+
+
+def plan_summary(spark, sf_dir):
+    rel = _relative(spark, sf_dir)
+    return intervals.plan_summary(_keep(rel), _bounds(rel), BY)
+
+
+def min_keep_sweep(spark, sf_dir):
+    rel = _relative(spark, sf_dir)
+    return intervals.sweep(_drops(rel), _bounds(rel), BY, SWEEP)
+
+
+def calibrate_conf(spark, sf_dir):
+    return detect.calibrate(_events(spark, sf_dir), ["topic"], "value", LEVELS)
+
+
+def keyframe_trim(spark, sf_dir):
+    rows = _events(spark, sf_dir)
+    return detect.from_first_keyframe(rows, CHANNEL, "t", F.col("event_id") % 7 == 3).select("event_id", "no_keyframe")
+
+
+def snap_forward(spark, sf_dir):
+    rel = _relative(spark, sf_dir)
+    keys = _keys(rel).withColumn("k", F.col("t"))
+    return joins.asof(_hits(rel).select("file", "topic", "t", "event_id"), keys, CHANNEL, "t", "k", "next_key", forward=True).na.fill(-1, ["next_key"])
+
+
+def snap_back(spark, sf_dir):
+    rel = _relative(spark, sf_dir)
+    keys = _keys(rel).withColumn("k", F.col("t"))
+    return joins.asof(_hits(rel).select("file", "topic", "t", "event_id"), keys, CHANNEL, "t", "k", "prev_key").na.fill(-1, ["prev_key"])
+
+
+def cut_clips(spark, sf_dir):
+    return _clips(_relative(spark, sf_dir))
+
+
+def cut_targets(spark, sf_dir):
+    rel = _relative(spark, sf_dir)
+    clips = _clips(rel)
+    gone = cut.removed(clips, _bounds(rel), _keys(rel), BY, "topic", HOUR)
+    return cut.targets(clips, gone, BY, "file").select("file", "kind", "name", "a", "b")
+
+
+def route_messages(spark, sf_dir):
+    rel = _relative(spark, sf_dir)
+    spans = _keep(rel).withColumn("kind", F.lit("keep")).unionByName(_drops(rel).withColumn("kind", F.lit("drop")))
+    return joins.route(rel.select("event_id", "file", "t"), spans, BY).select("event_id", "file", "kind", "a", "b")
+
+
+def _held(spark, sf_dir, f):
+    rel = _relative(spark, sf_dir)
+    return rel.select("event_id", f(rel, CHANNEL, "t", F.col("value") >= CONF, 5).alias("held"))
+
+
+def hold_max(spark, sf_dir):
+    return _held(spark, sf_dir, detect.hold_any)
+
+
+def hold_majority(spark, sf_dir):
+    return _held(spark, sf_dir, detect.hold_majority)
+
+
+def mosaic_align(spark, sf_dir):
+    """An output clock of 12 hours, each topic's latest frame at a tick, held until the next."""
+    rel = _relative(spark, sf_dir)
+    step = 12 * HOUR
+    ticks = _bounds(rel).select("file", F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("duration"), F.lit(step))).alias("k", "t"))
+    clock = ticks.join(rel.select("file", "topic").distinct(), "file")
+    frames = rel.groupBy("file", "topic", "t").agg(F.min("event_id").alias("frame"))
+    return joins.asof(clock, frames, CHANNEL, "t", "frame", "frame_id").na.fill(-1, ["frame_id"]).select("file", "topic", "k", "t", "frame_id")
+
+
+def asof_tolerance(spark, sf_dir):
+    rel = _relative(spark, sf_dir)
+    keys = _keys(rel).withColumn("k", F.col("t"))
+    return joins.asof(_hits(rel).select("file", "topic", "t", "event_id"), keys, CHANNEL, "t", "k", "near_key", within=24 * HOUR).na.fill(-1, ["near_key"])
+
+
+def band_join_boxes(spark, sf_dir):
+    rel = _relative(spark, sf_dir)
+    hits = _hits(rel).select("file", "topic", F.col("event_id").alias("hit_id"), F.col("t").alias("hit_t"))
+    return joins.band(rel.select("file", "topic", "event_id", "t"), hits, CHANNEL, "t", "hit_t", 2 * HOUR).select("event_id", "hit_id")
+
+
+def modal_format(spark, sf_dir):
+    return detect.modal(_table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderpriority", "o_orderkey")
+
+
+def manifest_upsert(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return manifest.upsert(orders.where("o_orderkey % 3 <> 0"), orders.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", F.lit("new")), "o_orderkey")
+
+
+def left_join_status(spark, sf_dir):
+    sources = _table(spark, sf_dir, "customer").select("c_custkey")
+    reports = _table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("duration"))
+    return manifest.bind(sources, reports, "c_custkey", "duration", 8)
+
+
+def keyed_last_wins(spark, sf_dir):
+    return manifest.last_wins(_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), "o_custkey", ["o_orderkey"])
+
+
+def record_histogram(spark, sf_dir):
+    return _events(spark, sf_dir).groupBy("topic").agg(F.count("*").alias("n"), F.min("t").alias("first_t"), F.max("t").alias("last_t"))
+
+
+def head_per_topic(spark, sf_dir):
+    return detect.head(_events(spark, sf_dir), ["topic"], ["t", "event_id"], 100).select("event_id", "topic", "idx")
+
+
+def payload_swap(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("source", "doc_id", "text")
+    new = docs.where("doc_id % 11 <> 0").withColumn("text", F.upper("text"))
+    got = detect.swap_payload(docs, new, ["source"], ["doc_id"], "text")
+    return got.select("source", "idx", "status", F.length("text").alias("n"))
+
+
+def sha256_digest(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("digest"))
+
+
+def _mapped(df: DataFrame, f: Callable, schema: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [f(*r) for r in zip(*(c.to_pylist() for c in b.columns))]
+            names = [x.split()[0] for x in schema.split(", ")]
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=_arrow(schema))
+
+    return df.mapInArrow(run, schema)
+
+
+def _arrow(schema: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64()}
+    return pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in schema.split(", ")])
+
+
+def protobuf_roundtrip(spark, sf_dir):
+    def one(doc_id, text):
+        raw = wire.encode({1: str(doc_id).encode(), 3: b"old"}) + b"\x28\x05"
+        got = wire.fields(wire.splice(raw, 3, (text or "").encode()))
+        return int(got[1]), hashlib.sha256(got[3]).hexdigest()
+
+    return _mapped(_table(spark, sf_dir, "documents").select("doc_id", "text"), one, "doc_id long, digest string")
+
+
+def _packets(doc_id: int) -> bytes:
+    """Access units of an id: one for each 0..id % 4, the last a keyframe where id % 5 is 0."""
+    n = doc_id % 4 + 1
+    kinds = [0x65 if doc_id % 5 == 0 and i == n - 1 else 0x41 for i in range(n)]
+    return b"".join(wire.DELIMITER + b"\xf0" + b"\x00\x00\x01" + bytes([k]) + b"x" * i for i, k in enumerate(kinds))
+
+
+def keyframe_udf(spark, sf_dir):
+    return _mapped(_table(spark, sf_dir, "documents").select("doc_id"), lambda i: (i, wire.is_keyframe(_packets(i))), "doc_id long, is_key boolean")
+
+
+def au_split(spark, sf_dir):
+    def one(i):
+        parts = wire.access_units(_packets(i))
+        return i, len(parts), sum(map(len, parts))
+
+    return _mapped(_table(spark, sf_dir, "documents").select("doc_id"), one, "doc_id long, units long, n_bytes long")
+
+
+def _log(spark, sf_dir) -> str:
+    mcap_source.register(spark)
+    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='riverlog-')}"
+    path = f"{at.rstrip('/')}/log-{hashlib.md5(sf_dir.encode()).hexdigest()}"
+    e = _events(spark, sf_dir)
+    rows = e.select("topic", F.lit("event").alias("schema_name"), F.lit("text").alias("message_encoding"), (F.col("t") * 1000).alias("log_time"), F.col("event_id").alias("sequence"), F.col("file").cast("string").cast("binary").alias("data"))
+    rows.repartition(4, "topic").sortWithinPartitions("log_time").write.format("mcap").mode("overwrite").save(path)
+    return path
+
+
+def mcap_roundtrip(spark, sf_dir):
+    got = spark.read.format("mcap").load(_log(spark, sf_dir))
+    return got.select(F.col("sequence").alias("event_id"), "topic", F.col("data").cast("string").cast("long").alias("file"), F.col("log_time"))
+
+
+def mcap_topic_scan(spark, sf_dir):
+    got = spark.read.format("mcap").option("mode", "sequential").load(_log(spark, sf_dir)).where("topic IN ('click', 'error')")
+    return got.groupBy("topic").agg(F.count("*").alias("n"), F.max("log_time").alias("last_t"))
+
+
+def mcap_channels(spark, sf_dir):
+    return spark.read.format("mcap").option("records", "channels").load(_log(spark, sf_dir)).select("topic", "message_encoding", "schema_name")
+
+
+def mcap_statistics(spark, sf_dir):
+    return spark.read.format("mcap").option("records", "statistics").load(_log(spark, sf_dir)).groupBy("status").agg(F.sum("messages").alias("messages"), F.sum("channels").alias("channels"))
+
+
+def box_arithmetic(spark, sf_dir):
+    b = F.struct(F.floor(F.col("l_quantity")).alias("x"), F.col("l_linenumber").cast("double").alias("y"), F.lit(8.0).alias("w"), F.lit(4.0).alias("h"), F.lit(0.5).alias("score"))
+    got = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", boxes.expanded(boxes.rescaled(boxes.from_xywh(b), F.lit(2.0), F.lit(0.5)), 1.5, F.lit(100), F.lit(6)).alias("b"))
+    return got.where(boxes.large_enough(F.col("b"), 2.5)).select("l_orderkey", "l_linenumber", "b.x1", "b.y1", "b.x2", "b.y2")
+
+
+def nms_boxes(spark, sf_dir):
+    def one(vec_id, v):
+        x = np.array(v[:60], float).reshape(-1, 5)
+        b = np.stack([np.abs(x[:, 0]) * 100, np.abs(x[:, 1]) * 100, np.abs(x[:, 0]) * 100 + 20, np.abs(x[:, 1]) * 100 + 20, np.abs(x[:, 4])], 1)
+        kept = boxes.suppress(b, 0.3, 0.05)
+        return vec_id, len(kept), float(kept[:, 4].max()) if len(kept) else 0.0
+
+    return _mapped(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), one, "vec_id long, kept long, best double")
+
+
+def lpt_shard(spark, sf_dir):
+    sizes = [(r[0], r[1]) for r in _table(spark, sf_dir, "supplier").select("s_name", F.abs(F.floor("s_acctbal")).cast("long")).collect()]  # a list of files, on the driver
+    rows = [(i, name) for i, part in enumerate(manifest.balance(sizes, 4)) for name in part]
+    return spark.createDataFrame(rows, "bucket int, name string")
+
+
+def paint_dilate_fill(spark, sf_dir):
+    def one(i):
+        frame = np.full((64, 64, 3), i % 256, np.uint8)
+        mask = boxes.dilate(boxes.paint((64, 64), np.array([[20, 20, 40, 36]]), ellipse=i % 2 == 0), int(i % 7))
+        return i, int(mask.sum()), int((boxes.fill(frame, mask, "grey") != frame).any(axis=2).sum())
+
+    return _mapped(_table(spark, sf_dir, "embeddings").select("vec_id"), one, "vec_id long, masked long, changed long")
+
+
+def temporal_stream_sessions(spark, sf_dir):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    e = _table(spark, sf_dir, "events").select(F.col("user_id").alias("file"), F.col("event_type").alias("topic"), F.col("ts").cast("timestamp").alias("ts"), "value")
+    hits = e.where(F.col("value") >= detect.threshold(F.col("topic"), CONF, OVERRIDES))
+    return streaming.stream_sessions(hits, CHANNEL, "ts", "6 hours")
+
+
+_ASOF = "SELECT h.file, h.topic, h.t, h.event_id, {out} FROM hits h ASOF LEFT JOIN ks k ON k.file = h.file AND k.topic = h.topic AND k.t {op} h.t"
+_SUM = """s AS (SELECT {by}, count(*) AS segments, CAST(sum(b - a) AS BIGINT) AS kept, max(b - a) AS longest, list_sort(list(b - a))[count(*) // 2 + 1] AS median FROM {runs} GROUP BY {by})"""
+_SUM_OUT = "coalesce(segments, 0) AS segments, coalesce(kept, 0) AS kept, coalesce(longest, 0) AS longest, coalesce(median, 0) AS median, duration - coalesce(kept, 0) AS removed, CASE WHEN duration > 0 THEN CAST(floor(coalesce(kept, 0) * 1000000 / duration) AS BIGINT) ELSE 0 END AS kept_ppm"
+_HELD = "SELECT event_id, {f} AS held FROM (SELECT *, CAST(value >= 100 AS INTEGER) AS x FROM rel) WINDOW w AS (PARTITION BY file, topic ORDER BY t ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)"
+
+_PAIRS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "threshold_by_topic": (threshold_by_topic, f"WITH {_HITS} SELECT event_id, file, topic, t FROM hits"),
+    "stride_sample": (stride_sample, f"WITH {_E} SELECT event_id, idx FROM (SELECT event_id, CAST(row_number() OVER (PARTITION BY file, topic ORDER BY t, event_id) - 1 AS INTEGER) AS idx FROM e) WHERE idx % 3 = 0"),
+    "sessions": (sessions, f"WITH {_SESS} SELECT * FROM sess"),
+    "channel_summary": (channel_summary, f"WITH {_HITS}, c AS (SELECT file, topic, count(*) AS messages, count(*) FILTER (value >= CASE WHEN topic LIKE '%err%' THEN 150 WHEN topic LIKE '%click%' THEN 120 ELSE 100 END) AS with_hits, min(t) AS start_t, max(t) AS end_t, max(t) - min(t) AS span FROM rel GROUP BY file, topic) SELECT file, topic, messages, with_hits, start_t, end_t, CAST(ceil(messages / 3) AS BIGINT) AS checked, CASE WHEN span > 0 AND messages > 1 THEN CAST(floor(3 * span / (messages - 1)) AS BIGINT) ELSE 0 END AS hold_us, CASE WHEN span > 0 THEN CAST(floor((messages - 1) * 1e6::DOUBLE / span * 1e6::DOUBLE) AS BIGINT) ELSE 0 END AS fps_millionths FROM c"),
+    "interval_union": (interval_union, f"WITH {_DROPS} SELECT * FROM drops"),
+    "complement_keep": (complement_keep, f"WITH {_KEEP} SELECT * FROM keep"),
+    "gaps_removed": (gaps_removed, f"WITH {_KEEP}, g AS (SELECT file, coalesce(lag(b) OVER (PARTITION BY file ORDER BY a), 0) AS a, a AS b FROM keep UNION ALL SELECT bounds.file, coalesce(m, 0), duration FROM bounds LEFT JOIN (SELECT file, max(b) AS m FROM keep GROUP BY file) x ON x.file = bounds.file) SELECT * FROM g WHERE b > a"),
+    "plan_summary": (plan_summary, f"WITH {_KEEP}, {_SUM.format(by='file', runs='keep')} SELECT file, duration, {_SUM_OUT} FROM bounds LEFT JOIN s USING (file)"),
+    "min_keep_sweep": (min_keep_sweep, f"WITH {_RUNS}, m AS (SELECT unnest({SWEEP}) AS min_keep), r AS (SELECT * FROM runs, m WHERE b - a >= 0 AND b - a >= min_keep), {_SUM.format(by='file, min_keep', runs='r')} SELECT file, min_keep, duration, {_SUM_OUT} FROM (SELECT * FROM bounds, m) LEFT JOIN s USING (file, min_keep)"),
+    "calibrate_conf": (calibrate_conf, f"SELECT event_type AS topic, CAST(level AS DOUBLE) AS level, count(*) FILTER (value >= level) AS survivors FROM events, (SELECT unnest({LEVELS}) AS level) GROUP BY 1, 2"),
+    "keyframe_trim": (keyframe_trim, f"WITH {_E} SELECT event_id, f IS NULL AS no_keyframe FROM (SELECT *, min(CASE WHEN event_id % 7 = 3 THEN t END) OVER (PARTITION BY file, topic) AS f FROM e) WHERE f IS NULL OR t >= f"),
+    "snap_forward": (snap_forward, f"WITH {_HITS}, {_KEYS} {_ASOF.format(out='coalesce(k.t, -1) AS next_key', op='>=')}"),
+    "snap_back": (snap_back, f"WITH {_HITS}, {_KEYS} {_ASOF.format(out='coalesce(k.t, -1) AS prev_key', op='<=')}"),
+    "cut_clips": (cut_clips, f"WITH {_CLIPS} SELECT * FROM clips"),
+    "cut_targets": (cut_targets, f"""WITH {_CLIPS}, g AS (SELECT file, coalesce(lag(b) OVER (PARTITION BY file ORDER BY a), 0) AS a, a AS b FROM clips UNION ALL SELECT bounds.file, coalesce(m, 0), duration FROM bounds LEFT JOIN (SELECT file, max(b) AS m FROM clips GROUP BY file) x ON x.file = bounds.file),
+      ge AS (SELECT g.file, a, b, topic FROM g JOIN topics USING (file) WHERE b > a AND b - a >= {HOUR}), gk AS (SELECT ge.file, min(coalesce(k.t, 0)) AS a, ge.b FROM ge ASOF LEFT JOIN ks k ON k.file = ge.file AND k.topic = ge.topic AND k.t <= ge.a GROUP BY ge.file, ge.a, ge.b),
+      every AS (SELECT file, a, b, 'clip' AS kind FROM clips UNION ALL SELECT file, a, b, 'removed' FROM gk)
+      SELECT file, kind, printf('%s_%s%02d', CAST(file AS VARCHAR), kind, row_number() OVER (PARTITION BY file, kind ORDER BY a, b) - 1) AS name, a, b FROM every"""),
+    "route_messages": (route_messages, f"WITH {_KEEP}, spans AS (SELECT *, 'keep' AS kind FROM keep UNION ALL SELECT *, 'drop' FROM drops) SELECT event_id, r.file, kind, a, b FROM rel r JOIN spans s ON s.file = r.file AND r.t BETWEEN a AND b"),
+    "hold_max": (hold_max, f"WITH {_REL} {_HELD.format(f='max(x) OVER w')}"),
+    "hold_majority": (hold_majority, f"WITH {_REL} {_HELD.format(f='CAST(sum(x) OVER w > count(*) OVER w // 2 AS INTEGER)')}"),
+    "mosaic_align": (mosaic_align, f"WITH {_REL}, fr AS (SELECT file, topic, t, min(event_id) AS id FROM rel GROUP BY 1, 2, 3), ticks AS (SELECT file, unnest(range(0, duration + 1, {12 * HOUR})) AS t FROM bounds), clock AS (SELECT ticks.file, topic, t FROM ticks JOIN (SELECT DISTINCT file, topic FROM rel) x ON x.file = ticks.file) SELECT c.file, c.topic, CAST(c.t // {12 * HOUR} AS INTEGER) AS k, c.t, coalesce(id, -1) AS frame_id FROM clock c ASOF LEFT JOIN fr ON fr.file = c.file AND fr.topic = c.topic AND fr.t <= c.t"),
+    "asof_tolerance": (asof_tolerance, f"WITH {_HITS}, {_KEYS} SELECT file, topic, t, event_id, CASE WHEN t - k <= {24 * HOUR} THEN k ELSE -1 END AS near_key FROM ({_ASOF.format(out='k.t AS k', op='<=')})"),
+    "band_join_boxes": (band_join_boxes, f"WITH {_HITS} SELECT r.event_id, h.event_id AS hit_id FROM rel r JOIN hits h ON h.file = r.file AND h.topic = r.topic AND h.t BETWEEN r.t - {2 * HOUR} AND r.t + {2 * HOUR}"),
+    "modal_format": (modal_format, "WITH n AS (SELECT o_custkey, o_orderpriority, count(*) AS n, min(o_orderkey) AS f FROM orders GROUP BY 1, 2) SELECT o_custkey, arg_max(o_orderpriority, n * 1000000000000 - f) AS o_orderpriority, count(*) AS kinds FROM n GROUP BY 1"),
+    "manifest_upsert": (manifest_upsert, "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 2 <> 0 UNION ALL SELECT o_orderkey, 'new', o_totalprice FROM orders WHERE o_orderkey % 2 = 0"),
+    "left_join_status": (left_join_status, "SELECT c_custkey, n AS duration, CASE WHEN n IS NULL THEN 'no_report' WHEN n < 8 THEN 'too_short' ELSE 'ok' END AS status FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey"),
+    "keyed_last_wins": (keyed_last_wins, "SELECT o_custkey, o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS r FROM orders) WHERE r = 1"),
+    "record_histogram": (record_histogram, f"WITH {_E} SELECT topic, count(*) AS n, min(t) AS first_t, max(t) AS last_t FROM e GROUP BY topic"),
+    "head_per_topic": (head_per_topic, f"WITH {_E} SELECT event_id, topic, idx FROM (SELECT *, CAST(row_number() OVER (PARTITION BY topic ORDER BY t, event_id) - 1 AS INTEGER) AS idx FROM e) WHERE idx < 100"),
+    "payload_swap": (payload_swap, "WITH d AS (SELECT source, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx FROM documents), n AS (SELECT source, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx FROM documents WHERE doc_id % 11 <> 0) SELECT d.source, CAST(d.idx AS INTEGER) AS idx, CASE WHEN n.idx IS NULL THEN 'missing' ELSE 'swapped' END AS status, CAST(length(CASE WHEN n.idx IS NULL THEN d.text ELSE replace(upper(replace(n.text, 'ß', 'SS')), 'ẞ', 'SS') END) AS INTEGER) AS n FROM d LEFT JOIN n USING (source, idx)"),
+    "sha256_digest": (sha256_digest, "SELECT doc_id, sha256(text) AS digest FROM documents"),
+    "protobuf_roundtrip": (protobuf_roundtrip, "SELECT doc_id, sha256(coalesce(text, '')) AS digest FROM documents"),
+    "keyframe_udf": (keyframe_udf, "SELECT doc_id, doc_id % 5 = 0 AS is_key FROM documents"),
+    "au_split": (au_split, "SELECT doc_id, doc_id % 4 + 1 AS units, CAST(10 * (doc_id % 4 + 1) + (doc_id % 4) * (doc_id % 4 + 1) // 2 AS BIGINT) AS n_bytes FROM documents"),
+    "mcap_roundtrip": (mcap_roundtrip, f"WITH {_E} SELECT event_id, topic, file, t * 1000 AS log_time FROM e"),
+    "mcap_topic_scan": (mcap_topic_scan, f"WITH {_E} SELECT topic, count(*) AS n, max(t) * 1000 AS last_t FROM e WHERE topic IN ('click', 'error') GROUP BY topic"),
+    "mcap_channels": (mcap_channels, "SELECT DISTINCT event_type AS topic, 'text' AS message_encoding, 'event' AS schema_name FROM events"),
+    "mcap_statistics": (mcap_statistics, "SELECT 'ok' AS status, count(*) AS messages, count(DISTINCT event_type) AS channels FROM events"),
+    "box_arithmetic": (box_arithmetic, "WITH b AS (SELECT l_orderkey, l_linenumber, floor(l_quantity) * 2 AS x1, l_linenumber * 0.5::DOUBLE AS y1, floor(l_quantity) * 2 + 16 AS x2, (l_linenumber + 4) * 0.5::DOUBLE AS y2 FROM lineitem), g AS (SELECT l_orderkey, l_linenumber, greatest(0::DOUBLE, x1 - 4) AS x1, greatest(0::DOUBLE, y1 - 0.5::DOUBLE) AS y1, least(100::DOUBLE, x2 + 4) AS x2, least(6::DOUBLE, y2 + 0.5::DOUBLE) AS y2 FROM b) SELECT * FROM g WHERE least(x2 - x1, y2 - y1) >= 2.5"),
+    "nms_boxes": (nms_boxes, None),
+    "lpt_shard": (lpt_shard, None),
+    "paint_dilate_fill": (paint_dilate_fill, None),
+    "temporal_stream_sessions": (temporal_stream_sessions, f"WITH {_SESS}, z AS (SELECT user_id AS file, min(epoch_us(ts)) AS t0 FROM events GROUP BY 1) SELECT sess.file, topic, a + t0 AS a, b + t0 AS b, n FROM sess JOIN z ON z.file = sess.file"),
+}
+QUERIES = {k: f for k, (f, _) in _PAIRS.items()}
+ORACLES = {k: s for k, (_, s) in _PAIRS.items() if s}
