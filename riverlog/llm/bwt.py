@@ -47,7 +47,7 @@ def merge(x: np.ndarray, y: np.ndarray, depth: int | None = None) -> tuple[np.nd
             symbols[inter == s] = both[s]
         # Ends of texts are all different: each keeps its own place.
         block = np.cumsum(parted)
-        order = np.argsort(symbols, kind="stable")
+        order = np.argsort(np.where(symbols == 0, inter, symbols + 1), kind="stable")  # ends go by text, the first shard's first
         new = inter[order]
         sorted_symbols, sorted_block = symbols[order], block[order]
         start = np.concatenate([[True], (np.diff(sorted_symbols) != 0) | (np.diff(sorted_block) != 0)]) | (sorted_symbols == 0)
