@@ -156,19 +156,32 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group_kinds: int = GRO
     parts = stored(map_arrow(texts.join(wanted, ["doc_id", "h"]).select("doc_id", "h", "raw", "us"), fetch, "doc_id long, h long, a long, q long, key long, n long, large boolean, part binary").dropDuplicates(["doc_id", "h", "a", "key"]), "unit-texts")
     span = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
-    def compare(t: pa.Table) -> pa.Table:
-        """One anchor hash's kinds: windows that at least two of them hold."""
-        each = [window_hashes(part, q - a, length)[1] for part, q, a in zip(*(t.column(c).to_pylist() for c in ("part", "q", "a")))]
+    def compare(held: list[tuple]) -> pa.RecordBatch:
+        """Windows that at least two kinds hold, of whole groups (doc_id, h, a, q, key, n, part)."""
+        each = [window_hashes(x[6], x[3] - x[2], length)[1] for x in held]
         values, counts = np.unique(np.concatenate(each), return_counts=True)
         many = values[counts > 1]
         rows = []
-        for doc_id, h, a, n, x in zip(*(t.column(c).to_pylist() for c in ("doc_id", "h", "a", "n")), each):
-            if n == 1:
-                flags = many[np.minimum(np.searchsorted(many, x), len(many) - 1)] == x if len(many) else np.zeros(len(x), bool)
+        for (doc_id, h, a, _, _, n, _), x in zip(held, each):
+            if n == 1 and len(many):
+                flags = many[np.minimum(np.searchsorted(many, x), len(many) - 1)] == x
                 rows += [(doc_id, h, *r) for r in _runs(flags, np.arange(a, a + len(x)))]
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), span)] if rows else [pa.array([], f.type) for f in span], schema=span)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), span)] if rows else [pa.array([], f.type) for f in span], schema=span)
 
-    few = parts.where("NOT large").groupBy("key").applyInArrow(compare, "doc_id long, h long, a long, b long")
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups come in order of their key; many small ones are compared at once (equal windows have one key)."""
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "h", "a", "q", "key", "n", "part"))):
+                if len(held) >= 1024 and held[-1][4] != row[4]:
+                    yield compare(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield compare(held)
+
+    ordered = parts.where("NOT large").repartition("key").sortWithinPartitions("key")
+    few = map_arrow(ordered, stream, "doc_id long, h long, a long, b long")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
