@@ -184,15 +184,27 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group_kinds: int = GRO
     few = map_arrow(ordered, stream, "doc_id long, h long, a long, b long")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Windows of large groups, combined within a batch: those that meet there are runs (x null) at once, and each
+        such window then stands in one row for all; the others go one by one to be counted."""
         for batch in batches:
-            for doc_id, h, a, q, n, part in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "h", "a", "q", "n", "part"))):
-                x = window_hashes(part, q - a, length)[1]
-                m = len(x)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, doc_id)), pa.array(np.full(m, h)), pa.array(np.arange(a, a + m)), pa.array(np.full(m, n)), pa.array(x)], ["doc_id", "h", "a", "n", "x"])
-
-    spelled = map_arrow(parts.where("large"), spell, "doc_id long, h long, a long, n long, x long")
-    counted = spelled.groupBy("x").agg(F.count("*").alias("times")).where("times > 1")
-    many = spelled.where("n = 1").join(counted, "x", "left_semi").select("doc_id", "h", "a", F.col("a").alias("b"))
+            held = list(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "h", "a", "q", "n", "part"))))
+            if not held:
+                continue
+            each = [window_hashes(x[5], x[3] - x[2], length)[1] for x in held]
+            values, counts = np.unique(np.concatenate(each), return_counts=True)
+            many, rows = values[counts > 1], []
+            for (doc_id, h, a, _, n, _), x in zip(held, each):
+                met = many[np.minimum(np.searchsorted(many, x), len(many) - 1)] == x if len(many) else np.zeros(len(x), bool)
+                if n == 1:
+                    rows += [(doc_id, h, i, j, 1, None) for i, j in _runs(met, np.arange(a, a + len(x)))]
+                rows += [(doc_id, h, a + k, a + k, n, int(x[k])) for k in np.flatnonzero(~met).tolist()]
+            rows += [(None, None, None, None, 2, x) for x in many.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "h", "a", "b", "n", "x"])
+
+    spelled = stored(map_arrow(parts.where("large"), spell, "doc_id long, h long, a long, b long, n long, x long"), "windows")
+    counted = spelled.where("x IS NOT NULL").groupBy("x").agg(F.sum("n").alias("times")).where("times > 1")
+    alone = spelled.where("n = 1 AND x IS NOT NULL").join(counted, "x", "left_semi").select("doc_id", "h", "a", "b")
+    many = spelled.where("x IS NULL").select("doc_id", "h", "a", "b").union(alone)
     return whole.union(few).union(many).groupBy("doc_id", "h").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
