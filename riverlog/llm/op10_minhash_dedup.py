@@ -1,9 +1,10 @@
 """Near-duplicates: banded MinHash candidates, sequential Bayesian pruning, exact confirmation.
 
 Rows with equal shingle sets are one class from the start, so exact copies cost one row each. Representatives meet in buckets
-of equal signature bands. A bucket does not pair its members with each other: first each is paired with the bucket's least and
-greatest member only. Links confirmed so far form components, and only members of different components of one bucket are
-then paired in full, so no link that can change a component is left out.
+of equal signature bands. A bucket does not pair its members with each other. In each of a few rounds a representative is paired
+with one other only, the links confirmed so far form components, and buckets within one component are done. What is left is
+paired by one member of each component in a bucket, and only then are members of different components of one bucket paired in
+full (where their set sizes allow a link), so no link that can change a component is left out.
 
 A pair's signatures are compared in batches; after each batch the pair is dropped if, with a uniform prior on its similarity,
 the chance that it reaches the threshold is below MISS. Survivors are confirmed on their full shingle sets.
@@ -26,13 +27,16 @@ from riverlog.llm.graph import components
 SHINGLE = 5
 #: The similarity from which documents are linked, as a fraction: 100 * common >= 75 * all.
 NUM, DEN = 75, 100
-#: At similarity 0.75 a pair shares no band with probability (1 - 0.75 ** 4) ** 32 = 5e-6.
-BANDS, ROWS, BATCH = 32, 4, 16
-HASHES = BANDS * ROWS
+#: Bands are WIDTH signature places each, cut from DEALS shuffles of all places: narrow enough that pairs at 0.3 rarely meet, and
+#: a pair at 0.75 shares none with probability 4e-7.
+HASHES, BATCH, WIDTH, DEALS = 128, 16, 5, 4
+#: Rounds in which each representative is paired with one other.
+ROUNDS = 3
 #: Chance of being a link below which a pair is dropped.
 MISS = 1e-7
 _seeds = np.random.default_rng(20240229)
 _XOR, _MUL = _seeds.integers(0, 1 << 32, HASHES, dtype=np.uint32), _seeds.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_PLACES = np.concatenate([_seeds.permutation(HASHES)[: HASHES // WIDTH * WIDTH].reshape(-1, WIDTH) for _ in range(DEALS)])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -111,6 +115,22 @@ def _signed(docs: DataFrame) -> DataFrame:
     return map_arrow(docs, sign, "doc_id long, n long, fp binary, sig binary")
 
 
+def _keys(classes: DataFrame) -> DataFrame:
+    """rep, n, key for each band of classes(rep, n, sig)."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sig = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint32).reshape(-1, HASHES)
+            key = np.tile(_mix(np.arange(1, len(_PLACES) + 1, dtype=np.uint64)), (len(sig), 1))
+            with np.errstate(over="ignore"):
+                for j in range(WIDTH):
+                    key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, _PLACES[:, j]])
+            each = [pa.array(np.repeat(b.column(i).to_numpy(), len(_PLACES))) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*each, pa.array(key.ravel().view(np.int64))], ["rep", "n", "key"])
+
+    return map_arrow(classes.select("rep", "n", "sig"), spell, "rep long, n long, key long")
+
+
 def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, num: int, den: int, miss: float) -> DataFrame:
     """Those of pairs(a, b) that are links."""
     sigs = classes.select("rep", "sig")
@@ -157,22 +177,34 @@ def near_duplicates(docs: DataFrame, num: int = NUM, den: int = DEN, miss: float
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     signed = stored(_signed(docs), "signatures")
     # A class: rows of one shingle set. Its least doc_id stands for it; summed up before the shuffle.
-    least = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("doc_id", "sig")).alias("m"))
-    classes = stored(least.select("fp", F.col("m.doc_id").alias("rep"), F.col("m.sig").alias("sig")), "classes")
-    band = lambda i: F.xxhash64(i, F.substring(F.col("sig"), i * (4 * ROWS) + 1, F.lit(4 * ROWS)))
-    entries = classes.select("rep", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("key"))
-    shared = entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
-    entries = stored(entries.join(shared, "key"), "buckets")
-    star = entries.select(F.col("lo").alias("a"), F.col("rep").alias("b")).union(entries.select(F.col("rep").alias("a"), F.col("hi").alias("b"))).where("a < b").distinct()
-    star = stored(star, "star-pairs")
-    links = _verify(star, classes, docs, num, den, miss)
-    own = entries.select("key", "rep").join(components(links).withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    split = own.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-    own = stored(own.join(split, "key"), "open-buckets")
-    other = own.select("key", F.col("rep").alias("b"), F.col("comp").alias("comp_b"))
-    apart = own.withColumnRenamed("rep", "a").join(other, "key").where("a < b AND comp <> comp_b").select("a", "b").distinct()
-    more = _verify(stored(apart.join(star, ["a", "b"], "left_anti"), "open-pairs"), classes, docs, num, den, miss)
-    comp = components(links.union(more))
+    least = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("doc_id", "n", "sig")).alias("m"))
+    classes = stored(least.select("fp", F.col("m.doc_id").alias("rep"), F.col("m.n").alias("n"), F.col("m.sig").alias("sig")), "classes")
+    keys = stored(_keys(classes), "bands")
+    # Buckets of two or more, and in them one row of each member.
+    size = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    buckets = stored(keys.join(size, "key"), "buckets").withColumn("comp", F.col("rep"))
+    tried = links = None
+    for i in range(ROUNDS + 2):
+        ends = buckets.groupBy("key").agg(F.min(F.struct("comp", "rep", "n")).alias("lo"), F.max("comp").alias("high")).where("lo.comp < high").drop("high")
+        buckets = stored(buckets.join(ends, "key"), "open-buckets")
+        fits = f"{den} * least(n, lo.n) >= {num} * greatest(n, lo.n)"
+        if i < ROUNDS:  # one partner each: the least, then that of the largest bucket, then of any
+            far = buckets.where("comp <> lo.comp").where(fits)
+            rank = [F.struct("lo.rep"), F.struct(-F.col("size"), "lo.rep"), F.struct(F.xxhash64("key", "rep"), F.col("lo.rep"))][i % 3]
+            pairs = far.groupBy(F.col("rep").alias("a")).agg(F.min_by("lo.rep", rank).alias("b"))
+        elif i == ROUNDS:  # one member of each component in a bucket
+            pairs = buckets.where("comp <> lo.comp").groupBy("key", "comp").agg(F.min("rep").alias("a"), F.first("lo.rep").alias("b"))
+        else:
+            mine = buckets.select("key", F.col("rep").alias("a"), "comp", "n")
+            other = buckets.select("key", F.col("rep").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b"))
+            pairs = mine.join(other, "key").where(f"a < b AND comp <> comp_b AND {den} * least(n, n_b) >= {num} * greatest(n, n_b)")
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = _verify(pairs, classes, docs, num, den, miss)
+        tried, links = (pairs, found) if tried is None else (tried.union(pairs), links.union(found))
+        comp = components(links)
+        if i <= ROUNDS:
+            buckets = buckets.select("key", "rep", "n", "size").join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     of_class = classes.select("fp", "rep").join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("fp", F.coalesce("comp", "rep").alias("comp"))
     got = signed.select("doc_id", "n", "fp").join(of_class, "fp", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
