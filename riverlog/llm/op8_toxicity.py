@@ -49,12 +49,41 @@ def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int
     Rows whose toxic is not 0 or 1 are passed over; a null text is empty. Without both labels the model is empty and scores 0.
     """
     rows = labelled.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").where("toxic IN (0, 1)")
-    stats = {r["toxic"]: r for r in rows.groupBy("toxic").agg(F.count("*").alias("n"), F.sum(F.char_length("text")).alias("c")).collect()}
+    chosen = _sample(rows.withColumn("c", F.char_length("text")), sample_docs, sample_chars)
+    return fit([] if chosen is None else chosen.select("doc_id", "text", "toxic").collect())
+
+
+def train_joined(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict:
+    """As train, from docs(doc_id, text) and labels(doc_id, toxic), where only ids and lengths are joined in full.
+
+    The sample's ids are collected, as its texts are (bounded alike), and only their texts are fetched. Repeated label rows count once in
+    the sample; a null doc_id has no label.
+    """
+    lengths = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.char_length("text"), F.lit(0)).alias("c"))
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where("toxic IN (0, 1)")
+    chosen = _sample(lengths.join(known, "doc_id"), sample_docs, sample_chars)
+    ids = [] if chosen is None else chosen.select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct().collect()
+    if not ids:
+        return fit([])
+    sample = docs.sparkSession.createDataFrame(ids, "doc_id long, toxic int")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return fit(texts.join(F.broadcast(sample), "doc_id").collect())
+
+
+def _sample(rows: DataFrame, sample_docs: int, sample_chars: int) -> DataFrame | None:
+    """About sample_docs of each label's rows(doc_id, toxic, c), fewer if long; none without both labels."""
+    stats = {r["toxic"]: r for r in rows.groupBy("toxic").agg(F.count("*").alias("n"), F.sum("c").alias("c")).collect()}
     if len(stats) < 2:
-        return {"bias": -30.0, "weights": {}}
+        return None
     chance = {y: min(1.0, sample_docs / r["n"], sample_chars / 2 / max(1, r["c"])) for y, r in stats.items()}
     u = hash01(F.col("doc_id"), "toxicity")
-    picked = rows.where(u < F.when(F.col("toxic") == 1, chance[1]).otherwise(chance[0])).collect()
+    return rows.where(u < F.when(F.col("toxic") == 1, chance[1]).otherwise(chance[0]))
+
+
+def fit(picked: list) -> dict:
+    """The model of rows (doc_id, text, toxic)."""
+    if len({r["toxic"] for r in picked}) < 2:
+        return {"bias": -30.0, "weights": {}}
     picked.sort(key=lambda r: (r["doc_id"], r["toxic"], r["text"]))
     size = {y: max(1, sum(r["toxic"] == y for r in picked)) for y in (0, 1)}
     held: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -145,7 +174,7 @@ def held_out(doc_id: Column) -> Column:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out(F.col("doc_id")))
-    model = train(docs.join(labels, "doc_id"))
+    model = train_joined(docs, labels)
     got = score(docs, model)
     return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"), F.size("worst").alias("n_worst"))
 

@@ -213,3 +213,13 @@ def test_pipeline_stages(spark):
         rows = out if name != "best_fit_packing" else rows
     assert {r["doc_id"] for r in out.select("doc_id").collect()} == {r["doc_id"] for r in rows.select("doc_id").collect()}
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_toxicity_joined_training(spark):
+    texts = [f"you are {'awful trash' if i % 3 == 0 else 'kind and fine'} number {i}" for i in range(60)]
+    rows = docs(spark, texts, [(None, "no id"), (70, None)])
+    labels = spark.createDataFrame([*((i, int(i % 3 == 0)) for i in range(60)), (70, 0), (99, 1), (None, 1), (1, None)], "doc_id long, toxic int")
+    want = o8.train(rows.join(labels, "doc_id"))
+    assert want["weights"] and o8.train_joined(rows, labels) == want
+    assert o8.train_joined(rows.limit(0), labels)["weights"] == {}
+    assert o8.train_joined(rows, labels.limit(0))["weights"] == {}
