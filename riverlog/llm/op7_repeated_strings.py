@@ -7,7 +7,8 @@ follow each other with one anchor form a unit, a stretch of at most 2 * LENGTH b
   * those alone hold no repeat; that drops most of the corpus after one shuffle of a few numbers a unit;
   * units with equal bytes repeat as a whole, however many they are, and none of their bytes is moved;
   * of different ones, one of each kind is fetched and their windows are compared by hash. Groups of few kinds are compared
-    in one task; the windows of larger groups are counted by a shuffle on window hashes instead.
+    in one task. In larger ones the windows that start within STEP bytes of each other share a core, counted first by a
+    shuffle on core hashes; only windows whose core stands in another kind too are counted, in the same way.
 
 The method named for this operator merges the Burrows-Wheeler transforms of shards by refining their interleave, one pass
 over all symbols for each byte of common prefix. bwt.py has that merge; the README says why it isn't used here.
@@ -30,6 +31,8 @@ LENGTH, K = 400, 16
 BLOCK = 1 << 20
 #: Kinds of units compared in one task: at most about 3 MB of text.
 GROUP_KINDS = 4096
+#: Windows of large groups whose starts lie in one stretch of STEP bytes are ruled out together.
+STEP = 32
 _rng = np.random.default_rng(20240301)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -108,6 +111,23 @@ def window_hashes(part: bytes, anchor: int, length: int = LENGTH) -> tuple[np.nd
         return away, _mix(Hashes(data).of(starts, starts + length) + away.astype(np.uint64)).view(np.int64)
 
 
+def core_hashes(part: bytes, anchor: int, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Of a unit's bytes: for each window start its place in the list of cores, and a hash of each core and its distance.
+
+    Distances to the anchor in ((i - 1) * step, i * step] have one core: the bytes that all those windows hold. Windows that
+    are equal at equal distances have equal cores.
+    """
+    data = np.frombuffer(part, np.uint8)
+    step = max(1, min(STEP, length // 4))
+    away = np.arange(anchor, anchor - (len(data) - length + 1), -1)
+    stretch = -(-away // step)
+    which, place = np.unique(stretch, return_inverse=True)
+    # The last window of a stretch, whether the unit holds it or not, starts the core; the first one ends it.
+    low, high = anchor - (which - 1) * step - 1, anchor - which * step + length
+    with np.errstate(over="ignore"):
+        return place, _mix(Hashes(data).of(low, high) + which.astype(np.uint64)).view(np.int64)
+
+
 def _runs(flags: np.ndarray, starts: np.ndarray) -> list[tuple[int, int]]:
     """(first, last) of runs of set flags; starts rise by 1."""
     edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
@@ -183,25 +203,41 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group_kinds: int = GRO
     ordered = parts.where("NOT large").repartition("key").sortWithinPartitions("key")
     few = map_arrow(ordered, stream, "doc_id long, h long, a long, b long")
 
+    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = list(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "h", "a", "q", "key", "part"))))
+            if held:
+                each = [core_hashes(x[5], x[3] - x[2], length)[1] for x in held]
+                sizes = [len(x) for x in each]
+                whose = [pa.array(np.repeat([x[i] for x in held], sizes), pa.int64()) for i in (0, 1, 2, 4)]
+                yield pa.RecordBatch.from_arrays([*whose, pa.array(np.concatenate([np.arange(k) for k in sizes]), pa.int64()), pa.array(np.concatenate(each))], ["doc_id", "h", "a", "key", "i", "core"])
+
+    large = parts.where("large")
+    cored = stored(map_arrow(large, cores, "doc_id long, h long, a long, key long, i long, core long"), "cores")
+    met = cored.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1").select("core")
+    open_cores = cored.join(met, "core", "left_semi").groupBy("doc_id", "h", "a", "key").agg(F.collect_list("i").alias("open"))
+    large = large.join(open_cores, ["doc_id", "h", "a", "key"])
+
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Windows of large groups, combined within a batch: those that meet there are runs (x null) at once, and each
+        """Windows of large groups with open cores, combined within a batch: those that meet there are runs (x null) at once, and each
         such window then stands in one row for all; the others go one by one to be counted."""
         for batch in batches:
-            held = list(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "h", "a", "q", "n", "part"))))
+            held = list(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "h", "a", "q", "n", "part", "open"))))
             if not held:
                 continue
             each = [window_hashes(x[5], x[3] - x[2], length)[1] for x in held]
-            values, counts = np.unique(np.concatenate(each), return_counts=True)
+            kept = [np.isin(core_hashes(x[5], x[3] - x[2], length)[0], x[6]) for x in held]
+            values, counts = np.unique(np.concatenate([x[k] for x, k in zip(each, kept)]), return_counts=True)
             many, rows = values[counts > 1], []
-            for (doc_id, h, a, _, n, _), x in zip(held, each):
+            for (doc_id, h, a, _, n, _, _), x, asked in zip(held, each, kept):
                 met = many[np.minimum(np.searchsorted(many, x), len(many) - 1)] == x if len(many) else np.zeros(len(x), bool)
                 if n == 1:
                     rows += [(doc_id, h, i, j, 1, None) for i, j in _runs(met, np.arange(a, a + len(x)))]
-                rows += [(doc_id, h, a + k, a + k, n, int(x[k])) for k in np.flatnonzero(~met).tolist()]
+                rows += [(doc_id, h, a + k, a + k, n, int(x[k])) for k in np.flatnonzero(~met & asked).tolist()]
             rows += [(None, None, None, None, 2, x) for x in many.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "h", "a", "b", "n", "x"])
 
-    spelled = stored(map_arrow(parts.where("large"), spell, "doc_id long, h long, a long, b long, n long, x long"), "windows")
+    spelled = stored(map_arrow(large, spell, "doc_id long, h long, a long, b long, n long, x long"), "windows")
     counted = spelled.where("x IS NOT NULL").groupBy("x").agg(F.sum("n").alias("times")).where("times > 1")
     alone = spelled.where("n = 1 AND x IS NOT NULL").join(counted, "x", "left_semi").select("doc_id", "h", "a", "b")
     many = spelled.where("x IS NULL").select("doc_id", "h", "a", "b").union(alone)
