@@ -4,7 +4,11 @@ Rows with equal shingle sets are one class from the start, so exact copies cost
 of equal signature bands. A bucket does not pair its members with each other. In each of a few rounds a representative is paired
 with one other only, the links confirmed so far form components, and buckets within one component are done. What is left is
 paired by one member of each component in a bucket, and only then are members of different components of one bucket paired in
-full (where their set sizes allow a link), so no link that can change a component is left out.
+full, where their set sizes and their odd sketches allow a link, so no link that can change a component is left out.
+
+An odd sketch has one bit for each of BITS slots: whether the set has an odd number of hashes there. Two sketches differ in no
+more bits than their sets have differing members, so the bound it gives rules out pairs without ever losing a link. It keeps a
+group of look-alikes that are not links from meeting pair by pair, up to about 2 * BITS shingles a text.
 
 A pair's signatures are compared in batches; after each batch the pair is dropped if, with a uniform prior on its similarity,
 the chance that it reaches the threshold is below MISS. Survivors are confirmed on their full shingle sets.
@@ -13,12 +17,12 @@ the chance that it reaches the threshold is below MISS. Survivors are confirmed
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverlog.llm.common import map_arrow, stored, table
@@ -34,6 +38,10 @@ HASHES, BATCH, WIDTH, DEALS = 128, 16, 5, 4
 ROUNDS = 3
 #: Chance of being a link below which a pair is dropped.
 MISS = 1e-7
+#: Bits of an odd sketch, kept as longs.
+BITS = 1024
+#: Bits of the filter by which texts that no pair needs stay where they are: 4 MB at any size of input. A full one lets all pass.
+FILTER_BITS, FILTER_PART = 1 << 25, 32768
 _seeds = np.random.default_rng(20240229)
 _XOR, _MUL = _seeds.integers(0, 1 << 32, HASHES, dtype=np.uint32), _seeds.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _PLACES = np.concatenate([_seeds.permutation(HASHES)[: HASHES // WIDTH * WIDTH].reshape(-1, WIDTH) for _ in range(DEALS)])
@@ -131,6 +139,57 @@ def _keys(classes: DataFrame) -> DataFrame:
     return map_arrow(classes.select("rep", "n", "sig"), spell, "rep long, n long, key long")
 
 
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """BITS bits as longs, by other bits of the hashes than signatures use."""
+    odd = np.bincount((shingles & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _slot(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS))
+
+
+def _needed(docs: DataFrame, ids: DataFrame) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    """A test of batches (doc_id, text, slot): the rows whose doc_id may be among ids(doc_id)."""
+    slot = ids.select(_slot(F.col("doc_id")).alias("s"))
+    parts = slot.groupBy(F.expr(f"s div {FILTER_PART}").alias("part")).agg(F.bitmap_construct_agg(F.col("s") % FILTER_PART).alias("bits")).collect()
+    bits = np.zeros((FILTER_BITS // FILTER_PART, FILTER_PART // 8), np.uint8)
+    for r in parts:
+        bits[r["part"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    flat = bits.ravel()
+
+    def test(b: pa.RecordBatch) -> pa.RecordBatch:
+        s = b.column(2).to_numpy()
+        return b.filter(pa.array((flat[s >> 3] >> (s & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return test
+
+
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, text of docs whose doc_id is among ids; only those move."""
+    needed = _needed(docs, ids)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield needed(b).select([0, 1])
+
+    return map_arrow(docs.select("doc_id", "text", _slot(F.col("doc_id"))), pick, "doc_id long, text string").join(ids, "doc_id", "left_semi")
+
+
+def _sketches(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """rep, n, o0, o1, ... of the texts of ids(doc_id)."""
+    needed, places = _needed(docs, ids), [f"o{i}" for i in range(BITS // 64)]
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in map(needed, batches):
+            sets = [shingle_set(x) for x in b.column(1).cast(pa.binary()).to_pylist()]
+            odd = np.array([odd_sketch(x) for x in sets], np.int64).reshape(-1, len(places))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), *map(pa.array, odd.T.copy())], ["rep", "n", *places])
+
+    schema = ", ".join(f"{c} long" for c in ["rep", "n", *places])
+    return map_arrow(docs.select("doc_id", "text", _slot(F.col("doc_id"))), draw, schema).distinct()
+
+
 def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, num: int, den: int, miss: float) -> DataFrame:
     """Those of pairs(a, b) that are links."""
     sigs = classes.select("rep", "sig")
@@ -144,21 +203,14 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, num: int, den
 
     left = stored(map_arrow(met, sift, "a long, b long"), "near-pairs")
     ids = left.select(F.col("a").alias("doc_id")).union(left.select("b")).distinct()
-
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(x).tobytes() for x in b.column(1).cast(pa.binary()).to_pylist()], pa.binary())], ["doc_id", "shingles"])
-
-    sets = stored(map_arrow(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"), sets_of, "doc_id long, shingles binary"), "shingles")
-    both = left.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    texts = _texts(docs, ids)
+    both = left.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b").select("a", "b", "x", "y")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep, seen = [], (None, None)
-            for i, (x, y) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-                s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(s) > len(t):
-                    s, t = t, s
+            keep = []
+            for i, (x, y) in enumerate(zip(b.column(2).cast(pa.binary()).to_pylist(), b.column(3).cast(pa.binary()).to_pylist())):
+                s, t = sorted((shingle_set(x), shingle_set(y)), key=len)
                 at = np.searchsorted(t, s)
                 common = int((t[np.minimum(at, len(t) - 1)] == s).sum()) if len(t) else 0
                 if den * common >= num * (len(s) + len(t) - common) > 0:
@@ -195,9 +247,14 @@ def near_duplicates(docs: DataFrame, num: int = NUM, den: int = DEN, miss: float
         elif i == ROUNDS:  # one member of each component in a bucket
             pairs = buckets.where("comp <> lo.comp").groupBy("key", "comp").agg(F.min("rep").alias("a"), F.first("lo.rep").alias("b"))
         else:
-            mine = buckets.select("key", F.col("rep").alias("a"), "comp", "n")
-            other = buckets.select("key", F.col("rep").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b"))
-            pairs = mine.join(other, "key").where(f"a < b AND comp <> comp_b AND {den} * least(n, n_b) >= {num} * greatest(n, n_b)")
+            sketches = stored(_sketches(docs, buckets.select(F.col("rep").alias("doc_id")).distinct()), "sketches")
+            drawn = buckets.select("key", "rep", "n", "comp").join(sketches, ["rep", "n"])
+            odd = [c for c in sketches.columns if c not in ("rep", "n")]
+            mine, other = drawn.select("key", *[F.col(c).alias(f"{c}_a") for c in ["rep", "comp", "n", *odd]]), drawn.select("key", *[F.col(c).alias(f"{c}_b") for c in ["rep", "comp", "n", *odd]])
+            # common / all >= num / den means that at most (den - num) of each den + num members of both sets differ.
+            differ = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in odd)
+            allows = f"{den} * least(n_a, n_b) >= {num} * greatest(n_a, n_b) AND {den + num} * ({differ}) <= {den - num} * (n_a + n_b)"
+            pairs = mine.join(other, "key").where(f"rep_a < rep_b AND comp_a <> comp_b AND {allows}").selectExpr("rep_a AS a", "rep_b AS b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         found = _verify(pairs, classes, docs, num, den, miss)

@@ -223,3 +223,38 @@ def test_toxicity_joined_training(spark):
     assert want["weights"] and o8.train_joined(rows, labels) == want
     assert o8.train_joined(rows.limit(0), labels)["weights"] == {}
     assert o8.train_joined(rows, labels.limit(0))["weights"] == {}
+
+
+def test_odd_sketch_is_a_lower_bound():
+    rng = np.random.default_rng(3)
+    for n, k in [(1, 0), (5, 5), (150, 25), (150, 40), (3000, 500)]:
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[k:], rng.integers(0, 1 << 63, k, dtype=np.uint64)]))
+        differ = len(np.setxor1d(a, b))
+        bits = np.bitwise_count((o10.odd_sketch(a) ^ o10.odd_sketch(b)).view(np.uint64)).sum()
+        assert bits <= differ and (n > 200 or bits >= 0.85 * differ)
+    assert (o10.odd_sketch(np.zeros(0, np.uint64)) == 0).all()
+
+
+def test_near_duplicates_among_look_alikes(spark):
+    """A group whose members mostly are no links of each other, and texts fetched by the filter of ids."""
+    rng, base = np.random.default_rng(5), [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(150):
+        words = list(base)
+        for k in rng.choice(120, rng.integers(0, 10), replace=False):
+            words[k] = f"x{i}-{k}"
+        texts.append(" ".join(words))
+    sets = [set(o10.shingle_set(t.encode()).tolist()) for t in texts]
+    comp = list(range(len(texts)))
+    moved = True
+    while moved:
+        moved = False
+        for i in range(len(texts)):
+            for j in range(i):
+                c = len(sets[i] & sets[j])
+                if comp[i] != comp[j] and 100 * c >= 75 * (len(sets[i]) + len(sets[j]) - c):
+                    comp[i] = comp[j] = min(comp[i], comp[j])
+                    moved = True
+    got = {r["doc_id"]: r["component_id"] for r in o10.near_duplicates(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == comp and 1 < len(set(comp)) < 150
