@@ -7,6 +7,9 @@ can be compared; a host is blocked when its distrust is above its trust.
 
 from __future__ import annotations
 
+import math
+import sys
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +19,8 @@ from riverlog.llm.common import lower_ascii, stored, table
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 PARSE = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)\shref\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
-DAMPING, ROUNDS, CUT_EVERY, SETTLED = 0.85, 12, 4, 1e-9
+#: SETTLED: growth of a score in one round, as a share of it, that ends the rounds.
+DAMPING, CUT_EVERY, SETTLED = 0.85, 4, 1e-9
 #: Distrust over trust from which a host is blocked.
 BLOCK_RATIO = 1.0
 
@@ -44,26 +48,39 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.select("src", host_of(F.col("to")).alias("dst")).where("src <> '' AND dst <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """host, trust, distrust from seeds(host, trust, distrust) over edges(src, dst, weight). Stops early when settled."""
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, settled: float = SETTLED) -> DataFrame:
+    """host, trust, distrust from seeds(host, trust, distrust) over edges(src, dst, weight).
+
+    Rounds go on until in one of them no score of any host grew by more than `settled` of itself, so hosts far from every seed
+    are reached too, and small scores are as precise as large ones. Scores under the least normal double (2e-308) count as none.
+    """
     total = lambda k: edges.groupBy(k).agg(F.sum("weight").alias("all"))
-    shares = stored(edges.join(total("src").withColumnRenamed("all", "out"), "src").join(total("dst").withColumnRenamed("all", "in"), "dst").select("src", "dst", (F.col("weight") / F.col("out")).alias("forward"), (F.col("weight") / F.col("in")).alias("back")), "host-links")
-    base = stored(seeds.select("host", ((1 - damping) * F.col("trust")).alias("trust"), ((1 - damping) * F.col("distrust")).alias("distrust")), "host-seeds")
+    links = edges.join(total("src").withColumnRenamed("all", "out"), "src").join(total("dst").withColumnRenamed("all", "in"), "dst")
+    forward = F.struct(F.lit("trust").alias("kind"), F.col("src").alias("from"), F.col("dst").alias("to"), (F.col("weight") / F.col("out")).alias("share"))
+    back = F.struct(F.lit("distrust").alias("kind"), F.col("dst").alias("from"), F.col("src").alias("to"), (F.col("weight") / F.col("in")).alias("share"))
+    shares = stored(links.select(F.inline(F.array(forward, back))), "host-links")
     if shares.isEmpty():
-        return base
+        return seeds.select("host", ((1 - damping) * F.col("trust")).alias("trust"), ((1 - damping) * F.col("distrust")).alias("distrust"))
+    each = F.array(*[F.struct(F.lit(k).alias("kind"), ((1 - damping) * F.col(k)).alias("score")) for k in ("trust", "distrust")])
+    base = stored(seeds.select("host", F.inline(each)).where("score > 0"), "host-seeds")
+    # Round k adds at most damping^k of the seeds' mass anywhere: after so many rounds every score has settled.
+    least = sys.float_info.min
+    rounds = math.ceil((math.log(least) + math.log(settled) - math.log(base.agg(F.sum("score")).first()[0] or 1.0)) / math.log(damping)) + CUT_EVERY
     score = base
-    for k in range(rounds):
-        trust = score.join(shares, F.col("host") == F.col("src")).select(F.col("dst").alias("host"), (damping * F.col("trust") * F.col("forward")).alias("trust"), F.lit(0.0).alias("distrust"))
-        distrust = score.join(shares, F.col("host") == F.col("dst")).select(F.col("src").alias("host"), F.lit(0.0).alias("trust"), (damping * F.col("distrust") * F.col("back")).alias("distrust"))
-        new = base.unionByName(trust).unionByName(distrust).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        if k % CUT_EVERY == CUT_EVERY - 1:
-            new = stored(new, "host-scores")
-            before = score.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d"))
-            moved = new.join(before, "host", "full").agg(F.sum(F.abs(F.coalesce("trust", F.lit(0.0)) - F.coalesce("t", F.lit(0.0))) + F.abs(F.coalesce("distrust", F.lit(0.0)) - F.coalesce("d", F.lit(0.0))))).first()[0]
-            if (moved or 0.0) < SETTLED:
-                return new
-        score = new
-    return score
+    for k in range(1, rounds + 1):
+        flow = score.withColumnRenamed("host", "from").join(shares, ["kind", "from"]).select(F.col("to").alias("host"), "kind", (damping * F.col("score") * F.col("share")).alias("score"))
+        new = base.unionByName(flow)
+        if k % CUT_EVERY:
+            score = new.groupBy("host", "kind").agg(F.sum("score").alias("score"))
+            continue
+        parts = new.withColumn("before", F.lit(0.0)).unionByName(score.select("host", "kind", F.lit(0.0).alias("score"), F.col("score").alias("before")))
+        score = stored(parts.groupBy("host", "kind").agg(F.sum("score").alias("score"), F.sum("before").alias("before")), "host-scores")
+        moved = F.abs(F.col("score") - F.col("before"))
+        if score.where((moved > settled * F.col("score")) & (moved >= least)).isEmpty():
+            of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0)).alias(kind)
+            return score.groupBy("host").agg(of("trust"), of("distrust"))
+        score = score.drop("before")
+    raise RuntimeError(f"host scores have not settled in {rounds} rounds")
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], block_ratio: float = BLOCK_RATIO) -> DataFrame:

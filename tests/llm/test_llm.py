@@ -182,6 +182,23 @@ def test_urls(spark):
     assert got[1]["host"] == "good.org" and got[8]["rule"] == "example.org/en/1" and got[3]["rule"] is None and got[3]["trust"] > 0 and got[6]["host"] == got[7]["path"] == ""
 
 
+def test_url_scores_settle(spark):
+    """A chain of hosts whose last is blocked, with a trusted branch into it, against a dense solve."""
+    n = 24
+    to = {f"h{i}.net": [f"h{i + 1}.net"] for i in range(n - 2)} | {f"h{n - 2}.net": ["spam.com"], "a.com": ["b.net"], "b.net": ["c.net", "h3.net"], "c.net": [], "spam.com": []}
+    path = {"a.com": "/fr/", "spam.com": "/de/"}
+    rows = [(i, f"http://{h}{path.get(h, '/x')}", "".join(f'<a href="http://{t}/">' for t in ts)) for i, (h, ts) in enumerate(to.items())]
+    got = {r["host"]: r for r in o9.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), o9.RULES).collect()}
+    hosts = list(to)
+    link = np.array([[float(b in to[a]) for b in hosts] for a in hosts])
+    ahead, back = (m / np.maximum(1, m.sum(1, keepdims=True)) for m in (link, link.T))
+    want = {k: np.linalg.solve(np.eye(len(hosts)) - o9.DAMPING * m.T, (1 - o9.DAMPING) * np.array([float(h == seed) for h in hosts])) for k, m, seed in (("trust", ahead, "a.com"), ("distrust", back, "spam.com"))}
+    for i, h in enumerate(hosts):
+        assert all(np.isclose(got[h][k], want[k][i], rtol=1e-6, atol=0) for k in want)
+        assert got[h]["verdict"] == ("allow" if h == "a.com" or h != "spam.com" and want["distrust"][i] <= want["trust"][i] else "block")
+    assert all(got[h]["verdict"] == "block" for h in ("h0.net", "h1.net", "h2.net", f"h{n - 2}.net"))
+
+
 def test_near_duplicates_edges(spark):
     base = [f"w{i}" for i in range(60)]
     changed = [" ".join(base[:k] + ["new"] + base[k + 1 :]) for k in (3, 30, 55)]
