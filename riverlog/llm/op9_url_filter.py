@@ -18,7 +18,9 @@ from riverlog.llm.common import lower_ascii, stored, table
 #: The rules of the contract: (verdict, host, path). Fixed values.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 PARSE = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-LINK = r"""(?i)\shref\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
+#: A link that names its host, with or without a scheme, and that host.
+LINK = r"""(?i)\shref\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
+LINK_HOST = r"^[^/]*//([^/?#]*)"
 #: SETTLED: growth of a score in one round, as a share of it, that ends the rounds.
 DAMPING, CUT_EVERY, SETTLED = 0.85, 4, 1e-9
 #: Distrust over trust from which a host is blocked.
@@ -45,7 +47,7 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
 def host_edges(pages: DataFrame) -> DataFrame:
     """src, dst, weight (links between two different hosts), summed before the shuffle."""
     links = pages.select(host_of(F.col("url")).alias("src"), F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK), F.lit(1))).alias("to"))
-    return links.select("src", host_of(F.col("to")).alias("dst")).where("src <> '' AND dst <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
+    return links.select("src", lower_ascii(F.regexp_extract("to", LINK_HOST, 1)).alias("dst")).where("src <> '' AND dst <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, settled: float = SETTLED) -> DataFrame:

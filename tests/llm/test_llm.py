@@ -182,6 +182,12 @@ def test_urls(spark):
     assert got[1]["host"] == "good.org" and got[8]["rule"] == "example.org/en/1" and got[3]["rule"] is None and got[3]["trust"] > 0 and got[6]["host"] == got[7]["path"] == ""
 
 
+def test_links_without_scheme(spark):
+    html = """<a href="//B.net/x?u=http://no.net/"><a HREF='//b.net'><a href=//c.net#y><a href="https://b.net/z"><a href="/no/x"><a href="no//x"><a href="mailto:a@b"><a href="//a.com/own">"""
+    pages = spark.createDataFrame([(1, "http://a.com/fr/", html), (2, "http://b.net/", None)], "page_id long, url string, html string")
+    assert sorted(map(tuple, o9.host_edges(pages).collect())) == [("a.com", "b.net", 3.0), ("a.com", "c.net", 1.0)]
+
+
 def test_url_scores_settle(spark):
     """A chain of hosts whose last is blocked, with a trusted branch into it, against a dense solve."""
     n = 24
