@@ -90,7 +90,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, broadcast_bytes: int = BROA
     """For each row of docs(doc_id, text): doc_id, n_words, n_hit, item_ids (those found, sorted as strings), contaminated.
 
     Only those columns and items(item_id, text) are read. A null or empty text has no words; it is never contaminated, as an
-    item it matches nothing. Rows that repeat a doc_id are each judged; repeated items count once. No items: no hits.
+    item it matches nothing. Rows that repeat a doc_id are each judged; repeated items count once. No items: no hits. Items of
+    null item_id hit like others; all of them together are one null in item_ids, which stands last.
     """
     items = items.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("iw")).where(F.size("iw") > 0)
     stats = items.agg(F.collect_set(F.when(F.size("iw") < WINDOW, F.size("iw"))).alias("short"), F.sum(F.octet_length(F.array_join("iw", " ")) + 64 * F.size("iw")).alias("bytes")).first()
@@ -116,15 +117,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, broadcast_bytes: int = BROA
         # No filter here: it would become part of the join, which would then leave generated code and copy each row's words.
         # A hit that is too short turns into one more row for the document itself.
         good = (F.col("s.e") - F.col("s.b")) >= need
-        hits = met.select("row", "doc_id", "n_words", F.when(good, F.col("item_id")).alias("item_id"), F.when(good, F.col("s.b")).alias("b"), F.when(good, F.col("s.e")).alias("e"))
+        hits = met.select("row", "doc_id", "n_words", F.when(good, F.struct("item_id")).alias("item"), F.when(good, F.col("s.b")).alias("b"), F.when(good, F.col("s.e")).alias("e"))
     else:
-        met = keyed.where("p IS NOT NULL").drop("dw").join(index.drop("iw"), "h").select("row", "item_id", "p", "q").distinct()
-        full = met.join(base.select("row", "dw"), "row").join(items.distinct(), "item_id").withColumn("s", span)
-        spans = full.where(F.col("s.e") - F.col("s.b") >= need).select("row", "item_id", F.col("s.b").alias("b"), F.col("s.e").alias("e"))
+        # An item is found again by its id, which may be null, and a hash of its words.
+        met = keyed.where("p IS NOT NULL").drop("dw").join(index.select("h", "q", F.col("item_id").alias("id"), F.xxhash64("iw").alias("ih")), "h").select("row", "id", "ih", "p", "q").distinct()
+        full = met.join(base.select("row", "dw"), "row").join(items.distinct(), F.col("id").eqNullSafe(F.col("item_id")) & (F.col("ih") == F.xxhash64("iw"))).withColumn("s", span)
+        spans = full.where(F.col("s.e") - F.col("s.b") >= need).select("row", F.struct("item_id").alias("item"), F.col("s.b").alias("b"), F.col("s.e").alias("e"))
         hits = base.select("row", "doc_id", "n_words").join(spans, "row", "left")
     # First one row for each span, then spans of a document are united in order: no more than the document has places.
-    spans = hits.groupBy("row", "doc_id", "n_words", "b", "e").agg(F.collect_set("item_id").alias("ids"))
-    per = spans.groupBy("row", "doc_id", "n_words").agg(F.array_sort(F.collect_list(F.when(F.col("b").isNotNull(), F.struct("b", "e")))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("item_ids"))
+    spans = hits.groupBy("row", "doc_id", "n_words", "b", "e").agg(F.collect_set("item").alias("ids"))
+    per = spans.groupBy("row", "doc_id", "n_words").agg(F.array_sort(F.collect_list(F.when(F.col("b").isNotNull(), F.struct("b", "e")))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids"))["item_id"])).alias("item_ids"))
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("to"))
     hit = F.aggregate("spans", zero, lambda a, s: F.struct((a["n"] + F.greatest(F.lit(0), s["e"] - F.greatest(s["b"], a["to"]))).alias("n"), F.greatest(a["to"], s["e"]).alias("to")), lambda a: a["n"].cast("long"))
     return per.select("doc_id", "n_words", hit.alias("n_hit"), "item_ids").withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))

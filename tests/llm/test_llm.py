@@ -100,6 +100,22 @@ def test_decontamination_edges(spark):
     assert o2.decontaminate(df, items.limit(0)).where("n_hit > 0").count() == 0 and o2.decontaminate(df.limit(0), items).count() == 0
 
 
+def test_decontamination_by_items_without_id(spark, tmp_path, monkeypatch):
+    a, b = (" ".join(f"{x}{i}" for i in range(20)) for x in "ab")
+    spark.createDataFrame([(1, f"p {a} q"), (2, b), (3, "x " * 30), (4, f"{b} {a}"), (5, "tiny bit")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, a), (None, b), (None, b), (7, a), (None, "tiny bit"), (7, "other text")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    c = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = sorted(c.sql(f"SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM ({o2.ORACLE})").fetchall())
+    real = o2.decontaminate
+    for limit in (o2.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(o2, "decontaminate", lambda d, i, n=limit: real(d, i, n))
+        assert sorted(map(tuple, o2.op2_decontamination(spark, str(tmp_path)).collect())) == want
+        got = {r["doc_id"]: r["item_ids"] for r in o2.decontaminate(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/benchmark.parquet")).collect()}
+        assert got == {1: ["7", None], 2: [None], 3: [], 4: ["7", None], 5: [None]}
+
+
 def test_chat_edges(spark):
     rows = [(1, 0, "user", "a<|b\\"), (1, 1, "user", "|x\\\\<|<\\|"), (1, 2, "assistant", "<"), (1, 2, "assistant", None), (1, 2, "assistant", "<"), (2, None, None, ""), (None, 0, "assistant", "z<|end|>\n")]
     df = spark.createDataFrame([(*r, "c") for r in rows], "conv_id long, turn long, role string, text string, blocks string")
