@@ -3,6 +3,7 @@ import hashlib
 import io
 import os
 import random
+import re
 import zlib
 
 import duckdb
@@ -254,6 +255,77 @@ def test_pipeline_stages(spark):
     assert hashlib.sha256(b"").hexdigest()
 
 
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """Each stage's rows on the rows before it, all columns, and run() as a whole."""
+    import corpus_pipeline
+
+    c = duckdb.connect()
+    rows = c.sql(f"SELECT * FROM '{SF}/documents.parquet' WHERE doc_id < 60 ORDER BY doc_id").fetchall()
+    items = c.sql(f"SELECT text FROM '{SF}/benchmark.parquet' ORDER BY item_id LIMIT 5").fetchall()
+    texts = [r[1] for r in rows if r[1] and len(r[1]) > 1500]
+    near = texts[0].split(" ")
+    near[7] = "changed"
+    planted = ["", None, "!!! 12 ???", texts[0], " ".join(near), texts[1][:700] + " " + texts[2][-600:], items[0][0], items[1][0] + " and so it ends", texts[3] + items[2][0][: len(items[2][0]) // 2]]
+    rows += [(1000 + i, t, "en", "src0", len(t or "")) for i, t in enumerate(planted)]
+    first = spark.createDataFrame(rows, spark.read.parquet(f"{SF}/documents.parquet").schema)
+    first.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    passages = [o2_words(t) for (t,) in c.sql(f"SELECT text FROM '{SF}/benchmark.parquet'").fetchall()]
+
+    def language(docs, df):
+        known = o6.train(df.where(~o6.held_out(F.col("doc_id"))))
+        bad = {r["doc_id"] for r in o6.identify(df, known).where("rejected").collect()}
+        assert {1000, 1001, 1002} <= bad
+        return {i: d for i, d in docs.items() if i not in bad}
+
+    def components(docs, _):
+        sets, comp = {i: set(o10.shingle_set((d["text"] or "").encode()).tolist()) for i, d in docs.items()}, {i: i for i in docs}
+        links = [(i, j) for i in docs for j in docs if i < j and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+        for _ in docs:
+            for i, j in links:
+                comp[i] = comp[j] = min(comp[i], comp[j])
+        return {i: d for i, d in docs.items() if comp[i] == i}
+
+    def repeats(docs, _):
+        kept = [x.decode("utf-8", "ignore") for x in o7.plain([(d["text"] or "").encode() for d in docs.values()], 400)]
+        return {i: d | {"text": x, "n_chars": len(x)} for (i, d), x in zip(docs.items(), kept)}
+
+    def clean(docs, _):
+        out = {}
+        for i, d in docs.items():
+            w, hit = o2_words(d["text"]), set()
+            for item in passages:
+                n = min(13, len(item))
+                runs = {tuple(item[k : k + n]) for k in range(len(item) - n + 1)} if n else set()
+                hit |= {p + k for p in range(len(w) - n + 1) if tuple(w[p : p + n]) in runs for k in range(n)}
+            if not hit or 20 * len(hit) < len(w):
+                out[i] = d
+        return out
+
+    brute = {"language_id": language, "minhash_near_dedup": components, "suffix_array_dedup": repeats, "benchmark_decontamination": clean}
+    of = lambda df: {r["doc_id"]: r.asDict() for r in df.orderBy("doc_id").collect()}
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs, after = of(df), common.stored(stage(spark, df, str(tmp_path)), name)
+        want = brute[name](docs, df)
+        assert of(after) == want and after.count() == len(want) and want != docs, name
+        df = after
+    encoder = tokens.WordEncoder(tokens.default_vocabulary())
+    want = {i: (len(encoder._library([d["text"]])[0]) // 4 if d["text"] else 0) + 1 for i, d in of(df).items()}
+    for packed in (corpus_pipeline.packing(spark, df, str(tmp_path)).collect(), corpus_pipeline.run(spark, str(tmp_path)).collect()):
+        lengths, sequences = dict.fromkeys(want, 0), {}
+        for r in packed:
+            lengths[r["doc_id"]] += r["length"]
+            sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        assert lengths == want
+        for places in map(sorted, sequences.values()):
+            assert [a for a, _ in places] == [sum(n for _, n in places[:k]) for k in range(len(places))] and sum(n for _, n in places) <= 4096
+
+
+def o2_words(text):
+    return re.findall(r"[^\x00-\x2f:-`{-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
 def test_toxicity_joined_training(spark):
     texts = [f"you are {'awful trash' if i % 3 == 0 else 'kind and fine'} number {i}" for i in range(60)]
     rows = docs(spark, texts, [(None, "no id"), (70, None)])
