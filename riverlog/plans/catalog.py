@@ -321,7 +321,7 @@ def box_arithmetic(spark, sf_dir):
 
 def nms_boxes(spark, sf_dir):
     def one(vec_id, v):
-        x = np.array(v[:60], float).reshape(-1, 5)
+        x = np.array(v[: len(v) // 5 * 5], float).reshape(-1, 5)
         b = np.stack([np.abs(x[:, 0]) * 100, np.abs(x[:, 1]) * 100, np.abs(x[:, 0]) * 100 + 20, np.abs(x[:, 1]) * 100 + 20, np.abs(x[:, 4])], 1)
         kept = boxes.suppress(b, 0.3, 0.05)
         return vec_id, len(kept), float(kept[:, 4].max()) if len(kept) else 0.0

@@ -133,3 +133,10 @@ def test_query_equals_sql(spark, name):
     assert sorted(got.columns) == cols
     norm = lambda rows: sorted(repr(tuple(r)) for r in rows)
     assert norm(got.select(*cols).collect()) == norm(want.select(*[duckdb.ColumnExpression(x) for x in cols]).fetchall())
+
+
+def test_nms_takes_every_whole_box(spark, tmp_path):
+    v = [float(x) for i in range(14) for x in (i, i, 0, 0, 0.9 if i == 13 else 0.1)] + [7.0, 7.0]
+    spark.createDataFrame([(1, v)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    r = catalog.nms_boxes(spark, str(tmp_path)).first()
+    assert r["kept"] == 14 and abs(r["best"] - 0.9) < 1e-6
