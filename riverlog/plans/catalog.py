@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverlog.functions import wire
+from riverlog.llm.common import scratch
 from riverlog.operators import boxes, cut, detect, intervals, joins, manifest
 from riverlog.sources import mcap_source
 from riverlog.streaming import sessions as streaming
@@ -346,9 +347,17 @@ def paint_dilate_fill(spark, sf_dir):
 
 def temporal_stream_sessions(spark, sf_dir):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    e = _table(spark, sf_dir, "events").select(F.col("user_id").alias("file"), F.col("event_type").alias("topic"), F.col("ts").cast("timestamp").alias("ts"), "value")
-    hits = e.where(F.col("value") >= detect.threshold(F.col("topic"), CONF, OVERRIDES))
-    return streaming.stream_sessions(hits, CHANNEL, "ts", "6 hours")
+    schema = _table(spark, sf_dir, "events").schema
+    # A pattern, as a stream's path may be a folder or a pattern, but not a file.
+    e = spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
+    e = e.select(F.col("user_id").alias("file"), F.col("event_type").alias("topic"), F.col("ts").cast("timestamp").alias("ts"), "value")
+    hits = e.where(F.col("value") >= detect.threshold(F.col("topic"), CONF, OVERRIDES)).select(*CHANNEL, "ts")
+    # One row far ahead, in the same batch as the events: its watermark closes their last sessions, its own session stays open.
+    end = spark.range(1).select(*[F.lit(None).cast(hits.schema[c].dataType).alias(c) for c in CHANNEL], F.lit("9999-01-01").cast("timestamp").alias("ts"))
+    last = scratch(spark, "stream-end")
+    end.write.parquet(last)
+    closed = hits.unionByName(spark.readStream.schema(end.schema).parquet(last))
+    return streaming.run_once(streaming.stream_sessions(closed, CHANNEL, "ts", "6 hours"), scratch(spark, "stream-sessions"), scratch(spark, "stream-state"))
 
 
 _ASOF = "SELECT h.file, h.topic, h.t, h.event_id, {out} FROM hits h ASOF LEFT JOIN ks k ON k.file = h.file AND k.topic = h.topic AND k.t {op} h.t"

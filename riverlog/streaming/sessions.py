@@ -16,8 +16,8 @@ def stream_sessions(df: DataFrame, by: list[str], ts: str, gap: str, late: str =
     return got.drop("w")
 
 
-def run_once(out: DataFrame, name: str, checkpoint: str):
-    """Runs all that is there into an in-memory table and stops."""
-    q = out.writeStream.outputMode("append").format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_once(out: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Runs all that is there into parquet files at path and stops; what they hold."""
+    q = out.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return out.sparkSession.table(name)
+    return out.sparkSession.read.schema(out.schema).parquet(path)

@@ -140,3 +140,13 @@ def test_nms_takes_every_whole_box(spark, tmp_path):
     spark.createDataFrame([(1, v)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
     r = catalog.nms_boxes(spark, str(tmp_path)).first()
     assert r["kept"] == 14 and abs(r["best"] - 0.9) < 1e-6
+
+
+def test_stream_sessions_run_as_a_stream(spark, monkeypatch):
+    ran, real = [], catalog.streaming.run_once
+    monkeypatch.setattr(catalog.streaming, "run_once", lambda out, *a: ran.append(out.isStreaming) or real(out, *a))
+    got = catalog.temporal_stream_sessions(spark, SF)
+    first = catalog._events(spark, SF).groupBy("file").agg({"t": "min"}).withColumnRenamed("min(t)", "t0")
+    want = catalog.sessions(spark, SF).join(first, "file").selectExpr("file", "topic", "a + t0", "b + t0", "n")
+    assert ran == [True] and got.count() > 0
+    assert sorted(map(tuple, got.select("file", "topic", "a", "b", "n").collect())) == sorted(map(tuple, want.collect()))
