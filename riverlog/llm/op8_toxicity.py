@@ -107,7 +107,7 @@ def fit(picked: list) -> dict:
             col_of += ids
             doc_of.append(d)
     doc_of, row_of, col_of = (np.array(x, np.int64) for x in (doc_of, row_of, col_of))
-    # Documents of either label count as the two halves; the bias is set right for the true shares afterwards.
+    # Documents of either label count as the two halves, so scores hold for equal shares; the bias stays as it is fitted.
     weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     w, b = np.zeros(len(words)), -4.0
     gw, gb = np.full(len(words), 1e-8), 1e-8
