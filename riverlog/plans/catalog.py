@@ -6,7 +6,6 @@ A user's events are one recording, an event type is a camera topic, value is a d
 from __future__ import annotations
 
 import hashlib
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverlog.functions import wire
-from riverlog.llm.common import scratch
 from riverlog.operators import boxes, cut, detect, intervals, joins, manifest
+from riverlog.sources.folders import scratch
 from riverlog.sources import mcap_source
 from riverlog.streaming import sessions as streaming
 
@@ -287,12 +286,12 @@ def au_split(spark, sf_dir):
 
 
 def _log(spark, sf_dir) -> str:
+    """All events as logs in a new folder, each file one stretch of a topic's time."""
     mcap_source.register(spark)
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='riverlog-')}"
-    path = f"{at.rstrip('/')}/log-{hashlib.md5(sf_dir.encode()).hexdigest()}"
+    path = scratch(spark, "log")
     e = _events(spark, sf_dir)
     rows = e.select("topic", F.lit("event").alias("schema_name"), F.lit("text").alias("message_encoding"), (F.col("t") * 1000).alias("log_time"), F.col("event_id").alias("sequence"), F.col("file").cast("string").cast("binary").alias("data"))
-    rows.repartition(4, "topic").sortWithinPartitions("log_time").write.format("mcap").mode("overwrite").save(path)
+    rows.repartitionByRange(4, "topic", "log_time").sortWithinPartitions("log_time").write.format("mcap").mode("append").save(path)
     return path
 
 
