@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riverlog.sources.folders import scratch
+
 #: Bytes of one Arrow batch handed to a Python worker, so a worker's memory does not depend on row sizes.
-ARROW_BATCH_BYTES = 8 << 20
+ARROW_BATCH_BYTES = 4 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -20,32 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which driver and executors share; one of our own only where none is set."""
-    sc = spark.sparkContext
-    at = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not at:
-        at = f"file://{tempfile.mkdtemp(prefix='riverlog-')}"
-        sc.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def scratch(spark: SparkSession, what: str) -> str:
-    """A new path in the shared folder, deleted when the driver ends."""
-    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-
-    def drop() -> None:
-        try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-        except Exception:  # the session may be gone by now
-            pass
-
-    atexit.register(drop)
-    return path
-
-
 def stored(df: DataFrame, what: str) -> DataFrame:
     """df written to the shared folder and read again: cuts lineage, survives lost executors, and has known sizes."""
     path = scratch(df.sparkSession, what)

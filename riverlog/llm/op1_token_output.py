@@ -4,14 +4,15 @@ A shard file holds blocks of `block_tokens` ids, each id in the fewest bits that
 whole bytes; then an index: document ids, running token counts and block offsets; then a fixed-length trailer. A reader
 finds any token by its block's offset and unpacks a block with numpy at once.
 
-    b"RVTK" version  | block 0 | block 1 | ... | doc ids i8 | ends i8 | block offsets i8 | n_docs n_tokens n_blocks bits block_tokens index_at b"RVTK"
+    b"RVTK" version  | block 0 | block 1 | ... | doc ids i8 | ends i8 | block offsets i8 | n_docs n_null n_tokens n_blocks bits block_tokens index_at b"RVTK"
+
+The first n_null documents have no id.
 """
 
 from __future__ import annotations
 
 import io
 import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +24,13 @@ from pyspark.sql import functions as F
 from riverlog.llm import tokens
 from riverlog.llm.common import map_arrow, partitions, prepare, scratch, stored, table
 
-MAGIC, TRAILER = b"RVTK\x01\0\0\0", struct.Struct("<6q8s")
+MAGIC, TRAILER = b"RVTK\x02\0\0\0", struct.Struct("<7q8s")
 BLOCK_TOKENS = 1 << 16
 END_ID = 1
 #: The documents of one shard, on average.
 SHARD_DOCS = 16_384
+#: Bytes of ids that a reader hands on at once, or one document's.
+READ_BYTES = 2 << 20
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -52,15 +55,21 @@ class ShardWriter:
         self.out, self.bits, self.block_tokens = out, bits, block_tokens
         self.at, self.total, self.held = len(MAGIC), 0, []
         self.n_held = 0
+        self.n_null = 0
         self.docs: list[int] = []
         self.ends: list[int] = []
         self.offsets: list[int] = []
         out.write(MAGIC)
 
-    def add(self, doc_id: int, ids: np.ndarray) -> None:
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        """Documents without an id come first."""
+        if doc_id is None:
+            if len(self.docs) > self.n_null:
+                raise ValueError("documents without an id come first")
+            self.n_null += 1
         if len(ids) and int(ids.max()) >> self.bits:
             raise ValueError(f"an id does not fit {self.bits} bits")
-        self.docs.append(doc_id)
+        self.docs.append(doc_id or 0)
         self.total += len(ids)
         self.ends.append(self.total)
         self.held.append(ids)
@@ -83,7 +92,7 @@ class ShardWriter:
         self._flush(True)
         for x in (self.docs, self.ends, self.offsets):
             self.out.write(np.array(x, "<i8").tobytes())
-        self.out.write(TRAILER.pack(len(self.docs), self.total, len(self.offsets), self.bits, self.block_tokens, self.at, MAGIC))
+        self.out.write(TRAILER.pack(len(self.docs), self.n_null, self.total, len(self.offsets), self.bits, self.block_tokens, self.at, MAGIC))
 
 
 class ShardReader:
@@ -96,7 +105,7 @@ class ShardReader:
         if size < len(MAGIC) + TRAILER.size:
             raise ValueError("not a whole token file")
         file.seek(size - TRAILER.size)
-        n_docs, self.n_tokens, n_blocks, self.bits, self.block_tokens, self.index_at, magic = TRAILER.unpack(file.read(TRAILER.size))
+        n_docs, self.n_null, self.n_tokens, n_blocks, self.bits, self.block_tokens, self.index_at, magic = TRAILER.unpack(file.read(TRAILER.size))
         if magic != MAGIC:
             raise ValueError("not a whole token file")
         file.seek(self.index_at)
@@ -134,8 +143,8 @@ def write_tokens(docs: DataFrame, out: str, vocabulary: str, bits: int | None =
     over the shards, and returns the manifest: shard, n_docs, n_tokens, file.
 
     Only doc_id and text are read; other columns do not matter. A null text is empty and gets the end id alone. Rows that
-    repeat a doc_id are kept, each as a document, ordered by text; a null doc_id is stored as -1 and comes first. No rows:
-    no files. A lost task is run again and writes its file anew under the same name, moved into place when whole.
+    repeat a doc_id are kept, each as a document, in an order that their texts fix; documents without a doc_id come first. No
+    rows: no files. A lost task is run again and writes its file anew under the same name, moved into place when whole.
     """
     from tokenizers import Tokenizer
 
@@ -143,9 +152,10 @@ def write_tokens(docs: DataFrame, out: str, vocabulary: str, bits: int | None =
     prepare(spark)
     if bits is None:
         bits = max(1, (Tokenizer.from_file(vocabulary).get_vocab_size() - 1).bit_length())
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"), F.col("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("h"))
     n = max(1, -(-docs.count() // shard_docs), min(partitions(spark), 4096))
-    ordered = docs.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text").withColumn("shard", F.spark_partition_id())
+    # A hash splits the rows of a doc_id that very many rows repeat.
+    ordered = docs.repartitionByRange(n, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text", F.spark_partition_id().alias("shard"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer, end = tokens.encoder(vocabulary), None, np.array([END_ID], "<u4").tobytes()
@@ -184,21 +194,20 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                 f, path = _open(uri)
                 with f.open_input_file(path) as file:
                     r = ShardReader(file)
-                    starts = np.concatenate([[0], r.ends[:-1]]) if len(r.ends) else r.ends
-                    for i in range(0, len(r.docs), 512):
-                        ids = [r.document(j).astype("<u4").tobytes() for j in range(i, min(i + 512, len(r.docs)))]
-                        yield pa.RecordBatch.from_arrays([pa.array(r.docs[i : i + 512]), pa.array(starts[i : i + 512] + first), pa.array(ids, pa.binary())], ["doc_id", "start", "ids"])
+                    starts = first + np.concatenate([[0], r.ends[:-1]]).astype(np.int64)[: len(r.ends)]
+                    ids = pa.array(r.docs, mask=np.arange(len(r.docs)) < r.n_null)
+                    at = 0
+                    while at < len(r.docs):
+                        stop = max(at + 1, int(np.searchsorted(r.ends, (r.ends[at - 1] if at else 0) + READ_BYTES // 4, "right")))
+                        raw = [r.document(j).astype("<u4").tobytes() for j in range(at, stop)]
+                        yield pa.RecordBatch.from_arrays([ids[at:stop], pa.array(starts[at:stop]), pa.array(raw, pa.binary())], ["doc_id", "start", "ids"])
+                        at = stop
 
     return map_arrow(spread, read, "doc_id long, start long, ids binary")
 
 
 def digest(read: DataFrame) -> DataFrame:
-    def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw = b.column(2).to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return map_arrow(read, crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

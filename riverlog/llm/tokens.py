@@ -1,18 +1,24 @@
 """Whole-text encoding with a tokenizers file, through a cache of words.
 
 The vocabulary's pre-tokenizer drops white space, and none of its pieces crosses it, so the ids of a text are those of its
-white-space separated words in turn. Each distinct word is encoded once by the tokenizers library and kept; texts that
-hold "<|" (where a special token may stand) go to the library whole.
+white-space separated words in turn. Words are encoded by the tokenizers library and kept in two generations: a word met
+again moves to the younger one, and when that is full the older one is dropped, so frequent words stay. Texts that hold "<|"
+(where a special token may stand) go to the library whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from collections.abc import Iterator
 
 import numpy as np
 
-#: Words a worker keeps; beyond it the cache starts anew.
-CACHE_WORDS = 800_000
+#: Words of one generation of a worker's cache; two are kept, at some 170 bytes a word.
+CACHE_WORDS = 100_000
+#: Characters whose words are looked at at once: what is held besides the cache does not depend on batches or texts.
+PART_CHARS = 1 << 19
+SPACE = re.compile(r"[ \t\n]")
 TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -21,39 +27,27 @@ class WordEncoder:
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        #: The same model for words that need no normalizing: lower-case ASCII letters.
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab()
         #: Ids that end a piece: a joined text of one-piece words is cut after them.
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
         self.cache_words = cache_words
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if "<|" in text:
-            return self._library([text])[0]
-        parts = text.encode("utf-8", "replace").lower().split()  # bytes.lower() changes A-Z only
-        words = self.words
-        try:
-            return b"".join([words[w] for w in parts])
-        except KeyError:
-            self._learn(parts)
-            return b"".join([self.words[w] for w in parts])
+        return self.encode_all([text])[0]
 
-    def _joined(self, tokenizer, words: list[bytes]) -> None:
+    def _joined(self, words: list[bytes]) -> None:
         """Learns words of one piece each, many to a call."""
         texts = [b" ".join(words[i : i + 256]).decode() for i in range(0, len(words), 256)]
-        ids = np.concatenate([np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
         at = np.flatnonzero(self.ends[ids]) + 1
         if len(at) != len(words) or at[-1] != len(ids):  # some word has more pieces
             self.words.update(zip(words, self._library([w.decode() for w in words])))
@@ -61,42 +55,57 @@ class WordEncoder:
         raw, cuts = ids.tobytes(), [0, *(at * 4).tolist()]
         self.words.update((w, raw[cuts[i] : cuts[i + 1]]) for i, w in enumerate(words))
 
-    def _learn(self, parts: list[bytes]) -> None:
-        if len(self.words) > self.cache_words:
-            self.words = {}
+    def _learn(self, new: set[bytes]) -> None:
         words = self.words
-        new = {w for w in parts if w not in words}
         # A last run of ASCII marks after a letter is a piece of its own (an apostrophe may start a contraction).
         cut = {w: b for w in new if w[-1] in TAIL and (b := w.rstrip(TAIL)) and (97 <= b[-1] <= 122 or b[-1] > 127 and b.decode().lower().isalpha())}
         bare = {cut.get(w, w) for w in new if cut.get(w, w) not in words} | {t for w, b in cut.items() if (t := w[len(b) :]) not in words}
-        ascii_ = [w for w in bare if w.isascii() and w.isalpha()]
-        letters = [w for w in bare if not w.isascii() and w.decode().isalpha()]
+        letters = [w for w in bare if w.decode().isalpha()]
         rest = [w for w in bare if not w.decode().isalpha()]
-        if ascii_:
-            self._joined(self.plain, ascii_)
         if letters:
-            self._joined(self.tokenizer, letters)
+            self._joined(letters)
         if rest:
             words.update(zip(rest, self._library([w.decode() for w in rest])))
         for w, b in cut.items():
             words[w] = words[b] + words[w[len(b) :]]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """As encode for each; unknown words of all texts are learned together."""
-        parts = [t.encode("utf-8", "replace").lower().split() if t and "<|" not in t else None for t in texts]
-        known = self.words
-        new = {w for p in parts if p for w in p if w not in known}
-        if new:
-            self._learn(list(new))
-        return [self.encode(t) if p is None else self._cached(p) for t, p in zip(texts, parts)]
-
-    def _cached(self, parts: list[bytes]) -> bytes:
+        """Each text's ids; unknown words of neighbouring texts are learned together."""
+        out, held, size = [], [], 0
+        for t in texts:
+            if not t or "<|" in t or len(t) > PART_CHARS:
+                out += self._each(held)
+                held, size = [], 0
+                out.append(b"" if not t else self._library([t])[0] if "<|" in t else b"".join(b"".join(self._each([x])) for x in _cut(t)))
+                continue
+            if size + len(t) > PART_CHARS:
+                out += self._each(held)
+                held, size = [], 0
+            held.append(t)
+            size += len(t)
+        return out + self._each(held)
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        parts = [t.encode("utf-8", "replace").lower().split() for t in texts]  # bytes.lower() changes A-Z only
+        missing = set().union(*parts).difference(self.words)
+        known = missing.intersection(self.older)
+        self.words.update((w, self.older[w]) for w in known)
+        if missing := missing - known:
+            self._learn(missing)
         words = self.words
-        try:
-            return b"".join([words[w] for w in parts])
-        except KeyError:  # the cache began anew meanwhile
-            self._learn(parts)
-            return b"".join([self.words[w] for w in parts])
+        out = [b"".join([words[w] for w in p]) for p in parts]
+        if len(words) > self.cache_words:
+            self.words, self.older = {}, words
+        return out
+
+
+def _cut(text: str) -> Iterator[str]:
+    """Parts of about PART_CHARS that end before white space; one without any stays whole."""
+    at = 0
+    while at < len(text):
+        end = SPACE.search(text, at + PART_CHARS)
+        yield text[at : end.start() if end else len(text)]
+        at = end.start() if end else len(text)
 
 
 _encoders: dict[str, WordEncoder] = {}
