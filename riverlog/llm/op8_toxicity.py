@@ -57,7 +57,7 @@ def train_joined(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_D
     """As train, from docs(doc_id, text) and labels(doc_id, toxic), where only ids and lengths are joined in full.
 
     The sample's ids are collected, as its texts are (bounded alike), and only their texts are fetched. Repeated label rows count once in
-    the sample; a null doc_id has no label.
+    the sample, and of several texts of a doc_id one; a null doc_id has no label.
     """
     lengths = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.char_length("text"), F.lit(0)).alias("c"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where("toxic IN (0, 1)")
@@ -67,7 +67,8 @@ def train_joined(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_D
         return fit([])
     sample = docs.sparkSession.createDataFrame(ids, "doc_id long, toxic int")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return fit(texts.join(F.broadcast(sample), "doc_id").collect())
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")
+    return fit(texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(one).collect())
 
 
 def _sample(rows: DataFrame, sample_docs: int, sample_chars: int) -> DataFrame | None:
@@ -80,11 +81,12 @@ def _sample(rows: DataFrame, sample_docs: int, sample_chars: int) -> DataFrame |
     return rows.where(u < F.when(F.col("toxic") == 1, chance[1]).otherwise(chance[0]))
 
 
-def fit(picked: list) -> dict:
-    """The model of rows (doc_id, text, toxic)."""
+def fit(picked: list, max_words: int = MAX_WORDS, min_docs: int = MIN_DOCS, min_sigma: float = MIN_SIGMA) -> dict:
+    """The model of rows (text, toxic), over the max_words most telling features that min_docs texts hold and whose shares differ by
+    min_sigma standard errors. Without both labels it is empty and scores 0; without telling features every sentence scores alike."""
     if len({r["toxic"] for r in picked}) < 2:
         return {"bias": -30.0, "weights": {}}
-    picked.sort(key=lambda r: (r["doc_id"], r["toxic"], r["text"]))
+    picked.sort(key=lambda r: (r["toxic"], r["text"]))
     size = {y: max(1, sum(r["toxic"] == y for r in picked)) for y in (0, 1)}
     held: dict[int, Counter] = {0: Counter(), 1: Counter()}
     for r in picked:
@@ -94,8 +96,8 @@ def fit(picked: list) -> dict:
         share = (held[0][f] + held[1][f]) / (size[0] + size[1])
         return (held[1][f] / size[1] - held[0][f] / size[0]) / math.sqrt(share * (1 - share) * (1 / size[0] + 1 / size[1]) + 1e-12)
 
-    telling = sorted(((abs(sigma(f)), f) for f in set(held[0]) | set(held[1]) if held[0][f] + held[1][f] >= MIN_DOCS), reverse=True)
-    words = [f for s, f in telling[:MAX_WORDS] if s >= MIN_SIGMA]
+    telling = sorted(((abs(sigma(f)), f) for f in set(held[0]) | set(held[1]) if held[0][f] + held[1][f] >= min_docs), reverse=True)
+    words = [f for s, f in telling[:max_words] if s >= min_sigma]
     at = {w: i for i, w in enumerate(words)}
     bags = [[{f for w in set(WORD.findall(s.lower())) for f in features(w) if f in at} for s in sentences(r["text"])] for r in picked]
     y = np.array([r["toxic"] for r in picked], float)
@@ -117,7 +119,7 @@ def fit(picked: list) -> dict:
         clean = np.exp(np.bincount(doc_of, np.log1p(-np.minimum(p, 1 - 1e-9)), len(picked)))  # of each document
         toxic = np.maximum(1 - clean, 1e-9)
         slope = np.where(y == 1, weight * clean / toxic, -weight)[doc_of] * p
-        dw, db = np.bincount(col_of, slope[row_of], len(words)) - RIDGE / len(words) * w, slope.sum()
+        dw, db = np.bincount(col_of, slope[row_of], len(words)) - RIDGE / max(1, len(words)) * w, slope.sum()
         gw, gb = gw + dw**2, gb + db**2
         w, b = w + RATE * dw / np.sqrt(gw), b + RATE * db / math.sqrt(gb)
     return {"bias": float(b), "weights": {x: float(v) for x, v in zip(words, w) if abs(v) > 1e-3}}
@@ -150,7 +152,8 @@ def score_text(text: str | None, scorer: Scorer) -> tuple[float, list[float]]:
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, score, worst (the sentences of 0.5 or more, or none) for each row of docs(doc_id, text); whole texts.
 
-    A null, empty or wordless text scores 0. Other columns are not read; repeated rows are each scored.
+    A null or empty text scores 0. Other columns are not read; repeated rows are each scored, also those without a doc_id. No rows
+    give no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_WORDS words at most
 
