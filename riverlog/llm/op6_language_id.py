@@ -28,10 +28,12 @@ MARGIN = 0.001
 UNKNOWN = "und"
 
 
-def train(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
+def train(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS, dictionary_bytes: int = DICTIONARY_BYTES, slice_chars: int | None = None) -> dict[str, bytes]:
     """A dictionary for each lang of labelled(doc_id, text, lang), from a bounded, repeatable sample of its texts.
 
-    Rows without text or lang are passed over. No rows: no languages.
+    About sample_texts texts of each language take part, with one slice of slice_chars characters each (by default twice what fills
+    the dictionary from all of them), from a place that varies. Rows without text or lang are passed over; rows without a doc_id are
+    drawn alike. No rows: no languages.
     """
     rows = labelled.select("doc_id", "text", "lang").where("text IS NOT NULL AND text <> '' AND lang IS NOT NULL")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -39,13 +41,12 @@ def train(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS, dictionary_byte
         return {}
     each = min(dictionary_bytes, max(1024, ALL_BYTES // len(counts)))
     chance = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sample_texts / n))])
-    spread = max(256, 2 * each // sample_texts)
-    # About sample_texts rows of each language pass; of each only a slice from its middle, at a place that varies.
+    spread = slice_chars or max(256, 2 * each // sample_texts)
     picked = rows.withColumn("u", hash01(F.col("doc_id"), "language")).where(F.col("u") < F.element_at(chance, F.col("lang")))
     at = F.lit(1) + F.floor(hash01(F.col("doc_id"), "slice") * F.greatest(F.lit(1), F.char_length("text") - spread)).cast("int")
     parts = picked.select("lang", "u", "doc_id", F.substr("text", at, F.lit(spread)).alias("part")).collect()
     out: dict[str, list[bytes]] = {}
-    for r in sorted(parts, key=lambda r: (r["lang"], r["u"], r["doc_id"], r["part"])):
+    for r in sorted(parts, key=lambda r: (r["lang"], r["u"], r["part"])):
         out.setdefault(r["lang"], []).append(r["part"].lower().encode())
     return {lang: b"\n".join(x)[:each] for lang, x in sorted(out.items())}
 
@@ -54,21 +55,25 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str] |
     """docs' columns in `keep` (doc_id by default), then lang_pred, score, margin, rejected; whole texts, one row for each.
 
     lang_pred is UNKNOWN, score 0 and the row rejected where the text is null or has no letter, or no language was learned. One language
-    alone always wins, with score 1. Equal sizes go to the first language by name and are rejected. Only `text` is judged.
+    alone always wins, with score 1. Equal sizes go to the first language by name and are rejected. Only `text` is judged; repeated
+    rows are each judged, no rows give no rows. Columns in `keep` must not have the names of the four results.
     """
     keep = ["doc_id"] if keep is None else keep
-    inner = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col("text").alias("text_"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in inner.schema.fields[:-1])
+    out = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()), ("margin", pa.float64()), ("rejected", pa.bool_())])
+    if clash := set(keep) & set(out.names):
+        raise ValueError(f"columns to keep have names of results: {sorted(clash)}")
+    read = keep if "text" in keep else [*keep, "text"]
+    inner, at = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(read)]), read.index("text")
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in inner.schema.fields[: len(keep)])
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(dictionaries)  # bounded by ALL_BYTES
-    out = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()), ("margin", pa.float64()), ("rejected", pa.bool_())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = list(shared.value)
         packers = [packer(d) for d in shared.value.values()]
         for b in batches:
             rows = []
-            for text in b.column(b.num_columns - 1).to_pylist():
+            for text in b.column(at).to_pylist():
                 if not langs or not text or not any(map(str.isalpha, text)):
                     rows.append((UNKNOWN, 0.0, 0.0, True))
                     continue
@@ -78,9 +83,9 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str] |
                 gap = (more[0][0] - first[0]) / first[0] if more else 1.0
                 rows.append((first[1], 1 - math.exp(-gap / 0.02) if more else 1.0, gap, gap < margin))
             cols = [pa.array(x, f.type) for x, f in zip(zip(*rows), out)] if rows else [pa.array([], f.type) for f in out]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *cols], names=[*b.schema.names[:-1], *out.names])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *cols], names=[*b.schema.names[: len(keep)], *out.names])
 
-    done = map_arrow(inner, judge, f"{schema + ', ' if keep else ''}lang_pred string, score double, margin double, rejected boolean")
+    done = map_arrow(inner, judge, f"{schema}lang_pred string, score double, margin double, rejected boolean")
     return done.toDF(*keep, *out.names)
 
 
