@@ -28,7 +28,7 @@ from riverlog.llm.common import map_arrow, prepare, stored, table
 
 LENGTH, K = 400, 16
 #: Bytes of a text looked at at once; blocks overlap by LENGTH - 1.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Kinds of units compared in one task: at most about 3 MB of text.
 GROUP_KINDS = 4096
 #: Windows of large groups whose starts lie in one stretch of STEP bytes are ruled out together.
@@ -247,10 +247,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group_kinds: int = GRO
 def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None = None, as_text: bool = False) -> DataFrame:
     """docs' columns in `keep` (doc_id by default), then n_bytes, n_removed, n_spans, kept (binary) for each row of docs(doc_id, text).
 
-    A null text is empty; texts shorter than `length` bytes lose nothing. Equal texts of two rows are removed as repeats whatever their doc_ids. Other columns are not judged.
+    A null text is empty; texts shorter than `length` bytes lose nothing; no rows give no rows. Each row's text counts, also where
+    rows repeat a doc_id or have none: equal texts of two rows are removed as repeats whatever their doc_ids. Other columns are not
+    judged; those in `keep` must not have the names of the four results.
     With as_text, kept is a string: bytes of characters that a removed span cut through are left out.
     """
     keep = ["doc_id"] if keep is None else keep
+    results = ["n_bytes", "n_removed", "n_spans", "kept"]
+    if clash := set(keep) & set(results):
+        raise ValueError(f"columns to keep have names of results: {sorted(clash)}")
     spark = docs.sparkSession
     prepare(spark)
     raw = F.coalesce("text", F.lit("")).cast("binary")
@@ -278,7 +283,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None
                 left.append(kept.decode("utf-8", "ignore") if as_text else kept)
             yield pa.RecordBatch.from_arrays([*b.columns[:-2], *(pa.array(x, pa.int64()) for x in (n, removed, count)), pa.array(left, pa.string() if as_text else pa.binary())], [*b.schema.names[:-2], "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return map_arrow(full, cut, f"{schema}n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}").toDF(*keep, "n_bytes", "n_removed", "n_spans", "kept")
+    return map_arrow(full, cut, f"{schema}n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}").toDF(*keep, *results)
 
 
 def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
