@@ -11,10 +11,12 @@ from riverlog.llm.common import stored
 def components(links: DataFrame) -> DataFrame:
     """id, comp (the least id reachable) for every id of links(a, b).
 
-    Each round an id takes the least label of its neighbours and then its label's own label; rounds end when nothing moves.
+    No links: no rows. Each round an id takes the least label of its neighbours and then its label's own label; rounds end when nothing moves.
     Labels are written to the shared folder each round, so a lost executor costs one round at most.
     """
     both = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    if both.isEmpty():
+        return both.select(F.col("a").alias("id"), F.col("b").alias("comp"))
     label = stored(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("comp")), "labels")
     while True:
         near = both.join(label.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("near"))

@@ -107,20 +107,20 @@ def prune(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """doc_id, n, fp (of the set), sig for each row."""
-    out = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp", pa.binary()), ("sig", pa.binary())])
+    """doc_id, h, n, fp (of the set), sig for each row of docs(doc_id, h, text)."""
+    out = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("fp", pa.binary()), ("sig", pa.binary())])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, fp, sig = [], [], []
-            for raw in b.column(1).cast(pa.binary()).to_pylist():
+            for raw in b.column(2).cast(pa.binary()).to_pylist():
                 s = shingle_set(raw)
                 n.append(len(s))
                 fp.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 sig.append(signature(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(sig, pa.binary())], schema=out)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(sig, pa.binary())], schema=out)
 
-    return map_arrow(docs, sign, "doc_id long, n long, fp binary, sig binary")
+    return map_arrow(docs, sign, "doc_id long, h long, n long, fp binary, sig binary")
 
 
 def _keys(classes: DataFrame) -> DataFrame:
@@ -149,9 +149,9 @@ def _slot(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS))
 
 
-def _needed(docs: DataFrame, ids: DataFrame) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-    """A test of batches (doc_id, text, slot): the rows whose doc_id may be among ids(doc_id)."""
-    slot = ids.select(_slot(F.col("doc_id")).alias("s"))
+def _picked(docs: DataFrame, wanted: DataFrame) -> tuple[DataFrame, Callable[[pa.RecordBatch], pa.RecordBatch]]:
+    """(docs as doc_id, h, text, slot; a test of its batches: the rows whose doc_id may be among those of wanted)."""
+    slot = wanted.select(_slot(F.col("doc_id")).alias("s"))
     parts = slot.groupBy(F.expr(f"s div {FILTER_PART}").alias("part")).agg(F.bitmap_construct_agg(F.col("s") % FILTER_PART).alias("bits")).collect()
     bits = np.zeros((FILTER_BITS // FILTER_PART, FILTER_PART // 8), np.uint8)
     for r in parts:
@@ -159,35 +159,40 @@ def _needed(docs: DataFrame, ids: DataFrame) -> Callable[[pa.RecordBatch], pa.Re
     flat = bits.ravel()
 
     def test(b: pa.RecordBatch) -> pa.RecordBatch:
-        s = b.column(2).to_numpy()
+        s = b.column(3).to_numpy(zero_copy_only=False)
         return b.filter(pa.array((flat[s >> 3] >> (s & 7).astype(np.uint8) & 1).astype(bool)))
 
-    return test
+    return docs.select("doc_id", "h", "text", _slot(F.col("doc_id"))), test
 
 
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, text of docs whose doc_id is among ids; only those move."""
-    needed = _needed(docs, ids)
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rep, text of the classes wanted(rep, doc_id, h); only their texts move, one for each however many rows repeat it."""
+    rows, needed = _picked(docs, wanted)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield needed(b).select([0, 1])
+            yield needed(b).select([0, 1, 2])
 
-    return map_arrow(docs.select("doc_id", "text", _slot(F.col("doc_id"))), pick, "doc_id long, text string").join(ids, "doc_id", "left_semi")
+    once = map_arrow(rows, pick, "doc_id long, h long, text string").groupBy("doc_id", "h").agg(F.first("text").alias("text"))
+    return once.join(wanted, ["doc_id", "h"]).select("rep", "text")
 
 
-def _sketches(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """rep, n, o0, o1, ... of the texts of ids(doc_id)."""
-    needed, places = _needed(docs, ids), [f"o{i}" for i in range(BITS // 64)]
+def _sketches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rep, o0, o1, ... of the texts of the classes wanted(rep, doc_id, h)."""
+    (rows, needed), places = _picked(docs, wanted), [f"o{i}" for i in range(BITS // 64)]
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in map(needed, batches):
-            sets = [shingle_set(x) for x in b.column(1).cast(pa.binary()).to_pylist()]
+            sets = [shingle_set(x) for x in b.column(2).cast(pa.binary()).to_pylist()]
             odd = np.array([odd_sketch(x) for x in sets], np.int64).reshape(-1, len(places))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), *map(pa.array, odd.T.copy())], ["rep", "n", *places])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *map(pa.array, odd.T.copy())], ["doc_id", "h", *places])
 
-    schema = ", ".join(f"{c} long" for c in ["rep", "n", *places])
-    return map_arrow(docs.select("doc_id", "text", _slot(F.col("doc_id"))), draw, schema).distinct()
+    schema = ", ".join(f"{c} long" for c in ["doc_id", "h", *places])
+    return map_arrow(rows, draw, schema).distinct().join(wanted, ["doc_id", "h"]).select("rep", *places)
+
+
+def _wanted(classes: DataFrame, reps: DataFrame) -> DataFrame:
+    return stored(classes.join(reps.distinct(), "rep", "left_semi").select("rep", "doc_id", "h"), "wanted-texts")
 
 
 def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, num: int, den: int, miss: float) -> DataFrame:
@@ -202,8 +207,7 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, num: int, den
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).take(pa.array(prune(sa, sb, least)))
 
     left = stored(map_arrow(met, sift, "a long, b long"), "near-pairs")
-    ids = left.select(F.col("a").alias("doc_id")).union(left.select("b")).distinct()
-    texts = _texts(docs, ids)
+    texts = _texts(docs, _wanted(classes, left.select(F.col("a").alias("rep")).union(left.select("b"))))
     both = left.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b").select("a", "b", "x", "y")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,22 +227,28 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, num: int, den
 def near_duplicates(docs: DataFrame, num: int = NUM, den: int = DEN, miss: float = MISS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs(doc_id, text).
 
-    doc_id stands for the document: rows that repeat one belong together. A null, empty or blank text has no shingles, is linked with nothing
-    and kept; texts of fewer than five words are one shingle. A null doc_id is linked with nothing. Other columns are not read.
+    doc_id stands for the document: rows that repeat one belong together, whatever their texts. A row whose text is null, empty or
+    blank has no shingles, is linked with nothing, not even by its doc_id, and kept; texts of fewer than five words are one shingle. A null doc_id is linked with nothing.
+    No rows: no rows. Other columns are not read.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
     signed = stored(_signed(docs), "signatures")
-    # A class: rows of one shingle set. Its least doc_id stands for it; summed up before the shuffle.
-    least = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("doc_id", "n", "sig")).alias("m"))
-    classes = stored(least.select("fp", F.col("m.doc_id").alias("rep"), F.col("m.n").alias("n"), F.col("m.sig").alias("sig")), "classes")
+    # A class: rows of one shingle set, summed up before the shuffle. It has a number of its own, rep, and a row that stands for it.
+    named = signed.where("n > 0 AND doc_id IS NOT NULL")
+    least = named.groupBy("fp").agg(F.min(F.struct("doc_id", "h", "n", "sig")).alias("m"))
+    classes = stored(least.select("fp", "m.*", F.monotonically_increasing_id().alias("rep")), "classes")
     keys = stored(_keys(classes), "bands")
     # Buckets of two or more, and in them one row of each member.
     size = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = stored(keys.join(size, "key"), "buckets").withColumn("comp", F.col("rep"))
-    tried = links = None
+    tried, links = None, _of_one_id(named, classes)
+    comp = components(links)
+    buckets = _labelled(stored(keys.join(size, "key"), "buckets"), comp)
     for i in range(ROUNDS + 2):
         ends = buckets.groupBy("key").agg(F.min(F.struct("comp", "rep", "n")).alias("lo"), F.max("comp").alias("high")).where("lo.comp < high").drop("high")
         buckets = stored(buckets.join(ends, "key"), "open-buckets")
+        if buckets.isEmpty():
+            break
         fits = f"{den} * least(n, lo.n) >= {num} * greatest(n, lo.n)"
         if i < ROUNDS:  # one partner each: the least, then that of the largest bucket, then of any
             far = buckets.where("comp <> lo.comp").where(fits)
@@ -247,27 +257,46 @@ def near_duplicates(docs: DataFrame, num: int = NUM, den: int = DEN, miss: float
         elif i == ROUNDS:  # one member of each component in a bucket
             pairs = buckets.where("comp <> lo.comp").groupBy("key", "comp").agg(F.min("rep").alias("a"), F.first("lo.rep").alias("b"))
         else:
-            sketches = stored(_sketches(docs, buckets.select(F.col("rep").alias("doc_id")).distinct()), "sketches")
-            drawn = buckets.select("key", "rep", "n", "comp").join(sketches, ["rep", "n"])
-            odd = [c for c in sketches.columns if c not in ("rep", "n")]
+            sketches = stored(_sketches(docs, _wanted(classes, buckets.select("rep"))), "sketches")
+            drawn = buckets.select("key", "rep", "n", "comp").join(sketches, "rep")
+            odd = [c for c in sketches.columns if c != "rep"]
             mine, other = drawn.select("key", *[F.col(c).alias(f"{c}_a") for c in ["rep", "comp", "n", *odd]]), drawn.select("key", *[F.col(c).alias(f"{c}_b") for c in ["rep", "comp", "n", *odd]])
             # common / all >= num / den means that at most (den - num) of each den + num members of both sets differ.
             differ = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in odd)
             allows = f"{den} * least(n_a, n_b) >= {num} * greatest(n_a, n_b) AND {den + num} * ({differ}) <= {den - num} * (n_a + n_b)"
             pairs = mine.join(other, "key").where(f"rep_a < rep_b AND comp_a <> comp_b AND {allows}").selectExpr("rep_a AS a", "rep_b AS b")
+        buckets = buckets.drop("lo")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue
         found = _verify(pairs, classes, docs, num, den, miss)
-        tried, links = (pairs, found) if tried is None else (tried.union(pairs), links.union(found))
+        tried = pairs if tried is None else tried.union(pairs)
+        if found.isEmpty():
+            continue
+        links = links.union(found)
         comp = components(links)
-        if i <= ROUNDS:
-            buckets = buckets.select("key", "rep", "n", "size").join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    of_class = classes.select("fp", "rep").join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("fp", F.coalesce("comp", "rep").alias("comp"))
+        buckets = _labelled(buckets, comp)
+    ids = classes.select("fp", "rep", "doc_id").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
+    of_comp = ids.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"))
+    of_class = ids.join(of_comp, "comp", "left").select("fp", F.coalesce("least", "doc_id").alias("least"))
     got = signed.select("doc_id", "n", "fp").join(of_class, "fp", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return got.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def _labelled(buckets: DataFrame, comp: DataFrame) -> DataFrame:
+    return buckets.select("key", "rep", "n", "size").join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+
+
+def _of_one_id(named: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of each doc_id that several texts have."""
+    several = stored(named.groupBy("doc_id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("doc_id"), "repeated-ids")
+    each = stored(named.join(several, "doc_id", "left_semi").select("doc_id", "fp").distinct().join(classes.select("fp", "rep"), "fp").select("doc_id", "rep"), "repeated-classes")
+    first = each.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return stored(each.join(first, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), "links")
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
