@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverlog.llm.common import stored, table
@@ -20,34 +20,49 @@ from riverlog.llm.op10_minhash_dedup import near_duplicates
 from riverlog.llm.tokens import default_vocabulary
 
 
+def _aside(docs: DataFrame) -> tuple[list[str], list[Column]]:
+    """Names that no operator uses for all columns of docs but text, and those columns under them."""
+    names = [f"column_{i}" for i, c in enumerate(docs.columns) if c != "text"]
+    return names, [F.col(f"`{c}`").alias(n) for n, c in zip(names, (c for c in docs.columns if c != "text"))]
+
+
+def _back(df: DataFrame, docs: DataFrame, names: list[str], **new: Column) -> DataFrame:
+    """The columns of docs again, some of them anew."""
+    name = dict(zip((c for c in docs.columns if c != "text"), names)) | {"text": "text"}
+    return df.select(*[(new[c] if c in new else F.col(name[c])).alias(c) for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language is rejected: no text, no letters, or no clear winner."""
+    """Drops documents whose language is rejected: no text, no letters, or no clear winner. Each row is judged by its text alone, so
+    repeated rows share their fate, and a null doc_id or lang changes nothing."""
     known = train(docs.where(~held_out(F.col("doc_id"))))
-    return identify(docs, known, keep=docs.columns).where(~F.col("rejected")).select(*docs.columns)
+    names, columns = _aside(docs)
+    return _back(identify(docs.select(*columns, "text"), known, keep=[*names, "text"]).where(~F.col("rejected")), docs, names)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that of the least doc_id, of each group of near duplicates."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
+    """Keeps one document, that of the least doc_id, of each group of near duplicates. A document is a doc_id: rows that repeat the one
+    that is kept all stay, those that repeat another all go. Documents without words, and rows without a doc_id, stay."""
+    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts out strings of 400 bytes that stand anywhere else too; no document goes, though one may become empty."""
-    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
-    cut = remove_repeats(docs, keep=rest, as_text=True)
-    whole = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
-    return cut.select(*[whole[c].alias(c) if c in whole else F.col(c) for c in docs.columns])
+    """Cuts out strings of 400 bytes that stand anywhere else too; no row goes, though a text may become empty, as a null text does."""
+    names, columns = _aside(docs)
+    cut = remove_repeats(docs.select("doc_id", "text", *columns), keep=names, as_text=True)
+    return _back(cut, docs, names, text=F.col("kept"), n_chars=F.char_length("kept").cast("long"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item's passage in at least a twentieth of their words."""
+    """Drops documents that hold a benchmark item's passage in at least a twentieth of their words: all rows of a doc_id, if one of them
+    does; rows without a doc_id count as one document. Texts without words stay."""
     bad = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places every document in sequences of 4096 tokens."""
+    """Places every row's text in sequences of 4096 tokens; one without text is its end token alone."""
     return pack(docs, default_vocabulary())
 
 
