@@ -15,9 +15,9 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Words of one generation of a worker's cache; two are kept, at some 170 bytes a word.
-CACHE_WORDS = 100_000
+CACHE_WORDS = 200_000
 #: Characters whose words are looked at at once: what is held besides the cache does not depend on batches or texts.
-PART_CHARS = 1 << 19
+PART_CHARS = 1 << 20
 SPACE = re.compile(r"[ \t\n]")
 TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -88,9 +88,9 @@ class WordEncoder:
     def _each(self, texts: list[str]) -> list[bytes]:
         parts = [t.encode("utf-8", "replace").lower().split() for t in texts]  # bytes.lower() changes A-Z only
         missing = set().union(*parts).difference(self.words)
-        known = missing.intersection(self.older)
-        self.words.update((w, self.older[w]) for w in known)
-        if missing := missing - known:
+        known = {w: ids for w in missing if (ids := self.older.get(w)) is not None}
+        self.words.update(known)
+        if missing := missing.difference(known):
             self._learn(missing)
         words = self.words
         out = [b"".join([words[w] for w in p]) for p in parts]
