@@ -27,6 +27,12 @@ def large_enough(b: Column, least: float) -> Column:
     return F.least(b["x2"] - b["x1"], b["y2"] - b["y1"]) >= least
 
 
+def top_k(boxes: Column, k: int = 200) -> Column:
+    """The k boxes of the highest scores, best first, equal ones in their order."""
+    ranked = F.sort_array(F.transform(boxes, lambda b, i: F.struct((-b["score"]).alias("s"), i.alias("i"), b.alias("b"))))
+    return F.transform(F.slice(ranked, 1, k), lambda x: x["b"])
+
+
 def suppress(boxes: np.ndarray, iou: float, conf: float) -> np.ndarray:
     """Greedy suppression by falling score; then scores above conf, strictly."""
     order, keep = np.argsort(-boxes[:, 4], kind="stable"), []
@@ -97,13 +103,17 @@ def fill(frame: np.ndarray, mask: np.ndarray, mode: str, grey: int = 128, block:
     return out
 
 
-def without_coloured(frame_hsv: np.ndarray, boxes: np.ndarray, most: float, low: int = 95, high: int = 135) -> np.ndarray:
+#: Hues that count, the saturation above which a pixel does, and the least values and pixels to tell by: fixed values.
+HUES, SATURATED, LEAST_VALUES, LEAST_PIXELS = (95, 135), 60, 300, 50
+
+
+def without_coloured(frame_hsv: np.ndarray, boxes: np.ndarray, most: float, low: int = HUES[0], high: int = HUES[1]) -> np.ndarray:
     """Boxes whose saturated pixels are not mostly of hue low..high; boxes with too few pixels to tell stay."""
     keep = []
     for k, box in enumerate(boxes):
         x1, y1, x2, y2 = (max(0, int(v)) for v in box[:4])
         crop = frame_hsv[y1:y2, x1:x2].reshape(-1, 3)
-        vivid = crop[crop[:, 1] > 60] if len(crop) else crop
-        if len(crop) * 3 < 300 or len(vivid) < 50 or ((vivid[:, 0] >= low) & (vivid[:, 0] <= high)).mean() <= most:
+        vivid = crop[crop[:, 1] > SATURATED] if len(crop) else crop
+        if len(crop) * 3 < LEAST_VALUES or len(vivid) < LEAST_PIXELS or ((vivid[:, 0] >= low) & (vivid[:, 0] <= high)).mean() <= most:
             keep.append(k)
     return boxes[keep]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,8 +108,54 @@ def _around(by: list[str], t: str, window: int):
 
 
 def swap_payload(source: DataFrame, new: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
-    """source with new's value put in by place within the group; status says where one side has more rows."""
-    a, b = indexed(source, by, order), indexed(new, by, order).select(*by, "idx", F.col(value).alias("_v"))
+    """source with new's value put in by place within the group; status says where one side has more rows. A null is a value too."""
+    a = indexed(source, by, order).withColumn("_here", F.lit(True))
+    b = indexed(new, by, order).select(*by, "idx", F.col(value).alias("_v"), F.lit(True).alias("_new"))
     met = a.join(b, [*by, "idx"], "full")
-    status = F.when(F.col(value).isNull(), "extra").when(F.col("_v").isNull(), "missing").otherwise("swapped")
-    return met.withColumn("status", status).withColumn(value, F.coalesce("_v", value)).drop("_v")
+    status = F.when(F.col("_here").isNull(), "extra").when(F.col("_new").isNull(), "missing").otherwise("swapped")
+    return met.withColumn("status", status).withColumn(value, F.when(F.col("_new"), F.col("_v")).otherwise(F.col(value))).drop("_v", "_here", "_new")
+
+
+def excerpt(df: DataFrame, by: list[str], topic: str, order: list[str], video: Column, n: int) -> DataFrame:
+    """The first messages of each recording: of its video topics as many as the shortest has, n at most; of the others those up to the
+    last time of the first n video messages. `order` starts with the time; a recording without video gives nothing."""
+    t = order[0]
+    rows = indexed(df, [*by, topic], order).withColumn("_video", video)
+    first = rows.where(F.col("_video") & (F.col("idx") < n)).groupBy(*by, topic).agg(F.count("*").alias("k"), F.max(t).alias("last"))
+    ends = first.groupBy(*by).agg(F.min("k").alias("_common"), F.max("last").alias("_cutoff"))
+    inside = F.when(F.col("_video"), F.col("idx") < F.col("_common")).otherwise(F.col(t) <= F.col("_cutoff"))
+    return rows.join(ends, by).where(inside).drop("_video", "_common", "_cutoff")
+
+
+def lock_step(df: DataFrame, by: list[str], topic: str, order: list[str], value: str) -> DataFrame:
+    """by, idx, frames: the idx-th rows of all topics together, by topic; topics with fewer rows drop out."""
+    rows = indexed(df, [*by, topic], order)
+    return rows.groupBy(*by, "idx").agg(F.array_sort(F.collect_list(F.struct(F.col(topic).alias("topic"), F.col(value).alias("value")))).alias("frames"))
+
+
+def detection_summary(found: DataFrame, spans: DataFrame, by: list[str]) -> DataFrame:
+    """Per channel of found(by, boxes): frames, the most boxes in one, the longest short side of a box in whole pixels, and the time of
+    spans(by, a, b)."""
+    side = F.array_max(F.transform("boxes", lambda b: F.least(b["x2"].cast("int") - b["x1"].cast("int"), b["y2"].cast("int") - b["y1"].cast("int"))))
+    got = found.groupBy(*by).agg(F.count("*").alias("frames_with_faces"), F.coalesce(F.max(F.size("boxes")), F.lit(0)).alias("max_faces_in_frame"), F.coalesce(F.max(side), F.lit(0)).alias("largest_face_px"))
+    return got.join(spans.groupBy(*by).agg(F.sum(F.col("b") - F.col("a")).alias("face_time")), by, "left").na.fill(0, ["face_time"])
+
+
+def detect_frames(frames: DataFrame, keys: list[str], factory: Callable[[], Detector]) -> DataFrame:
+    """keys, boxes array<struct<x1, y1, x2, y2, score>> for each row of frames(keys, height, width, pixels: rows of 3-byte pixels).
+
+    Each task makes one detector; where it has `batch`, the frames of an Arrow batch go to it together.
+    """
+    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frames.select(*keys).schema.fields)
+    kind = pa.list_(pa.struct([(c, pa.float64()) for c in ("x1", "y1", "x2", "y2", "score")]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        detector = factory()
+        many = getattr(detector, "batch", None) or (lambda images: [detector(x) for x in images])
+        for b in batches:
+            h, w, raw = (b.column(i) for i in range(b.num_columns - 3, b.num_columns))
+            images = [np.frombuffer(p, np.uint8).reshape(i, j, 3) for i, j, p in zip(h.to_pylist(), w.to_pylist(), raw.to_pylist())]
+            boxes = [[dict(zip(("x1", "y1", "x2", "y2", "score"), map(float, x))) for x in found] for found in (many(images) if images else [])]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-3], pa.array(boxes, kind)], [*keys, "boxes"])
+
+    return frames.select(*keys, "height", "width", "pixels").mapInArrow(run, f"{out}, boxes array<struct<x1:double,y1:double,x2:double,y2:double,score:double>>")

@@ -20,9 +20,14 @@ def asof(left: DataFrame, right: DataFrame, by: list[str], t: str, value: str, o
     return met.select(*by, F.col("_t").alias(t), *[F.col(f"_left.{c}").alias(c) for c in rest], near.alias(out))
 
 
-def route(messages: DataFrame, spans: DataFrame, by: list[str], t: str = "t") -> DataFrame:
-    """Each message with every span (a, b, and its other columns) whose closed range holds it; spans of a recording are few."""
-    return messages.join(spans, by).where(F.col(t).between(F.col("a"), F.col("b")))
+def route(messages: DataFrame, spans: DataFrame, by: list[str], t: str = "t", cell: int = 3_600_000_000) -> DataFrame:
+    """Each message with every span (a, b, and its other columns) whose closed range holds it.
+
+    An equi-join on time cells: a span stands in each cell it touches, so a long recording is not one join key.
+    """
+    of = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("long")
+    spread = spans.where("b >= a").withColumn("_c", F.explode(F.sequence(of("a"), of("b"))))
+    return messages.withColumn("_c", of(t)).join(spread, [*by, "_c"]).where(F.col(t).between(F.col("a"), F.col("b"))).drop("_c")
 
 
 def band(left: DataFrame, right: DataFrame, by: list[str], t: str, other: str, width: int) -> DataFrame:

@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverlog.functions import wire
-from riverlog.operators import boxes, cut, detect, intervals, joins, manifest
+from riverlog.functions import scalars, wire
+from riverlog.operators import boxes, cut, detect, intervals, joins, manifest, reports
 from riverlog.sources.folders import scratch
 from riverlog.sources import mcap_source
 from riverlog.streaming import sessions as streaming
@@ -37,9 +37,10 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _relative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    return _events(spark, sf_dir).withColumn("t", F.col("t") - F.min("t").over(Window.partitionBy("file")))
+    """Times from each recording's first event on; the starts are summed up first, so no recording is one task's."""
+    e = _events(spark, sf_dir)
+    first = e.groupBy("file").agg(F.min("t").alias("t0"))
+    return e.join(first, "file").select("event_id", "file", "topic", (F.col("t") - F.col("t0")).alias("t"), "value")
 
 
 def _bounds(rel: DataFrame) -> DataFrame:
@@ -243,11 +244,13 @@ def sha256_digest(spark, sf_dir):
 
 
 def _mapped(df: DataFrame, f: Callable, schema: str) -> DataFrame:
+    """f over the columns' values of each row, Arrow columns in and out."""
+    kinds = _arrow(schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [f(*r) for r in zip(*(c.to_pylist() for c in b.columns))]
-            names = [x.split()[0] for x in schema.split(", ")]
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=_arrow(schema))
+            out = zip(*map(f, *(c.to_pylist() for c in b.columns))) if b.num_rows else ([] for _ in kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(out, kinds)], schema=kinds)
 
     return df.mapInArrow(run, schema)
 
@@ -306,11 +309,15 @@ def mcap_topic_scan(spark, sf_dir):
 
 
 def mcap_channels(spark, sf_dir):
-    return spark.read.format("mcap").option("records", "channels").load(_log(spark, sf_dir)).select("topic", "message_encoding", "schema_name")
+    return spark.read.format("mcap").option("records", "channels").load(_log(spark, sf_dir)).select("topic", "message_encoding", "schema_name").distinct()
 
 
 def mcap_statistics(spark, sf_dir):
-    return spark.read.format("mcap").option("records", "statistics").load(_log(spark, sf_dir)).groupBy("status").agg(F.sum("messages").alias("messages"), F.sum("channels").alias("channels"))
+    """Messages of all files, and the topics of their channels, which several files may share."""
+    read, path = spark.read.format("mcap"), _log(spark, sf_dir)
+    files = read.option("records", "statistics").load(path).select("status", "messages", F.lit(None).cast("string").alias("topic"))
+    topics = read.option("records", "channels").load(path).select(F.lit("ok").alias("status"), F.lit(0).cast("long").alias("messages"), "topic")
+    return files.unionByName(topics).groupBy("status").agg(F.sum("messages").alias("messages"), F.count_distinct("topic").alias("channels"))
 
 
 def box_arithmetic(spark, sf_dir):
@@ -359,11 +366,200 @@ def temporal_stream_sessions(spark, sf_dir):
     return streaming.run_once(streaming.stream_sessions(closed, CHANNEL, "ts", "6 hours"), scratch(spark, "stream-sessions"), scratch(spark, "stream-state"))
 
 
+def _report(spark, sf_dir) -> DataFrame:
+    """Detection reports of all recordings, written as JSON and read again; every eleventh recording failed."""
+    e = _events(spark, sf_dir)
+    each = e.groupBy(*CHANNEL).agg(F.count("*").alias("messages"), F.min("t").alias("start"), F.max("t").alias("end")).withColumn("codec", F.lit("h264")).withColumn("checked", F.col("messages"))
+    rows = detect.indexed(e, CHANNEL, ["t", "event_id"], "frame")
+    hits = _hits(rows)
+    spans = intervals.sessions(hits, CHANNEL, gap=GAP).join(each, CHANNEL).select(*CHANNEL, (F.col("a") - F.col("start")).alias("a"), (F.col("b") - F.col("start")).alias("b"))
+    found = hits.select(*CHANNEL, F.col("frame").cast("int").alias("frame"), "t", F.array(F.array(F.lit(0.0), F.lit(0.0), F.lit(8.0), F.lit(8.0), F.col("value"))).alias("boxes"))
+    bad = F.col("file") % 11 == 5
+    statuses = e.select("file").distinct().select("file", F.when(bad, "error").otherwise("ok").alias("status"), F.when(bad, "unreadable").alias("error"))
+    path = scratch(spark, "report")
+    reports.write_report(reports.build_report(each, spans, found, statuses), path)
+    return reports.read_report(spark, path, lines=True).withColumn("file", F.col("file").cast("long"))
+
+
+def report_union(spark, sf_dir):
+    return intervals.union(intervals.pad(reports.intervals(_report(spark, sf_dir)), 0, PAD), BY)
+
+
+def report_summary(spark, sf_dir):
+    return reports.report_summary(_report(spark, sf_dir))
+
+
+def report_detections(spark, sf_dir):
+    return reports.detections(_report(spark, sf_dir)).select("file", "topic", "frame", "t", F.get(F.get("boxes", F.lit(0)), F.lit(4)).alias("score"))
+
+
+def quiet_report(spark, sf_dir):
+    quiet = reports.without_detections(_report(spark, sf_dir))
+    assert "detections" not in quiet.schema["channels"].dataType.elementType.names
+    return quiet.select("file", F.explode("channels").alias("c")).select("file", "c.topic", "c.messages", "c.frames_with_faces")
+
+
+def nearby_detections(spark, sf_dir):
+    return reports.nearby(reports.detections(_report(spark, sf_dir)), HOUR).select("topic", "t", F.size("boxes").alias("boxes"))
+
+
+def file_rollup(spark, sf_dir):
+    rows = _relative(spark, sf_dir).withColumn("codec", F.when(F.col("event_id") % 50 == 0, "h265").otherwise("h264"))
+    return reports.file_rollup(rows, BY, "topic", "t", "codec").withColumn("formats", F.array_join("formats", ","))
+
+
+def blur_summary(spark, sf_dir):
+    rows = _hits(_relative(spark, sf_dir)).groupBy("file").agg(F.count("*").alias("frames_with_faces"))
+    kinds = ["blurred", "copied", "copied_unscanned", "error"]
+    return reports.run_summary(rows.withColumn("status", F.element_at(F.array(*map(F.lit, kinds)), (F.col("file") % 4 + 1).cast("int"))), "status", kinds, "frames_with_faces")
+
+
+def cut_summary(spark, sf_dir):
+    rel = _relative(spark, sf_dir)
+    return reports.cut_summary(_clips(rel), _bounds(rel), BY)
+
+
+def first_spans(spark, sf_dir):
+    return reports.first_spans(_drops(_relative(spark, sf_dir)), BY)
+
+
+def detection_summary(spark, sf_dir):
+    hits = _hits(_relative(spark, sf_dir))
+    side = F.floor(F.col("value") / 10).cast("double")
+    boxes_ = F.transform(F.sequence(F.lit(0), (F.col("event_id") % 3).cast("int")), lambda i: F.struct(F.lit(1.5).alias("x1"), F.lit(0.0).alias("y1"), (side + 2 + i).alias("x2"), (side + 9).alias("y2"), F.lit(1.0).alias("score")))
+    return detect.detection_summary(hits.withColumn("boxes", boxes_), intervals.sessions(hits, CHANNEL, gap=GAP), CHANNEL)
+
+
+def frame_geometry(spark, sf_dir):
+    p = _table(spark, sf_dir, "part").select("p_partkey", (640 + F.col("p_size") * 7).alias("w"), (360 + F.col("p_partkey") % 900).alias("h"), (F.col("p_partkey") % 800 - 400).alias("rot"))
+    p = p.withColumn("turned", scalars.rotation(F.col("rot"))).withColumn("d", scalars.displayed_size(F.col("w"), F.col("h"), F.col("turned"))).withColumn("m", scalars.detector_size(F.col("d.w"), F.col("d.h")))
+    g = scalars.grid((F.col("p_partkey") % 9 + 1).cast("int"), 640, F.col("d.w"), F.col("d.h"))
+    return p.withColumn("g", g).select("p_partkey", "turned", F.col("d.w").alias("shown_w"), F.col("m.w").alias("model_w"), F.col("m.h").alias("model_h"), scalars.even(F.col("w") * 0.5).alias("half_w"), "g.cols", "g.rows", "g.tile_height")
+
+
+def names_and_tints(spark, sf_dir):
+    topic = F.concat(F.lit("/cam/"), F.col("p_name"), F.lit("/video/"))
+    return _table(spark, sf_dir, "part").select("p_partkey", scalars.display_name(topic).alias("name"), scalars.tint(F.col("p_name")).alias("c")).select("p_partkey", "name", "c.*")
+
+
+def excerpt(spark, sf_dir):
+    return detect.excerpt(_relative(spark, sf_dir), BY, "topic", ["t", "event_id"], F.col("topic").isin("click", "view"), 10).select("event_id", "idx")
+
+
+def lock_step(spark, sf_dir):
+    got = detect.lock_step(_relative(spark, sf_dir), BY, "topic", ["t", "event_id"], "event_id")
+    return got.select("file", "idx", F.size("frames").alias("n"), F.array_join(F.transform("frames", lambda x: x["value"].cast("string")), ",").alias("ids"))
+
+
+def mosaic_clock(spark, sf_dir):
+    """A clock of 12 hours; at a tick each topic shows its latest frame up to half a tick later; every second tick stays."""
+    rel, step = _relative(spark, sf_dir), 12 * HOUR
+    last = F.greatest(F.lit(0), F.bround(F.col("duration") / step)).cast("int")
+    ticks = _bounds(rel).select("file", F.explode(F.sequence(F.lit(0), last)).alias("k")).where("k % 2 = 0")
+    clock = ticks.join(rel.select(*CHANNEL).distinct(), "file").withColumn("t", F.col("k").cast("long") * step + step // 2)
+    frames = rel.groupBy(*CHANNEL, "t").agg(F.min("event_id").alias("frame"))
+    return joins.asof(clock, frames, CHANNEL, "t", "frame", "frame_id").na.fill(-1, ["frame_id"]).select("file", "topic", "k", "frame_id")
+
+
+def top_boxes(spark, sf_dir):
+    v = F.transform("embedding", lambda x: x.cast("double"))
+    each = F.transform(F.sequence(F.lit(0), F.floor(F.size("embedding") / 5).cast("int") - 1), lambda j: F.struct(F.get(v, j * 5 + 4).alias("score"), j.alias("place")))
+    best = boxes.top_k(each, 3)
+    return _table(spark, sf_dir, "embeddings").select("vec_id", F.size(best).alias("n"), F.get(best, F.lit(0))["score"].alias("first"), F.get(best, F.lit(2))["score"].alias("third"))
+
+
+def detect_bright(spark, sf_dir):
+    """Each embedding of 64 numbers as a picture of 8 x 8, through the detector interface."""
+    level = lambda x: F.lpad(F.hex(F.least(F.lit(255), F.floor(F.abs(x.cast("double")) * 1500)).cast("long")), 2, "0")
+    pixels = F.unhex(F.array_join(F.transform("embedding", lambda x: F.repeat(level(x), F.lit(3))), ""))
+    frames = _table(spark, sf_dir, "embeddings").where(F.size("embedding") == 64).select("vec_id", F.lit(8).alias("height"), F.lit(8).alias("width"), pixels.alias("pixels"))
+    found = detect.detect_frames(frames, ["vec_id"], detect.BrightBoxDetector).select("vec_id", F.explode("boxes").alias("b"))
+    return found.select("vec_id", *[F.col(f"b.{c}").cast("int").alias(c) for c in ("x1", "y1", "x2", "y2")])
+
+
+def mcap_indexed_scan(spark, sf_dir):
+    """Topic and time reach the chunk index."""
+    got = spark.read.format("mcap").load(_log(spark, sf_dir)).where("topic = 'click' AND log_time >= 1704500000000000000 AND log_time <= 1706000000000000000")
+    return got.select(F.col("sequence").alias("event_id"), "log_time")
+
+
+def keyframe_scan(spark, sf_dir):
+    """Packets of all documents in logs, of which only those with a keyframe come back."""
+    mcap_source.register(spark)
+    kind = pa.schema([("topic", pa.string()), ("schema_name", pa.string()), ("log_time", pa.int64()), ("sequence", pa.int64()), ("data", pa.binary())])
+
+    def packets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(s or "", mcap_source.VIDEO if i % 4 else "other", i, i, _packets(i) if i % 3 else b"") for i, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)] if rows else [pa.array([], f.type) for f in kind], schema=kind)
+
+    path = scratch(spark, "packets")
+    made = _table(spark, sf_dir, "documents").select("doc_id", "source").mapInArrow(packets, "topic string, schema_name string, log_time long, sequence long, data binary")
+    made.write.format("mcap").mode("append").save(path)
+    return mcap_source.keyframes(spark.read.format("mcap").load(path)).select(F.col("sequence").alias("doc_id"))
+
+
+def cut_write(spark, sf_dir):
+    """Each clip and each removed span as a log of its own, read again."""
+    mcap_source.register(spark)
+    rel = _relative(spark, sf_dir)
+    clips = _clips(rel)
+    targets = cut.targets(clips, cut.removed(clips, _bounds(rel), _keys(rel), BY, "topic", HOUR), BY, "file").select("file", "name", "a", "b")
+    met = joins.route(rel.select("event_id", "file", "topic", "t"), targets, BY)
+    path = scratch(spark, "clips")
+    rows = met.select("name", "topic", F.col("t").alias("log_time"), F.col("event_id").alias("sequence"), F.col("event_id").cast("string").cast("binary").alias("data"))
+    rows.repartition("name").sortWithinPartitions("name", "log_time", "sequence").write.format("mcap").option("split", "name").mode("append").save(path)
+    return spark.read.format("mcap").load(path).select(F.regexp_replace("file", r"\.mcap$", "").alias("name"), F.col("sequence").alias("event_id"), "topic")
+
+
+def swap_write(spark, sf_dir):
+    """A log with the payloads of its messages replaced by place, written and read again."""
+    log = spark.read.format("mcap").load(_log(spark, sf_dir))
+    new = log.where("sequence % 11 <> 0").withColumn("data", F.concat(F.lit("new "), F.col("data").cast("string")).cast("binary"))
+    got = detect.swap_payload(log, new, ["topic"], ["log_time", "sequence"], "data").where("status <> 'extra'")
+    path = scratch(spark, "swapped")
+    got.drop("idx", "status", "file", "ordinal").repartitionByRange(4, "topic", "log_time").sortWithinPartitions("log_time").write.format("mcap").mode("append").save(path)
+    return spark.read.format("mcap").load(path).select(F.col("sequence").alias("event_id"), "topic", F.col("data").cast("string").alias("payload"))
+
+
+def mcap_repair(spark, sf_dir):
+    """All logs cut off before the end of their data, repaired and read through their new index."""
+    import struct
+
+    whole, cut_off, mended = _log(spark, sf_dir), scratch(spark, "cut-off"), scratch(spark, "repaired")
+    names = spark.createDataFrame([(f,) for f in mcap_source._files(whole)], "path string")
+
+    def damage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = mcap_source._fs(cut_off)
+        fs.create_dir(root, recursive=True)
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                with mcap_source._open(path) as f:
+                    raw = f.read()
+                # The footer: 20 bytes before the last magic, first the place of the summary; before that the 13 bytes that end the data.
+                end = struct.unpack_from("<Q", raw, len(raw) - 28)[0] - 13
+                with fs.open_output_stream(f"{root}/{path.rsplit('/', 1)[-1]}") as out:
+                    out.write(raw[:end])
+            yield b
+
+    names.mapInArrow(damage, "path string").write.format("noop").mode("overwrite").save()
+    done = mcap_source.repair_folder(spark, cut_off, mended)
+    got = spark.read.format("mcap").load(mended).join(done.where("status = 'ok' AND ended_early"), "file", "left_semi")
+    return got.select(F.col("sequence").alias("event_id"), "topic", F.col("data").cast("string").cast("long").alias("file"), "log_time")
+
+
 _ASOF = "SELECT h.file, h.topic, h.t, h.event_id, {out} FROM hits h ASOF LEFT JOIN ks k ON k.file = h.file AND k.topic = h.topic AND k.t {op} h.t"
 _SUM = """s AS (SELECT {by}, count(*) AS segments, CAST(sum(b - a) AS BIGINT) AS kept, max(b - a) AS longest, list_sort(list(b - a))[count(*) // 2 + 1] AS median FROM {runs} GROUP BY {by})"""
 _SUM_OUT = "coalesce(segments, 0) AS segments, coalesce(kept, 0) AS kept, coalesce(longest, 0) AS longest, coalesce(median, 0) AS median, duration - coalesce(kept, 0) AS removed, CASE WHEN duration > 0 THEN CAST(floor(coalesce(kept, 0) * 1000000 / duration) AS BIGINT) ELSE 0 END AS kept_ppm"
 _HELD = "SELECT event_id, {f} AS held FROM (SELECT *, CAST(value >= 100 AS INTEGER) AS x FROM rel) WINDOW w AS (PARTITION BY file, topic ORDER BY t ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)"
 
+_NAMED = f"""{_CLIPS}, g AS (SELECT file, coalesce(lag(b) OVER (PARTITION BY file ORDER BY a), 0) AS a, a AS b FROM clips UNION ALL SELECT bounds.file, coalesce(m, 0), duration FROM bounds LEFT JOIN (SELECT file, max(b) AS m FROM clips GROUP BY file) x ON x.file = bounds.file),
+      ge AS (SELECT g.file, a, b, topic FROM g JOIN topics USING (file) WHERE b > a AND b - a >= {HOUR}), gk AS (SELECT ge.file, min(coalesce(k.t, 0)) AS a, ge.b FROM ge ASOF LEFT JOIN ks k ON k.file = ge.file AND k.topic = ge.topic AND k.t <= ge.a GROUP BY ge.file, ge.a, ge.b),
+      every AS (SELECT file, a, b, 'clip' AS kind FROM clips UNION ALL SELECT file, a, b, 'removed' FROM gk),
+      named AS (SELECT file, kind, printf('%s_%s%02d', CAST(file AS VARCHAR), kind, row_number() OVER (PARTITION BY file, kind ORDER BY a, b) - 1) AS name, a, b FROM every)"""
+_OKS = "SELECT DISTINCT file FROM e WHERE file % 11 <> 5"
+_THR = "CASE WHEN topic LIKE '%err%' THEN 150 WHEN topic LIKE '%click%' THEN 120 ELSE 100 END"
+
 _PAIRS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "threshold_by_topic": (threshold_by_topic, f"WITH {_HITS} SELECT event_id, file, topic, t FROM hits"),
     "stride_sample": (stride_sample, f"WITH {_E} SELECT event_id, idx FROM (SELECT event_id, CAST(row_number() OVER (PARTITION BY file, topic ORDER BY t, event_id) - 1 AS INTEGER) AS idx FROM e) WHERE idx % 3 = 0"),
@@ -379,10 +575,7 @@ _PAIRS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
     "snap_forward": (snap_forward, f"WITH {_HITS}, {_KEYS} {_ASOF.format(out='coalesce(k.t, -1) AS next_key', op='>=')}"),
     "snap_back": (snap_back, f"WITH {_HITS}, {_KEYS} {_ASOF.format(out='coalesce(k.t, -1) AS prev_key', op='<=')}"),
     "cut_clips": (cut_clips, f"WITH {_CLIPS} SELECT * FROM clips"),
-    "cut_targets": (cut_targets, f"""WITH {_CLIPS}, g AS (SELECT file, coalesce(lag(b) OVER (PARTITION BY file ORDER BY a), 0) AS a, a AS b FROM clips UNION ALL SELECT bounds.file, coalesce(m, 0), duration FROM bounds LEFT JOIN (SELECT file, max(b) AS m FROM clips GROUP BY file) x ON x.file = bounds.file),
-      ge AS (SELECT g.file, a, b, topic FROM g JOIN topics USING (file) WHERE b > a AND b - a >= {HOUR}), gk AS (SELECT ge.file, min(coalesce(k.t, 0)) AS a, ge.b FROM ge ASOF LEFT JOIN ks k ON k.file = ge.file AND k.topic = ge.topic AND k.t <= ge.a GROUP BY ge.file, ge.a, ge.b),
-      every AS (SELECT file, a, b, 'clip' AS kind FROM clips UNION ALL SELECT file, a, b, 'removed' FROM gk)
-      SELECT file, kind, printf('%s_%s%02d', CAST(file AS VARCHAR), kind, row_number() OVER (PARTITION BY file, kind ORDER BY a, b) - 1) AS name, a, b FROM every"""),
+    "cut_targets": (cut_targets, f"WITH {_NAMED} SELECT * FROM named"),
     "route_messages": (route_messages, f"WITH {_KEEP}, spans AS (SELECT *, 'keep' AS kind FROM keep UNION ALL SELECT *, 'drop' FROM drops) SELECT event_id, r.file, kind, a, b FROM rel r JOIN spans s ON s.file = r.file AND r.t BETWEEN a AND b"),
     "hold_max": (hold_max, f"WITH {_REL} {_HELD.format(f='max(x) OVER w')}"),
     "hold_majority": (hold_majority, f"WITH {_REL} {_HELD.format(f='CAST(sum(x) OVER w > count(*) OVER w // 2 AS INTEGER)')}"),
@@ -405,6 +598,33 @@ _PAIRS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
     "mcap_channels": (mcap_channels, "SELECT DISTINCT event_type AS topic, 'text' AS message_encoding, 'event' AS schema_name FROM events"),
     "mcap_statistics": (mcap_statistics, "SELECT 'ok' AS status, count(*) AS messages, count(DISTINCT event_type) AS channels FROM events"),
     "box_arithmetic": (box_arithmetic, "WITH b AS (SELECT l_orderkey, l_linenumber, floor(l_quantity) * 2 AS x1, l_linenumber * 0.5::DOUBLE AS y1, floor(l_quantity) * 2 + 16 AS x2, (l_linenumber + 4) * 0.5::DOUBLE AS y2 FROM lineitem), g AS (SELECT l_orderkey, l_linenumber, greatest(0::DOUBLE, x1 - 4) AS x1, greatest(0::DOUBLE, y1 - 0.5::DOUBLE) AS y1, least(100::DOUBLE, x2 + 4) AS x2, least(6::DOUBLE, y2 + 0.5::DOUBLE) AS y2 FROM b) SELECT * FROM g WHERE least(x2 - x1, y2 - y1) >= 2.5"),
+    "report_union": (report_union, f"WITH {_DROPS} SELECT * FROM drops WHERE file % 11 <> 5"),
+    "report_summary": (report_summary, f"WITH {_SESS}, k AS (SELECT file, count(*) AS k FROM hits GROUP BY file), u1 AS (SELECT *, max(b) OVER (PARTITION BY file ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM sess), u2 AS (SELECT *, sum(CASE WHEN reach IS NULL OR a > reach THEN 1 ELSE 0 END) OVER (PARTITION BY file ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM u1), f AS (SELECT file, sum(b - a) AS c FROM (SELECT file, min(a) AS a, max(b) AS b FROM u2 GROUP BY file, g) GROUP BY file), r AS (SELECT bounds.file % 11 <> 5 AS ok, coalesce(k, 0) AS k, coalesce(c, 0) AS c, duration FROM bounds LEFT JOIN k ON k.file = bounds.file LEFT JOIN f ON f.file = bounds.file) SELECT count(*) AS files, count(*) FILTER (ok) AS ok, 0::BIGINT AS skipped_no_video, count(*) FILTER (NOT ok) AS error, count(*) FILTER (ok AND k > 0) AS files_with_faces, CAST(coalesce(sum(k) FILTER (ok), 0) AS BIGINT) AS frames_with_faces, CAST(coalesce(sum(c) FILTER (ok), 0) AS BIGINT) AS face_time, CAST(coalesce(sum(duration) FILTER (ok), 0) AS BIGINT) AS video_time FROM r"),
+    "report_detections": (report_detections, f"WITH {_E} SELECT file, topic, frame, t, value AS score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY file, topic ORDER BY t, event_id) - 1 AS INTEGER) AS frame FROM e) WHERE value >= {_THR} AND file % 11 <> 5"),
+    "quiet_report": (quiet_report, f"WITH {_E} SELECT file, topic, count(*) AS messages, count(*) FILTER (value >= {_THR}) AS frames_with_faces FROM e WHERE file % 11 <> 5 GROUP BY file, topic"),
+    "nearby_detections": (nearby_detections, f"WITH {_E} SELECT topic, (t + {HOUR // 2}) // {HOUR} * {HOUR} AS t, CAST(count(*) AS INTEGER) AS boxes FROM e WHERE value >= {_THR} AND file % 11 <> 5 GROUP BY 1, 2"),
+    "file_rollup": (file_rollup, f"WITH {_REL}, c AS (SELECT file, topic, count(*) AS n, min(t) AS lo, max(t) AS hi, max(t) - min(t) AS span FROM rel GROUP BY file, topic), k AS (SELECT file, string_agg(DISTINCT CASE WHEN event_id % 50 = 0 THEN 'h265' ELSE 'h264' END, ',' ORDER BY CASE WHEN event_id % 50 = 0 THEN 'h265' ELSE 'h264' END) AS formats FROM rel GROUP BY file) SELECT c.file, count(*) AS channels, CAST(sum(n) AS BIGINT) AS messages, min(lo) AS start_t, max(hi) - min(lo) AS duration, min(n) AS shortest, max(CASE WHEN n > 1 AND span > 0 THEN CAST(floor((n - 1) * 1e6::DOUBLE / span * 1e6::DOUBLE) AS BIGINT) END) AS fps_millionths, any_value(formats) AS formats FROM c JOIN k ON k.file = c.file GROUP BY c.file"),
+    "blur_summary": (blur_summary, f"WITH {_HITS}, k AS (SELECT file, count(*) AS k FROM hits GROUP BY file) SELECT count(*) AS files, count(*) FILTER (file % 4 = 0) AS blurred, count(*) FILTER (file % 4 = 1) AS copied, count(*) FILTER (file % 4 = 2) AS copied_unscanned, count(*) FILTER (file % 4 = 3) AS error, CAST(coalesce(sum(k), 0) AS BIGINT) AS frames_with_faces FROM k"),
+    "cut_summary": (cut_summary, f"WITH {_CLIPS} SELECT (SELECT count(*) FROM bounds) AS files, count(*) AS clips, CAST(coalesce(sum(b - a), 0) AS BIGINT) AS kept, (SELECT CAST(sum(duration) AS BIGINT) FROM bounds) AS source FROM clips"),
+    "first_spans": (first_spans, f"WITH {_DROPS}, n AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY a, b) AS r FROM drops) SELECT file, string_agg(a || '-' || b, ', ' ORDER BY a, b) FILTER (r <= 4) AS shown, CAST(greatest(0, count(*) - 4) AS INTEGER) AS more FROM n GROUP BY file"),
+    "detection_summary": (detection_summary, f"WITH {_SESS}, s AS (SELECT file, topic, CAST(sum(b - a) AS BIGINT) AS face_time FROM sess GROUP BY 1, 2) SELECT h.file, h.topic, count(*) AS frames_with_faces, CAST(max(event_id % 3 + 1) AS INTEGER) AS max_faces_in_frame, max(least(CAST(floor(value / 10) AS INTEGER) + 1 + CAST(event_id % 3 AS INTEGER), CAST(floor(value / 10) AS INTEGER) + 9)) AS largest_face_px, any_value(face_time) AS face_time FROM hits h JOIN s ON s.file = h.file AND s.topic = h.topic GROUP BY h.file, h.topic"),
+    "frame_geometry": (frame_geometry, """WITH p AS (SELECT p_partkey, 640 + p_size * 7 AS w, 360 + p_partkey % 900 AS h, (CAST(round_even((p_partkey % 800 - 400) / 90.0::DOUBLE, 0) AS INTEGER) * 90 % 360 + 360) % 360 AS turned FROM part),
+      d AS (SELECT *, CASE WHEN turned IN (90, 270) THEN h ELSE w END AS dw, CASE WHEN turned IN (90, 270) THEN w ELSE h END AS dh FROM p), m AS (SELECT *, dw * (1200::DOUBLE / least(dw, dh)) AS mw, dh * (1200::DOUBLE / least(dw, dh)) AS mh FROM d),
+      x AS (SELECT *, CASE WHEN greatest(mw, mh) > 1200 THEN 1200::DOUBLE / greatest(mw, mh) ELSE 1 END AS down, CASE WHEN p_partkey % 9 + 1 > 4 THEN 3 ELSE 2 END AS cols FROM m)
+      SELECT p_partkey, CAST(turned AS INTEGER) AS turned, CAST(dw AS BIGINT) AS shown_w, CAST(floor(mw * down + 0.5) AS INTEGER) AS model_w, CAST(floor(mh * down + 0.5) AS INTEGER) AS model_h, CAST(floor(round_even(w * 0.5::DOUBLE, 0) / 2) * 2 AS INTEGER) AS half_w, cols, CAST(ceil((p_partkey % 9 + 1) / cols) AS INTEGER) AS rows, CAST(floor(round_even(640::DOUBLE * dh / dw, 0) / 2) * 2 AS INTEGER) AS tile_height FROM x"""),
+    "names_and_tints": (names_and_tints, """WITH p AS (SELECT p_partkey, replace(trim('/cam/' || p_name || '/video/', '/'), '/video', '') AS name, CAST(('0x' || substr(sha256(p_name), 1, 4))::INTEGER % 180 AS INTEGER) AS hue FROM part),
+      x AS (SELECT *, hue // 30 AS s, 230 * (1 - 200 / 255::DOUBLE) AS low, 230 * (1 - 200 / 255::DOUBLE * ((hue % 30) / 30::DOUBLE)) AS q, 230 * (1 - 200 / 255::DOUBLE * (1 - (hue % 30) / 30::DOUBLE)) AS u FROM p)
+      SELECT p_partkey, name, hue, CAST(round_even([low, low, u, 230, 230, q][s + 1], 0) AS INTEGER) AS b, CAST(round_even([u, 230, 230, q, low, low][s + 1], 0) AS INTEGER) AS g, CAST(round_even([230, q, low, low, u, 230][s + 1], 0) AS INTEGER) AS r FROM x"""),
+    "excerpt": (excerpt, f"WITH {_REL}, i AS (SELECT *, CAST(row_number() OVER (PARTITION BY file, topic ORDER BY t, event_id) - 1 AS INTEGER) AS idx, topic IN ('click', 'view') AS v FROM rel), c AS (SELECT file, topic, count(*) AS k, max(t) AS m FROM i WHERE v AND idx < 10 GROUP BY 1, 2), n AS (SELECT file, min(k) AS common, max(m) AS cutoff FROM c GROUP BY file) SELECT event_id, idx FROM i JOIN n ON n.file = i.file WHERE CASE WHEN v THEN idx < common ELSE t <= cutoff END"),
+    "lock_step": (lock_step, f"WITH {_REL}, i AS (SELECT *, CAST(row_number() OVER (PARTITION BY file, topic ORDER BY t, event_id) - 1 AS INTEGER) AS idx FROM rel) SELECT file, idx, CAST(count(*) AS INTEGER) AS n, string_agg(event_id::VARCHAR, ',' ORDER BY topic) AS ids FROM i GROUP BY file, idx"),
+    "mosaic_clock": (mosaic_clock, f"WITH {_REL}, fr AS (SELECT file, topic, t, min(event_id) AS id FROM rel GROUP BY 1, 2, 3), ticks AS (SELECT file, unnest(range(0, CAST(round_even(duration / {12 * HOUR}::DOUBLE, 0) AS BIGINT) + 1)) AS k FROM bounds), clock AS (SELECT ticks.file, topic, k, k * {12 * HOUR} + {6 * HOUR} AS t FROM ticks JOIN (SELECT DISTINCT file, topic FROM rel) x ON x.file = ticks.file WHERE k % 2 = 0) SELECT c.file, c.topic, CAST(c.k AS INTEGER) AS k, coalesce(id, -1) AS frame_id FROM clock c ASOF LEFT JOIN fr ON fr.file = c.file AND fr.topic = c.topic AND fr.t <= c.t"),
+    "top_boxes": (top_boxes, "WITH s AS (SELECT vec_id, list_sort(list_transform(range(0, len(embedding) // 5), lambda j: CAST(embedding[5 * j + 5] AS DOUBLE)), 'DESC') AS s FROM embeddings) SELECT vec_id, CAST(least(3, len(s)) AS INTEGER) AS n, s[1] AS first, s[3] AS third FROM s"),
+    "detect_bright": (detect_bright, "WITH p AS (SELECT vec_id, unnest(range(0, 64)) AS i, unnest(embedding) AS x FROM embeddings WHERE len(embedding) = 64), b AS (SELECT * FROM p WHERE least(255, floor(abs(CAST(x AS DOUBLE)) * 1500)) >= 250) SELECT vec_id, CAST(min(i % 8) AS INTEGER) AS x1, CAST(min(i // 8) AS INTEGER) AS y1, CAST(max(i % 8) + 1 AS INTEGER) AS x2, CAST(max(i // 8) + 1 AS INTEGER) AS y2 FROM b GROUP BY vec_id"),
+    "mcap_indexed_scan": (mcap_indexed_scan, f"WITH {_E} SELECT event_id, t * 1000 AS log_time FROM e WHERE topic = 'click' AND t BETWEEN 1704500000000000 AND 1706000000000000"),
+    "keyframe_scan": (keyframe_scan, "SELECT doc_id FROM documents WHERE doc_id % 5 = 0 AND doc_id % 3 <> 0 AND doc_id % 4 <> 0"),
+    "cut_write": (cut_write, f"WITH {_NAMED} SELECT name, event_id, topic FROM rel r JOIN named n ON n.file = r.file AND r.t BETWEEN a AND b"),
+    "swap_write": (swap_write, f"WITH {_E}, d AS (SELECT event_id, topic, file, row_number() OVER (PARTITION BY topic ORDER BY t, event_id) AS idx FROM e), n AS (SELECT topic, file, row_number() OVER (PARTITION BY topic ORDER BY t, event_id) AS idx FROM e WHERE event_id % 11 <> 0) SELECT event_id, d.topic, CASE WHEN n.idx IS NULL THEN d.file::VARCHAR ELSE 'new ' || n.file END AS payload FROM d LEFT JOIN n ON n.topic = d.topic AND n.idx = d.idx"),
+    "mcap_repair": (mcap_repair, f"WITH {_E} SELECT event_id, topic, file, t * 1000 AS log_time FROM e"),
     "nms_boxes": (nms_boxes, None),
     "lpt_shard": (lpt_shard, None),
     "paint_dilate_fill": (paint_dilate_fill, None),

@@ -9,16 +9,41 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, GreaterThanOrEqual, In, InputPartition, LessThanOrEqual, WriterCommitMessage
+from pyspark.sql.types import BooleanType
 
+from riverlog.functions import wire
 from riverlog.sources import mcap
 
 MESSAGES = "file string, topic string, schema_name string, schema_encoding string, schema_data binary, message_encoding string, metadata map<string,string>, channel_id int, ordinal long, sequence long, log_time long, publish_time long, data binary"
 CHANNELS = "file string, channel_id int, topic string, message_encoding string, schema_id int, schema_name string, metadata map<string,string>"
 STATISTICS = "file string, status string, messages long, channels int, chunks int"
 CHUNKS_A_TASK = 64
+BATCH_ROWS, BATCH_BYTES = 8192, 4 << 20
+_KINDS = {"string": pa.string(), "binary": pa.binary(), "int": pa.int32(), "long": pa.int64(), "map<string,string>": pa.map_(pa.string(), pa.string())}
+ARROW = {k: pa.schema([(c.split(" ")[0], _KINDS[c.split(" ")[1]]) for c in s.split(", ")]) for k, s in (("messages", MESSAGES), ("channels", CHANNELS), ("statistics", STATISTICS))}
+#: Schema name of video messages: fixed value.
+VIDEO = "foxglove.CompressedVideo"
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    plain = lambda x: list(x.items()) if isinstance(x, dict) else x
+    return pa.RecordBatch.from_arrays([pa.array(list(map(plain, c)) if pa.types.is_map(f.type) else c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+@F.pandas_udf(BooleanType())
+def _is_key(data: pd.Series) -> pd.Series:
+    return data.map(lambda x: wire.is_keyframe(bytes(x)))
+
+
+def keyframes(messages: DataFrame) -> DataFrame:
+    """Video messages whose payload is not empty and holds a keyframe."""
+    return messages.where((F.col("schema_name") == VIDEO) & (F.octet_length("data") > 0)).where(_is_key("data"))
 
 
 def _fs(path: str):
@@ -80,7 +105,19 @@ class McapReader(DataSourceReader):
         s = schemas.get(c.schema_id) if c.schema_id else None
         return file, c.topic, s and s.name, s and s.encoding, s and s.data, c.encoding, c.metadata, m.channel_id, k, m.sequence, m.log_time, m.publish_time, m.data if self.payload else None
 
-    def read(self, piece: Piece) -> Iterator[tuple]:
+    def read(self, piece: Piece) -> Iterator[pa.RecordBatch]:
+        """Arrow batches of BATCH_ROWS rows or BATCH_BYTES of payload."""
+        held, size = [], 0
+        for row in self._rows(piece):
+            held.append(row)
+            size += len(row[-1] or b"") if self.what == "messages" else 0
+            if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
+                yield _batch(held, ARROW[self.what])
+                held, size = [], 0
+        if held:
+            yield _batch(held, ARROW[self.what])
+
+    def _rows(self, piece: Piece) -> Iterator[tuple]:
         name = piece.file.rsplit("/", 1)[-1]
         with _open(piece.file) as f:
             if self.what == "statistics":
@@ -120,29 +157,36 @@ class McapReader(DataSourceReader):
 
 
 class Wrote(WriterCommitMessage):
-    def __init__(self, part: str | None, name: str | None):
-        self.part, self.name = part, name
+    def __init__(self, files: list[tuple[str, str]]):
+        self.files = files
 
 
 class McapWriter(DataSourceWriter):
-    """One file for each non-empty partition, written aside and moved into place when all tasks are done."""
+    """One file for each non-empty partition, or with the option `split` for each value of that column, by which partitions are then
+    sorted; files are written aside and moved into place when all tasks are done."""
 
     def __init__(self, options: dict, overwrite: bool, names: list[str]):
         self.path, self.overwrite, self.names = options["path"].rstrip("/"), overwrite, names
-        self.compression = options.get("compression", "zstd")
+        self.compression, self.split = options.get("compression", "zstd"), options.get("split")
 
     def write(self, rows: Iterator) -> Wrote:
         from pyspark import TaskContext
 
         fs, root = _fs(self.path)
-        at, w, channels = None, None, {}
+        own = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:8]}"
+        files, name, w, out, channels = [], None, None, None, {}
         for row in rows:
             r = dict(zip(self.names, row))
-            if w is None:
+            wanted = str(r[self.split]) if self.split else own
+            if wanted != name:
+                if w is not None:
+                    w.close()
+                    out.close()
                 fs.create_dir(root, recursive=True)
                 at = f"{root}/.{uuid.uuid4().hex}.part"
                 out = fs.open_output_stream(at)
-                w = mcap.Writer(out, compression=self.compression)
+                name, w, channels = wanted, mcap.Writer(out, compression=self.compression), {}
+                files.append((at, f"{root}/{name}.mcap"))
             meta = r.get("metadata") or {}
             key = r["topic"], r.get("schema_name"), r.get("schema_encoding"), r.get("schema_data"), r.get("message_encoding"), tuple(sorted(meta.items())), r.get("channel_id")
             if key not in channels:
@@ -155,27 +199,28 @@ class McapWriter(DataSourceWriter):
                 channels[key] = len(channels) + 1
                 w.add(mcap.Channel(channels[key], schema, r["topic"], key[4] or "", dict(meta)))
             w.add(mcap.Message(channels[key], int(r.get("sequence") or 0), int(r["log_time"]), int(r.get("publish_time") or r["log_time"]), bytes(r.get("data") or b"")))
-        if w is None:
-            return Wrote(None, None)
-        w.close()
-        out.close()
-        return Wrote(at, f"{root}/part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:8]}.mcap")
+        if w is not None:
+            w.close()
+            out.close()
+        return Wrote(files)
 
     def commit(self, messages: list[Wrote]) -> None:
         fs, root = _fs(self.path)
+        files = [f for m in messages if m for f in m.files]
+        if len({name for _, name in files}) < len(files):
+            self.abort(messages)
+            raise ValueError(f"rows of one {self.split} are not together: repartition and sort by it")
         if self.overwrite:
             for x in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
                 if x.base_name.endswith(".mcap"):
                     fs.delete_file(x.path)
-        for m in messages:
-            if m and m.part:
-                fs.move(m.part, m.name)
+        for at, name in files:
+            fs.move(at, name)
 
     def abort(self, messages: list[Wrote]) -> None:
         fs, _ = _fs(self.path)
-        for m in messages:
-            if m and m.part:
-                fs.delete_file(m.part)
+        for at, _ in (f for m in messages if m for f in m.files):
+            fs.delete_file(at)
 
 
 class McapDataSource(DataSource):
@@ -196,3 +241,51 @@ class McapDataSource(DataSource):
 def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(McapDataSource)
+
+
+def repair_folder(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Repairs the logs at source into the folder target, each in a task of its own: file, status, messages, channels, start_t, end_t, ended_early.
+
+    A log is written aside, reopened through its new index and moved into place only if that counts as many messages; one without
+    any message leaves no file. status: ok, empty, or the error. Files that stand in target already are an error, before any work.
+    """
+    from riverlog.sources.folders import scratch
+
+    fs, root = _fs(target.rstrip("/"))
+    there = {x.base_name for x in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))}
+    files = _files(source)  # a list of names
+    if taken := sorted(there & {f.rsplit("/", 1)[-1] for f in files}):
+        raise FileExistsError(f"{target} holds {taken[0]}")
+    out = pa.schema([("file", pa.string()), ("status", pa.string()), ("messages", pa.int64()), ("channels", pa.int32()), ("start_t", pa.int64()), ("end_t", pa.int64()), ("ended_early", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_pylist([_repaired(path, target.rstrip("/"))], schema=out)
+
+    listed = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, min(len(files), 4096)), "path")
+    done = listed.mapInArrow(run, "file string, status string, messages long, channels int, start_t long, end_t long, ended_early boolean")
+    kept = scratch(spark, "repairs")
+    done.write.parquet(kept)  # repairs run once, however often the result is read
+    return spark.read.schema(done.schema).parquet(kept)
+
+
+def _repaired(path: str, target: str) -> dict:
+    name = path.rsplit("/", 1)[-1]
+    fs, root = _fs(target)
+    fs.create_dir(root, recursive=True)
+    part = f"{root}/.{uuid.uuid4().hex}.part"
+    try:
+        with _open(path) as f, fs.open_output_stream(part) as out:
+            got = mcap.repair(f, out)
+        if got["messages"]:
+            with fs.open_input_file(part) as f:
+                if (n := mcap.read_summary(f).messages) != got["messages"]:
+                    raise mcap.Corrupt(f"{n} of {got['messages']} messages in the new index")
+            fs.move(part, f"{root}/{name}")
+        else:
+            fs.delete_file(part)
+        return {"file": name, "status": "ok" if got["messages"] else "empty", "messages": got["messages"], "channels": got["channels"], "start_t": got["start"], "end_t": got["end"], "ended_early": got["ended_early"]}
+    except (ValueError, NotImplementedError) as e:
+        fs.delete_file(part)
+        return {"file": name, "status": f"broken: {e}"}

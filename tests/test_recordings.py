@@ -6,10 +6,10 @@ import duckdb
 import numpy as np
 import pytest
 
-from riverlog.functions import wire
-from riverlog.operators import boxes, detect, intervals, manifest
+from riverlog.functions import scalars, wire
+from riverlog.operators import boxes, detect, intervals, joins, manifest, reports
 from riverlog.plans import catalog
-from riverlog.sources import mcap
+from riverlog.sources import mcap, mcap_source
 
 SF = "/root/testdata/sf0.001"
 
@@ -135,6 +135,62 @@ def test_query_equals_sql(spark, name):
     assert norm(got.select(*cols).collect()) == norm(want.select(*[duckdb.ColumnExpression(x) for x in cols]).fetchall())
 
 
+def test_devices_names_and_time(spark):
+    from pyspark.sql import functions as F
+
+    assert [scalars.parse_device(x) for x in ("cpu", " 1", "CUDA:0")] == [("cpu", None), ("cuda:1", 1), ("cuda:0", 0)]
+    with pytest.raises(ValueError):
+        scalars.parse_device("gpu")
+    r = spark.range(1).select(scalars.utc_now().alias("now"), scalars.parameters({"b": 2, "a": None}).alias("p"), scalars.seconds(F.lit(1_500_000_000)).alias("s"), scalars.is_system_log(F.lit("system_logs_1.mcap")).alias("l")).first()
+    assert len(r["now"]) == 25 and r["now"].endswith("+00:00") and r["p"] == {"a": None, "b": "2"} and r["s"] == 1.5 and r["l"]
+
+
+def test_payloads_by_place(spark):
+    """A null payload is a payload; only rows that one side lacks are missing or extra."""
+    a = spark.createDataFrame([("t", 0, "a"), ("t", 1, None), ("t", 2, "c"), ("u", 0, "x")], "topic string, k int, v string")
+    b = spark.createDataFrame([("t", 0, None), ("t", 1, "B"), ("u", 0, "X"), ("u", 1, "Y")], "topic string, k int, v string")
+    got = {(r["topic"], r["idx"]): (r["status"], r["v"]) for r in detect.swap_payload(a, b, ["topic"], ["k"], "v").collect()}
+    assert got == {("t", 0): ("swapped", None), ("t", 1): ("swapped", "B"), ("t", 2): ("missing", "c"), ("u", 0): ("swapped", "X"), ("u", 1): ("extra", "Y")}
+
+
+def test_route_over_cells(spark):
+    messages = spark.createDataFrame([("f", t) for t in (-5, 0, 9, 10, 11, 25, 40)], "file string, t long")
+    spans_ = spark.createDataFrame([("f", 0, 10), ("f", 10, 25), ("f", 41, 40), ("g", 0, 99)], "file string, a long, b long")
+    got = sorted((r["t"], r["a"]) for r in joins.route(messages, spans_, ["file"], cell=10).collect())
+    assert got == [(0, 0), (9, 0), (10, 0), (10, 10), (11, 10), (25, 10)]
+
+
+def test_repair_folder_and_split_writer(spark, tmp_path):
+    mcap_source.register(spark)
+    (tmp_path / "in").mkdir()
+    for name, raw in {"good": _log(), "cut": _log()[:2500], "empty": _log(0)[:-40], "none": b"not a log"}.items():
+        (tmp_path / "in" / f"{name}.mcap").write_bytes(raw)
+    done = {r["file"]: r for r in mcap_source.repair_folder(spark, f"{tmp_path}/in", f"{tmp_path}/out").collect()}
+    assert done["good.mcap"]["messages"] == 100 and done["good.mcap"]["status"] == "ok" and not done["good.mcap"]["ended_early"]
+    assert 0 < done["cut.mcap"]["messages"] < 100 and done["cut.mcap"]["ended_early"] and done["empty.mcap"]["status"] == "empty"
+    assert done["none.mcap"]["status"].startswith("broken") and sorted(os.listdir(tmp_path / "out")) == ["cut.mcap", "good.mcap"]
+    with pytest.raises(FileExistsError):
+        mcap_source.repair_folder(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    broken = {r["file"]: r["status"] for r in spark.read.format("mcap").option("records", "statistics").load(f"{tmp_path}/in").collect()}
+    assert broken["good.mcap"] == "ok" and all(broken[f"{x}.mcap"].startswith("broken") for x in ("cut", "none"))
+    rows = spark.createDataFrame([("x", "/a", 1, b"1"), ("y", "/a", 2, b""), ("x", "/b", 3, None)], "name string, topic string, log_time long, data binary")
+    rows.repartition("name").sortWithinPartitions("name", "log_time").write.format("mcap").option("split", "name").mode("append").save(f"{tmp_path}/split")
+    got = spark.read.format("mcap").load(f"{tmp_path}/split").select("file", "topic", "log_time").collect()
+    assert sorted(map(tuple, got)) == [("x.mcap", "/a", 1), ("x.mcap", "/b", 3), ("y.mcap", "/a", 2)]
+
+
+def test_manifests(spark, tmp_path):
+    path = f"file://{tmp_path}/m.json"
+    assert reports.read_manifest(spark, path) is None
+    for doc in ({"files": [1]}, {"files": [2, 3]}):
+        reports.write_manifest(spark, path, doc)
+        assert reports.read_manifest(spark, path) == doc
+    assert [x for x in os.listdir(tmp_path) if x.endswith(".part")] == []
+    (tmp_path / "n.json").write_text("{broken")
+    with pytest.raises(ValueError):
+        reports.read_manifest(spark, f"file://{tmp_path}/n.json")
+
+
 def test_nms_takes_every_whole_box(spark, tmp_path):
     v = [float(x) for i in range(14) for x in (i, i, 0, 0, 0.9 if i == 13 else 0.1)] + [7.0, 7.0]
     spark.createDataFrame([(1, v)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
