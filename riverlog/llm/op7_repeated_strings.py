@@ -288,7 +288,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None
 
 def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = remove_repeats(table(spark, sf_dir, "documents"))
-    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), (F.col("n_removed") > 0).alias("repeats"))
 
 
 QUERIES = {"op7_repeated_strings": op7_repeated_strings}
