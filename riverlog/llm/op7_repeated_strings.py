@@ -291,8 +291,24 @@ def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), (F.col("n_removed") > 0).alias("repeats"))
 
 
+#: Every window of every text, by its MD5.
+ORACLE = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS MATERIALIZED (SELECT r, p, md5_number(b[p:p + 399]) AS h FROM (SELECT r, b, unnest(range(1, n - 398)) AS p FROM d WHERE n >= 400)),
+s AS (SELECT r, p FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+m AS (SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 400 THEN 0 ELSE 1 END AS fresh FROM s),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY r ORDER BY p) AS k FROM m),
+gone AS MATERIALIZED (SELECT r, min(p) AS a, max(p) + 400 AS e FROM g GROUP BY r, k),
+cuts AS (SELECT r, a, e FROM gone UNION ALL SELECT r, n + 1, n + 1 FROM d),
+parts AS (SELECT r, a, coalesce(lag(e) OVER (PARTITION BY r ORDER BY a, e), 1) AS since FROM cuts),
+kept AS (SELECT r, string_agg(hex(b[since:a - 1]), '' ORDER BY a) AS x FROM parts JOIN d USING (r) GROUP BY r),
+sums AS (SELECT r, sum(e - a) AS removed, count(*) AS spans FROM gone GROUP BY r)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(x)) AS kept_sha256, coalesce(removed, 0) > 0 AS repeats
+FROM d JOIN kept USING (r) LEFT JOIN sums USING (r)
+"""
+
 QUERIES = {"op7_repeated_strings": op7_repeated_strings}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op7_repeated_strings": ORACLE}
 
 
 def plain(texts: list[bytes], length: int = LENGTH) -> list[bytes]:

@@ -85,24 +85,44 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, sett
     raise RuntimeError(f"host scores have not settled in {rounds} rounds")
 
 
+def judged(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """page_id, host, path, r (the fitting rule and its verdict, or null)."""
+    rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    return rows.withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
+
+
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], block_ratio: float = BLOCK_RATIO) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust for each row of pages(page_id, url, html).
 
     Other columns are not read. A null url or one without "://" has empty host and path, no rule and no links; like a host
-    that neither seeds nor links reach, it is allowed. A null html has no links. Repeated rows are each judged and counted.
+    that neither seeds nor links reach, it is allowed. A null html has no links. Repeated rows are each judged and counted; no
+    rows give no rows.
     """
-    judged = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
+    rows = judged(pages, rules)
     count = lambda v: F.count_if(F.col("r.verdict") == v).cast("double").alias("trust" if v == "allow" else "distrust")
-    seeds = judged.where("host <> ''").groupBy("host").agg(count("allow"), count("block"))
+    seeds = rows.where("host <> ''").groupBy("host").agg(count("allow"), count("block"))
     scores = propagate(seeds, host_edges(pages)).where("trust > 0 OR distrust > 0")
-    spread = judged.join(scores, "host", "left").na.fill(0.0, ["trust", "distrust"])
+    spread = rows.join(scores, "host", "left").na.fill(0.0, ["trust", "distrust"])
     verdict = F.coalesce(F.col("r.verdict"), F.when(F.col("distrust") > block_ratio * F.col("trust"), "block").otherwise("allow"))
     return spread.select("page_id", "host", "path", F.col("r.rule").alias("rule"), verdict.alias("verdict"), "trust", "distrust")
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the rules alone say of each page; verdict is null where the link graph decides."""
+    return judged(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "r.rule", "r.verdict")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), RULES)
 
 
-QUERIES = {"op9_url_filter": op9_url_filter}
-ORACLES: dict[str, str] = {}
+#: Of the rules only.
+ORACLE = r"""
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+l(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+f AS (SELECT page_id, host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(l.verdict, length(h || p)) AS verdict FROM u LEFT JOIN l ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY ALL)
+SELECT page_id, host, path, rule, verdict FROM f
+"""
+
+QUERIES = {"op9_url_filter": op9_url_filter, "url_rules": url_rules}
+ORACLES = {"url_rules": ORACLE}

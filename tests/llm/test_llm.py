@@ -240,6 +240,36 @@ def test_urls(spark):
     assert got[1]["host"] == "good.org" and got[8]["rule"] == "example.org/en/1" and got[3]["rule"] is None and got[3]["trust"] > 0 and got[6]["host"] == got[7]["path"] == ""
 
 
+def test_urls_of_hubs_repeats_and_nothing(spark):
+    """A hub that links everywhere and back, hosts without links out, repeated pages, and an empty table, against a dense solve."""
+    hosts = ["hub.net", "a.com", "spam.com", *(f"s{i}.net" for i in range(8))]
+    to = {"hub.net": hosts[1:], "a.com": ["hub.net"], "spam.com": ["hub.net", "s0.net"], "s0.net": ["spam.com"], "s1.net": ["spam.com", "hub.net"]}
+    path = {"a.com": "/fr/", "spam.com": "/de/"}
+    rows = [(i, f"http://{h}{path.get(h, '/x')}", "".join(f'<a href="//{t}/">' for t in to.get(h, ()))) for i, h in enumerate(hosts)]
+    rows.append(rows[2])
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["host"]: r for r in o9.filter_urls(df, o9.RULES).collect()}
+    pages = {h: 2.0 if h == "spam.com" else 1.0 for h in hosts}
+    link = np.array([[pages[a] * (b in to.get(a, ())) for b in hosts] for a in hosts])
+    share = lambda m: np.divide(m, m.sum(1, keepdims=True), out=np.zeros_like(m), where=m.sum(1, keepdims=True) > 0)
+    for kind, m, seed in (("trust", share(link), "a.com"), ("distrust", share(link.T), "spam.com")):
+        want = np.linalg.solve(np.eye(len(hosts)) - o9.DAMPING * m.T, (1 - o9.DAMPING) * np.array([pages[h] * (h == seed) for h in hosts]))
+        assert all(np.isclose(got[h][kind], x, rtol=1e-6, atol=1e-12) for h, x in zip(hosts, want))
+    assert o9.filter_urls(df, o9.RULES).count() == len(rows) and o9.filter_urls(df.limit(0), o9.RULES).count() == 0
+
+
+def test_repeats_of_400_bytes(spark):
+    """At the operator's own length: a passage of 400 bytes goes, one of 399 stays, repeated rows and rows without an id count each."""
+    rng = random.Random(9)
+    fresh = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    p, q, twice = fresh(400), fresh(399), fresh(450)
+    rows = [(1, fresh(300) + p + fresh(90)), (2, p + fresh(700)), (3, "1" + q + "2" + fresh(50)), (4, fresh(50) + "3" + q + "4"), (5, twice), (5, twice), (None, fresh(500)), (6, None), (7, fresh(800) + p + fresh(10) + p)]
+    got = o7.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    left = o7.plain([(t or "").encode() for _, t in rows], 400)
+    assert sorted((str(r["doc_id"]), bytes(r["kept"])) for r in got) == sorted((str(i), x) for (i, _), x in zip(rows, left))
+    assert {r["doc_id"]: r["n_removed"] for r in got} == {1: 400, 2: 400, 3: 0, 4: 0, 5: 450, None: 0, 6: 0, 7: 800}
+
+
 def test_links_without_scheme(spark):
     html = """<a href="//B.net/x?u=http://no.net/"><a HREF='//b.net'><a href=//c.net#y><a href="https://b.net/z"><a href="/no/x"><a href="no//x"><a href="mailto:a@b"><a href="//a.com/own">"""
     pages = spark.createDataFrame([(1, "http://a.com/fr/", html), (2, "http://b.net/", None)], "page_id long, url string, html string")
