@@ -1,9 +1,11 @@
 """Exact top-k by inner product over KD-trees, one for each shard of vectors.
 
-Each shard's vectors are split at medians of the widest dimension into leaves with tight bounding boxes. A query visits
-leaves by falling bound (the largest inner product any point of the box can have) and stops when the bound is below its kth
-score. The kth score is propagated: each block of queries first searches one shard, and takes the scores found there along
-to all shards. Trees and query blocks are binary rows of bounded size, met by an equi-join on the shard.
+Median splits of a bounded sample deal the vectors to cells, so that a shard's vectors lie close together; a cell of more rows
+than a shard takes is several shards. Each shard's vectors are split at medians of the widest dimension into leaves with tight
+bounding boxes. A query visits leaves by falling bound (the largest inner product any point of the box can have) and stops when
+the bound is below its kth score. The kth score is propagated: each block of queries, all of one cell, first searches a shard of
+its own cell, and takes the scores found there along. Then only queries whose score a cell's tight box reaches go on to that
+cell. Trees and query blocks are binary rows of bounded size, met by an equi-join on the cell.
 """
 
 from __future__ import annotations
@@ -16,9 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riverlog.llm.common import prepare, stored, table
+from riverlog.llm.common import hash01, map_arrow, prepare, stored, table
 
 SHARD_ROWS, QUERY_ROWS, LEAF_ROWS = 8192, 512, 256
+#: Components in the sample that places the cells' splits, and rows of it in a cell at least.
+SAMPLE_VALUES, SAMPLE_ROWS = 1 << 20, 8
 
 
 def _dump(**arrays: np.ndarray) -> bytes:
@@ -54,6 +58,50 @@ def build_tree(points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> tuple[np.ndarr
     return order, offsets, lo, hi
 
 
+def build_splits(points: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Median splits of the widest dimension into about `cells` cells of at least SAMPLE_ROWS points: for each node its axis (-1: a
+    cell), the value from which on points go to the second child, and its first child, or the cell's number."""
+    axis, value, child, todo, done = [0], [0], [0], [(0, np.arange(len(points)), cells)], 0
+    while todo:
+        node, rows, want = todo.pop()
+        part = points[rows]
+        wide = int((part.max(0) - part.min(0)).argmax()) if part.size else 0
+        if want < 2 or len(rows) < 2 * SAMPLE_ROWS or not part.size or part[:, wide].min() == part[:, wide].max():
+            axis[node], child[node] = -1, done
+            done += 1
+            continue
+        x = part[:, wide]
+        at = np.sort(x)[len(x) // 2]
+        at = at if at > x.min() else x[x > at].min()
+        axis[node], value[node], child[node] = wide, at, len(axis)
+        for side, n in ((x < at, want // 2), (x >= at, want - want // 2)):
+            todo.append((len(axis), rows[side], n))
+            for y in (axis, value, child):
+                y.append(0)
+    return np.array(axis), np.array(value, np.int64), np.array(child)
+
+
+def cell_of(points: np.ndarray, splits: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    axis, value, child = splits
+    node = np.zeros(len(points), np.int64)
+    while (inner := np.flatnonzero(axis[node] >= 0)).size:
+        at = node[inner]
+        node[inner] = child[at] + (points[inner, axis[at]] >= value[at])
+    return child[node]
+
+
+def _bounds(asked: np.ndarray, lo: np.ndarray, hi: np.ndarray, kind: type) -> np.ndarray:
+    """The largest inner product with any point of each box."""
+    wide = object if kind is object else np.float64
+    return np.maximum(asked, 0).astype(wide) @ hi.astype(wide).T + np.minimum(asked, 0).astype(wide) @ lo.astype(wide).T
+
+
+def reached(queries: dict[str, np.ndarray], lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Which boxes may hold a point that reaches each query's tau."""
+    kind = _exact(np.concatenate([lo, hi]), queries["points"])
+    return (_bounds(queries["points"], lo, hi, kind) >= queries["tau"][:, None]).astype(bool)
+
+
 def _exact(points: np.ndarray, queries: np.ndarray) -> type:
     """The cheapest number type whose sums of products are exact."""
     top = lambda x: int(np.abs(x).max(initial=0)) if not (x == np.iinfo(np.int64).min).any() else 1 << 63
@@ -65,9 +113,7 @@ def search(tree: dict[str, np.ndarray], queries: dict[str, np.ndarray], k: int)
     """For each query: its place, and the vec_ids, rows and scores of its k best points, if they reach the query's tau."""
     kind = _exact(tree["points"], queries["points"])
     points, asked = tree["points"].astype(kind), queries["points"].astype(kind)
-    wide = object if kind is object else np.float64
-    up, down = np.maximum(asked, 0).astype(wide), np.minimum(asked, 0).astype(wide)
-    bounds = up @ tree["hi"].astype(wide).T + down @ tree["lo"].astype(wide).T
+    bounds = _bounds(asked, tree["lo"], tree["hi"], kind)
     for i in range(len(asked)):
         kth, ids, rows, scores = queries["tau"][i], [], [], []
         for leaf in np.argsort(-bounds[i], kind="stable"):
@@ -114,32 +160,78 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int = S
     fine = F.col("embedding").isNotNull() & F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     ints = F.transform("embedding", lambda x: F.floor(F.lit(64) * x.cast("double")).cast("long"))
     rows = stored(vectors.where(fine & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.monotonically_increasing_id().alias("row"), ints.alias("v"), is_query.alias("asks"), F.size("embedding").alias("dim")), "vectors")
-    counts = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
-    shards, blocks = max(1, -(-counts["n"] // shard_rows)), max(1, -(-counts["q"] // QUERY_ROWS))
+    counts = rows.agg(F.count("*").alias("n"), F.max("dim").alias("dim")).first()
+    if not counts["n"]:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+
+    chance = min(1.0, SAMPLE_VALUES / max(1, counts["dim"]) / counts["n"])
+    sample: dict[int, list] = {}
+    for r in rows.where(hash01(F.col("row"), "splits") < chance).select("dim", "v").toArrow().to_batches():
+        for dim, v in zip(r.column("dim").to_pylist(), r.column("v").to_pylist()):
+            sample.setdefault(dim, []).append(v)
+    splits = {dim: build_splits(np.array(v, np.int64).reshape(len(v), -1), -(-int(len(v) / chance) // shard_rows)) for dim, v in sample.items()}
+    dealing = spark.sparkContext.broadcast(splits)  # fewer nodes than sampled rows
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            dims, cells = t.column("dim").to_numpy(), np.zeros(t.num_rows, np.int64)
+            for dim in np.unique(dims):
+                if dim in dealing.value:
+                    which = np.flatnonzero(dims == dim)
+                    cells[which] = cell_of(_points(t.take(which)), dealing.value[dim])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells)], [*b.schema.names, "cell"])
+
+    dealt = stored(map_arrow(rows, deal, "vec_id long, row long, v array<long>, asks boolean, dim int, cell long"), "dealt-vectors")
+    sizes = dealt.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.count_if("asks").alias("q"))
+    share = lambda n, most: F.greatest(F.lit(1), F.ceil(n / F.lit(float(most)))).cast("long")
+    sizes = sizes.select("dim", "cell", share(F.col("n"), 2 * shard_rows).alias("shards"), share(F.col("q"), QUERY_ROWS).alias("blocks"))
+    part = lambda n: F.pmod(F.xxhash64("row"), F.col(n)).cast("long")
+    placed = dealt.join(sizes, ["dim", "cell"])
+    group = pa.schema([("dim", pa.int32()), ("cell", pa.int64()), ("part", pa.int64())])
 
     def tree(t: pa.Table) -> pa.Table:
         points = _points(t)
         order, offsets, lo, hi = build_tree(points)
         raw = _dump(points=points[order], ids=t.column("vec_id").to_numpy()[order], rows=t.column("row").to_numpy()[order], offsets=offsets, lo=lo, hi=hi)
-        return pa.table({"dim": [t.column("dim")[0].as_py()], "shard": [t.column("part")[0].as_py()], "tree": [raw]}, schema=pa.schema([("dim", pa.int32()), ("shard", pa.int64()), ("tree", pa.binary())]))
+        box = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (lo.min(0), hi.max(0))]
+        return pa.Table.from_arrays([*(t.column(c).slice(0, 1).cast(group.field(c).type) for c in group.names), pa.array([raw], pa.binary()), *box], [*group.names, "tree", "lo", "hi"])
 
     def block(t: pa.Table) -> pa.Table:
         raw = _dump(points=_points(t), ids=t.column("vec_id").to_numpy(), rows=t.column("row").to_numpy(), tau=np.full(t.num_rows, -np.inf))
-        return pa.table({"dim": [t.column("dim")[0].as_py()], "block": [t.column("part")[0].as_py()], "queries": [raw]}, schema=pa.schema([("dim", pa.int32()), ("block", pa.int64()), ("queries", pa.binary())]))
+        return pa.Table.from_arrays([*(t.column(c).slice(0, 1).cast(kind) for c, kind in (("dim", pa.int32()), ("cell", pa.int64()), ("home", pa.int64()))), pa.array([raw], pa.binary())], ["dim", "cell", "part", "queries"])
+
+    trees = stored(placed.withColumn("part", part("shards")).groupBy("dim", "cell", "part").applyInArrow(tree, "dim int, cell long, part long, tree binary, lo array<long>, hi array<long>"), "trees")
+    asked = placed.where("asks").withColumn("block", part("blocks")).withColumn("home", F.pmod("block", "shards"))
+    asked = asked.groupBy("dim", "cell", "block").applyInArrow(block, "dim int, cell long, part long, queries binary")
+    # Boxes of the cells of sampled dimensions: at most SAMPLE_VALUES / SAMPLE_ROWS components. Others are always reached.
+    sides = trees.where(F.col("dim").isin(list(splits))).select("dim", "cell", F.posexplode(F.arrays_zip("lo", "hi")).alias("i", "x")).groupBy("dim", "cell", "i").agg(F.min("x.lo").alias("lo"), F.max("x.hi").alias("hi"))
+    boxes: dict[int, dict[str, np.ndarray]] = {}
+    for dim, of_dim in sides.toPandas().groupby("dim"):
+        of_dim = of_dim.sort_values(["cell", "i"])
+        boxes[int(dim)] = {"cell": of_dim["cell"].to_numpy()[::dim], **{c: of_dim[c].to_numpy(np.int64).reshape(-1, dim) for c in ("lo", "hi")}}
+    shared = spark.sparkContext.broadcast(boxes)
 
-    part = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("long")
-    trees = stored(rows.withColumn("part", part(shards)).groupBy("dim", "part").applyInArrow(tree, "dim int, shard long, tree binary"), "trees")
-    asked = rows.where("asks").withColumn("part", part(blocks)).groupBy("dim", "part").applyInArrow(block, "dim int, block long, queries binary")
+    piece = pa.schema([("dim", pa.int32()), ("cell", pa.int64()), ("queries", pa.binary())])
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for dim, block, queries, raw in zip(*(b.column(c).to_pylist() for c in ("dim", "block", "queries", "tree"))):
+            for dim, cell, queries, raw in zip(*(b.column(c).to_pylist() for c in ("dim", "cell", "queries", "tree"))):
                 q = _load(queries)
-                if raw is not None:
-                    for i, _, _, scores in search(_load(raw), q, k):
-                        if len(scores) == k and float(scores[-1]) == scores[-1]:
-                            q["tau"][i] = float(scores[-1])
-                yield pa.RecordBatch.from_pydict({"dim": [dim], "block": [block], "queries": [_dump(**q)]}, schema=pa.schema([("dim", pa.int32()), ("block", pa.int64()), ("queries", pa.binary())]))
+                for i, _, _, scores in search(_load(raw), q, k) if raw is not None else ():
+                    if len(scores) == k and float(scores[-1]) == scores[-1]:
+                        q["tau"][i] = float(scores[-1])
+                yield pa.RecordBatch.from_pydict({"dim": [dim], "cell": [cell], "queries": [_dump(**q)]}, schema=piece)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each block, for each cell, the queries whose tau its box reaches."""
+        for b in batches:
+            for dim, queries in zip(b.column("dim").to_pylist(), b.column("queries").to_pylist()):
+                q, known = _load(queries), shared.value.get(dim)
+                near = reached(q, known["lo"], known["hi"]) if known else np.ones((len(q["ids"]), 1), bool)
+                for cell, go in zip(known["cell"].tolist() if known else [0], near.T):
+                    if go.any():
+                        yield pa.RecordBatch.from_pydict({"dim": [dim], "cell": [cell], "queries": [_dump(**{c: x[go] for c, x in q.items()})]}, schema=piece)
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -151,9 +243,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int = S
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["query_id", "query_row", "vec_id", "row", "score"])
 
-    home = asked.withColumn("shard", F.pmod("block", F.lit(shards)))
-    seeded = stored(home.join(trees, ["dim", "shard"], "left").select("dim", "block", "queries", "tree").mapInArrow(first, "dim int, block long, queries binary"), "query-blocks")
-    pairs = seeded.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("shard", F.col("shard").cast("long")).join(trees, ["dim", "shard"])
+    seeded = stored(asked.join(trees, ["dim", "cell", "part"], "left").select("dim", "cell", "queries", "tree").mapInArrow(first, "dim int, cell long, queries binary"), "query-blocks")
+    pairs = seeded.mapInArrow(spread, "dim int, cell long, queries binary").join(trees, ["dim", "cell"])
     found = pairs.select("queries", "tree").mapInArrow(rest, "query_id long, query_row long, vec_id long, row long, score long")
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

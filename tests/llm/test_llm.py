@@ -182,6 +182,28 @@ def test_search_edges(spark):
     assert o5.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_search_among_cells(spark):
+    """Clusters, a third of all rows alike, negative and rare dimensions: many cells, of which a query reaches few."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 6)) * 4
+    v = np.concatenate([c + rng.normal(size=(60, 6)) * 0.1 for c in centres] + [np.tile(centres[3], (360, 1))]).astype(np.float32)
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(2000 + i, [float(i % 7), -1.0]) for i in range(80)]
+    got = o5.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3), F.col("vec_id") % 20 == 0, 5, shard_rows=48)
+    fine = [(i, np.floor(64 * np.array(x, np.float32).astype(float)).astype(int)) for i, x in rows]
+    want = []
+    for i, x in fine:
+        if i % 20 == 0:
+            s = sorted((-int(x @ w), j) for j, w in fine if j != i and len(w) == len(x))[:5]
+            want += [(i, r + 1, j, -y) for r, (y, j) in enumerate(s)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    points = np.floor(64 * v.astype(float)).astype(np.int64)
+    cells = o5.cell_of(points, o5.build_splits(points, 16))
+    lo, hi = (np.stack([f(points[cells == c], 0) for c in np.unique(cells)]) for f in (np.min, np.max))
+    scores = points @ points.T
+    near = o5.reached({"points": points, "tau": np.sort(scores, 1)[:, -6].astype(float)}, lo, hi)
+    assert len(lo) > 8 and near.mean() < 0.5 and near[np.arange(len(points))[:, None], np.searchsorted(np.unique(cells), cells[np.argsort(-scores, 1)[:, :5]])].all()
+
+
 def test_language(spark):
     got = o6.op6_language_id(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")
     assert got.where("lang = lang_pred").count() >= 0.97 * got.count()
