@@ -2,7 +2,8 @@
 
 For each language a raw-content zstandard dictionary is cut from labelled training texts. A text is compressed, in chunks,
 with each dictionary, and the smallest total wins. The margin is how much larger, per byte of the best, the second is; a
-text with a narrower margin than MARGIN is rejected.
+text with a narrower margin than MARGIN is rejected. Sizes are whole bytes, too coarse for short texts, so the end of each
+text, long or short, is compressed from some later words on too.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from riverlog.llm.common import hash01, map_arrow, table
 SAMPLE_TEXTS, DICTIONARY_BYTES, ALL_BYTES = 400, 64 << 10, 32 << 20
 #: Bytes of a text that are compressed at once, so that the dictionary counts throughout a long text.
 CHUNK, LEVEL, MIN_MATCH = 2048, 6, 3
-#: Of a text under SHORT bytes, up to SUFFIXES more are compressed, each from a later word on: sizes are whole bytes, their sum is finer.
-SHORT, SUFFIXES = 400, 12
+#: The bytes at the end of a text that are compressed again, from up to SUFFIXES later words on.
+TAIL, SUFFIXES = 400, 12
 #: Rejected below it: hardly any but ties of very short texts and junk.
 MARGIN = 0.001
 UNKNOWN = "und"
@@ -91,10 +92,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str] |
 
 def parts(text: str) -> list[bytes]:
     raw = text.lower().encode("utf-8", "replace")
-    if len(raw) >= SHORT:
-        return [raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)]
-    words = raw.split()
-    return [raw, *(b" ".join(words[i:]) for i in range(1, min(len(words), SUFFIXES)))]
+    words = raw[-TAIL:].split()
+    return [*(raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)), *(b" ".join(words[i:]) for i in range(1, min(len(words), SUFFIXES)))]
 
 
 def packer(dictionary: bytes) -> zstandard.ZstdCompressor:
