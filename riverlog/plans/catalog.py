@@ -625,9 +625,24 @@ _PAIRS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
     "cut_write": (cut_write, f"WITH {_NAMED} SELECT name, event_id, topic FROM rel r JOIN named n ON n.file = r.file AND r.t BETWEEN a AND b"),
     "swap_write": (swap_write, f"WITH {_E}, d AS (SELECT event_id, topic, file, row_number() OVER (PARTITION BY topic ORDER BY t, event_id) AS idx FROM e), n AS (SELECT topic, file, row_number() OVER (PARTITION BY topic ORDER BY t, event_id) AS idx FROM e WHERE event_id % 11 <> 0) SELECT event_id, d.topic, CASE WHEN n.idx IS NULL THEN d.file::VARCHAR ELSE 'new ' || n.file END AS payload FROM d LEFT JOIN n ON n.topic = d.topic AND n.idx = d.idx"),
     "mcap_repair": (mcap_repair, f"WITH {_E} SELECT event_id, topic, file, t * 1000 AS log_time FROM e"),
-    "nms_boxes": (nms_boxes, None),
-    "lpt_shard": (lpt_shard, None),
-    "paint_dilate_fill": (paint_dilate_fill, None),
+    "nms_boxes": (nms_boxes, """WITH RECURSIVE v AS (SELECT vec_id, embedding AS e, unnest(range(0, len(embedding) // 5)) AS j FROM embeddings),
+      b AS (SELECT vec_id, j, abs(CAST(e[5 * j + 1] AS DOUBLE)) * 100 AS x1, abs(CAST(e[5 * j + 2] AS DOUBLE)) * 100 AS y1, abs(CAST(e[5 * j + 5] AS DOUBLE)) AS s FROM v),
+      o AS MATERIALIZED (SELECT vec_id, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, j) AS i, {'x1': x1, 'y1': y1, 'x2': x1 + 20, 'y2': y1 + 20, 's': s} AS b FROM b),
+      r AS (SELECT vec_id, CAST(0 AS BIGINT) AS i, list_filter([b], lambda z: false) AS kept FROM o WHERE i = 1
+        UNION ALL SELECT o.vec_id, o.i, CASE WHEN len(list_filter(list_transform(r.kept, lambda k: {'c': greatest(0::DOUBLE, least(k.x2, o.b.x2) - greatest(k.x1, o.b.x1)) * greatest(0::DOUBLE, least(k.y2, o.b.y2) - greatest(k.y1, o.b.y1)),
+            'a': (k.x2 - k.x1) * (k.y2 - k.y1) + (o.b.x2 - o.b.x1) * (o.b.y2 - o.b.y1)}), lambda z: z.a > z.c AND z.c / (z.a - z.c) > 0.3::DOUBLE)) = 0 THEN list_append(r.kept, o.b) ELSE r.kept END
+        FROM r JOIN o ON o.vec_id = r.vec_id AND o.i = r.i + 1),
+      l AS (SELECT vec_id, list_transform(list_filter(arg_max(kept, i), lambda z: z.s > 0.05::DOUBLE), lambda z: z.s) AS s FROM r GROUP BY vec_id)
+      SELECT e.vec_id, coalesce(len(s), 0) AS kept, coalesce(list_max(s), 0::DOUBLE) AS best FROM embeddings e LEFT JOIN l ON l.vec_id = e.vec_id"""),
+    "lpt_shard": (lpt_shard, """WITH RECURSIVE s AS MATERIALIZED (SELECT s_name AS name, CAST(abs(floor(s_acctbal)) AS BIGINT) AS size, row_number() OVER (ORDER BY abs(floor(s_acctbal)) DESC, s_name) AS i FROM supplier),
+      r AS (SELECT CAST(0 AS BIGINT) AS i, CAST([0, 0, 0, 0] AS BIGINT[]) AS load, CAST(NULL AS VARCHAR) AS name, CAST(0 AS INTEGER) AS bucket
+        UNION ALL SELECT s.i, list_transform(load, lambda x, k: x + CASE WHEN k = list_position(load, list_min(load)) THEN size ELSE 0 END), s.name, CAST(list_position(load, list_min(load)) - 1 AS INTEGER) FROM r JOIN s ON s.i = r.i + 1)
+      SELECT bucket, name FROM r WHERE i > 0"""),
+    "paint_dilate_fill": (paint_dilate_fill, """WITH p AS (SELECT x, y FROM (SELECT unnest(range(0, 64)) AS x), (SELECT unnest(range(0, 64)) AS y)),
+      m AS (SELECT 0 AS shape, x, y FROM p WHERE ((x - 30) / 10::DOUBLE) ^ 2 + ((y - 28) / 8::DOUBLE) ^ 2 <= 1 UNION ALL SELECT 1, x, y FROM p WHERE x BETWEEN 20 AND 39 AND y BETWEEN 20 AND 35),
+      d AS (SELECT r, dx, dy FROM (SELECT unnest(range(0, 7)) AS r), (SELECT unnest(range(-6, 7)) AS dx), (SELECT unnest(range(-6, 7)) AS dy) WHERE dx * dx + dy * dy <= r * r),
+      n AS (SELECT shape, r, count(DISTINCT (x + dx) * 64 + y + dy) AS n FROM m, d WHERE x + dx BETWEEN 0 AND 63 AND y + dy BETWEEN 0 AND 63 GROUP BY shape, r)
+      SELECT vec_id, n AS masked, CASE WHEN vec_id % 256 = 128 THEN 0 ELSE n END AS changed FROM embeddings JOIN n ON shape = vec_id % 2 AND r = vec_id % 7"""),
     "temporal_stream_sessions": (temporal_stream_sessions, f"WITH {_SESS}, z AS (SELECT user_id AS file, min(epoch_us(ts)) AS t0 FROM events GROUP BY 1) SELECT sess.file, topic, a + t0 AS a, b + t0 AS b, n FROM sess JOIN z ON z.file = sess.file"),
 }
 QUERIES = {k: f for k, (f, _) in _PAIRS.items()}
