@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riverlog.functions import scalars, wire
 from riverlog.operators import boxes, cut, detect, intervals, joins, manifest, reports
-from riverlog.sources.folders import scratch
+from riverlog.sources.folders import file_system, scratch
 from riverlog.sources import mcap_source
 from riverlog.streaming import sessions as streaming
 
@@ -351,19 +351,31 @@ def paint_dilate_fill(spark, sf_dir):
     return _mapped(_table(spark, sf_dir, "embeddings").select("vec_id"), one, "vec_id long, masked long, changed long")
 
 
-def temporal_stream_sessions(spark, sf_dir):
+def _streamed(spark, sf_dir) -> DataFrame:
+    """The events as a stream, closed: its last row is far ahead, in the same batch, and of a recording and topic of its own. The
+    watermark that follows from it ends what the events have left open. (Times in pandas end in 2262.)"""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     schema = _table(spark, sf_dir, "events").schema
     # A pattern, as a stream's path may be a folder or a pattern, but not a file.
     e = spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
-    e = e.select(F.col("user_id").alias("file"), F.col("event_type").alias("topic"), F.col("ts").cast("timestamp").alias("ts"), "value")
-    hits = e.where(F.col("value") >= detect.threshold(F.col("topic"), CONF, OVERRIDES)).select(*CHANNEL, "ts")
-    # One row far ahead, in the same batch as the events: its watermark closes their last sessions, its own session stays open.
-    end = spark.range(1).select(*[F.lit(None).cast(hits.schema[c].dataType).alias(c) for c in CHANNEL], F.lit("9999-01-01").cast("timestamp").alias("ts"))
+    e = e.select("event_id", F.col("user_id").alias("file"), F.col("event_type").alias("topic"), F.col("ts").cast("timestamp").alias("ts"), "value")
+    far = {"ts": F.lit("2262-01-01").cast("timestamp"), "value": F.lit(1e9)}
+    end = spark.range(1).select(*[far.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in e.schema.fields])
     last = scratch(spark, "stream-end")
     end.write.parquet(last)
-    closed = hits.unionByName(spark.readStream.schema(end.schema).parquet(last))
-    return streaming.run_once(streaming.stream_sessions(closed, CHANNEL, "ts", "6 hours"), scratch(spark, "stream-sessions"), scratch(spark, "stream-state"))
+    return e.unionByName(spark.readStream.schema(end.schema).parquet(last))
+
+
+def temporal_stream_sessions(spark, sf_dir):
+    e = _streamed(spark, sf_dir)
+    hits = e.where(F.col("value") >= detect.threshold(F.coalesce("topic", F.lit("")), CONF, OVERRIDES)).select(*CHANNEL, "ts")
+    return streaming.run_once(streaming.stream_sessions(hits, CHANNEL, "ts", "6 hours"), scratch(spark, "stream-sessions"), scratch(spark, "stream-state"))
+
+
+def hold_max_stream(spark, sf_dir):
+    e = _streamed(spark, sf_dir).withColumn("flag", (F.col("value") >= CONF).cast("int"))
+    out = streaming.hold_stream(e, CHANNEL, "ts", "event_id", "flag", 5).where("event_id IS NOT NULL").select("event_id", "held")
+    return streaming.run_once(out, scratch(spark, "stream-held"), scratch(spark, "stream-state"))
 
 
 def _report(spark, sf_dir) -> DataFrame:
@@ -530,7 +542,7 @@ def mcap_repair(spark, sf_dir):
     names = spark.createDataFrame([(f,) for f in mcap_source._files(whole)], "path string")
 
     def damage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = mcap_source._fs(cut_off)
+        fs, root = file_system(cut_off)
         fs.create_dir(root, recursive=True)
         for b in batches:
             for path in b.column(0).to_pylist():
@@ -578,6 +590,7 @@ _PAIRS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
     "cut_targets": (cut_targets, f"WITH {_NAMED} SELECT * FROM named"),
     "route_messages": (route_messages, f"WITH {_KEEP}, spans AS (SELECT *, 'keep' AS kind FROM keep UNION ALL SELECT *, 'drop' FROM drops) SELECT event_id, r.file, kind, a, b FROM rel r JOIN spans s ON s.file = r.file AND r.t BETWEEN a AND b"),
     "hold_max": (hold_max, f"WITH {_REL} {_HELD.format(f='max(x) OVER w')}"),
+    "hold_max_stream": (hold_max_stream, f"WITH {_REL} {_HELD.format(f='max(x) OVER w')}"),
     "hold_majority": (hold_majority, f"WITH {_REL} {_HELD.format(f='CAST(sum(x) OVER w > count(*) OVER w // 2 AS INTEGER)')}"),
     "mosaic_align": (mosaic_align, f"WITH {_REL}, fr AS (SELECT file, topic, t, min(event_id) AS id FROM rel GROUP BY 1, 2, 3), ticks AS (SELECT file, unnest(range(0, duration + 1, {12 * HOUR})) AS t FROM bounds), clock AS (SELECT ticks.file, topic, t FROM ticks JOIN (SELECT DISTINCT file, topic FROM rel) x ON x.file = ticks.file) SELECT c.file, c.topic, CAST(c.t // {12 * HOUR} AS INTEGER) AS k, c.t, coalesce(id, -1) AS frame_id FROM clock c ASOF LEFT JOIN fr ON fr.file = c.file AND fr.topic = c.topic AND fr.t <= c.t"),
     "asof_tolerance": (asof_tolerance, f"WITH {_HITS}, {_KEYS} SELECT file, topic, t, event_id, CASE WHEN t - k <= {24 * HOUR} THEN k ELSE -1 END AS near_key FROM ({_ASOF.format(out='k.t AS k', op='<=')})"),

@@ -6,8 +6,20 @@ import atexit
 import tempfile
 import uuid
 
+from pyarrow import fs as pafs
 from pyspark.sql import SparkSession
 
+#: Hadoop's names of a scheme, and Arrow's.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system and the path in it for a path as Spark takes it; one without a scheme is local."""
+    scheme, sep, rest = uri.partition("://")
+    if not sep:
+        return pafs.FileSystem.from_uri(f"file://{uri.removeprefix('file:')}")
+    return pafs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; one of our own only where none is set and all runs on one machine."""

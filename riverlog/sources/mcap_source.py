@@ -19,6 +19,7 @@ from pyspark.sql.types import BooleanType
 
 from riverlog.functions import wire
 from riverlog.sources import mcap
+from riverlog.sources.folders import file_system, scratch
 
 MESSAGES = "file string, topic string, schema_name string, schema_encoding string, schema_data binary, message_encoding string, metadata map<string,string>, channel_id int, ordinal long, sequence long, log_time long, publish_time long, data binary"
 CHANNELS = "file string, channel_id int, topic string, message_encoding string, schema_id int, schema_name string, metadata map<string,string>"
@@ -46,12 +47,8 @@ def keyframes(messages: DataFrame) -> DataFrame:
     return messages.where((F.col("schema_name") == VIDEO) & (F.octet_length("data") > 0)).where(_is_key("data"))
 
 
-def _fs(path: str):
-    return pafs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
-
-
 def _files(path: str) -> list[str]:
-    fs, at = _fs(path)
+    fs, at = file_system(path)
     info = fs.get_file_info(at)
     if info.type == pafs.FileType.File:
         return [path]
@@ -60,7 +57,7 @@ def _files(path: str) -> list[str]:
 
 
 def _open(path: str):
-    fs, at = _fs(path)
+    fs, at = file_system(path)
     return fs.open_input_file(at)
 
 
@@ -172,7 +169,7 @@ class McapWriter(DataSourceWriter):
     def write(self, rows: Iterator) -> Wrote:
         from pyspark import TaskContext
 
-        fs, root = _fs(self.path)
+        fs, root = file_system(self.path)
         own = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:8]}"
         files, name, w, out, channels = [], None, None, None, {}
         for row in rows:
@@ -205,7 +202,7 @@ class McapWriter(DataSourceWriter):
         return Wrote(files)
 
     def commit(self, messages: list[Wrote]) -> None:
-        fs, root = _fs(self.path)
+        fs, root = file_system(self.path)
         files = [f for m in messages if m for f in m.files]
         if len({name for _, name in files}) < len(files):
             self.abort(messages)
@@ -218,7 +215,7 @@ class McapWriter(DataSourceWriter):
             fs.move(at, name)
 
     def abort(self, messages: list[Wrote]) -> None:
-        fs, _ = _fs(self.path)
+        fs, _ = file_system(self.path)
         for at, _ in (f for m in messages if m for f in m.files):
             fs.delete_file(at)
 
@@ -249,9 +246,7 @@ def repair_folder(spark: SparkSession, source: str, target: str) -> DataFrame:
     A log is written aside, reopened through its new index and moved into place only if that counts as many messages; one without
     any message leaves no file. status: ok, empty, or the error. Files that stand in target already are an error, before any work.
     """
-    from riverlog.sources.folders import scratch
-
-    fs, root = _fs(target.rstrip("/"))
+    fs, root = file_system(target.rstrip("/"))
     there = {x.base_name for x in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))}
     files = _files(source)  # a list of names
     if taken := sorted(there & {f.rsplit("/", 1)[-1] for f in files}):
@@ -272,7 +267,7 @@ def repair_folder(spark: SparkSession, source: str, target: str) -> DataFrame:
 
 def _repaired(path: str, target: str) -> dict:
     name = path.rsplit("/", 1)[-1]
-    fs, root = _fs(target)
+    fs, root = file_system(target)
     fs.create_dir(root, recursive=True)
     part = f"{root}/.{uuid.uuid4().hex}.part"
     try:

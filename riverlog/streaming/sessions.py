@@ -1,9 +1,13 @@
-"""Detection sessions over a stream: event-time sessions by gap, closed by a watermark."""
+"""Detections over a stream: event-time sessions by gap, closed by a watermark, and flags held over neighbouring rows."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def stream_sessions(df: DataFrame, by: list[str], ts: str, gap: str, late: str = "10 minutes") -> DataFrame:
@@ -16,6 +20,49 @@ def stream_sessions(df: DataFrame, by: list[str], ts: str, gap: str, late: str =
     return got.drop("w")
 
 
+def hold_stream(df: DataFrame, by: list[str], ts: str, row: str, flag: str, window: int, late: str = "10 minutes") -> DataFrame:
+    """by, row, held: whether any row of the group within window // 2 rows is flagged, as in detect.hold_any, on a stream of
+    df(by, ts, row, flag 0 or 1), where row is a long that tells rows apart.
+
+    A row is given out once window // 2 later rows of its group are there, or else when the watermark passes the group's last row. Of a
+    group, window - 1 rows stay as state. Within a micro-batch rows come in any order, as its files may; a row that arrives behind given
+    out ones is an error, as their windows would have been others; one that is `late` behind the newest of all groups is dropped by the
+    watermark, so `late` must cover how far groups run apart. A group's rows of one micro-batch meet in one task.
+    """
+    if window < 1 or window % 2 == 0:
+        raise ValueError("the window must be odd and at least 1")
+    half = window // 2
+    types = {f.name: f.dataType.simpleString() for f in df.select(*by).schema.fields}
+    out = ", ".join(f"`{c}` {types[c]}" for c in by) + f", `{row}` long, held int"
+
+    def give(key: tuple, rows: pd.DataFrame, first: int, stop: int) -> pd.DataFrame:
+        held = rows["flag"].rolling(window, center=True, min_periods=1).max()[first:stop].astype("int32")
+        given = pd.DataFrame({row: rows["row"][first:stop].astype("int64"), "held": held})
+        for i, c in enumerate(by):
+            given.insert(i, c, pd.Series([key[i]] * len(given), index=given.index, dtype=object))
+        return given
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        t, ids, flags, done = state.get if state.exists else ([], [], [], 0)
+        rows = pd.DataFrame({"t": pd.Series(t, dtype="int64"), "row": pd.Series(ids, dtype="int64"), "flag": pd.Series(flags, dtype="int64")})
+        if state.hasTimedOut:
+            state.remove()
+            yield give(key, rows, done, len(rows))
+            return
+        new = pd.concat([p[["_t", row, flag]].set_axis(["t", "row", "flag"], axis=1) for p in parts])
+        if done and (new["t"].min(), new["row"][new["t"] == new["t"].min()].min()) < (rows["t"][done - 1], rows["row"][done - 1]):
+            raise ValueError(f"a row of {key} arrives behind rows given out")
+        rows = pd.concat([rows, new]).sort_values(["t", "row"], ignore_index=True)
+        stop = max(done, len(rows) - half)
+        yield give(key, rows, done, stop)
+        left = rows[max(0, stop - half) :]
+        state.update((left["t"].tolist(), left["row"].tolist(), left["flag"].astype("int64").tolist(), min(stop, half)))
+        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), int(left["t"].max()) // 1000) + 1)
+
+    rows = df.withWatermark(ts, late).select(*by, ts, F.unix_micros(ts).alias("_t"), row, F.col(flag).cast("int").alias(flag))
+    return rows.groupBy(*by).applyInPandasWithState(step, out, "t array<long>, ids array<long>, flags array<long>, done int", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def run_once(out: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Runs all that is there into parquet files at path and stops; what they hold."""
     q = out.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -9,7 +9,8 @@ import pytest
 from riverlog.functions import scalars, wire
 from riverlog.operators import boxes, detect, intervals, joins, manifest, reports
 from riverlog.plans import catalog
-from riverlog.sources import mcap, mcap_source
+from riverlog.sources import folders, mcap, mcap_source
+from riverlog.streaming import sessions as streaming
 
 SF = "/root/testdata/sf0.001"
 
@@ -206,3 +207,28 @@ def test_stream_sessions_run_as_a_stream(spark, monkeypatch):
     want = catalog.sessions(spark, SF).join(first, "file").selectExpr("file", "topic", "a + t0", "b + t0", "n")
     assert ran == [True] and got.count() > 0
     assert sorted(map(tuple, got.select("file", "topic", "a", "b", "n").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_paths_as_spark_takes_them(tmp_path):
+    for path in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        fs, at = folders.file_system(path)
+        assert fs.type_name == "local" and at == str(tmp_path)
+    kinds = {scheme: folders.file_system(f"{scheme}://box/a/b?region=us-east-1") for scheme in ("s3", "s3a", "s3n")}
+    assert {k: (fs.type_name, at) for k, (fs, at) in kinds.items()} == dict.fromkeys(kinds, ("s3", "box/a/b"))
+
+
+def test_held_rows_leave_late(spark, tmp_path):
+    """Two micro-batches: a row leaves once two later rows are there; the last ones leave when the watermark has passed them."""
+    schema, rng = "file string, ts timestamp, id long, flag int", np.random.default_rng(5)
+    rows = [(f, i, k, int(rng.random() < 0.2)) for k, (f, i) in enumerate((f, i) for f in "ab" for i in range(40))]
+    cuts = [rows[:25] + rows[40:43], rows[25:40] + rows[43:], [("z", 10**6, 99, 0)]]
+    src, out, at = (str(tmp_path / x) for x in ("in", "out", "state"))
+    counts = []
+    for part in cuts:
+        spark.createDataFrame(part, "file string, s long, id long, flag int").selectExpr("file", "timestamp_seconds(1000000000 + s * 60) AS ts", "id", "flag").coalesce(1).write.mode("append").parquet(src)
+        held = streaming.hold_stream(spark.readStream.schema(schema).parquet(src), ["file"], "ts", "id", "flag", 5, "1 hour")
+        counts.append(streaming.run_once(held, out, at).count())
+    assert counts == [23 + 1, 38 + 38, 80]
+    batch = spark.createDataFrame(rows, "file string, s long, id long, flag int")
+    want = batch.select("id", detect.hold_any(batch, ["file"], "s", batch["flag"] == 1, 5).alias("held"))
+    assert sorted(map(tuple, spark.read.parquet(out).select("id", "held").collect())) == sorted(map(tuple, want.collect()))
