@@ -17,12 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riverlog.llm import tokens
 from riverlog.llm.common import map_arrow, partitions, prepare, scratch, stored, table
+from riverlog.sources.folders import file_system
 
 MAGIC, TRAILER = b"RVTK\x02\0\0\0", struct.Struct("<7q8s")
 BLOCK_TOKENS = 1 << 16
@@ -134,10 +134,6 @@ class ShardReader:
         return self.tokens(int(self.ends[i - 1]) if i else 0, int(self.ends[i]))
 
 
-def _open(uri: str):
-    return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri.removeprefix('file:')}")
-
-
 def write_tokens(docs: DataFrame, out: str, vocabulary: str, bits: int | None = None, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """Writes the encoded texts of docs(doc_id, text) to shard files in the shared folder `out`, in ascending doc_id order
     over the shards, and returns the manifest: shard, n_docs, n_tokens, file.
@@ -164,7 +160,7 @@ def write_tokens(docs: DataFrame, out: str, vocabulary: str, bits: int | None =
                 continue
             if writer is None:
                 shard = b.column(2)[0].as_py()
-                f, root = _open(out)
+                f, root = file_system(out)
                 f.create_dir(root, recursive=True)
                 name = f"{root}/shard-{shard:08d}.rvtk"
                 part = f"{name}.{struct.unpack('<Q', np.random.default_rng().bytes(8))[0]:016x}.part"
@@ -191,7 +187,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for uri, first in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                f, path = _open(uri)
+                f, path = file_system(uri)
                 with f.open_input_file(path) as file:
                     r = ShardReader(file)
                     starts = first + np.concatenate([[0], r.ends[:-1]]).astype(np.int64)[: len(r.ends)]

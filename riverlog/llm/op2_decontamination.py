@@ -7,7 +7,7 @@ span around it, and spans of WINDOW words or more count. Items of fewer words th
 their words, against every run of that many words in documents.
 
 The corpus is read once and never shuffled: the joined side are the items' fingerprints, broadcast when their measured bytes
-are within BROADCAST_BYTES; beyond it the fingerprints are shuffled instead and matching documents fetched by id.
+are within BROADCAST_BYTES; beyond it the document words are stored, fingerprints are shuffled and matching documents fetched by row.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverlog.llm.common import let, lower_ascii, table
+from riverlog.llm.common import let, lower_ascii, stored, table
 
 #: Characters that end a word: fixed value.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -106,6 +106,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, broadcast_bytes: int = BROA
     small = (stats["bytes"] or 0) * 4 <= broadcast_bytes
     base = docs.select("doc_id", words(F.col("text")).alias("dw")).withColumn("row", F.monotonically_increasing_id())
     base = base.withColumn("n_words", F.size("dw").cast("long"))
+    if not small:  # row numbers are read in several branches, and must be the same in all of them, also in a task run again
+        base = stored(base, "document-words")
     # A column of its own, so that explode runs in generated code and copies no words for keys that meet nothing; outer,
     # as else the optimizer filters by the array's size and so computes it twice.
     keyed = base.withColumn("keys", F.concat(F.array(F.lit(SELF)), fingerprints(F.col("dw"), lengths))).withColumn("key", F.explode_outer("keys"))
