@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riverlog.sources.folders import scratch
 
 #: Bytes of one Arrow batch handed to a Python worker, so a worker's memory does not depend on row sizes.
 ARROW_BATCH_BYTES = 4 << 20
+#: Bytes of a text whose words are looked at at once.
+WORD_BYTES = 1 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,3 +54,38 @@ def hash01(c: Column, seed: str) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+#: A-Z lower-cased; digits, letters and all bytes of characters beyond ASCII kept; the rest are spaces.
+_WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+
+
+def word_runs(raw: bytes | None, part: int | None = None) -> Iterator[list[bytes]]:
+    """The words of a UTF-8 text, lists of them in order, each of about `part` bytes of it: what is held does not grow with the text.
+    A text without any gives nothing."""
+    part, at = part or WORD_BYTES, 0
+    while raw and at < len(raw):
+        piece = raw[at : at + part].translate(_WORD_BYTES)
+        at += len(piece)
+        while at < len(raw) and piece[-1] != 32:  # on to the end of the last word
+            more = raw[at : at + 4096].translate(_WORD_BYTES)
+            end = more.find(b" ")
+            more = more if end < 0 else more[: end + 1]
+            piece += more
+            at += len(more)
+        if words := piece.split():
+            yield words
+
+
+def numbered(df: DataFrame, order: list[Column | str], name: str, within: int | None = None) -> DataFrame:
+    """df with its place from 1 in a total order of its rows (null beyond `within`), by sorted ranges: no task holds all rows. The last
+    of `order` should tell any two rows apart, so that no range is one key's."""
+    spark = df.sparkSession
+    placed = stored(df.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "places")
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    # One row a range: few, whatever df holds.
+    ends = placed.groupBy("_part").agg(F.count("*").alias("n"))
+    before = ends.select("_part", F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.col("_at") - F.shiftleft(F.col("_part"), 33) + 1
+    got = placed.join(F.broadcast(before), "_part").withColumn(name, place if within is None else F.when(place <= within, place))
+    return got.drop("_at", "_part", "_before")
