@@ -24,8 +24,9 @@ GRAMS, BUCKETS, SEED = 3, 10_000, 42
 #: Of the documents with MIN_WORDS words, PERCENT are drawn.
 MIN_WORDS, PERCENT = 20, 5
 #: Stored entries of a block, at most by one row too many.
-BLOCK_ENTRIES = 1 << 19
-MATRIX = "doc_ids array<long>, n_words array<long>, indptr array<long>, indices array<int>, counts array<long>"
+BLOCK_ENTRIES = 1 << 17
+#: indptr, counts: 64-bit and indices 32-bit little-endian integers, as bytes: arrays of so many would fill a reader's memory.
+MATRIX = "doc_ids array<long>, n_words array<long>, indptr binary, indices binary, counts binary"
 
 
 def bucket_counts(raw: bytes | None, buckets: int = BUCKETS, grams: int = GRAMS) -> tuple[int, np.ndarray]:
@@ -48,19 +49,19 @@ def bucket_counts(raw: bytes | None, buckets: int = BUCKETS, grams: int = GRAMS)
 
 def count_matrix(docs: DataFrame, buckets: int = BUCKETS, grams: int = GRAMS) -> DataFrame:
     """The rows of docs(doc_id, text) as stored CSR blocks: doc_ids, n_words, indptr, indices, counts."""
-    kinds = pa.schema([("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), ("indptr", pa.list_(pa.int64())), ("indices", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))])
+    kinds = pa.schema([("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), *[(c, pa.binary()) for c in ("indptr", "indices", "counts")]])
 
     def block(ids: list, words: list, indices: list, counts: list) -> pa.RecordBatch:
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in indices])])
-        values = [ids, words, ends, np.concatenate(indices), np.concatenate(counts)]
-        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(v)], pa.array(v, k.type.value_type)) for v, k in zip(values, kinds)], schema=kinds)
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in indices])]).astype("<i8")
+        values = [ids, words, *(x.tobytes() for x in (ends, np.concatenate(indices), np.concatenate(counts)))]
+        return pa.RecordBatch.from_arrays([pa.array([v], k.type) for v, k in zip(values, kinds)], schema=kinds)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, words, indices, counts, size = [], [], [], [], 0
         for b in batches:
             for doc_id, raw in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
                 n, total = bucket_counts(raw, buckets, grams)
-                at = np.flatnonzero(total).astype(np.int32)
+                at = np.flatnonzero(total).astype("<i4")
                 for held, x in zip((ids, words, indices, counts), (doc_id, n, at, total[at])):
                     held.append(x)
                 size += len(at) + 1
@@ -79,7 +80,8 @@ def column_sums(matrix: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for b in batches:
-            np.add.at(total, b.column(0).flatten().to_numpy(), b.column(1).flatten().to_numpy())
+            for indices, counts in zip(*(c.to_pylist() for c in b.columns)):
+                np.add.at(total, np.frombuffer(indices, "<i4"), np.frombuffer(counts, "<i8"))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
 
@@ -101,11 +103,10 @@ def weigh(matrix: DataFrame, gain: np.ndarray) -> DataFrame:
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
-                ids, words, indptr, indices, counts = (b.column(i)[r].values for i in range(5))
-                ends, n = indptr.to_numpy(), counts.to_numpy()
-                whole = [np.concatenate([[0], np.cumsum(x)]) for x in (n, gain[indices.to_numpy()] * n)]
+                ends, indices, n = (np.frombuffer(b.column(i)[r].as_py(), kind) for i, kind in ((2, "<i8"), (3, "<i4"), (4, "<i8")))
+                whole = [np.concatenate([[0], np.cumsum(x)]) for x in (n, gain[indices] * n)]
                 sums = [pa.array((x[ends[1:]] - x[ends[:-1]]).astype(np.int64)) for x in whole]
-                yield pa.RecordBatch.from_arrays([ids, words, *sums], ["doc_id", "n_words", "n_features", "weight"])
+                yield pa.RecordBatch.from_arrays([b.column(0)[r].values, b.column(1)[r].values, *sums], ["doc_id", "n_words", "n_features", "weight"])
 
     return map_arrow(matrix, product, "doc_id long, n_words long, n_features long, weight long")
 
