@@ -24,9 +24,10 @@ GRAMS, BUCKETS, SEED = 3, 10_000, 42
 #: Of the documents with MIN_WORDS words, PERCENT are drawn.
 MIN_WORDS, PERCENT = 20, 5
 #: Stored entries of a block, at most by one row too many.
-BLOCK_ENTRIES = 1 << 17
-#: indptr, counts: 64-bit and indices 32-bit little-endian integers, as bytes: arrays of so many would fill a reader's memory.
-MATRIX = "doc_ids array<long>, n_words array<long>, indptr binary, indices binary, counts binary"
+BLOCK_ENTRIES = 1 << 15
+#: indptr, indices and counts are little-endian unsigned integers as bytes (arrays of so many would fill a reader's memory): of 8 bytes,
+#: of _index_kind() and of `width` bytes.
+MATRIX = "doc_ids array<long>, n_words array<long>, width int, indptr binary, indices binary, counts binary"
 
 
 def bucket_counts(raw: bytes | None, buckets: int = BUCKETS, grams: int = GRAMS) -> tuple[int, np.ndarray]:
@@ -47,13 +48,22 @@ def bucket_counts(raw: bytes | None, buckets: int = BUCKETS, grams: int = GRAMS)
     return n, total
 
 
+def _index_kind(buckets: int) -> str:
+    return "<u2" if buckets <= 1 << 16 else "<u4"
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    return x.astype(next(k for k in ("<u1", "<u2", "<u4", "<u8") if x.max(initial=0) <= np.iinfo(k).max))
+
+
 def count_matrix(docs: DataFrame, buckets: int = BUCKETS, grams: int = GRAMS) -> DataFrame:
-    """The rows of docs(doc_id, text) as stored CSR blocks: doc_ids, n_words, indptr, indices, counts."""
-    kinds = pa.schema([("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), *[(c, pa.binary()) for c in ("indptr", "indices", "counts")]])
+    """The rows of docs(doc_id, text) as stored CSR blocks."""
+    kinds = pa.schema([("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), ("width", pa.int32()), *[(c, pa.binary()) for c in ("indptr", "indices", "counts")]])
 
     def block(ids: list, words: list, indices: list, counts: list) -> pa.RecordBatch:
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in indices])]).astype("<i8")
-        values = [ids, words, *(x.tobytes() for x in (ends, np.concatenate(indices), np.concatenate(counts)))]
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in indices])]).astype("<u8")
+        n = _narrow(np.concatenate(counts))
+        values = [ids, words, n.itemsize, ends.tobytes(), np.concatenate(indices).tobytes(), n.tobytes()]
         return pa.RecordBatch.from_arrays([pa.array([v], k.type) for v, k in zip(values, kinds)], schema=kinds)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,7 +71,7 @@ def count_matrix(docs: DataFrame, buckets: int = BUCKETS, grams: int = GRAMS) ->
         for b in batches:
             for doc_id, raw in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
                 n, total = bucket_counts(raw, buckets, grams)
-                at = np.flatnonzero(total).astype("<i4")
+                at = np.flatnonzero(total).astype(_index_kind(buckets))
                 for held, x in zip((ids, words, indices, counts), (doc_id, n, at, total[at])):
                     held.append(x)
                 size += len(at) + 1
@@ -80,13 +90,13 @@ def column_sums(matrix: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for b in batches:
-            for indices, counts in zip(*(c.to_pylist() for c in b.columns)):
-                np.add.at(total, np.frombuffer(indices, "<i4"), np.frombuffer(counts, "<i8"))
+            for width, indices, counts in zip(*(c.to_pylist() for c in b.columns)):
+                np.add.at(total, np.frombuffer(indices, _index_kind(buckets)), np.frombuffer(counts, f"<u{width}").astype(np.int64))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
 
     out = np.zeros(buckets, np.int64)
-    for r in map_arrow(matrix.select("indices", "counts"), add, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    for r in map_arrow(matrix.select("width", "indices", "counts"), add, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[r["bucket"]] = r["n"]
     return out
 
@@ -103,7 +113,7 @@ def weigh(matrix: DataFrame, gain: np.ndarray) -> DataFrame:
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
-                ends, indices, n = (np.frombuffer(b.column(i)[r].as_py(), kind) for i, kind in ((2, "<i8"), (3, "<i4"), (4, "<i8")))
+                ends, indices, n = (np.frombuffer(b.column(i)[r].as_py(), kind).astype(np.int64) for i, kind in ((3, "<u8"), (4, _index_kind(len(gain))), (5, f"<u{b.column(2)[r].as_py()}")))
                 whole = [np.concatenate([[0], np.cumsum(x)]) for x in (n, gain[indices] * n)]
                 sums = [pa.array((x[ends[1:]] - x[ends[:-1]]).astype(np.int64)) for x in whole]
                 yield pa.RecordBatch.from_arrays([b.column(0)[r].values, b.column(1)[r].values, *sums], ["doc_id", "n_words", "n_features", "weight"])
