@@ -12,12 +12,15 @@ rises from shard to shard. Queries are read by tasks from the shared folder, in
 
 from __future__ import annotations
 
+import io
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.dataset as pads
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,12 +30,12 @@ from riverlog.sources.folders import file_system, scratch
 TOP = 10
 #: A shard ends with the document that reaches one of these.
 SHARD_DOCS, SHARD_POSTINGS = 8192, 1 << 19
-#: Nodes opened at once, queries in a block, and one shard in how many is searched first.
-NODES, BLOCK_QUERIES, FIRST = 32, 1024, 16
+#: Nodes opened at once, queries in a block, one shard in how many is searched first, and shards of a task.
+NODES, BLOCK_QUERIES, FIRST, SHARDS_A_TASK = 32, 1024, 16, 4
 #: The share in 100 of the length in a document's impact.
 LENGTH = 75
-POSTINGS = "n_docs long, n_terms long, doc_ids binary, lengths binary, terms array<binary>, dfs array<int>, docs binary, tfs binary"
-INDEX = "shard long, n_docs long, doc_ids binary, terms array<binary>, starts binary, bits binary, impacts binary"
+#: Shards lie one after another in files of the shared folder, one file a task; a row tells where one lies.
+PLACES = "file string, offset long, length long, n_docs long, n_terms long"
 
 
 class _Vocabulary(dict):
@@ -41,21 +44,52 @@ class _Vocabulary(dict):
         return n
 
 
-def postings(docs: DataFrame, shard_docs: int = SHARD_DOCS, shard_postings: int = SHARD_POSTINGS) -> DataFrame:
-    """Counted terms of docs(doc_id, text), stored, a row for each shard: lists by term, each by document number."""
-    kinds = pa.schema([("n_docs", pa.int64()), ("n_terms", pa.int64()), ("doc_ids", pa.binary()), ("lengths", pa.binary()), ("terms", pa.list_(pa.binary())), ("dfs", pa.list_(pa.int32())), ("docs", pa.binary()), ("tfs", pa.binary())])
+class _File:
+    """Shards of a task, in a file of its own that no other attempt of the task touches."""
 
-    def shard(held: list[tuple[int, np.ndarray, np.ndarray]], vocabulary: dict) -> pa.RecordBatch:
+    def __init__(self, folder: str):
+        fs, root = file_system(folder)
+        fs.create_dir(root, recursive=True)
+        name = f"{uuid.uuid4().hex}.shards"
+        self.uri, self.out, self.at = f"{folder}/{name}", fs.open_output_stream(f"{root}/{name}"), 0
+
+    def add(self, **arrays: np.ndarray) -> tuple[str, int, int]:
+        raw = io.BytesIO()
+        np.savez(raw, **arrays)
+        packed = zstandard.ZstdCompressor(1).compress(raw.getvalue())
+        self.out.write(packed)
+        self.at += len(packed)
+        return self.uri, self.at - len(packed), len(packed)
+
+
+def _load(uri: str, offset: int, length: int) -> dict[str, np.ndarray]:
+    fs, path = file_system(uri)
+    with fs.open_input_file(path) as f:
+        f.seek(offset)
+        with np.load(io.BytesIO(zstandard.ZstdDecompressor().decompress(f.read(length)))) as z:
+            return dict(z)
+
+
+def postings(docs: DataFrame, folder: str, shard_docs: int = SHARD_DOCS, shard_postings: int = SHARD_POSTINGS) -> DataFrame:
+    """Counted terms of docs(doc_id, text), in files: lists by term, each by document number. A row for each shard and, with term and df
+    alone, one for each of its terms."""
+    kinds = pa.schema([("file", pa.string()), *[(c, pa.int64()) for c in ("offset", "length", "n_docs", "n_terms")], ("term", pa.binary()), ("df", pa.int64())])
+
+    def shard(held: list[tuple[int, np.ndarray, np.ndarray]], vocabulary: dict, file: _File) -> Iterator[pa.RecordBatch]:
         held.sort(key=lambda x: x[0])
         term = np.concatenate([t for _, t, _ in held])
         doc = np.repeat(np.arange(len(held), dtype=np.uint16), [len(t) for _, t, _ in held])
         order = np.argsort(term, kind="stable")
         tf, lengths = np.concatenate([n for _, _, n in held])[order], np.array([n.sum() for _, _, n in held], np.int64)
-        row = (len(held), int(lengths.sum()), np.array([i for i, _, _ in held], np.int64).tobytes(), lengths.tobytes(), list(vocabulary), np.bincount(term, minlength=len(vocabulary)), doc[order].tobytes(), tf.astype(np.int64).tobytes())
-        return pa.RecordBatch.from_arrays([pa.array([x], k.type) for x, k in zip(row, kinds)], schema=kinds)
+        words, dfs = list(vocabulary), np.bincount(term, minlength=len(vocabulary))
+        place = file.add(doc_ids=np.array([i for i, _, _ in held]), lengths=lengths, words=np.frombuffer(b" ".join(words), np.uint8), dfs=dfs, docs=doc[order], tfs=tf)
+        yield pa.RecordBatch.from_arrays([pa.array([x], k.type) for x, k in zip((*place, len(held), int(lengths.sum()), None, None), kinds)], schema=kinds)
+        for i in range(0, len(words), 1 << 15):
+            part = words[i : i + (1 << 15)]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(part), k.type) for k in list(kinds)[:5]), pa.array(part, pa.binary()), pa.array(dfs[i : i + len(part)])], schema=kinds)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, vocabulary, size = [], _Vocabulary(), 0
+        held, vocabulary, size, file = [], _Vocabulary(), 0, None
         for b in batches:
             for doc_id, raw in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
                 ids = [np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)) for words in word_runs(raw)]
@@ -64,12 +98,16 @@ def postings(docs: DataFrame, shard_docs: int = SHARD_DOCS, shard_postings: int
                     held.append((doc_id, terms, n))
                     size += len(terms)
                 if len(held) >= min(shard_docs, 1 << 16) or size >= shard_postings:
-                    yield shard(held, vocabulary)
+                    file = file or _File(folder)
+                    yield from shard(held, vocabulary, file)
                     held, vocabulary, size = [], _Vocabulary(), 0
         if held:
-            yield shard(held, vocabulary)
+            file = file or _File(folder)
+            yield from shard(held, vocabulary, file)
+        if file:
+            file.out.close()
 
-    return stored(map_arrow(docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text"), count, POSTINGS), "postings")
+    return stored(map_arrow(docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text"), count, f"{PLACES}, term binary, df long"), "postings")
 
 
 def ordered(docs: np.ndarray, tfs: np.ndarray, dfs: np.ndarray, lengths: np.ndarray, n: int, total: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,11 +135,10 @@ def _depth(n_docs: int) -> int:
 class Tree:
     """ones: set bits before each place of a level. firsts: impacts in a level's order. Both end each level with one place more."""
 
-    def __init__(self, n_docs: int, bits: bytes, impacts: bytes):
-        self.depth = _depth(n_docs)
-        now = np.frombuffer(impacts, np.int32)
+    def __init__(self, n_docs: int, bits: np.ndarray, impacts: np.ndarray):
+        self.depth, now = _depth(n_docs), impacts
         self.size = n = len(now)
-        packed = np.frombuffer(bits, np.uint8).reshape(self.depth, -1)
+        packed = bits.reshape(self.depth, -1)
         self.ones, self.firsts = np.zeros((self.depth, n + 1), np.int32), np.zeros((self.depth + 1, n + 1), np.int32)
         self.firsts[0, :n] = now
         edges, place = np.array([0, n]), np.arange(n, dtype=np.int32)
@@ -168,23 +205,27 @@ class Best:
             self.floor = max(self.floor, -self.rows[-1][0])
 
 
-def build_index(counted: DataFrame, n: int, total: int) -> DataFrame:
-    """The shards of postings() as wavelet trees, stored; n documents with `total` terms in all fix the impacts."""
-    kinds = pa.schema([("shard", pa.int64()), ("n_docs", pa.int64()), ("doc_ids", pa.binary()), ("terms", pa.list_(pa.binary())), ("starts", pa.binary()), ("bits", pa.binary()), ("impacts", pa.binary())])
+def _dealt(places: DataFrame, shards: int) -> DataFrame:
+    """Rows of places, some to a task, so that a task's later shards profit from its earlier ones."""
+    return places.repartition(max(1, min(-(-shards // SHARDS_A_TASK), 1 << 16)))
+
+
+def build_index(counted: DataFrame, folder: str, shards: int, n: int, total: int) -> DataFrame:
+    """The shards of postings() as wavelet trees, in files; n documents with `total` terms in all fix the impacts."""
+    kinds = pa.schema([("file", pa.string()), *[(c, pa.int64()) for c in ("offset", "length", "n_docs", "n_terms")]])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file = None
         for b in batches:
-            for r in range(b.num_rows):
-                shard, n_docs = b.column(0)[r].as_py(), b.column(1)[r].as_py()
-                raw = {c: b.column(i)[r].as_py() for i, c in ((2, "doc_ids"), (3, "lengths"), (6, "docs"), (7, "tfs"))}
-                dfs = b.column(5)[r].values.to_numpy()
-                docs, impacts = ordered(np.frombuffer(raw["docs"], np.uint16), np.frombuffer(raw["tfs"], np.int64), dfs, np.frombuffer(raw["lengths"], np.int64), n, total)
-                starts = np.concatenate([[0], np.cumsum(dfs)]).astype(np.int64)
-                row = shard, n_docs, raw["doc_ids"], None, starts.tobytes(), wavelet(docs, n_docs).tobytes(), impacts.tobytes()
-                yield pa.RecordBatch.from_arrays([b.column(4)[r : r + 1] if k.name == "terms" else pa.array([x], k.type) for x, k in zip(row, kinds)], schema=kinds)
+            for uri, offset, length, n_docs, n_terms in zip(*(c.to_pylist() for c in b.columns)):
+                x, file = _load(uri, offset, length), file or _File(folder)
+                docs, impacts = ordered(x["docs"], x["tfs"], x["dfs"], x["lengths"], n, total)
+                place = file.add(doc_ids=x["doc_ids"], words=x["words"], starts=np.concatenate([[0], np.cumsum(x["dfs"])]), bits=wavelet(docs, n_docs), impacts=impacts)
+                yield pa.RecordBatch.from_arrays([pa.array([y], k.type) for y, k in zip((*place, n_docs, n_terms), kinds)], schema=kinds)
+        if file:
+            file.out.close()
 
-    rows = counted.select(F.monotonically_increasing_id().alias("shard"), "n_docs", "doc_ids", "lengths", "terms", "dfs", "docs", "tfs")
-    return stored(map_arrow(rows, build, INDEX), "word-index")
+    return stored(map_arrow(_dealt(counted, shards), build, PLACES).withColumn("shard", F.monotonically_increasing_id()), "word-index")
 
 
 def query_terms(items: DataFrame) -> DataFrame:
@@ -213,10 +254,10 @@ def _search(index: DataFrame, path: str, block: int, k: int) -> DataFrame:
             if queries is None:
                 fs, root = file_system(f"{path}/block={block}")
                 queries = [(r["q"], r["terms"], np.array(r["weights"], np.int64), Best(k, r["floor"])) for r in pads.dataset(root, filesystem=fs, format="parquet").to_table(["q", "terms", "weights", "floor"]).to_pylist()]
-            for r in range(b.num_rows):
-                n_docs, doc_ids, starts, bits, impacts = (b.column(i)[r].as_py() for i in (1, 2, 4, 5, 6))
-                place = {t: i for i, t in enumerate(b.column(3)[r].values.to_pylist())}
-                tree, starts, doc_ids = Tree(n_docs, bits, impacts), np.frombuffer(starts, np.int64), np.frombuffer(doc_ids, np.int64)
+            for uri, offset, length, n_docs in zip(*(c.to_pylist() for c in b.columns)):
+                x = _load(uri, offset, length)
+                place = {t: i for i, t in enumerate(x["words"].tobytes().split(b" "))}
+                tree, starts, doc_ids = Tree(n_docs, x["bits"], x["impacts"]), x["starts"], x["doc_ids"]
                 for _, terms, weights, best in queries:
                     here = [(at, j) for j, t in enumerate(terms) if (at := place.get(t)) is not None]
                     if here:
@@ -226,7 +267,7 @@ def _search(index: DataFrame, path: str, block: int, k: int) -> DataFrame:
         rows = [(q, doc_id, -score) for q, _, _, best in queries or () for score, doc_id in best.rows]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 3, ["q", "doc_id", "score"])
 
-    return map_arrow(index, run, "q long, doc_id long, score long")
+    return map_arrow(index.select("file", "offset", "length", "n_docs"), run, "q long, doc_id long, score long")
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
@@ -242,13 +283,13 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = TOP, shard_docs: int = SH
     documents each, and each has a rank. Items of null item_id are one item. No documents or no items: no rows.
     """
     spark = docs.sparkSession
-    counted = postings(docs, shard_docs, shard_postings)
-    sums = counted.agg(F.sum("n_docs").alias("n"), F.sum("n_terms").alias("total")).first()
-    n, total = sums["n"] or 0, sums["total"] or 1
-    index = build_index(counted, n, total)
+    counted = postings(docs, scratch(spark, "posting-files"), shard_docs, shard_postings)
+    places = counted.where("file IS NOT NULL").drop("term", "df")
+    sums = places.agg(F.count("*").alias("shards"), F.sum("n_docs").alias("n"), F.sum("n_terms").alias("total")).first()
+    shards, n, total = sums["shards"], sums["n"] or 0, sums["total"] or 1
+    index = build_index(places, scratch(spark, "index-files"), shards, n, total)
     asked = stored(query_terms(items), "query-terms")
-    held = counted.select(F.explode(F.arrays_zip("terms", "dfs")).alias("x")).select(F.col("x.terms").alias("term"), F.col("x.dfs").alias("df"))
-    df = held.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
+    df = counted.where("term IS NOT NULL").select("term", "df").join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
     weight = F.floor(1000 * F.log((2.0 * n + 2) / (2 * F.col("df") + 1)))
     of_item = asked.join(df, "term").groupBy("item_id").agg(F.collect_list("term").alias("terms"), F.collect_list(weight * F.col("n")).alias("weights"))
     queries = stored(of_item.withColumn("q", F.monotonically_increasing_id()), "queries")
@@ -264,7 +305,7 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = TOP, shard_docs: int = SH
         with_floor.select("block", "q", "terms", "weights", "floor").write.partitionBy("block").parquet(path)
         found = None
         for b in numbers:
-            one = _search(part, path, b, k)
+            one = _search(_dealt(part, part.count()), path, b, k)
             found = one if found is None else found.unionByName(one)
         return stored(found, "found")
 
