@@ -21,6 +21,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,7 +77,7 @@ def _units(rows: DataFrame) -> DataFrame:
     return map_arrow(rows.select("id", "grp", "vec_id", "vector"), scale, BALLS)
 
 
-def _sorted(balls: DataFrame, numbers: list[int]) -> DataFrame:
+def _sorted(balls: DataFrame, numbers: list[int], ranges: int) -> DataFrame:
     """The balls once for each pass, in the pass's order by ranges; the id last, so that equal vectors are no range of their own."""
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +92,12 @@ def _sorted(balls: DataFrame, numbers: list[int]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(raw), number, np.int32)), pa.array(keys)], [*b.schema.names, "pass", "key"])
 
     order = ["pass", "grp", "key", "id"]
-    return map_arrow(balls.select("id", "grp", "v", "r", "n", "least"), key, f"{BALLS}, pass int, key long").repartitionByRange(partitions(balls.sparkSession), *order).sortWithinPartitions(*order)
+    return map_arrow(balls.select("id", "grp", "v", "r", "n", "least"), key, f"{BALLS}, pass int, key long").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+
+
+def _ranges(spark: SparkSession, rows: int, window: int) -> int:
+    """As many as the session's partitions, but of many windows each."""
+    return max(1, min(partitions(spark), rows // (64 * window)))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -164,7 +170,7 @@ def _gathered(balls: DataFrame, number: int, threshold: float) -> tuple[DataFram
         if leaders.rows:
             yield rows([], leaders.rows)
 
-    got = stored(map_arrow(_sorted(balls, [number]), scan, "id long, leader long, v binary, r double, n long, least long"), "gathered")
+    got = stored(map_arrow(_sorted(balls, [number], partitions(balls.sparkSession)), scan, "id long, leader long, v binary, r double, n long, least long"), "gathered")
     grp = balls.select("id", "grp")
     return stored(got.where("id = leader").drop("leader").join(grp, "id").select("id", "grp", "v", "r", "n", "least"), "balls"), got.where("id <> leader").select("id", "leader")
 
@@ -186,14 +192,37 @@ class _Sets:
         return a != b
 
 
-def near_balls(balls: DataFrame, numbers: list[int], threshold: float = THRESHOLD, window: int = WINDOW) -> DataFrame:
+class _Ends:
+    """The first and last rows of a task's range, `window` of each, kept while its batches pass."""
+
+    def __init__(self, window: int):
+        self.window, self.head, self.tail = window, None, None
+
+    def watch(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            last = b.slice(max(0, b.num_rows - self.window))
+            if self.head is None:
+                self.head, self.tail = b.slice(0, self.window), last
+            else:
+                self.head = pa.concat_batches([self.head, b.slice(0, self.window - self.head.num_rows)])
+                self.tail = pa.concat_batches([self.tail, last])
+                self.tail = self.tail.slice(max(0, self.tail.num_rows - self.window))
+            yield b
+
+
+def near_balls(balls: DataFrame, numbers: list[int], rows: int, threshold: float = THRESHOLD, window: int = WINDOW) -> DataFrame:
     """Pairs (a, b) of balls that stand within a window in one of the passes and may hold linked vectors. Of the pairs of a task those
-    that hold its components together; rows at the edge of a task's range meet in other passes."""
-    angle = math.acos(threshold)
+    that hold its components together. Rows on both sides of the edge of two tasks' ranges meet in a seam. rows: how many balls."""
+    spark, angle = balls.sparkSession, math.acos(threshold)
+    ball = [("id", pa.int64()), ("grp", pa.string()), ("v", pa.binary()), ("r", pa.float64()), ("pass", pa.int32())]
+    kinds = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("seam", pa.int32()), ("side", pa.int32()), ("place", pa.int32()), *ball])
+
+    def wide(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns[k.name].cast(k.type) if k.name in columns else pa.nulls(n, k.type) for k in kinds], schema=kinds)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, held = _Sets(), None
-        for fresh, ids, x, r, _, _ in _runs(batches):
+        sets, held, ends = _Sets(), None, _Ends(window)
+        for fresh, ids, x, r, _, _ in _runs(ends.watch(batches)):
             if fresh or held is None:
                 held = (ids[:0], x[:0], r[:0])
             edges = []
@@ -203,14 +232,36 @@ def near_balls(balls: DataFrame, numbers: list[int], threshold: float = THRESHOL
                 ids_, x_, r_ = (np.concatenate([h, y]) for h, y in zip(held, new))
                 k, m = len(held[0]), len(ids_)
                 away = np.arange(k, m)[:, None] - np.arange(m)
-                # The allowance for the cosine itself stands for equal angles of balls of one.
-                may = (away >= 1) & (away <= window) & (_angles(new[1], x_) <= angle + SLACK + new[2][:, None] + r_)
-                edges += [(a, b) for a, b in zip(ids_[k + np.nonzero(may)[0]].tolist(), ids_[np.nonzero(may)[1]].tolist()) if sets.join(a, b)]
+                one, other = np.nonzero((away >= 1) & (away <= window) & (_angles(new[1], x_) <= angle + SLACK + new[2][:, None] + r_))
+                edges += [(a, b) for a, b in zip(ids_[k + one].tolist(), ids_[other].tolist()) if sets.join(a, b)]
                 held = ids_[-window:], x_[-window:], r_[-window:]
+            if edges:
+                yield wide({c: pa.array(y, pa.int64()) for c, y in zip("ab", zip(*edges))}, len(edges))
+        if ends.head is not None:
+            range_ = TaskContext.get().partitionId()
+            for b, seam, side in ((ends.head, range_, 1), (ends.tail, range_ + 1, 0)):
+                n = b.num_rows
+                yield wide({"seam": pa.array([seam] * n), "side": pa.array([side] * n), "place": pa.array(range(n)), **{c: b.column(b.schema.get_field_index(c)) for c, _ in ball}}, n)
+
+    def seams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        for _, same in groupby(held, lambda x: x[0]):
+            sides = [], []
+            for row in same:
+                sides[row[1]].append(row)
+            edges, tail = [], len(sides[0])
+            for key in {(x[7], x[4]) for x in sides[0]} & {(x[7], x[4]) for x in sides[1]}:
+                one, other = ([x for x in side if (x[7], x[4]) == key] for side in sides)
+                (x, r, at), (y, s, to) = ((np.frombuffer(b"".join(z[5] for z in side)).reshape(len(side), -1), np.array([z[6] for z in side]), np.array([z[2] for z in side])) for side in (one, other))
+                may = (tail - at[:, None] + to <= window) & (_angles(x, y) <= angle + SLACK + r[:, None] + s)
+                edges += [(one[i][3], other[j][3]) for i, j in zip(*np.nonzero(may))]
             if edges:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*edges)], ["a", "b"])
 
-    return stored(map_arrow(_sorted(balls, numbers), scan, "a long, b long"), "near-balls")
+    schema = "a long, b long, seam int, side int, place int, id long, grp string, v binary, r double, pass int"
+    got = stored(map_arrow(_sorted(balls, numbers, _ranges(spark, rows * len(numbers), window)), scan, schema), "near-balls")
+    ends = got.where("seam IS NOT NULL").select("seam", "side", "place", "id", "grp", "v", "r", "pass").repartition(partitions(spark), "seam").sortWithinPartitions("seam", "side", "place")
+    return got.where("a IS NOT NULL").select("a", "b").unionByName(stored(map_arrow(ends, seams, "a long, b long"), "seams"))
 
 
 def forest(linked: np.ndarray) -> list[tuple[int, int]]:
@@ -346,7 +397,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, win
     largest = balls.groupBy("grp").count().agg(F.max("count")).first()[0] or 0
     near, passes = None, passes_for(largest, threshold, window, miss)
     for first in range(0, passes, AT_ONCE):
-        found = near_balls(balls, list(range(first, min(passes, first + AT_ONCE))), threshold, window)
+        found = near_balls(balls, list(range(first, min(passes, first + AT_ONCE))), size, threshold, window)
         near = found if near is None else near.unionByName(found)
     got = complete(balls, components(near), threshold, tile)
     # The ball of each first leader: few rows move, and a large group has a leader in each range it spans.
