@@ -10,6 +10,10 @@ follow each other with one anchor form a unit, a stretch of at most 2 * LENGTH b
     in one task. In larger ones the windows that start within STEP bytes of each other share a core, counted first by a
     shuffle on core hashes; only windows whose core stands in another kind too are counted, in the same way.
 
+Whether bytes are equal is judged by two hashes only. Units are told apart by BLAKE2b. Windows have a polynomial modulo the prime
+2 ** 61 - 1 at a base drawn anew for each run, so no text can be made that its hashes fail on: two different windows agree with chance
+LENGTH / 2 ** 61 at most. The cheaper hashes modulo 2 ** 64 place anchors and rule out cores; where they agree, nothing follows yet.
+
 The method named for this operator merges the Burrows-Wheeler transforms of shards by refining their interleave, one pass
 over all symbols for each byte of common prefix. bwt.py has that merge; the README says why it isn't used here.
 """
@@ -17,6 +21,7 @@ over all symbols for each byte of common prefix. bwt.py has that merge; the READ
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +42,10 @@ _rng = np.random.default_rng(20240301)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS: dict[str, np.ndarray] = {}
+PRIME = (1 << 61) - 1
+#: Bytes whose window hashes are computed at once.
+HASHED = 1 << 20
+_PRIME_POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers() -> tuple[np.ndarray, np.ndarray]:
@@ -96,19 +105,67 @@ def units(text: bytes, length: int = LENGTH) -> Iterator[tuple[np.ndarray, ...]]
         first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
         last = np.concatenate([first[1:] - 1, [len(anchor) - 1]])
         q = anchor[first]
-        whole = hashes.of(first, last + length)
+        raw = data.tobytes()
+        whole = np.array([_digest(raw[i : j + length], k - i) for i, j, k in zip(first.tolist(), last.tolist(), q.tolist())], np.int64)
+        yield first + at, last + at, q + at, gram[q].view(np.int64), whole
+
+
+def _digest(unit: bytes, anchor: int) -> int:
+    """Of a unit's bytes and its anchor's place in it."""
+    return int.from_bytes(hashlib.blake2b(unit, digest_size=8, salt=anchor.to_bytes(4, "little")).digest(), "little", signed=True)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo PRIME of numbers below it, exactly, by halves of 31 and 30 bits."""
+    low, half, u = np.uint64((1 << 31) - 1), np.uint64(30), np.uint64(31)
+    ah, al, bh, bl = a >> u, a & low, b >> u, b & low
+    middle = ah * bl + al * bh
+    return _reduced((ah * bh << np.uint64(1)) + (middle >> half) + ((middle & np.uint64((1 << 30) - 1)) << u) + al * bl)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - np.uint64(PRIME), x)
+
+
+def _prime_powers(base: int) -> np.ndarray:
+    """base ** 0 to base ** HASHED modulo PRIME; the last base's stay with the worker."""
+    if base not in _PRIME_POWERS:
+        x = np.ones(1, np.uint64)
+        while len(x) <= HASHED:
+            x = np.concatenate([x, _times(x, np.full(len(x), pow(base, len(x), PRIME), np.uint64))])
+        _PRIME_POWERS.clear()
+        _PRIME_POWERS[base] = x
+    return _PRIME_POWERS[base]
+
+
+def new_base() -> int:
+    return 1 << 32 | secrets.randbelow(PRIME >> 1)
+
+
+def window_hashes(parts: list[bytes], anchors: list[int], base: int, length: int = LENGTH) -> list[np.ndarray]:
+    """For each unit's bytes: a hash of each window and its distance to the anchor."""
+    powers, out, at = _prime_powers(base), [], 0
+    while at < len(parts):
+        stop, size = at + 1, len(parts[at])
+        while stop < len(parts) and size + len(parts[stop]) <= HASHED:
+            size += len(parts[stop])
+            stop += 1
+        data = np.frombuffer(b"".join(parts[at:stop]), np.uint8)
+        terms = _times(data.astype(np.uint64) + np.uint64(1), powers[:size])
+        # Sums of the terms' halves stay below 2 ** 64; put together modulo PRIME, they are the polynomial up to each place.
+        high, low = (np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)]) for x in (terms >> np.uint64(32), terms & np.uint64((1 << 32) - 1)))
+        sums = _reduced(_reduced((high >> np.uint64(29)) + ((high & np.uint64((1 << 29) - 1)) << np.uint64(32))) + _reduced(low))
+        sizes = np.array([len(p) for p in parts[at:stop]])
+        counts, begins = sizes - length + 1, np.cumsum(sizes) - sizes
+        inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        starts, away = np.repeat(begins, counts) + inside, np.repeat(np.array(anchors[at:stop]), counts) - inside
+        between = _reduced(sums[starts + length] + np.uint64(PRIME) - sums[starts])
         with np.errstate(over="ignore"):
-            whole = _mix(whole + (q - first).astype(np.uint64) * np.uint64(1_000_003) + (last - first).astype(np.uint64))
-        yield first + at, last + at, q + at, gram[q].view(np.int64), whole.view(np.int64)
-
-
-def window_hashes(part: bytes, anchor: int, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Of a unit's bytes: the distance from each window's start to the anchor, and a hash of window and distance."""
-    data = np.frombuffer(part, np.uint8)
-    starts = np.arange(len(data) - length + 1)
-    away = anchor - starts
-    with np.errstate(over="ignore"):
-        return away, _mix(Hashes(data).of(starts, starts + length) + away.astype(np.uint64)).view(np.int64)
+            hashed = _mix(_times(between, powers[HASHED - starts]) + away.astype(np.uint64)).view(np.int64)
+        out += np.split(hashed, np.cumsum(counts)[:-1])
+        at = stop
+    return out
 
 
 def core_hashes(part: bytes, anchor: int, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -139,6 +196,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group_kinds: int = GRO
 
     h is a hash of the text: rows equal in doc_id and text share one row here, yet count as two occurrences.
     """
+    base = new_base()
     ddl = "doc_id long, h long, a long, b long, q long, key long, whole long"
     names = ["doc_id", "h", "a", "b", "q", "key", "whole"]
 
@@ -178,7 +236,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group_kinds: int = GRO
 
     def compare(held: list[tuple]) -> pa.RecordBatch:
         """Windows that at least two kinds hold, of whole groups (doc_id, h, a, q, key, n, part)."""
-        each = [window_hashes(x[6], x[3] - x[2], length)[1] for x in held]
+        each = window_hashes([x[6] for x in held], [x[3] - x[2] for x in held], base, length)
         values, counts = np.unique(np.concatenate(each), return_counts=True)
         many = values[counts > 1]
         rows = []
@@ -225,7 +283,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group_kinds: int = GRO
             held = list(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "h", "a", "q", "n", "part", "open"))))
             if not held:
                 continue
-            each = [window_hashes(x[5], x[3] - x[2], length)[1] for x in held]
+            each = window_hashes([x[5] for x in held], [x[3] - x[2] for x in held], base, length)
             kept = [np.isin(core_hashes(x[5], x[3] - x[2], length)[0], x[6]) for x in held]
             values, counts = np.unique(np.concatenate([x[k] for x, k in zip(each, kept)]), return_counts=True)
             many, rows = values[counts > 1], []

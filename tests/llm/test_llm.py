@@ -129,6 +129,35 @@ def test_genetic_packing_reaches_the_bound():
     assert np.bincount(best, lengths).max() <= 100 and 40 <= o3.fitness(lengths, best, 100)[0] <= start
 
 
+def thue_morse(n):
+    return [bin(i).count("1") % 2 for i in range(n)]
+
+
+def test_repeated_strings_made_to_cancel(spark):
+    """Two different texts whose polynomials modulo 2 ** 64 agree at every base: two blocks in Thue-Morse order, and exchanged."""
+    head = "".join(random.Random(3).choice("abcdefghijklmnopqrstuvwxyz") for _ in range(144))
+    for one, two in (("eiso", "oyrx"), ("aaaa", "aaab")):
+        texts = [head + "".join((one, two)[x ^ y] for x in thue_morse(64)) for y in (0, 1)]
+        got = o7.remove_repeats(docs(spark, texts)).collect()
+        assert [bytes(r["kept"]) for r in sorted(got, key=lambda r: r["doc_id"])] == o7.plain([t.encode() for t in texts]) == [t.encode() for t in texts]
+
+
+def test_window_hashes_are_the_polynomial(monkeypatch):
+    rng, base = np.random.default_rng(6), o7.new_base()
+    parts = [rng.integers(0, 256, n, dtype=np.uint8).tobytes() for n in (5, 9, 6, 20, 5)] + [b"\xff" * 12, b"\x00" * 12]
+    monkeypatch.setattr(o7, "HASHED", 30)
+    o7._PRIME_POWERS.clear()
+    got = o7.window_hashes(parts, [0] * len(parts), base, 5)
+    o7._PRIME_POWERS.clear()
+    for part, hashed in zip(parts, got):
+        exact = [sum((b + 1) * pow(base, j + 30, o7.PRIME) for j, b in enumerate(part[i : i + 5])) % o7.PRIME for i in range(len(part) - 4)]
+        with np.errstate(over="ignore"):
+            assert (o7._mix(np.array(exact, np.uint64) + (-np.arange(len(exact))).astype(np.uint64)).view(np.int64) == hashed).all()
+    x = rng.integers(0, o7.PRIME, 1000, dtype=np.uint64)
+    assert [int(v) for v in o7._times(x, x[::-1])] == [int(a) * int(b) % o7.PRIME for a, b in zip(x, x[::-1])]
+    assert [int(v) for v in o7._times(np.array([o7.PRIME - 1], np.uint64), np.array([o7.PRIME - 1], np.uint64))] == [1]
+
+
 def test_decontamination_edges(spark):
     passage = " ".join(f"w{i}" for i in range(20))
     df = docs(spark, [*ODD, "x " * 40 + passage + " y" * 40, passage[:40], "Short ITEM", "p q " + passage[3:]])
