@@ -55,10 +55,11 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item's passage in at least a twentieth of their words: all rows of a doc_id, if one of them
-    does; rows without a doc_id count as one document. Texts without words stay."""
-    bad = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    """Drops rows that hold a benchmark item's passage in at least a twentieth of their words. Each row is judged by its own text, also
+    where rows repeat a doc_id or have none. Texts without words stay."""
+    each = docs.select(F.struct(F.col("doc_id").alias("i"), F.xxhash64("text").alias("h")).alias("doc_id"), "text")
+    bad = decontaminate(each, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id.i").alias("bad_id"), F.col("doc_id.h").alias("bad_text")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["bad_text"]), "left_anti")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
