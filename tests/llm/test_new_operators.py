@@ -270,3 +270,15 @@ def test_passes_grow_slowly_with_the_rows():
     assert o11.passes_for(10) == 1 and o11.passes_for(0) == 1
     n = [o11.passes_for(10**k) for k in range(2, 10)]
     assert n == sorted(n) and n[-1] < 200
+
+
+def test_pipeline_judges_each_row_by_its_text(spark):
+    """Clean rows stay where another row of their doc_id, or another row without one, holds a benchmark passage."""
+    import corpus_pipeline
+
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    rows = [(1, item), (1, "clean words"), (None, item), (None, "clean too"), (None, None), (2, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.decontamination(spark, df, SF)
+    assert got.columns == df.columns and sorted((r["doc_id"], r["text"]) for r in got.where("doc_id IS NOT NULL").collect()) == [(1, "clean words"), (2, "")]
+    assert sorted(repr(r["text"]) for r in got.where("doc_id IS NULL").collect()) == ["'clean too'", "None"]
