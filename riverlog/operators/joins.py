@@ -9,21 +9,22 @@ from pyspark.sql import functions as F
 def asof(left: DataFrame, right: DataFrame, by: list[str], t: str, value: str, out: str, forward: bool = False, within: int | None = None) -> DataFrame:
     """left with `out`: value of right's row at or before (forward: at or after) t in the same group, else null."""
     rest = [c for c in left.columns if c not in by and c != t]
-    a = left.select(*by, F.col(t).alias("_t"), F.struct(F.lit(True).alias("_l"), *rest).alias("_left"), F.lit(None).cast("long").alias("_rt"), F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(0 if forward else 1).alias("_tag"))
+    a = left.select(*by, F.col(t).alias("_t"), F.struct(F.lit(True).alias("_l"), *rest).alias("_left"), F.lit(None).cast("long").alias("_rt"), F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(1).alias("_tag"))
     none = F.lit(None).cast(a.schema["_left"].dataType)
-    b = right.select(*by, F.col(t).alias("_t"), none.alias("_left"), F.col(t).cast("long").alias("_rt"), F.col(value).alias("_v"), F.lit(1 if forward else 0).alias("_tag"))
-    w = Window.partitionBy(*by).orderBy("_t", "_tag")
+    b = right.select(*by, F.col(t).alias("_t"), none.alias("_left"), F.col(t).cast("long").alias("_rt"), F.col(value).alias("_v"), F.lit(0).alias("_tag"))
+    # Looking forward is looking back in falling time. A frame from the first row to this one grows with each row; one from this row
+    # to the last would be gone through anew for each.
+    w = Window.partitionBy(*by).orderBy(F.col("_t").desc() if forward else F.col("_t"), "_tag").rowsBetween(Window.unboundedPreceding, 0)
     pick = F.when(F.col("_rt").isNotNull(), F.struct(F.col("_rt").alias("t"), F.col("_v").alias("v")))
-    found = F.first(pick, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)) if forward else F.last(pick, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    met = a.unionByName(b).withColumn("_f", found).where("_left IS NOT NULL")
+    met = a.unionByName(b).withColumn("_f", F.last(pick, ignorenulls=True).over(w)).where("_left IS NOT NULL")
     near = F.col("_f.v") if within is None else F.when(F.abs(F.col("_t") - F.col("_f.t")) <= within, F.col("_f.v"))
     return met.select(*by, F.col("_t").alias(t), *[F.col(f"_left.{c}").alias(c) for c in rest], near.alias(out))
 
 
-def route(messages: DataFrame, spans: DataFrame, by: list[str], t: str = "t", cell: int = 3_600_000_000) -> DataFrame:
+def route(messages: DataFrame, spans: DataFrame, by: list[str], t: str = "t", *, cell: int) -> DataFrame:
     """Each message with every span (a, b, and its other columns) whose closed range holds it.
 
-    An equi-join on time cells: a span stands in each cell it touches, so a long recording is not one join key.
+    cell: a stretch of time, in t's unit, of about as many messages as a task takes. An equi-join on time cells: a span stands in each cell it touches, so a long recording is not one join key.
     """
     of = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("long")
     spread = spans.where("b >= a").withColumn("_c", F.explode(F.sequence(of("a"), of("b"))))

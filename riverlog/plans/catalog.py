@@ -167,7 +167,7 @@ def cut_targets(spark, sf_dir):
 def route_messages(spark, sf_dir):
     rel = _relative(spark, sf_dir)
     spans = _keep(rel).withColumn("kind", F.lit("keep")).unionByName(_drops(rel).withColumn("kind", F.lit("drop")))
-    return joins.route(rel.select("event_id", "file", "t"), spans, BY).select("event_id", "file", "kind", "a", "b")
+    return joins.route(rel.select("event_id", "file", "t"), spans, BY, cell=HOUR).select("event_id", "file", "kind", "a", "b")
 
 
 def _held(spark, sf_dir, f):
@@ -235,8 +235,8 @@ def head_per_topic(spark, sf_dir):
 def payload_swap(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("source", "doc_id", "text")
     new = docs.where("doc_id % 11 <> 0").withColumn("text", F.upper("text"))
-    got = detect.swap_payload(docs, new, ["source"], ["doc_id"], "text")
-    return got.select("source", "idx", "status", F.length("text").alias("n"))
+    got = detect.swap_payload(docs, new, ["source"], ["doc_id"], "text", cell=1 << 14)
+    return got.select("source", F.col("idx").cast("int").alias("idx"), "status", F.length("text").alias("n"))
 
 
 def sha256_digest(spark, sf_dir):
@@ -508,7 +508,7 @@ def keyframe_scan(spark, sf_dir):
     path = scratch(spark, "packets")
     made = _table(spark, sf_dir, "documents").select("doc_id", "source").mapInArrow(packets, "topic string, schema_name string, log_time long, sequence long, data binary")
     made.write.format("mcap").mode("append").save(path)
-    return mcap_source.keyframes(spark.read.format("mcap").load(path)).select(F.col("sequence").alias("doc_id"))
+    return mcap_source.keyframes(spark, path).select(F.col("sequence").alias("doc_id"))
 
 
 def cut_write(spark, sf_dir):
@@ -517,7 +517,7 @@ def cut_write(spark, sf_dir):
     rel = _relative(spark, sf_dir)
     clips = _clips(rel)
     targets = cut.targets(clips, cut.removed(clips, _bounds(rel), _keys(rel), BY, "topic", HOUR), BY, "file").select("file", "name", "a", "b")
-    met = joins.route(rel.select("event_id", "file", "topic", "t"), targets, BY)
+    met = joins.route(rel.select("event_id", "file", "topic", "t"), targets, BY, cell=HOUR)
     path = scratch(spark, "clips")
     rows = met.select("name", "topic", F.col("t").alias("log_time"), F.col("event_id").alias("sequence"), F.col("event_id").cast("string").cast("binary").alias("data"))
     rows.repartition("name").sortWithinPartitions("name", "log_time", "sequence").write.format("mcap").option("split", "name").mode("append").save(path)
@@ -525,13 +525,18 @@ def cut_write(spark, sf_dir):
 
 
 def swap_write(spark, sf_dir):
-    """A log with the payloads of its messages replaced by place, written and read again."""
-    log = spark.read.format("mcap").load(_log(spark, sf_dir))
-    new = log.where("sequence % 11 <> 0").withColumn("data", F.concat(F.lit("new "), F.col("data").cast("string")).cast("binary"))
-    got = detect.swap_payload(log, new, ["topic"], ["log_time", "sequence"], "data").where("status <> 'extra'")
-    path = scratch(spark, "swapped")
-    got.drop("idx", "status", "file", "ordinal").repartitionByRange(4, "topic", "log_time").sortWithinPartitions("log_time").write.format("mcap").mode("append").save(path)
-    return spark.read.format("mcap").load(path).select(F.col("sequence").alias("event_id"), "topic", F.col("data").cast("string").alias("payload"))
+    """A log of protobuf messages with field 3 of them replaced by place, written and read again: all other bytes are as they were."""
+    mcap_source.register(spark)
+    e, path, swapped = _events(spark, sf_dir), scratch(spark, "log"), scratch(spark, "swapped")
+    part = lambda tag, x: F.concat(F.unhex(F.lit(tag)), F.unhex(F.lpad(F.hex(F.octet_length(x)), 2, "0")), x.cast("binary"))
+    data = F.concat(part("0A", F.col("event_id").cast("string")), part("1A", F.col("file").cast("string")), F.unhex(F.lit("2805")))
+    rows = e.select("topic", (F.col("t") * 1000).alias("log_time"), F.col("event_id").alias("sequence"), F.lit("protobuf").alias("message_encoding"), data.alias("data"))
+    rows.repartitionByRange(4, "topic", "log_time").sortWithinPartitions("log_time").write.format("mcap").mode("append").save(path)
+    log = spark.read.format("mcap").load(path)
+    new = log.where("sequence % 11 <> 0").withColumn("data", F.concat(F.lit("new "), F.col("sequence").cast("string")).cast("binary"))
+    got = detect.swap_payload(log, new, ["topic"], ["log_time", "sequence"], "data", cell=HOUR * 1000, field=3).where("status <> 'extra'")
+    got.drop("idx", "status", "file", "ordinal").repartitionByRange(4, "topic", "log_time").sortWithinPartitions("log_time").write.format("mcap").mode("append").save(swapped)
+    return spark.read.format("mcap").load(swapped).select(F.col("sequence").alias("event_id"), "topic", F.hex("data").alias("payload"))
 
 
 def mcap_repair(spark, sf_dir):
@@ -636,7 +641,7 @@ _PAIRS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
     "mcap_indexed_scan": (mcap_indexed_scan, f"WITH {_E} SELECT event_id, t * 1000 AS log_time FROM e WHERE topic = 'click' AND t BETWEEN 1704500000000000 AND 1706000000000000"),
     "keyframe_scan": (keyframe_scan, "SELECT doc_id FROM documents WHERE doc_id % 5 = 0 AND doc_id % 3 <> 0 AND doc_id % 4 <> 0"),
     "cut_write": (cut_write, f"WITH {_NAMED} SELECT name, event_id, topic FROM rel r JOIN named n ON n.file = r.file AND r.t BETWEEN a AND b"),
-    "swap_write": (swap_write, f"WITH {_E}, d AS (SELECT event_id, topic, file, row_number() OVER (PARTITION BY topic ORDER BY t, event_id) AS idx FROM e), n AS (SELECT topic, file, row_number() OVER (PARTITION BY topic ORDER BY t, event_id) AS idx FROM e WHERE event_id % 11 <> 0) SELECT event_id, d.topic, CASE WHEN n.idx IS NULL THEN d.file::VARCHAR ELSE 'new ' || n.file END AS payload FROM d LEFT JOIN n ON n.topic = d.topic AND n.idx = d.idx"),
+    "swap_write": (swap_write, f"WITH {_E}, d AS (SELECT event_id, topic, file, row_number() OVER (PARTITION BY topic ORDER BY t, event_id) AS idx FROM e), n AS (SELECT topic, event_id AS new, row_number() OVER (PARTITION BY topic ORDER BY t, event_id) AS idx FROM e WHERE event_id % 11 <> 0), v AS (SELECT event_id, d.topic, event_id::VARCHAR AS one, CASE WHEN n.idx IS NULL THEN d.file::VARCHAR ELSE 'new ' || n.new END AS three FROM d LEFT JOIN n ON n.topic = d.topic AND n.idx = d.idx) SELECT event_id, topic, '0A' || printf('%02X', strlen(one)) || hex(one) || '1A' || printf('%02X', strlen(three)) || hex(three) || '2805' AS payload FROM v"),
     "mcap_repair": (mcap_repair, f"WITH {_E} SELECT event_id, topic, file, t * 1000 AS log_time FROM e"),
     "nms_boxes": (nms_boxes, """WITH RECURSIVE v AS (SELECT vec_id, embedding AS e, unnest(range(0, len(embedding) // 5)) AS j FROM embeddings),
       b AS (SELECT vec_id, j, abs(CAST(e[5 * j + 1] AS DOUBLE)) * 100 AS x1, abs(CAST(e[5 * j + 2] AS DOUBLE)) * 100 AS y1, abs(CAST(e[5 * j + 5] AS DOUBLE)) AS s FROM v),

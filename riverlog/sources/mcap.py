@@ -9,11 +9,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import BinaryIO
 
+import numpy as np
+import pyarrow as pa
 import zstandard
 
 #: Fixed values of the format.
 MAGIC = b"\x89MCAP0\r\n"
 HEADER, FOOTER, SCHEMA, CHANNEL, MESSAGE, CHUNK, MESSAGE_INDEX, CHUNK_INDEX = 1, 2, 3, 4, 5, 6, 7, 8
+#: Names of the kinds of records, for counting them.
+NAMES = {1: "header", 2: "footer", 3: "schema", 4: "channel", 5: "message", 6: "chunk", 7: "message_index", 8: "chunk_index", 9: "attachment", 10: "attachment_index", 11: "statistics", 12: "metadata", 13: "metadata_index", 14: "summary_offset", 15: "data_end"}
 ATTACHMENT, ATTACHMENT_INDEX, STATISTICS, METADATA, METADATA_INDEX, SUMMARY_OFFSET, DATA_END = 9, 10, 11, 12, 13, 14, 15
 
 
@@ -47,6 +51,21 @@ class Message:
     data: bytes
 
 
+@dataclass
+class Attachment:
+    log_time: int
+    create_time: int
+    name: str
+    media_type: str
+    data: bytes
+
+
+@dataclass
+class Metadata:
+    name: str
+    values: dict[str, str]
+
+
 class _In:
     def __init__(self, raw: bytes):
         self.raw, self.at = raw, 0
@@ -91,9 +110,22 @@ def parse(op: int, body: bytes):
         return Channel(x.num("H"), x.num("H"), x.text(), x.text(), x.pairs(lambda y: (y.text(), y.text())))
     if op == MESSAGE:
         return Message(x.num("H"), x.num("I"), x.num("Q"), x.num("Q"), x.raw[x.at :])
+    if op == ATTACHMENT:
+        return Attachment(x.num("Q"), x.num("Q"), x.text(), x.text(), x.bytes_("Q"))
+    if op == METADATA:
+        return Metadata(x.text(), x.pairs(lambda y: (y.text(), y.text())))
     raise ValueError(f"no parser for record {op}")
 
 
+def put(x: Attachment | Metadata) -> tuple[int, bytes]:
+    """(kind, body) of such a record, as Writer.copy takes it."""
+    if isinstance(x, Attachment):
+        body = struct.pack("<QQ", x.log_time, x.create_time) + _text(x.name) + _text(x.media_type) + struct.pack("<Q", len(x.data)) + x.data
+        return ATTACHMENT, body + struct.pack("<I", zlib.crc32(body))
+    pairs = b"".join(_text(k) + _text(v) for k, v in x.values.items())
+    return METADATA, _text(x.name) + struct.pack("<I", len(pairs)) + pairs
+
+
 def _put(x: Schema | Channel | Message) -> bytes:
     if isinstance(x, Schema):
         return _record(SCHEMA, struct.pack("<H", x.id) + _text(x.name) + _text(x.encoding) + struct.pack("<I", len(x.data)) + x.data)
@@ -105,7 +137,7 @@ def _put(x: Schema | Channel | Message) -> bytes:
 
 class Writer:
     def __init__(self, out: BinaryIO, chunk_bytes: int = 1 << 20, compression: str = "zstd"):
-        if compression not in ("", "zstd"):
+        if compression not in ("", "zstd", "lz4"):
             raise ValueError(f"compression {compression!r} can't be written here")
         self.out, self.limit, self.compression, self.at = out, chunk_bytes, compression, 0
         self.schemas: dict[int, Schema] = {}
@@ -133,12 +165,21 @@ class Writer:
                 raise Corrupt(f"channel {x.id} has unknown schema {x.schema_id}")
             self.channels[x.id] = x
         else:
-            if x.channel_id not in self.channels:
-                raise Corrupt(f"message of unknown channel {x.channel_id}")
-            self.counts[x.channel_id] = self.counts.get(x.channel_id, 0) + 1
-            self.index.setdefault(x.channel_id, []).append((x.log_time, self.size))
-            self.span = (min(self.span[0], x.log_time), max(self.span[1], x.log_time)) if self.span else (x.log_time, x.log_time)
-        raw = _put(x)
+            self.message(x.channel_id, x.sequence, x.log_time, x.publish_time, x.data)
+            return
+        self._append(_put(x))
+
+    def message(self, channel_id: int, sequence: int, log_time: int, publish_time: int, data: bytes) -> None:
+        if channel_id not in self.channels:
+            raise Corrupt(f"message of unknown channel {channel_id}")
+        if not (0 <= sequence < 1 << 32 and 0 <= log_time < 1 << 64 and 0 <= publish_time < 1 << 64):
+            raise ValueError(f"sequence {sequence} must fit 32 bits, and times {log_time}, {publish_time} 64, without a sign")
+        self.counts[channel_id] = self.counts.get(channel_id, 0) + 1
+        self.index.setdefault(channel_id, []).append((log_time, self.size))
+        self.span = (min(self.span[0], log_time), max(self.span[1], log_time)) if self.span else (log_time, log_time)
+        self._append(struct.pack("<BQHIQQ", MESSAGE, 22 + len(data), channel_id, sequence, log_time, publish_time) + data)
+
+    def _append(self, raw: bytes) -> None:
         self.part.append(raw)
         self.size += len(raw)
         if self.size >= self.limit:
@@ -155,7 +196,9 @@ class Writer:
         if not self.part:
             return
         raw = b"".join(self.part)
-        packed = zstandard.ZstdCompressor().compress(raw) if self.compression else raw
+        packed = raw
+        if self.compression:
+            packed = zstandard.ZstdCompressor().compress(raw) if self.compression == "zstd" else pa.Codec("lz4").compress(raw, asbytes=True)
         low, high = self.span or (0, 0)
         start = self.at
         self._write(_record(CHUNK, struct.pack("<QQQI", low, high, len(raw), zlib.crc32(raw)) + _text(self.compression) + struct.pack("<Q", len(packed)) + packed))
@@ -252,9 +295,14 @@ def open_chunk(body: bytes) -> bytes:
     x = _In(body)
     _, _, size, crc = x.num("Q"), x.num("Q"), x.num("Q"), x.num("I")
     how, raw = x.text(), x.bytes_("Q")
-    if how == "zstd":
-        raw = zstandard.ZstdDecompressor().decompress(raw, max_output_size=size)
-    elif how:
+    try:
+        if how == "zstd":
+            raw = zstandard.ZstdDecompressor().decompress(raw, max_output_size=size)
+        elif how == "lz4":
+            raw = pa.Codec("lz4").decompress(raw, decompressed_size=size, asbytes=True)
+    except (zstandard.ZstdError, pa.ArrowException, OSError) as e:
+        raise EOFError(f"a chunk can't be opened: {e}") from e
+    if how not in ("", "zstd", "lz4"):
         raise NotImplementedError(f"chunks compressed with {how} can't be read here")
     if len(raw) != size or crc and zlib.crc32(raw) != crc:
         raise Corrupt("a chunk's checksum does not fit")
@@ -274,6 +322,43 @@ def chunk_messages(f: BinaryIO, at: ChunkAt, channels: set[int] | None = None, l
     return iter(sorted(found, key=lambda x: (x[1].log_time, x[0])))
 
 
+@dataclass
+class Found:
+    """Messages of an opened chunk: numbers as arrays, and where their data lie in it."""
+
+    raw: bytes
+    place: np.ndarray
+    channel: np.ndarray
+    sequence: np.ndarray
+    log_time: np.ndarray
+    publish_time: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+
+    def picked(self, rows: np.ndarray) -> Found:
+        return Found(self.raw, *(x[rows] for x in (self.place, self.channel, self.sequence, self.log_time, self.publish_time, self.start, self.end)))
+
+
+def find_messages(f: BinaryIO, at: ChunkAt) -> Found:
+    """Of one chunk, in its order. Only record heads are gone through one by one; fields are taken out of all messages at once."""
+    f.seek(at.offset)
+    op, body = next(records(io.BytesIO(f.read(at.length))))
+    raw = open_chunk(body)
+    begins, ends, places, i, k = [], [], [], 0, 0
+    while i < len(raw):
+        end = i + 9 + int.from_bytes(raw[i + 1 : i + 9], "little")
+        if raw[i] == MESSAGE:
+            begins.append(i)
+            ends.append(end)
+            places.append(k)
+        i, k = end, k + 1
+    if i != len(raw):
+        raise Corrupt("a chunk ends within a record")
+    begin, data = np.array(begins, np.int64), np.frombuffer(raw, np.uint8)
+    take = lambda skip, kind: data[begin[:, None] + np.arange(skip, skip + np.dtype(kind).itemsize)].reshape(-1).view(kind).astype(np.int64)
+    return Found(raw, np.array(places, np.int64), take(9, "<u2"), take(11, "<u4"), take(15, "<u8"), take(23, "<u8"), begin + 31, np.array(ends, np.int64))
+
+
 def scan(f: BinaryIO) -> Iterator[tuple[int, bytes]]:
     """All records in file order, chunks opened, without any index; stops before the first that can't be read."""
     f.seek(0)
@@ -285,7 +370,7 @@ def scan(f: BinaryIO) -> Iterator[tuple[int, bytes]]:
                 yield from records(io.BytesIO(open_chunk(body)))
             else:
                 yield op, body
-    except (EOFError, zstandard.ZstdError):
+    except EOFError:
         return
 
 

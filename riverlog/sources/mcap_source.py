@@ -1,21 +1,27 @@
 """The "mcap" data source: spark.read.format("mcap").load(folder or file), df.write.format("mcap").save(folder).
 
-Options for reading: path; records = messages | channels | statistics; mode = indexed | sequential; payload = true | false.
-Indexed files are read chunk by chunk in parallel; filters on topic and log_time reach the chunk index.
+Options for reading: path; records = messages | channels | statistics | records; mode = indexed | sequential; payload = true | false;
+only = keyframes; split_bytes. Small files share a task, large ones are several, by where their chunks begin; files are opened in tasks
+alone. Filters on topic, schema_name and log_time reach the chunk index. records = records has a row for each record of any kind up to the
+end of a log's data. only = keyframes gives video messages that hold a keyframe: in field 3 of the payload where the channel's encoding is
+protobuf, else in the payload itself.
+
+Options for writing: compression = zstd | lz4 | none; split.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, GreaterThanOrEqual, In, InputPartition, LessThanOrEqual, WriterCommitMessage
-from pyspark.sql.types import BooleanType
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 
 from riverlog.functions import wire
 from riverlog.sources import mcap
@@ -24,36 +30,36 @@ from riverlog.sources.folders import file_system, scratch
 MESSAGES = "file string, topic string, schema_name string, schema_encoding string, schema_data binary, message_encoding string, metadata map<string,string>, channel_id int, ordinal long, sequence long, log_time long, publish_time long, data binary"
 CHANNELS = "file string, channel_id int, topic string, message_encoding string, schema_id int, schema_name string, metadata map<string,string>"
 STATISTICS = "file string, status string, messages long, channels int, chunks int"
-CHUNKS_A_TASK = 64
+RECORDS = "file string, ordinal long, kind string, bytes long, channel_id int, topic string, schema_id int, schema_name string, log_time long, name string, media_type string, metadata map<string,string>, content binary"
+SCHEMAS = {"messages": MESSAGES, "channels": CHANNELS, "statistics": STATISTICS, "records": RECORDS}
+SPLIT_BYTES, FILES_A_TASK = 64 << 20, 4096
 BATCH_ROWS, BATCH_BYTES = 8192, 4 << 20
 _KINDS = {"string": pa.string(), "binary": pa.binary(), "int": pa.int32(), "long": pa.int64(), "map<string,string>": pa.map_(pa.string(), pa.string())}
-ARROW = {k: pa.schema([(c.split(" ")[0], _KINDS[c.split(" ")[1]]) for c in s.split(", ")]) for k, s in (("messages", MESSAGES), ("channels", CHANNELS), ("statistics", STATISTICS))}
+ARROW = {k: pa.schema([(c.split(" ")[0], _KINDS[c.split(" ")[1]]) for c in s.split(", ")]) for k, s in SCHEMAS.items()}
 #: Schema name of video messages: fixed value.
 VIDEO = "foxglove.CompressedVideo"
 
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    plain = lambda x: list(x.items()) if isinstance(x, dict) else x
-    return pa.RecordBatch.from_arrays([pa.array(list(map(plain, c)) if pa.types.is_map(f.type) else c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
+def _array(values: list, kind: pa.DataType) -> pa.Array:
+    return pa.array([list(x.items()) if isinstance(x, dict) else x for x in values] if pa.types.is_map(kind) else values, kind)
 
-@F.pandas_udf(BooleanType())
-def _is_key(data: pd.Series) -> pd.Series:
-    return data.map(lambda x: wire.is_keyframe(bytes(x)))
 
+def keyframes(spark: SparkSession, path: str) -> DataFrame:
+    """Video messages of the logs at path that hold a keyframe; the others do not leave the reader."""
+    return spark.read.format("mcap").option("only", "keyframes").load(path)
 
-def keyframes(messages: DataFrame) -> DataFrame:
-    """Video messages whose payload is not empty and holds a keyframe."""
-    return messages.where((F.col("schema_name") == VIDEO) & (F.octet_length("data") > 0)).where(_is_key("data"))
 
-
-def _files(path: str) -> list[str]:
+def _listed(path: str) -> list[tuple[str, int]]:
     fs, at = file_system(path)
     info = fs.get_file_info(at)
     if info.type == pafs.FileType.File:
-        return [path]
+        return [(path, info.size)]
     prefix = path.rstrip("/")
-    return sorted(f"{prefix}/{x.base_name}" for x in fs.get_file_info(pafs.FileSelector(at)) if x.type == pafs.FileType.File and x.base_name.endswith(".mcap"))
+    return sorted((f"{prefix}/{x.base_name}", x.size) for x in fs.get_file_info(pafs.FileSelector(at)) if x.type == pafs.FileType.File and x.base_name.endswith(".mcap"))
+
+
+def _files(path: str) -> list[str]:
+    return [f for f, _ in _listed(path)]
 
 
 def _open(path: str):
@@ -62,95 +68,164 @@ def _open(path: str):
 
 
 class Piece(InputPartition):
-    def __init__(self, file: str, chunks: tuple[int, int] | None = None):
-        self.file, self.chunks = file, chunks
+    """(file, first byte, end byte) of each part of a log that a task reads."""
+
+    def __init__(self, parts: list[tuple[str, int, int]]):
+        self.parts = parts
 
 
 class McapReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.what, self.mode = options["path"], options.get("records", "messages"), options.get("mode", "indexed")
-        self.payload = options.get("payload", "true").lower() == "true"
+        self.payload, self.split_bytes = options.get("payload", "true").lower() == "true", int(options.get("split_bytes", SPLIT_BYTES))
+        self.only = options.get("only")
+        if self.only not in (None, "keyframes") or self.only and (self.what != "messages" or self.mode == "sequential"):
+            raise ValueError("only = keyframes goes with messages by index")
         self.topics: set[str] | None = None
+        self.schemas: set[str] | None = {VIDEO} if self.only else None
         self.low: int | None = None
         self.high: int | None = None
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
-            if self.what == "messages" and f.attribute == ("topic",) and isinstance(f, (EqualTo, In)):
-                wanted = {f.value} if isinstance(f, EqualTo) else set(f.value)
-                self.topics = wanted if self.topics is None else self.topics & wanted
-            elif self.what == "messages" and f.attribute == ("log_time",) and isinstance(f, GreaterThanOrEqual):
-                self.low = f.value if self.low is None else max(self.low, f.value)
-            elif self.what == "messages" and f.attribute == ("log_time",) and isinstance(f, LessThanOrEqual):
-                self.high = f.value if self.high is None else min(self.high, f.value)
+            kind, name = type(f), f.attribute[0] if self.what == "messages" and len(f.attribute) == 1 else None
+            if name in ("topic", "schema_name") and kind in (EqualTo, In):
+                wanted, own = {f.value} if kind is EqualTo else set(f.value), "topics" if name == "topic" else "schemas"
+                held = getattr(self, own)
+                setattr(self, own, wanted if held is None else held & wanted)
+            elif name == "log_time" and kind in (GreaterThan, GreaterThanOrEqual):
+                low = f.value + (kind is GreaterThan)
+                self.low = low if self.low is None else max(self.low, low)
+            elif name == "log_time" and kind in (LessThan, LessThanOrEqual):
+                high = f.value - (kind is LessThan)
+                self.high = high if self.high is None else min(self.high, high)
             else:
                 yield f
 
     def partitions(self) -> list[Piece]:
-        out = []
-        for file in _files(self.path):
-            if self.what != "messages" or self.mode == "sequential":
-                out.append(Piece(file))
-                continue
-            with _open(file) as f:
-                n = len(mcap.read_summary(f).chunks)
-            out += [Piece(file, (i, min(n, i + CHUNKS_A_TASK))) for i in range(0, n, CHUNKS_A_TASK)]
-        return out
-
-    def _row(self, file: str, k: int, m: mcap.Message, channels: dict, schemas: dict) -> tuple:
-        c = channels[m.channel_id]
-        s = schemas.get(c.schema_id) if c.schema_id else None
-        return file, c.topic, s and s.name, s and s.encoding, s and s.data, c.encoding, c.metadata, m.channel_id, k, m.sequence, m.log_time, m.publish_time, m.data if self.payload else None
+        out, held, size = [], [], 0
+        whole = self.what != "messages" or self.mode == "sequential"
+        for file, n in _listed(self.path):
+            step = max(1, n if whole else self.split_bytes)
+            for a in range(0, max(1, n), step):
+                held.append((file, a, min(n, a + step)))
+                size += min(n, a + step) - a
+                if size >= self.split_bytes or len(held) >= FILES_A_TASK:
+                    out, held, size = [*out, Piece(held)], [], 0
+        return [*out, Piece(held)] if held else out
 
     def read(self, piece: Piece) -> Iterator[pa.RecordBatch]:
-        """Arrow batches of BATCH_ROWS rows or BATCH_BYTES of payload."""
-        held, size = [], 0
-        for row in self._rows(piece):
-            held.append(row)
-            size += len(row[-1] or b"") if self.what == "messages" else 0
-            if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
-                yield _batch(held, ARROW[self.what])
-                held, size = [], 0
+        """Arrow batches of about BATCH_ROWS rows or BATCH_BYTES of payload."""
+        held, rows, size = [], 0, 0
+        for b in self._batches(piece):
+            held.append(b)
+            rows += b.num_rows
+            size += b.nbytes
+            if rows >= BATCH_ROWS or size >= BATCH_BYTES:
+                yield pa.concat_batches(held)
+                held, rows, size = [], 0, 0
         if held:
-            yield _batch(held, ARROW[self.what])
-
-    def _rows(self, piece: Piece) -> Iterator[tuple]:
-        name = piece.file.rsplit("/", 1)[-1]
-        with _open(piece.file) as f:
-            if self.what == "statistics":
-                try:
-                    s = mcap.read_summary(f)
-                    yield name, "ok", s.messages, len(s.channels), len(s.chunks)
-                except ValueError as e:
-                    yield name, f"broken: {e}", None, None, None
-            elif self.what == "channels":
-                s = mcap.read_summary(f)
-                for c in s.channels.values():
-                    yield name, c.id, c.topic, c.encoding, c.schema_id, s.schemas[c.schema_id].name if c.schema_id else None, c.metadata
-            elif self.mode == "sequential":
-                schemas, channels = {}, {}
-                for k, (op, body) in enumerate(mcap.scan(f)):
-                    if op == mcap.SCHEMA:
-                        x = mcap.parse(op, body)
-                        schemas[x.id] = x
-                    elif op == mcap.CHANNEL:
-                        x = mcap.parse(op, body)
-                        channels[x.id] = x
-                    elif op == mcap.MESSAGE:
-                        m = mcap.parse(op, body)
-                        if m.channel_id not in channels:
-                            raise mcap.Corrupt(f"message of unknown channel {m.channel_id}")
-                        if (self.topics is None or channels[m.channel_id].topic in self.topics) and (self.low is None or m.log_time >= self.low) and (self.high is None or m.log_time <= self.high):
-                            yield self._row(name, k, m, channels, schemas)
-            else:
+            yield pa.concat_batches(held)
+
+    def _batches(self, piece: Piece) -> Iterator[pa.RecordBatch]:
+        schema = ARROW[self.what]
+        for file, a, b in piece.parts:
+            name = file.rsplit("/", 1)[-1]
+            with _open(file) as f:
+                if self.what == "messages" and self.mode != "sequential":
+                    yield from self._chunks(f, name, a, b)
+                    continue
+                rows, size = [], 0
+                for row in self._rows(f, name):
+                    rows.append(row)
+                    size += len(row[-1]) if isinstance(row[-1], bytes) else 0
+                    if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
+                        yield pa.RecordBatch.from_arrays([_array(c, k.type) for c, k in zip(zip(*rows), schema)], schema=schema)
+                        rows, size = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays([_array(c, k.type) for c, k in zip(zip(*rows), schema)], schema=schema)
+
+    def _wanted(self, s: mcap.Summary) -> list[mcap.Channel]:
+        name = lambda c: s.schemas[c.schema_id].name if c.schema_id else None
+        return [c for c in s.channels.values() if (self.topics is None or c.topic in self.topics) and (self.schemas is None or name(c) in self.schemas)]
+
+    def _chunks(self, f, name: str, a: int, b: int) -> Iterator[pa.RecordBatch]:
+        """Messages of the chunks that begin between bytes a and b of a log, each chunk's by log time."""
+        s = mcap.read_summary(f)
+        channels = self._wanted(s)
+        every, numbers = len(channels) == len(s.channels), np.array([c.id for c in channels], np.int64)
+        schema = [s.schemas.get(c.schema_id) if c.schema_id else None for c in channels]
+        of_channel = [[name] * len(channels), [c.topic for c in channels], *([getattr(x, y) if x else None for x in schema] for y in ("name", "encoding", "data")), [c.encoding for c in channels], [c.metadata for c in channels], numbers.tolist()]
+        fixed = [_array(v, k.type) for v, k in zip(of_channel, ARROW["messages"])]
+        sorter = np.argsort(numbers)
+        for i, at in enumerate(s.chunks):
+            if not a <= at.offset < b or not every and at.channels.isdisjoint(numbers.tolist()) or self.low is not None and at.high < self.low or self.high is not None and at.low > self.high:
+                continue
+            m = mcap.find_messages(f, at)
+            if unknown := set(np.unique(m.channel).tolist()) - set(s.channels):
+                raise mcap.Corrupt(f"message of unknown channel {min(unknown)}")
+            keep = np.ones(len(m.place), bool) if every else np.isin(m.channel, numbers)
+            if self.low is not None:
+                keep &= m.log_time >= self.low
+            if self.high is not None:
+                keep &= m.log_time <= self.high
+            m = m.picked(np.flatnonzero(keep))
+            m = m.picked(np.lexsort((m.place, m.log_time)))
+            if self.only:
+                m = m.picked(np.array([k for k, (c, x, y) in enumerate(zip(m.channel.tolist(), m.start.tolist(), m.end.tolist())) if _is_key(m.raw[x:y], s.channels[c].encoding)], np.int64))
+            if not len(m.place):
+                continue
+            which = pa.array(sorter[np.searchsorted(numbers, m.channel, sorter=sorter)])
+            data = pa.array([m.raw[x:y] for x, y in zip(m.start.tolist(), m.end.tolist())], pa.binary()) if self.payload else pa.nulls(len(m.place), pa.binary())
+            yield pa.RecordBatch.from_arrays([*(c.take(which) for c in fixed), *map(pa.array, ((i << 32) + m.place, m.sequence, m.log_time, m.publish_time)), data], schema=ARROW["messages"])
+
+    def _rows(self, f, name: str) -> Iterator[tuple]:
+        if self.what == "statistics":
+            try:
                 s = mcap.read_summary(f)
-                wanted = None if self.topics is None else {c.id for c in s.channels.values() if c.topic in self.topics}
-                for i in range(*piece.chunks):
-                    at = s.chunks[i]
-                    if wanted is not None and not wanted & at.channels or self.low is not None and at.high < self.low or self.high is not None and at.low > self.high:
-                        continue
-                    for k, m in mcap.chunk_messages(f, at, wanted, self.low, self.high):
-                        yield self._row(name, (i << 32) + k, m, s.channels, s.schemas)
+                yield name, "ok", s.messages, len(s.channels), len(s.chunks)
+            except ValueError as e:
+                yield name, f"broken: {e}", None, None, None
+        elif self.what == "channels":
+            s = mcap.read_summary(f)
+            for c in s.channels.values():
+                yield name, c.id, c.topic, c.encoding, c.schema_id, s.schemas[c.schema_id].name if c.schema_id else None, c.metadata
+        else:
+            schemas, channels = {}, {}
+            for k, (op, body) in enumerate(mcap.scan(f)):
+                x = mcap.parse(op, body) if op in (mcap.SCHEMA, mcap.CHANNEL, mcap.MESSAGE, mcap.ATTACHMENT, mcap.METADATA) else None
+                if op == mcap.SCHEMA:
+                    schemas[x.id] = x
+                elif op == mcap.CHANNEL:
+                    if x.schema_id and x.schema_id not in schemas:
+                        raise mcap.Corrupt(f"channel {x.id} has unknown schema {x.schema_id}")
+                    channels[x.id] = x
+                elif op == mcap.MESSAGE and x.channel_id not in channels:
+                    raise mcap.Corrupt(f"message of unknown channel {x.channel_id}")
+                if self.what == "records":
+                    yield self._record(name, k, op, body, x, channels, schemas)
+                    if op == mcap.DATA_END:
+                        return
+                elif op == mcap.MESSAGE:
+                    c = channels[x.channel_id]
+                    s = schemas.get(c.schema_id)
+                    if (self.topics is None or c.topic in self.topics) and (self.schemas is None or (s and s.name) in self.schemas) and (self.low is None or x.log_time >= self.low) and (self.high is None or x.log_time <= self.high):
+                        yield name, c.topic, s and s.name, s and s.encoding, s and s.data, c.encoding, c.metadata, c.id, k, x.sequence, x.log_time, x.publish_time, x.data if self.payload else None
+
+    def _record(self, file: str, k: int, op: int, body: bytes, x, channels: dict, schemas: dict) -> tuple:
+        c = channels[x.channel_id] if op == mcap.MESSAGE else x if op == mcap.CHANNEL else None
+        s = x if op == mcap.SCHEMA else schemas.get(c.schema_id) if c and c.schema_id else None
+        content = x.data if self.payload and op in (mcap.MESSAGE, mcap.SCHEMA, mcap.ATTACHMENT) else None
+        meta = x.values if op == mcap.METADATA else x.metadata if op == mcap.CHANNEL else None
+        return file, k, mcap.NAMES.get(op, f"unknown {op}"), len(body), c and c.id, c and c.topic, s and s.id, s and s.name, getattr(x, "log_time", None), x.name if op in (mcap.ATTACHMENT, mcap.METADATA) else None, x.media_type if op == mcap.ATTACHMENT else None, meta, content
+
+
+def _is_key(data: bytes, encoding: str) -> bool:
+    codec = "h264"
+    if encoding == "protobuf":
+        fields = wire.fields(data)
+        data, codec = fields.get(3, b""), fields.get(4, b"h264").decode("utf-8", "replace")
+    return bool(data) and wire.is_keyframe(data, codec)
 
 
 class Wrote(WriterCommitMessage):
@@ -158,61 +233,75 @@ class Wrote(WriterCommitMessage):
         self.files = files
 
 
-class McapWriter(DataSourceWriter):
+def file_name(value: object) -> str:
+    """A split value as the name of a file, without the ending; characters that would lead elsewhere are written as %XX."""
+    if value is None:
+        raise ValueError("a row has no value to name its log by")
+    return re.sub(r"[/\\%:\x00-\x1f\x7f]", lambda m: f"%{ord(m[0]):02X}", str(value))
+
+
+class McapWriter(DataSourceArrowWriter):
     """One file for each non-empty partition, or with the option `split` for each value of that column, by which partitions are then
-    sorted; files are written aside and moved into place when all tasks are done."""
+    sorted. Files are written aside and moved into place when all tasks are done. A log of a taken name is an error when appending."""
 
     def __init__(self, options: dict, overwrite: bool, names: list[str]):
         self.path, self.overwrite, self.names = options["path"].rstrip("/"), overwrite, names
         self.compression, self.split = options.get("compression", "zstd"), options.get("split")
+        self.compression = "" if self.compression == "none" else self.compression
 
-    def write(self, rows: Iterator) -> Wrote:
-        from pyspark import TaskContext
-
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Wrote:
         fs, root = file_system(self.path)
         own = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:8]}"
-        files, name, w, out, channels = [], None, None, None, {}
-        for row in rows:
-            r = dict(zip(self.names, row))
-            wanted = str(r[self.split]) if self.split else own
-            if wanted != name:
-                if w is not None:
-                    w.close()
-                    out.close()
-                fs.create_dir(root, recursive=True)
-                at = f"{root}/.{uuid.uuid4().hex}.part"
-                out = fs.open_output_stream(at)
-                name, w, channels = wanted, mcap.Writer(out, compression=self.compression), {}
-                files.append((at, f"{root}/{name}.mcap"))
-            meta = r.get("metadata") or {}
-            key = r["topic"], r.get("schema_name"), r.get("schema_encoding"), r.get("schema_data"), r.get("message_encoding"), tuple(sorted(meta.items())), r.get("channel_id")
-            if key not in channels:
-                schema = 0
-                if key[1] is not None:
-                    schema = next((s.id for s in w.schemas.values() if (s.name, s.encoding, s.data) == (key[1], key[2] or "", bytes(key[3] or b""))), 0)
-                    if not schema:
-                        schema = len(w.schemas) + 1
-                        w.add(mcap.Schema(schema, key[1], key[2] or "", bytes(key[3] or b"")))
-                channels[key] = len(channels) + 1
-                w.add(mcap.Channel(channels[key], schema, r["topic"], key[4] or "", dict(meta)))
-            w.add(mcap.Message(channels[key], int(r.get("sequence") or 0), int(r["log_time"]), int(r.get("publish_time") or r["log_time"]), bytes(r.get("data") or b"")))
-        if w is not None:
-            w.close()
-            out.close()
+        files, name, log = [], None, None
+        try:
+            for b in batches:
+                for wanted, part in self._split(b, own):
+                    if wanted != name:
+                        if log is not None:
+                            log.close()
+                        else:
+                            fs.create_dir(root, recursive=True)
+                        at = f"{root}/.{uuid.uuid4().hex}.part"
+                        files.append((at, f"{root}/{wanted}.mcap"))
+                        name, log = wanted, _Log(fs.open_output_stream(at), self.compression)
+                    log.add(part)
+            if log is not None:
+                log.close()
+        except BaseException:
+            for at, _ in files:
+                if fs.get_file_info(at).type == pafs.FileType.File:
+                    fs.delete_file(at)
+            raise
         return Wrote(files)
 
+    def _split(self, b: pa.RecordBatch, own: str) -> Iterator[tuple[str, pa.RecordBatch]]:
+        """(name, rows that belong to it) in order."""
+        if not b.num_rows:
+            return
+        b = b.rename_columns(self.names)
+        if not self.split:
+            yield own, b
+            return
+        values, a = [file_name(x) for x in b.column(b.schema.get_field_index(self.split)).to_pylist()], 0
+        for i in range(1, len(values) + 1):
+            if i == len(values) or values[i] != values[a]:
+                yield values[a], b.slice(a, i - a)
+                a = i
+
     def commit(self, messages: list[Wrote]) -> None:
         fs, root = file_system(self.path)
         files = [f for m in messages if m for f in m.files]
-        if len({name for _, name in files}) < len(files):
+        names = {name for _, name in files}
+        there = {x.path for x in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)) if x.base_name.endswith(".mcap")}
+        taken = sorted(n for n in names if n.rsplit("/", 1)[-1] in {x.rsplit("/", 1)[-1] for x in there})
+        if len(names) < len(files) or taken and not self.overwrite:
             self.abort(messages)
-            raise ValueError(f"rows of one {self.split} are not together: repartition and sort by it")
-        if self.overwrite:
-            for x in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
-                if x.base_name.endswith(".mcap"):
-                    fs.delete_file(x.path)
-        for at, name in files:
-            fs.move(at, name)
+            raise FileExistsError(f"there is a log {taken[0]} already") if taken else ValueError(f"rows of one {self.split} are not together: repartition and sort by it")
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda f: fs.move(*f), files))
+            if self.overwrite:
+                kept = {n.rsplit("/", 1)[-1] for n in names}
+                list(pool.map(fs.delete_file, (x for x in there if x.rsplit("/", 1)[-1] not in kept)))
 
     def abort(self, messages: list[Wrote]) -> None:
         fs, _ = file_system(self.path)
@@ -220,13 +309,47 @@ class McapWriter(DataSourceWriter):
             fs.delete_file(at)
 
 
+class _Log:
+    """A log that takes rows of Arrow batches; schemas and channels are numbered as they come."""
+
+    def __init__(self, out, compression: str):
+        self.out, self.writer, self.channels, self.schemas = out, mcap.Writer(out, compression=compression), {}, {}
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        n, at = rows.num_rows, {c: i for i, c in enumerate(rows.schema.names)}
+        column = lambda c, none=None: rows.column(at[c]).to_pylist() if c in at else [none] * n
+        meta = [tuple(sorted(dict(m or ()).items())) for m in column("metadata")]
+        keys = zip(column("topic"), column("schema_name"), column("schema_encoding"), column("schema_data"), column("message_encoding"), meta, column("channel_id"))
+        for key, sequence, log_time, published, data in zip(keys, column("sequence"), column("log_time"), column("publish_time"), column("data")):
+            number = self.channels.get(key)
+            if number is None:
+                number = self._channel(key)
+            self.writer.message(number, sequence or 0, log_time, log_time if published is None else published, data or b"")
+
+    def _channel(self, key: tuple) -> int:
+        topic, name, encoding, data, message_encoding, meta, _ = key
+        schema = 0
+        if name is not None:
+            schema = self.schemas.get(key[1:4], 0)
+            if not schema:
+                schema = self.schemas[key[1:4]] = len(self.schemas) + 1
+                self.writer.add(mcap.Schema(schema, name, encoding or "", data or b""))
+        number = self.channels[key] = len(self.channels) + 1
+        self.writer.add(mcap.Channel(number, schema, topic, message_encoding or "", dict(meta)))
+        return number
+
+    def close(self) -> None:
+        self.writer.close()
+        self.out.close()
+
+
 class McapDataSource(DataSource):
     @classmethod
     def name(cls) -> str:
         return "mcap"
 
     def schema(self) -> str:
-        return {"messages": MESSAGES, "channels": CHANNELS, "statistics": STATISTICS}[self.options.get("records", "messages")]
+        return SCHEMAS[self.options.get("records", "messages")]
 
     def reader(self, schema) -> McapReader:
         return McapReader(self.options)

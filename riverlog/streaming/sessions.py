@@ -22,7 +22,7 @@ def stream_sessions(df: DataFrame, by: list[str], ts: str, gap: str, late: str =
 
 def hold_stream(df: DataFrame, by: list[str], ts: str, row: str, flag: str, window: int, late: str = "10 minutes") -> DataFrame:
     """by, row, held: whether any row of the group within window // 2 rows is flagged, as in detect.hold_any, on a stream of
-    df(by, ts, row, flag 0 or 1), where row is a long that tells rows apart.
+    df(by, ts, row, flag 0, 1 or null, which is 0), where row is a long that tells rows apart.
 
     A row is given out once window // 2 later rows of its group are there, or else when the watermark passes the group's last row. Of a
     group, window - 1 rows stay as state. Within a micro-batch rows come in any order, as its files may; a row that arrives behind given
@@ -59,7 +59,7 @@ def hold_stream(df: DataFrame, by: list[str], ts: str, row: str, flag: str, wind
         state.update((left["t"].tolist(), left["row"].tolist(), left["flag"].astype("int64").tolist(), min(stop, half)))
         state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), int(left["t"].max()) // 1000) + 1)
 
-    rows = df.withWatermark(ts, late).select(*by, ts, F.unix_micros(ts).alias("_t"), row, F.col(flag).cast("int").alias(flag))
+    rows = df.withWatermark(ts, late).select(*by, ts, F.unix_micros(ts).alias("_t"), row, F.coalesce(F.col(flag).cast("int"), F.lit(0)).alias(flag))
     return rows.groupBy(*by).applyInPandasWithState(step, out, "t array<long>, ids array<long>, flags array<long>, done int", "append", GroupStateTimeout.EventTimeTimeout)
 
 
