@@ -62,13 +62,26 @@ def paint(shape: tuple[int, int], boxes: np.ndarray, ellipse: bool = True) -> np
     return mask
 
 
-def dilate(mask: np.ndarray, radius: int) -> np.ndarray:
-    """Grown by a disc of radius, shrunk for a negative one: per row of the disc a run of that width, by running sums."""
+#: Pixels of a tile's side when masks are grown at a quarter of the resolution, and from which radius on that is worth it.
+QUARTER, COARSE_FROM = 4, 8
+
+
+def dilate(mask: np.ndarray, radius: int, coarse: bool = False) -> np.ndarray:
+    """Grown by a disc of radius, shrunk for a negative one: per row of the disc a run of that width, by running sums.
+
+    With coarse, radii from COARSE_FROM on are worked on tiles of 4 x 4 pixels, of which any pixel counts when growing and all must when
+    shrinking: sixteen times fewer pixels. What is grown is never smaller then, what is shrunk never larger, than at full resolution.
+    """
     if radius == 0 or not mask.any():
         return mask.copy()
     if radius < 0:
-        return (1 - dilate(1 - mask, -radius)).astype(np.uint8)
+        return (1 - dilate(1 - mask, -radius, coarse)).astype(np.uint8)
     h, w = mask.shape
+    if coarse and radius >= COARSE_FROM:
+        small = np.maximum.reduceat(np.maximum.reduceat(mask, np.arange(0, h, QUARTER), 0), np.arange(0, w, QUARTER), 1)
+        # Pixels `radius` apart lie in tiles whose corners are up to three pixels further apart each way.
+        grown = dilate(small, coarse_radius(radius))
+        return np.repeat(np.repeat(grown, QUARTER, 0)[:h], QUARTER, 1)[:, :w]
     sums = np.concatenate([np.zeros((h, 1), np.int64), np.cumsum(mask, axis=1)], axis=1)
     out = np.zeros_like(mask)
     for dy in range(-radius, radius + 1):
@@ -79,27 +92,100 @@ def dilate(mask: np.ndarray, radius: int) -> np.ndarray:
     return out
 
 
-def fill(frame: np.ndarray, mask: np.ndarray, mode: str, grey: int = 128, block: int = 16) -> np.ndarray:
-    """grey, pixelate or blur under the mask; nothing else changes."""
+def coarse_radius(radius: int) -> int:
+    """In tiles, of a radius in pixels."""
+    return int(np.ceil((radius + (QUARTER - 1) * 2**0.5) / QUARTER))
+
+
+def resized(frame: np.ndarray, h: int, w: int) -> np.ndarray:
+    """The mean of the area that each new pixel covers, as doubles, by two-dimensional running sums; areas may cut through pixels."""
+    sums = np.zeros((frame.shape[0] + 1, frame.shape[1] + 1, *frame.shape[2:]))
+    sums[1:, 1:] = frame.cumsum(0, dtype=float).cumsum(1)
+    for axis, n in ((0, h), (1, w)):
+        at = np.arange(n + 1) * frame.shape[axis] / n
+        low = np.minimum(at.astype(int), frame.shape[axis] - 1)
+        part = (at - low).reshape(-1, *[1] * (sums.ndim - 1))
+        whole = np.moveaxis(sums, axis, 0)
+        sums = np.moveaxis(whole[low] + part * (whole[low + 1] - whole[low]), 0, axis)
+    return np.diff(np.diff(sums, axis=0), axis=1) / (frame.shape[0] / h * frame.shape[1] / w)
+
+
+#: Weights of a blur, the range that brightness is stretched to, and those of blue, green and red in it, in 16384ths: fixed values.
+KERNEL = np.array([1, 4, 6, 4, 1]) / 16
+STRETCHED, LUMINANCE = (90.0, 235.0), np.array([1868, 9617, 4899])
+
+
+def _blurred(x: np.ndarray) -> np.ndarray:
+    """A separable Gaussian; beyond an edge the pixels come back, the edge's own not twice."""
+    for axis in (0, 1):
+        n = x.shape[axis]
+        around = np.abs(np.arange(n)[:, None] + np.arange(-2, 3)) % max(1, 2 * (n - 1))
+        near = np.moveaxis(x, axis, 0)[np.where(around < n, around, 2 * (n - 1) - around)]
+        x = np.moveaxis(np.einsum("k,ik...->i...", KERNEL, near), 0, axis)
+    return x
+
+
+def _enlarged(x: np.ndarray, h: int, w: int) -> np.ndarray:
+    """Bilinear between the centres of pixels."""
+    for axis, n in ((0, h), (1, w)):
+        at = np.clip((np.arange(n) + 0.5) * x.shape[axis] / n - 0.5, 0, x.shape[axis] - 1)
+        low = at.astype(int)
+        part = (at - low).reshape(-1, *[1] * (x.ndim - 1))
+        whole = np.moveaxis(x, axis, 0)
+        high = whole[np.minimum(low + 1, len(whole) - 1)]
+        x = np.moveaxis(whole[low] * (1 - part) + high * part, 0, axis)
+    return x
+
+
+def fill(frame: np.ndarray, mask: np.ndarray, mode: str, grey: int = 128, block: int = 16, tint: tuple[int, int, int] = (128, 128, 128)) -> np.ndarray:
+    """grey, pixelate, blur or anon under the mask; nothing else changes.
+
+    blur: area means of about `block` pixels a side, smoothed and enlarged without steps. anon: their brightness alone, stretched to one
+    range and in the tint (blue, green, red), so that shading stays and neither colour nor the level of light does.
+    """
     out = frame.copy()
     m = mask.astype(bool)
     if mode == "grey":
         out[m] = grey
         return out
+    if mode not in ("pixelate", "blur", "anon"):
+        raise ValueError(f"unknown fill {mode!r}")
     h, w = mask.shape
-    ys, xs = np.arange(0, h, block), np.arange(0, w, block)
-    tiles = np.add.reduceat(np.add.reduceat(frame.astype(np.float64), ys, 0), xs, 1)
-    size = np.outer(np.diff([*ys, h]), np.diff([*xs, w]))[:, :, None]
-    mean = tiles / size
+    small = resized(frame, max(1, h // block), max(1, w // block))
     if mode == "pixelate":
-        soft = np.repeat(np.repeat(mean, block, 0)[:h], block, 1)[:, :w]
-    elif mode == "blur":
-        near = np.pad(mean, ((1, 1), (1, 1), (0, 0)), mode="edge")
-        mean = sum(near[i : i + mean.shape[0], j : j + mean.shape[1]] for i in range(3) for j in range(3)) / 9
-        soft = np.repeat(np.repeat(mean, block, 0)[:h], block, 1)[:, :w]
+        soft = small[np.arange(h) * len(small) // h][:, np.arange(w) * small.shape[1] // w]
     else:
-        raise ValueError(f"unknown fill {mode!r}")
-    out[m] = soft[m].astype(np.uint8)
+        small = _blurred(small)
+        if mode == "anon":
+            light = small @ LUMINANCE / 16384
+            low, high = light.min(), light.max()
+            light = STRETCHED[0] + (light - low) * ((STRETCHED[1] - STRETCHED[0]) / (high - low) if high > low else 0.0)
+            small = light[:, :, None] * np.array(tint) / 255
+        soft = _enlarged(small, h, w)
+    out[m] = np.floor(soft[m] + 0.5).astype(np.uint8)
+    return out
+
+
+def hsv(frame: np.ndarray) -> np.ndarray:
+    """Hue in half degrees, 0 to 179, saturation and value to 255, of blue, green, red pixels."""
+    b, g, r = (frame[..., i].astype(float) for i in range(3))
+    most = np.maximum(np.maximum(b, g), r)
+    spread = most - np.minimum(np.minimum(b, g), r)
+    safe = np.where(spread > 0, spread, 1)
+    turn = np.where(most == r, (g - b) / safe, np.where(most == g, 2 + (b - r) / safe, 4 + (r - g) / safe))
+    hue = np.floor(np.where(spread > 0, turn, 0) * 30 + 180 + 0.5) % 180
+    saturation = np.floor(255 * spread / np.where(most > 0, most, 1) + 0.5)
+    return np.stack([hue, saturation, most], -1).astype(np.uint8)
+
+
+def compose(tiles: list[np.ndarray | None], cols: int, h: int, w: int, blank: int = 24) -> np.ndarray:
+    """Frames side by side in rows of `cols`, each resized to h x w; `blank` where a feed has none and beyond the last."""
+    rows = max(1, -(-len(tiles) // cols))
+    out = np.full((rows * h, cols * w, 3), blank, np.uint8)
+    for k, tile in enumerate(tiles):
+        if tile is not None:
+            y, x = k // cols * h, k % cols * w
+            out[y : y + h, x : x + w] = np.floor(resized(tile, h, w) + 0.5)
     return out
 
 
@@ -107,12 +193,13 @@ def fill(frame: np.ndarray, mask: np.ndarray, mode: str, grey: int = 128, block:
 HUES, SATURATED, LEAST_VALUES, LEAST_PIXELS = (95, 135), 60, 300, 50
 
 
-def without_coloured(frame_hsv: np.ndarray, boxes: np.ndarray, most: float, low: int = HUES[0], high: int = HUES[1]) -> np.ndarray:
-    """Boxes whose saturated pixels are not mostly of hue low..high; boxes with too few pixels to tell stay."""
+def without_coloured(frame: np.ndarray, boxes: np.ndarray, most: float, low: int = HUES[0], high: int = HUES[1]) -> np.ndarray:
+    """Boxes of a frame of blue, green, red pixels of whose saturated pixels no more than a share `most` are of hue low..high. Boxes are
+    cut at the frame's edges; those with too few pixels to tell stay."""
     keep = []
     for k, box in enumerate(boxes):
         x1, y1, x2, y2 = (max(0, int(v)) for v in box[:4])
-        crop = frame_hsv[y1:y2, x1:x2].reshape(-1, 3)
+        crop = hsv(frame[y1:y2, x1:x2]).reshape(-1, 3)
         vivid = crop[crop[:, 1] > SATURATED] if len(crop) else crop
         if len(crop) * 3 < LEAST_VALUES or len(vivid) < LEAST_PIXELS or ((vivid[:, 0] >= low) & (vivid[:, 0] <= high)).mean() <= most:
             keep.append(k)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverlog.operators import intervals as spans_of
+from riverlog.operators import manifest
 
 #: Names in a report document: fixed values.
 DETECTION = "struct<frame:int,log_time:double,t_rel_s:double,boxes:array<array<double>>>"
@@ -159,3 +160,36 @@ def read_manifest(spark: SparkSession, path: str) -> dict | None:
         return None
     rows = spark.read.text(path, wholetext=True).collect()  # one small document
     return json.loads(rows[0]["value"])
+
+
+def cut_records(targets: DataFrame, messages: DataFrame, bounds: DataFrame, by: list[str]) -> DataFrame:
+    """A manifest's record of each recording of bounds(by, duration): kept, removed (of the written logs, which may overlap), kept_ppm,
+    and its logs, clips and removed, as array<struct<name, a, b, duration, messages>> by a; from targets(by, kind, name, a, b) and
+    messages(name, messages). A recording without logs has empty arrays; a log without messages counts 0."""
+    log = F.struct("a", "b", "name", (F.col("b") - F.col("a")).alias("duration"), F.coalesce("messages", F.lit(0)).cast("long").alias("messages"))
+    each = targets.join(messages, "name", "left").groupBy(*by).agg(*[F.array_sort(F.collect_list(F.when(F.col("kind") == k, log))).alias(n) for k, n in (("clip", "clips"), ("removed", "gone"))])
+    met = bounds.join(each, by, "left")
+    logs = lambda c: F.transform(F.coalesce(c, F.array()), lambda x: F.struct(x["name"].alias("name"), x["a"].alias("a"), x["b"].alias("b"), x["duration"].alias("duration"), x["messages"].alias("messages")))
+    total = lambda c: F.aggregate(F.coalesce(c, F.array()), F.lit(0).cast("long"), lambda n, x: n + x["duration"])
+    share = F.when(F.col("duration") > 0, F.floor(total("clips") * 1_000_000 / F.col("duration"))).otherwise(0)
+    return met.select(*by, "duration", total("clips").alias("kept"), total("gone").alias("removed"), share.cast("long").alias("kept_ppm"), logs("clips").alias("clips"), logs("gone").alias("removed_logs"))
+
+
+def blur_records(channels: DataFrame, by: list[str]) -> DataFrame:
+    """A manifest's record of each recording: frames, frames_with_faces and channels map<topic, struct<frames, frames_detected,
+    frames_with_faces, boxes, max_box_px>> from frames channels(by, topic, detected boolean, boxes array<struct<x1, y1, x2, y2, ...>>).
+
+    A box's size is its longer side in whole pixels; null boxes are none."""
+    side = F.array_max(F.transform("boxes", lambda b: F.greatest(b["x2"].cast("int") - b["x1"].cast("int"), b["y2"].cast("int") - b["y1"].cast("int"))))
+    n = F.coalesce(F.size("boxes"), F.lit(0))
+    n = F.when(F.col("boxes").isNull(), 0).otherwise(n)
+    one = channels.groupBy(*by, "topic").agg(F.count("*").alias("frames"), F.count_if("detected").alias("frames_detected"), F.count_if(n > 0).alias("frames_with_faces"), F.sum(n).cast("long").alias("boxes"), F.coalesce(F.max(side), F.lit(0)).alias("max_box_px"))
+    figures = F.struct("frames", "frames_detected", "frames_with_faces", "boxes", "max_box_px")
+    return one.groupBy(*by).agg(F.sum("frames").alias("frames"), F.sum("frames_with_faces").alias("frames_with_faces"), F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("topic"), figures)))).alias("channels"))
+
+
+def merged_manifest(prior: DataFrame, prior_short: DataFrame, new: DataFrame, short: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(records, too short ones) after a run: a recording of this run replaces its prior record; one that was too short before and was cut
+    now is too short no more, one that is too short now keeps its prior record of an earlier cut."""
+    seen = short.select(key).union(new.select(key)).distinct()
+    return manifest.upsert(prior, new, key), prior_short.join(seen, key, "left_anti").unionByName(short)

@@ -378,6 +378,29 @@ def hold_max_stream(spark, sf_dir):
     return streaming.run_once(out, scratch(spark, "stream-held"), scratch(spark, "stream-state"))
 
 
+def _boxed(df: DataFrame) -> DataFrame:
+    """A row's detections as boxes: as many as its id says, of which each tells its score; none under the threshold."""
+    box = lambda i: F.array(F.lit(0.0), F.lit(0.0), F.lit(8.0), i.cast("double"), F.col("value"))
+    return df.withColumn("boxes", F.when(F.col("value") >= CONF, F.transform(F.sequence(F.lit(0).cast("long"), F.col("event_id") % 3), box)))
+
+
+def _held_boxes(df: DataFrame) -> DataFrame:
+    """What an array of boxes holds, in order."""
+    texts = F.transform("boxes", lambda b: F.concat_ws(":", F.get(b, F.lit(3)).cast("long").cast("string"), F.floor(F.get(b, F.lit(4)) * 1000).cast("string")))
+    return df.select("event_id", F.size("boxes").alias("n"), F.array_join(texts, ",").alias("held"))
+
+
+def hold_boxes(spark, sf_dir):
+    rel = _boxed(_relative(spark, sf_dir))
+    return _held_boxes(rel.select("event_id", detect.hold_boxes(rel, CHANNEL, ["t", "event_id"], "boxes", 5).alias("boxes")))
+
+
+def hold_boxes_stream(spark, sf_dir):
+    streaming.use_stateful_processors(spark)
+    held = streaming.hold_boxes_stream(_boxed(_streamed(spark, sf_dir)), CHANNEL, "ts", "event_id", "boxes", 5).where("event_id IS NOT NULL")
+    return _held_boxes(streaming.run_once(held, scratch(spark, "stream-boxes"), scratch(spark, "stream-state")))
+
+
 def _report(spark, sf_dir) -> DataFrame:
     """Detection reports of all recordings, written as JSON and read again; every eleventh recording failed."""
     e = _events(spark, sf_dir)
@@ -570,6 +593,8 @@ _SUM = """s AS (SELECT {by}, count(*) AS segments, CAST(sum(b - a) AS BIGINT) AS
 _SUM_OUT = "coalesce(segments, 0) AS segments, coalesce(kept, 0) AS kept, coalesce(longest, 0) AS longest, coalesce(median, 0) AS median, duration - coalesce(kept, 0) AS removed, CASE WHEN duration > 0 THEN CAST(floor(coalesce(kept, 0) * 1000000 / duration) AS BIGINT) ELSE 0 END AS kept_ppm"
 _HELD = "SELECT event_id, {f} AS held FROM (SELECT *, CAST(value >= 100 AS INTEGER) AS x FROM rel) WINDOW w AS (PARTITION BY file, topic ORDER BY t ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)"
 
+_BOXES_HELD = f"""WITH {_REL}, b AS (SELECT *, CASE WHEN value >= 100 THEN list_transform(range(0, event_id % 3 + 1), lambda i: i || ':' || CAST(floor(value * 1000) AS BIGINT)) ELSE [] END AS x FROM rel),
+  h AS (SELECT event_id, flatten(list(x) OVER (PARTITION BY file, topic ORDER BY t, event_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)) AS x FROM b) SELECT event_id, CAST(len(x) AS INTEGER) AS n, array_to_string(x, ',') AS held FROM h"""
 _NAMED = f"""{_CLIPS}, g AS (SELECT file, coalesce(lag(b) OVER (PARTITION BY file ORDER BY a), 0) AS a, a AS b FROM clips UNION ALL SELECT bounds.file, coalesce(m, 0), duration FROM bounds LEFT JOIN (SELECT file, max(b) AS m FROM clips GROUP BY file) x ON x.file = bounds.file),
       ge AS (SELECT g.file, a, b, topic FROM g JOIN topics USING (file) WHERE b > a AND b - a >= {HOUR}), gk AS (SELECT ge.file, min(coalesce(k.t, 0)) AS a, ge.b FROM ge ASOF LEFT JOIN ks k ON k.file = ge.file AND k.topic = ge.topic AND k.t <= ge.a GROUP BY ge.file, ge.a, ge.b),
       every AS (SELECT file, a, b, 'clip' AS kind FROM clips UNION ALL SELECT file, a, b, 'removed' FROM gk),
@@ -596,6 +621,8 @@ _PAIRS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
     "route_messages": (route_messages, f"WITH {_KEEP}, spans AS (SELECT *, 'keep' AS kind FROM keep UNION ALL SELECT *, 'drop' FROM drops) SELECT event_id, r.file, kind, a, b FROM rel r JOIN spans s ON s.file = r.file AND r.t BETWEEN a AND b"),
     "hold_max": (hold_max, f"WITH {_REL} {_HELD.format(f='max(x) OVER w')}"),
     "hold_max_stream": (hold_max_stream, f"WITH {_REL} {_HELD.format(f='max(x) OVER w')}"),
+    "hold_boxes": (hold_boxes, _BOXES_HELD),
+    "hold_boxes_stream": (hold_boxes_stream, _BOXES_HELD),
     "hold_majority": (hold_majority, f"WITH {_REL} {_HELD.format(f='CAST(sum(x) OVER w > count(*) OVER w // 2 AS INTEGER)')}"),
     "mosaic_align": (mosaic_align, f"WITH {_REL}, fr AS (SELECT file, topic, t, min(event_id) AS id FROM rel GROUP BY 1, 2, 3), ticks AS (SELECT file, unnest(range(0, duration + 1, {12 * HOUR})) AS t FROM bounds), clock AS (SELECT ticks.file, topic, t FROM ticks JOIN (SELECT DISTINCT file, topic FROM rel) x ON x.file = ticks.file) SELECT c.file, c.topic, CAST(c.t // {12 * HOUR} AS INTEGER) AS k, c.t, coalesce(id, -1) AS frame_id FROM clock c ASOF LEFT JOIN fr ON fr.file = c.file AND fr.topic = c.topic AND fr.t <= c.t"),
     "asof_tolerance": (asof_tolerance, f"WITH {_HITS}, {_KEYS} SELECT file, topic, t, event_id, CASE WHEN t - k <= {24 * HOUR} THEN k ELSE -1 END AS near_key FROM ({_ASOF.format(out='k.t AS k', op='<=')})"),

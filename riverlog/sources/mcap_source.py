@@ -1,10 +1,10 @@
 """The "mcap" data source: spark.read.format("mcap").load(folder or file), df.write.format("mcap").save(folder).
 
 Options for reading: path; records = messages | channels | statistics | records; mode = indexed | sequential; payload = true | false;
-only = keyframes; split_bytes. Small files share a task, large ones are several, by where their chunks begin; files are opened in tasks
+only = keyframes; first = n; split_bytes; broken = error | skip, for channels. Small files share a task, large ones are several, by where their chunks begin; files are opened in tasks
 alone. Filters on topic, schema_name and log_time reach the chunk index. records = records has a row for each record of any kind up to the
 end of a log's data. only = keyframes gives video messages that hold a keyframe: in field 3 of the payload where the channel's encoding is
-protobuf, else in the payload itself.
+protobuf, else in the payload itself. first = n stops once it has n messages of each channel, the chunks taken by their first times.
 
 Options for writing: compression = zstd | lz4 | none; split.
 """
@@ -21,9 +21,10 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 
-from riverlog.functions import wire
+from riverlog.functions import video, wire
 from riverlog.sources import mcap
 from riverlog.sources.folders import file_system, scratch
 
@@ -81,6 +82,8 @@ class McapReader(DataSourceReader):
         self.only = options.get("only")
         if self.only not in (None, "keyframes") or self.only and (self.what != "messages" or self.mode == "sequential"):
             raise ValueError("only = keyframes goes with messages by index")
+        self.broken = options.get("broken", "error")
+        self.first = int(options.get("first", 0))
         self.topics: set[str] | None = None
         self.schemas: set[str] | None = {VIDEO} if self.only else None
         self.low: int | None = None
@@ -104,7 +107,7 @@ class McapReader(DataSourceReader):
 
     def partitions(self) -> list[Piece]:
         out, held, size = [], [], 0
-        whole = self.what != "messages" or self.mode == "sequential"
+        whole = self.what != "messages" or self.mode == "sequential" or self.first
         for file, n in _listed(self.path):
             step = max(1, n if whole else self.split_bytes)
             for a in range(0, max(1, n), step):
@@ -158,8 +161,9 @@ class McapReader(DataSourceReader):
         of_channel = [[name] * len(channels), [c.topic for c in channels], *([getattr(x, y) if x else None for x in schema] for y in ("name", "encoding", "data")), [c.encoding for c in channels], [c.metadata for c in channels], numbers.tolist()]
         fixed = [_array(v, k.type) for v, k in zip(of_channel, ARROW["messages"])]
         sorter = np.argsort(numbers)
-        for i, at in enumerate(s.chunks):
-            if not a <= at.offset < b or not every and at.channels.isdisjoint(numbers.tolist()) or self.low is not None and at.high < self.low or self.high is not None and at.low > self.high:
+        wanted = dict.fromkeys(numbers.tolist(), self.first or 1)
+        for i, at in sorted(enumerate(s.chunks), key=lambda x: x[1].low) if self.first else enumerate(s.chunks):
+            if self.first and at.channels and at.channels.isdisjoint(wanted) or not a <= at.offset < b or not every and at.channels.isdisjoint(numbers.tolist()) or self.low is not None and at.high < self.low or self.high is not None and at.low > self.high:
                 continue
             m = mcap.find_messages(f, at)
             if unknown := set(np.unique(m.channel).tolist()) - set(s.channels):
@@ -173,11 +177,22 @@ class McapReader(DataSourceReader):
             m = m.picked(np.lexsort((m.place, m.log_time)))
             if self.only:
                 m = m.picked(np.array([k for k, (c, x, y) in enumerate(zip(m.channel.tolist(), m.start.tolist(), m.end.tolist())) if _is_key(m.raw[x:y], s.channels[c].encoding)], np.int64))
+            if self.first:
+                rows = []
+                for k, c in enumerate(m.channel.tolist()):
+                    if c in wanted:
+                        rows.append(k)
+                        wanted[c] -= 1
+                        if not wanted[c]:
+                            del wanted[c]
+                m = m.picked(np.array(rows, np.int64))
             if not len(m.place):
                 continue
             which = pa.array(sorter[np.searchsorted(numbers, m.channel, sorter=sorter)])
             data = pa.array([m.raw[x:y] for x, y in zip(m.start.tolist(), m.end.tolist())], pa.binary()) if self.payload else pa.nulls(len(m.place), pa.binary())
             yield pa.RecordBatch.from_arrays([*(c.take(which) for c in fixed), *map(pa.array, ((i << 32) + m.place, m.sequence, m.log_time, m.publish_time)), data], schema=ARROW["messages"])
+            if not wanted:
+                return
 
     def _rows(self, f, name: str) -> Iterator[tuple]:
         if self.what == "statistics":
@@ -187,7 +202,12 @@ class McapReader(DataSourceReader):
             except ValueError as e:
                 yield name, f"broken: {e}", None, None, None
         elif self.what == "channels":
-            s = mcap.read_summary(f)
+            try:
+                s = mcap.read_summary(f)
+            except ValueError:
+                if self.broken == "skip":
+                    return
+                raise
             for c in s.channels.values():
                 yield name, c.id, c.topic, c.encoding, c.schema_id, s.schemas[c.schema_id].name if c.schema_id else None, c.metadata
         else:
@@ -363,6 +383,40 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(McapDataSource)
 
 
+def scan_status(spark: SparkSession, path: str, copy_unreadable: bool = True) -> DataFrame:
+    """file, status, reason: what a run over a folder of logs has to do with each. "scan": it has video channels. "copied": it is whole and
+    has none, so it may pass as it is. "copied_unscanned": it can't be read, and nothing says what is in it ("error", unless such logs are to
+    be copied)."""
+    read = spark.read.format("mcap")
+    video = read.option("records", "channels").option("broken", "skip").load(path).where(F.col("schema_name") == VIDEO).select("file").distinct().withColumn("_video", F.lit(True))
+    met = read.option("records", "statistics").load(path).join(video, "file", "left")
+    bad = F.col("status") != "ok"
+    status = F.when(bad, "copied_unscanned" if copy_unreadable else "error").when(F.col("_video"), "scan").otherwise("copied")
+    return met.select("file", status.alias("status"), F.when(bad, F.col("status")).when(F.col("_video").isNull(), "no video channels").alias("reason"))
+
+
+def stream_sizes(spark: SparkSession, path: str, first: int = 8) -> DataFrame:
+    """file, topic, channel_id, codec, width, height of each video channel, by the first parameter set in its first messages; null sizes
+    where those have none."""
+    kinds = pa.schema([("file", pa.string()), ("topic", pa.string()), ("channel_id", pa.int32()), ("log_time", pa.int64()), ("ordinal", pa.int64()), ("codec", pa.string()), ("width", pa.int32()), ("height", pa.int32())])
+
+    def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for encoding, data in zip(b.column(5).to_pylist(), b.column(6).to_pylist()):
+                fields = wire.fields(data) if encoding == "protobuf" else {3: data}
+                codec = wire.codec_name(fields.get(4, b"h264").decode("utf-8", "replace"))
+                found.append((codec, *(video.frame_size(fields.get(3, b""), codec) or (None, None))))
+            more = zip(*found) if found else [[], [], []]
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], *(pa.array(c, k.type) for c, k in zip(more, list(kinds)[5:]))], schema=kinds)
+
+    rows = spark.read.format("mcap").option("first", first).load(path).where(F.col("schema_name") == VIDEO)
+    sized = rows.select("file", "topic", "channel_id", "log_time", "ordinal", "message_encoding", "data").mapInArrow(size, "file string, topic string, channel_id int, log_time long, ordinal long, codec string, width int, height int")
+    when = F.when(F.col("width").isNotNull(), F.struct("log_time", "ordinal"))
+    best = sized.groupBy("file", "topic", "channel_id").agg(F.min_by(F.struct("width", "height"), when).alias("s"), F.min_by("codec", F.struct("log_time", "ordinal")).alias("codec"))
+    return best.select("file", "topic", "channel_id", "codec", "s.width", "s.height")
+
+
 def repair_folder(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Repairs the logs at source into the folder target, each in a task of its own: file, status, messages, channels, start_t, end_t, ended_early.
 

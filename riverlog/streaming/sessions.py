@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
 def stream_sessions(df: DataFrame, by: list[str], ts: str, gap: str, late: str = "10 minutes") -> DataFrame:
@@ -63,6 +65,78 @@ def hold_stream(df: DataFrame, by: list[str], ts: str, row: str, flag: str, wind
     return rows.groupBy(*by).applyInPandasWithState(step, out, "t array<long>, ids array<long>, flags array<long>, done int", "append", GroupStateTimeout.EventTimeTimeout)
 
 
+class _HeldBoxes(StatefulProcessor):
+    """Rows of a group as a list in state, from the first that a row not yet given out still looks back at, and how many are given out.
+
+    Input is only kept, as a group's rows of a micro-batch may come in several calls and in any order. Each call sets a timer at its last
+    row; when the watermark passes it, all rows below are there and in their final order, and those whose later neighbours are leave.
+    """
+
+    def __init__(self, by: list[str], half: int):
+        self.by, self.half = by, half
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("rows", "t long, row long, boxes string")
+        self.given = handle.getValueState("given", "n int")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        every = [(int(t), r, b) for part in rows for t, r, b in zip(part["t"].tolist(), part["row"].tolist(), part["boxes"].tolist())]
+        if new := [Row(t=t, row=int(r), boxes=b) for t, r, b in every if r is not None]:
+            self.rows.appendList(new)
+        if every:
+            self.handle.registerTimer(max(timerValues.getCurrentWatermarkInMs(), max(x[0] for x in every) // 1000) + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.rows.exists():
+            return
+        rows, done = sorted(tuple(r) for r in self.rows.get()), self.given.get()[0] if self.given.exists() else 0
+        final = sum(t // 1000 < timerValues.getCurrentWatermarkInMs() for t, _, _ in rows)
+        stop = len(rows) if final == len(rows) else max(done, final - self.half)
+        yield self._give(key, rows, done, stop)
+        left = rows[max(0, stop - self.half) :]
+        if stop == len(rows):
+            self.rows.clear()
+            self.given.clear()
+        else:
+            self.rows.put([Row(t=t, row=r, boxes=b) for t, r, b in left])
+            self.given.update((min(stop, self.half),))
+
+    def _give(self, key: tuple, rows: list[tuple], first: int, stop: int) -> pd.DataFrame:
+        around = lambda i: [b for _, _, x in rows[max(0, i - self.half) : i + self.half + 1] for b in json.loads(x)]
+        out = pd.DataFrame({c: pd.Series([k] * (stop - first), dtype=object) for c, k in zip(self.by, key)})
+        return out.assign(row=pd.Series([str(r[1]) for r in rows[first:stop]], dtype=object), boxes=pd.Series([json.dumps(around(i)) for i in range(first, stop)], dtype=object))
+
+    def close(self) -> None:
+        pass
+
+
+def use_stateful_processors(spark: SparkSession) -> None:
+    """Streams with processors of their own keep their state in RocksDB."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def hold_boxes_stream(df: DataFrame, by: list[str], ts: str, row: str, boxes: str, window: int, late: str = "10 minutes") -> DataFrame:
+    """by, row, boxes: the boxes of the group's rows within window // 2 rows, as detect.hold_boxes has them, on a stream of
+    df(by, ts, row, boxes array<array<double>>), where row is a long that tells rows apart. Null boxes are none; rows of null `row` only move the watermark.
+
+    Rows stand in order of ts, then row, whatever order they come in. A row leaves once the watermark has passed its window // 2 later
+    rows, or the group's last row; so a pause that the watermark passes ends the windows of the rows before it. Rows that come `late`
+    behind the newest of all groups are dropped. Of a group, the rows since the watermark and window - 1 before stay as state.
+    """
+    if window < 1 or window % 2 == 0:
+        raise ValueError("the window must be odd and at least 1")
+    kind = df.schema[boxes].dataType.simpleString()
+    # All as strings: in pandas, long integers beside nulls would become fractions.
+    text = lambda c: F.col(c).cast("string").alias(c)
+    rows = df.withWatermark(ts, late)
+    rows = rows.select(*map(text, by), ts, F.unix_micros(ts).cast("string").alias("t"), F.col(row).cast("string").alias("row"), F.to_json(F.coalesce(boxes, F.array().cast(kind))).alias("boxes"))
+    schema = ", ".join(f"`{c}` string" for c in [*by, "row", "boxes"])
+    got = rows.groupBy(*by).transformWithStateInPandas(_HeldBoxes(by, window // 2), schema, "Append", "EventTime")
+    return got.select(*[F.col(c).cast(df.schema[c].dataType).alias(c) for c in by], F.col("row").cast("long").alias(row), F.from_json("boxes", kind).alias("boxes"))
+
+
 def run_once(out: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Runs all that is there into parquet files at path and stops; what they hold."""
     q = out.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
