@@ -84,7 +84,7 @@ def dilate(mask: np.ndarray, radius: int, coarse: bool = False) -> np.ndarray:
         return np.repeat(np.repeat(grown, QUARTER, 0)[:h], QUARTER, 1)[:, :w]
     sums = np.concatenate([np.zeros((h, 1), np.int64), np.cumsum(mask, axis=1)], axis=1)
     out = np.zeros_like(mask)
-    for dy in range(-radius, radius + 1):
+    for dy in range(-min(radius, h - 1), min(radius, h - 1) + 1):
         half = int((radius * radius - dy * dy) ** 0.5)
         hit = sums[:, np.minimum(np.arange(w) + half + 1, w)] > sums[:, np.maximum(np.arange(w) - half, 0)]
         a, b = max(0, dy), min(h, h + dy)

@@ -189,6 +189,16 @@ def detection_summary(found: DataFrame, spans: DataFrame, by: list[str]) -> Data
 _living: dict[str, Detector] = {}
 
 
+def _detector(factory: Callable[[], Detector], made_by: str | None) -> Detector:
+    """A new detector, or that of the worker: this function is found by its name there, and so is what it keeps."""
+    if made_by is None:
+        return factory()
+    key = f"{made_by} {task_device()}"
+    if key not in _living:
+        _living[key] = factory()
+    return _living[key]
+
+
 def gpu_profile(gpus_an_executor: int = 1, tasks_a_gpu: int = 1) -> ResourceProfile:
     """For detect_frames: executors with GPUs, each shared by so many tasks. The cluster's discovery of GPUs must be set up."""
     executors = ExecutorResourceRequests().resource("gpu", gpus_an_executor)
@@ -215,11 +225,7 @@ def detect_frames(frames: DataFrame, keys: list[str], factory: Callable[[], Dete
     made_by = hashlib.sha256(cloudpickle.dumps(factory)).hexdigest() if per_worker else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        detector = _living.get(f"{made_by} {task_device()}") if per_worker else None
-        if detector is None:
-            detector = factory()
-            if per_worker:
-                _living[f"{made_by} {task_device()}"] = detector
+        detector = _detector(factory, made_by)
         many = getattr(detector, "batch", None) or (lambda images: [detector(x) for x in images])
         for b in batches:
             sizes = [b.column(i).to_pylist() for i in range(b.num_columns - 3, b.num_columns)]
