@@ -33,8 +33,8 @@ def train(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS, dictionary_byte
     """A dictionary for each lang of labelled(doc_id, text, lang), from a bounded, repeatable sample of its texts.
 
     About sample_texts texts of each language take part, with one slice of slice_chars characters each (by default twice what fills
-    the dictionary from all of them), from a place that varies. Rows without text or lang are passed over; rows without a doc_id are
-    drawn alike. No rows: no languages.
+    the dictionary from all of them), from a place that varies. Of rows that repeat a doc_id, or have none, one of a language may take
+    part. Rows without text or lang are passed over. No rows: no languages.
     """
     rows = labelled.select("doc_id", "text", "lang").where("text IS NOT NULL AND text <> '' AND lang IS NOT NULL")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -45,7 +45,8 @@ def train(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS, dictionary_byte
     spread = slice_chars or max(256, 2 * each // sample_texts)
     picked = rows.withColumn("u", hash01(F.col("doc_id"), "language")).where(F.col("u") < F.element_at(chance, F.col("lang")))
     at = F.lit(1) + F.floor(hash01(F.col("doc_id"), "slice") * F.greatest(F.lit(1), F.char_length("text") - spread)).cast("int")
-    parts = picked.select("lang", "u", "doc_id", F.substr("text", at, F.lit(spread)).alias("part")).collect()
+    parts = picked.select("lang", "u", "doc_id", F.substr("text", at, F.lit(spread)).alias("part"))
+    parts = parts.groupBy("lang", "u", "doc_id").agg(F.min("part").alias("part")).collect()  # however many rows repeat a drawn id
     out: dict[str, list[bytes]] = {}
     for r in sorted(parts, key=lambda r: (r["lang"], r["u"], r["part"])):
         out.setdefault(r["lang"], []).append(r["part"].lower().encode())

@@ -46,11 +46,12 @@ def sentences(text: str | None) -> list[str]:
 def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict:
     """{"bias": b, "weights": {word: w}} from labelled(doc_id, text, toxic), a bounded, repeatable sample of it.
 
-    Rows whose toxic is not 0 or 1 are passed over; a null text is empty. Without both labels the model is empty and scores 0.
+    Rows whose toxic is not 0 or 1 are passed over; a null text is empty. Of rows that repeat a doc_id, or have none, one of each label
+    may take part. Without both labels the model is empty and scores 0.
     """
     rows = labelled.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").where("toxic IN (0, 1)")
     chosen = _sample(rows.withColumn("c", F.char_length("text")), sample_docs, sample_chars)
-    return fit([] if chosen is None else chosen.select("doc_id", "text", "toxic").collect())
+    return fit([] if chosen is None else chosen.groupBy("doc_id", "toxic").agg(_one_text()).collect())
 
 
 def train_joined(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict:
@@ -67,8 +68,11 @@ def train_joined(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_D
         return fit([])
     sample = docs.sparkSession.createDataFrame(ids, "doc_id long, toxic int")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")
-    return fit(texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(one).collect())
+    return fit(texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(_one_text()).collect())
+
+
+def _one_text() -> Column:
+    return F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")
 
 
 def _sample(rows: DataFrame, sample_docs: int, sample_chars: int) -> DataFrame | None:
