@@ -269,23 +269,23 @@ def protobuf_roundtrip(spark, sf_dir):
     return _mapped(_table(spark, sf_dir, "documents").select("doc_id", "text"), one, "doc_id long, digest string")
 
 
-def _packets(doc_id: int) -> bytes:
-    """Access units of an id: one for each 0..id % 4, the last a keyframe where id % 5 is 0."""
-    n = doc_id % 4 + 1
+def _packets(doc_id: int, text: str | None = None) -> bytes:
+    """Access units that hold a text: one for each 0..id % 4, the last a keyframe where id % 5 is 0. (UTF-8 has no start codes.)"""
+    n, raw = doc_id % 4 + 1, (text or "").replace("\0", "").encode()
     kinds = [0x65 if doc_id % 5 == 0 and i == n - 1 else 0x41 for i in range(n)]
-    return b"".join(wire.DELIMITER + b"\xf0" + b"\x00\x00\x01" + bytes([k]) + b"x" * i for i, k in enumerate(kinds))
+    return b"".join(wire.DELIMITER + b"\xf0" + b"\x00\x00\x01" + bytes([k]) + raw for k in kinds)
 
 
 def keyframe_udf(spark, sf_dir):
-    return _mapped(_table(spark, sf_dir, "documents").select("doc_id"), lambda i: (i, wire.is_keyframe(_packets(i))), "doc_id long, is_key boolean")
+    return _mapped(_table(spark, sf_dir, "documents").select("doc_id", "text"), lambda i, t: (i, wire.is_keyframe(_packets(i, t))), "doc_id long, is_key boolean")
 
 
 def au_split(spark, sf_dir):
-    def one(i):
-        parts = wire.access_units(_packets(i))
-        return i, len(parts), sum(map(len, parts))
+    def one(i, t):
+        parts = wire.access_units(_packets(i, t))
+        return i, len(parts), sum(map(len, parts)), hashlib.sha256(b"".join(p[10:] for p in parts)).hexdigest()
 
-    return _mapped(_table(spark, sf_dir, "documents").select("doc_id"), one, "doc_id long, units long, n_bytes long")
+    return _mapped(_table(spark, sf_dir, "documents").select("doc_id", "text"), one, "doc_id long, units long, n_bytes long, digest string")
 
 
 def _log(spark, sf_dir) -> str:
@@ -525,11 +525,11 @@ def keyframe_scan(spark, sf_dir):
 
     def packets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(s or "", mcap_source.VIDEO if i % 4 else "other", i, i, _packets(i) if i % 3 else b"") for i, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            rows = [(s or "", mcap_source.VIDEO if i % 4 else "other", i, i, _packets(i, t) if i % 3 else b"") for i, s, t in zip(*(c.to_pylist() for c in b.columns))]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)] if rows else [pa.array([], f.type) for f in kind], schema=kind)
 
     path = scratch(spark, "packets")
-    made = _table(spark, sf_dir, "documents").select("doc_id", "source").mapInArrow(packets, "topic string, schema_name string, log_time long, sequence long, data binary")
+    made = _table(spark, sf_dir, "documents").select("doc_id", "source", "text").mapInArrow(packets, "topic string, schema_name string, log_time long, sequence long, data binary")
     made.write.format("mcap").mode("append").save(path)
     return mcap_source.keyframes(spark, path).select(F.col("sequence").alias("doc_id"))
 
@@ -637,7 +637,7 @@ _PAIRS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
     "sha256_digest": (sha256_digest, "SELECT doc_id, sha256(text) AS digest FROM documents"),
     "protobuf_roundtrip": (protobuf_roundtrip, "SELECT doc_id, sha256(coalesce(text, '')) AS digest FROM documents"),
     "keyframe_udf": (keyframe_udf, "SELECT doc_id, doc_id % 5 = 0 AS is_key FROM documents"),
-    "au_split": (au_split, "SELECT doc_id, doc_id % 4 + 1 AS units, CAST(10 * (doc_id % 4 + 1) + (doc_id % 4) * (doc_id % 4 + 1) // 2 AS BIGINT) AS n_bytes FROM documents"),
+    "au_split": (au_split, "SELECT doc_id, doc_id % 4 + 1 AS units, CAST((10 + octet_length(encode(replace(coalesce(text, ''), chr(0), '')))) * (doc_id % 4 + 1) AS BIGINT) AS n_bytes, sha256(repeat(replace(coalesce(text, ''), chr(0), ''), doc_id % 4 + 1)) AS digest FROM documents"),
     "mcap_roundtrip": (mcap_roundtrip, f"WITH {_E} SELECT event_id, topic, file, t * 1000 AS log_time FROM e"),
     "mcap_topic_scan": (mcap_topic_scan, f"WITH {_E} SELECT topic, count(*) AS n, max(t) * 1000 AS last_t FROM e WHERE topic IN ('click', 'error') GROUP BY topic"),
     "mcap_channels": (mcap_channels, "SELECT DISTINCT event_type AS topic, 'text' AS message_encoding, 'event' AS schema_name FROM events"),

@@ -98,16 +98,39 @@ def mcap_lz4(spark, sf_dir):
     return got.select(F.col("sequence").alias("event_id"), "topic", F.col("data").cast("string").cast("double").alias("value"))
 
 
-def scan_status(spark, sf_dir):
-    """Logs of users: of every third without video, of every fifth broken."""
+def _mixed_logs(spark, sf_dir) -> str:
+    """Logs of users: of every third without video, of every fifth broken, with the user's own number in it."""
     mcap_source.register(spark)
     path = scratch(spark, "mixed")
     e = _events(spark, sf_dir).where("file % 5 <> 0")
     rows = e.select(F.col("file").cast("string").alias("name"), "topic", F.when(F.col("file") % 3 == 0, "imu").otherwise(mcap_source.VIDEO).alias("schema_name"), F.col("t").alias("log_time"))
     rows.repartition("name").sortWithinPartitions("name", "log_time").write.format("mcap").option("split", "name").mode("append").save(path)
     broken = _events(spark, sf_dir).where("file % 5 = 0").select("file").distinct()
-    _written(broken.select(F.concat(F.col("file").cast("string"), F.lit(".mcap")), "file"), path, lambda i: b"not a log")
-    return mcap_source.scan_status(spark, path).select(F.replace("file", F.lit(".mcap"), F.lit("")).cast("long").alias("file"), "status", F.col("reason").isNotNull().alias("has_reason"))
+    _written(broken.select(F.concat(F.col("file").cast("string"), F.lit(".mcap")), "file"), path, lambda i: b"not a log %d" % i)
+    return path
+
+
+def scan_status(spark, sf_dir):
+    return mcap_source.scan_status(spark, _mixed_logs(spark, sf_dir)).select(_user(), "status", F.col("reason").isNotNull().alias("has_reason"))
+
+
+def pass_through(spark, sf_dir):
+    """What is copied, and what the target holds: digests of the copies, and of the broken logs by their bytes."""
+    target = scratch(spark, "passed")
+    got = mcap_source.pass_through(spark, _mixed_logs(spark, sf_dir), target)
+    there = files.digest_files(spark, target).select("file", F.col("sha256").alias("there"))
+    met = got.join(there, "file", "left")
+    return met.select(_user(), "status", F.coalesce(F.col("sha256") == F.col("there"), F.lit(False)).alias("copied"), F.when(F.col("status") == "copied_unscanned", F.col("there")).alias("digest"))
+
+
+def _user():
+    return F.replace("file", F.lit(".mcap"), F.lit("")).cast("long").alias("file")
+
+
+def topic_order(spark, sf_dir):
+    """Each recording's topics in order, and the recordings' own order by name."""
+    one = _events(spark, sf_dir).groupBy("file").agg(F.array_join(F.array_sort(F.collect_set("topic")), ",").alias("topics"))
+    return one.orderBy(F.col("file").cast("string")).select("file", "topics")
 
 
 def mosaic_compose(spark, sf_dir):
@@ -208,6 +231,8 @@ _PAIRS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "file_digests": (file_digests, "SELECT doc_id // 100 AS part, CAST(sum(octet_length(encode(coalesce(text, '')))) AS BIGINT) AS bytes, sha256(string_agg(coalesce(text, ''), '' ORDER BY doc_id)) AS sha256 FROM documents GROUP BY 1"),
     "record_kinds": (record_kinds, "WITH u AS (SELECT count(DISTINCT user_id) AS n FROM events) SELECT kind, '' AS topic, n, n AS files FROM u, (SELECT unnest(['header', 'schema', 'data_end']) AS kind) UNION ALL SELECT 'channel', event_type, count(DISTINCT user_id), count(DISTINCT user_id) FROM events GROUP BY event_type UNION ALL SELECT 'message', event_type, count(*), count(DISTINCT user_id) FROM events GROUP BY event_type"),
     "mcap_lz4": (mcap_lz4, "SELECT event_id, event_type AS topic, value FROM events WHERE event_type IN ('click', 'view') AND epoch_us(ts) > 1704500000000000"),
+    "topic_order": (topic_order, "SELECT user_id AS file, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS topics FROM events GROUP BY user_id"),
+    "pass_through": (pass_through, "SELECT user_id AS file, CASE WHEN user_id % 5 = 0 THEN 'copied_unscanned' WHEN user_id % 3 = 0 THEN 'copied' ELSE 'scan' END AS status, user_id % 5 = 0 OR user_id % 3 = 0 AS copied, CASE WHEN user_id % 5 = 0 THEN sha256('not a log ' || user_id) END AS digest FROM events GROUP BY user_id"),
     "scan_status": (scan_status, "SELECT user_id AS file, CASE WHEN user_id % 5 = 0 THEN 'copied_unscanned' WHEN user_id % 3 = 0 THEN 'copied' ELSE 'scan' END AS status, user_id % 5 = 0 OR user_id % 3 = 0 AS has_reason FROM events GROUP BY user_id"),
     "mosaic_compose": (mosaic_compose, f"""WITH p AS ({_LEVELS}), m AS (SELECT vec_id, k // 16 AS y, k % 8 // 2 AS c, floor(sum(x) / 4 + 0.5) AS x FROM p GROUP BY ALL), f AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN 24 * 16 ELSE sum(x) END AS s FROM m GROUP BY vec_id)
       SELECT vec_id // 4 AS tick, CAST(8 AS INTEGER) AS height, CAST(8 AS INTEGER) AS width, CAST(3 * (sum(s) + 24 * 16 * (4 - count(*))) AS BIGINT) AS total FROM f GROUP BY 1"""),

@@ -11,6 +11,7 @@ Options for writing: compression = zstd | lz4 | none; split.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 
 from riverlog.functions import video, wire
-from riverlog.sources import mcap
+from riverlog.sources import files, mcap
 from riverlog.sources.folders import file_system, scratch
 
 MESSAGES = "file string, topic string, schema_name string, schema_encoding string, schema_data binary, message_encoding string, metadata map<string,string>, channel_id int, ordinal long, sequence long, log_time long, publish_time long, data binary"
@@ -395,6 +396,36 @@ def scan_status(spark: SparkSession, path: str, copy_unreadable: bool = True) ->
     return met.select("file", status.alias("status"), F.when(bad, F.col("status")).when(F.col("_video").isNull(), "no video channels").alias("reason"))
 
 
+def pass_through(spark: SparkSession, path: str, target: str, copy_unreadable: bool = True) -> DataFrame:
+    """file, status, reason, bytes, sha256: copies the logs of a folder that scan_status() says may pass, byte by byte, and reports all of
+    them; those not copied have no digest. A file is written aside and moved into place when whole; a taken name is an error."""
+    statuses = scan_status(spark, path, copy_unreadable)
+    wanted = {r["file"] for r in statuses.where("status LIKE 'copied%'").select("file").collect()}  # a list of names
+    there = {f.rsplit("/", 1)[-1] for f, _ in files.listed(target)} if file_system(target)[0].get_file_info(file_system(target)[1]).type == pafs.FileType.Directory else set()
+    if taken := sorted(wanted & there):
+        raise FileExistsError(f"{target} holds {taken[0]}")
+
+    def copy(f, name: str, size: int) -> tuple:
+        fs, root = file_system(target.rstrip("/"))
+        fs.create_dir(root, recursive=True)
+        part, total = f"{root}/.{uuid.uuid4().hex}.part", hashlib.sha256()
+        try:
+            with fs.open_output_stream(part) as out:
+                while chunk := f.read(files.CHUNK):
+                    total.update(chunk)
+                    out.write(chunk)
+            fs.move(part, f"{root}/{name}")
+        except BaseException:
+            fs.delete_file(part)
+            raise
+        return name, size, total.hexdigest()
+
+    copied = files.each_file(spark, [x for x in _listed(path) if x[0].rsplit("/", 1)[-1] in wanted], copy, "file string, bytes long, sha256 string", [pa.string(), pa.int64(), pa.string()])
+    kept = scratch(spark, "copies")
+    copied.write.parquet(kept)  # copies are made once, however often the result is read
+    return statuses.join(spark.read.schema(copied.schema).parquet(kept), "file", "left")
+
+
 def stream_sizes(spark: SparkSession, path: str, first: int = 8) -> DataFrame:
     """file, topic, channel_id, codec, width, height of each video channel, by the first parameter set in its first messages; null sizes
     where those have none."""
