@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Edges of the detector's input, and saturation and value of a tint: fixed values.
+#: Edges of the detector's input; saturation and value of a tint, and how many hues there are; the most feeds that stand in two
+#: columns: fixed values.
 SHORT_EDGE, LONG_EDGE = 1200, 1200
-TINT_SATURATION, TINT_VALUE = 200, 230
+TINT_SATURATION, TINT_VALUE, HUES = 200, 230, 180
+FEW_FEEDS = 4
 
 
 def seconds(ns: Column) -> Column:
@@ -43,7 +45,7 @@ def displayed_size(w: Column, h: Column, turned: Column) -> Column:
 
 def grid(feeds: Column, tile_width: int, w: Column, h: Column) -> Column:
     """struct<cols, rows, tile_height>: three columns for more than four feeds, else two."""
-    cols = F.when(feeds > 4, 3).otherwise(2)
+    cols = F.when(feeds > FEW_FEEDS, 3).otherwise(2)
     return F.struct(cols.alias("cols"), F.ceil(feeds / cols).cast("int").alias("rows"), even(F.lit(float(tile_width)) * h / w).alias("tile_height"))
 
 
@@ -53,7 +55,7 @@ def display_name(topic: Column) -> Column:
 
 def tint(seed: Column) -> Column:
     """struct<hue, b, g, r>: a colour that a name always gets; hues go from 0 to 179."""
-    hue = (F.conv(F.substring(F.sha2(seed, 256), 1, 4), 16, 10).cast("int") % 180).cast("int")
+    hue = (F.conv(F.substring(F.sha2(seed, 256), 1, 4), 16, 10).cast("int") % HUES).cast("int")
     sector, part = F.floor(hue / 30).cast("int"), (hue % 30) / 30.0
     high, share = float(TINT_VALUE), TINT_SATURATION / 255.0
     low, falling, rising = F.lit(high * (1 - share)), high * (1 - share * part), high * (1 - share * (1 - part))

@@ -24,6 +24,7 @@ def frame(spark, pairs):
 
 
 def test_union_and_complement(spark):
+    # Inputs and results that are given, not chosen here: fixed values.
     x = frame(spark, [(10, 11), (12, 13), (100, 101)])
     bounds = spark.createDataFrame([("f", 200), ("none", 50)], "file string, duration long")
     assert len(spans(intervals.union(x, ["file"]))) == 3
@@ -49,6 +50,7 @@ def test_union_is_idempotent_and_covers(spark):
 
 
 def test_hold(spark):
+    # Inputs and results that are given, not chosen here: fixed values.
     df = spark.createDataFrame([("f", i, int(i == 5)) for i in range(10)], "file string, t long, x int")
     from pyspark.sql import functions as F
 
@@ -59,6 +61,7 @@ def test_hold(spark):
 
 
 def test_pixels():
+    # Inputs and results that are given, not chosen here: fixed values.
     m = np.zeros((400, 400), np.uint8)
     m[190:210, 190:210] = 1
     assert boxes.dilate(m, 30).sum() > 4 * m.sum() and boxes.dilate(m, -5).sum() < m.sum()
@@ -75,6 +78,7 @@ def test_pixels():
 
 
 def test_packets():
+    # Inputs and results that are given, not chosen here: fixed values.
     head = b"\x00\x00\x00\x01\x09\xf0"
     assert wire.is_keyframe(head + b"\x00\x00\x00\x01\x65payload") and not wire.is_keyframe(head + b"\x00\x00\x00\x01\x41payload")
     assert not wire.is_keyframe(b"") and wire.is_keyframe(b"\x00\x00\x01\x26\x01", "h265") and not wire.is_keyframe(b"\x00\x00\x01\x02\x01", "hevc")
