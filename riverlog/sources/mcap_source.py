@@ -115,7 +115,8 @@ class McapReader(DataSourceReader):
                 held.append((file, a, min(n, a + step)))
                 size += min(n, a + step) - a
                 if size >= self.split_bytes or len(held) >= FILES_A_TASK:
-                    out, held, size = [*out, Piece(held)], [], 0
+                    out.append(Piece(held))
+                    held, size = [], 0
         return [*out, Piece(held)] if held else out
 
     def read(self, piece: Piece) -> Iterator[pa.RecordBatch]:
