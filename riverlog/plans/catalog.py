@@ -83,6 +83,20 @@ low AS (SELECT back.file, a, b, nxt, topics_without, min(coalesce(k.t, 0)) AS lo
 clips AS (SELECT * FROM (SELECT file, CASE WHEN low < a THEN nxt ELSE low END AS a, b, topics_without FROM low) WHERE b - a >= {MIN_KEEP})"""
 
 
+def _stored(df: DataFrame, what: str) -> DataFrame:
+    """df written to the shared folder and read again, where several branches of a plan would each compute it anew."""
+    path = scratch(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _targets(rel: DataFrame) -> DataFrame:
+    """Clips and removed spans with the names of their logs."""
+    keys = _stored(_keys(rel), "keyframes")
+    clips = _stored(cut.snap(_keep(rel), keys, BY, "topic", MIN_KEEP), "clips")
+    return cut.targets(clips, cut.removed(clips, _bounds(rel), keys, BY, "topic", HOUR), BY, "file")
+
+
 def _keep(rel: DataFrame) -> DataFrame:
     return intervals.complement(_drops(rel), _bounds(rel), BY, MIN_KEEP)
 
@@ -158,10 +172,7 @@ def cut_clips(spark, sf_dir):
 
 
 def cut_targets(spark, sf_dir):
-    rel = _relative(spark, sf_dir)
-    clips = _clips(rel)
-    gone = cut.removed(clips, _bounds(rel), _keys(rel), BY, "topic", HOUR)
-    return cut.targets(clips, gone, BY, "file").select("file", "kind", "name", "a", "b")
+    return _targets(_relative(spark, sf_dir)).select("file", "kind", "name", "a", "b")
 
 
 def route_messages(spark, sf_dir):
@@ -538,8 +549,7 @@ def cut_write(spark, sf_dir):
     """Each clip and each removed span as a log of its own, read again."""
     mcap_source.register(spark)
     rel = _relative(spark, sf_dir)
-    clips = _clips(rel)
-    targets = cut.targets(clips, cut.removed(clips, _bounds(rel), _keys(rel), BY, "topic", HOUR), BY, "file").select("file", "name", "a", "b")
+    targets = _targets(rel).select("file", "name", "a", "b")
     met = joins.route(rel.select("event_id", "file", "topic", "t"), targets, BY, cell=HOUR)
     path = scratch(spark, "clips")
     rows = met.select("name", "topic", F.col("t").alias("log_time"), F.col("event_id").alias("sequence"), F.col("event_id").cast("string").cast("binary").alias("data"))

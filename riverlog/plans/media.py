@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverlog.functions import video, wire
-from riverlog.operators import boxes, cut, detect, joins, mosaic, reports
+from riverlog.operators import boxes, detect, joins, mosaic, reports
 from riverlog.plans import catalog
-from riverlog.plans.catalog import BY, CHANNEL, CONF, HOUR, _bounds, _clips, _events, _hits, _keys, _mapped, _relative, _table
+from riverlog.plans.catalog import BY, CHANNEL, CONF, HOUR, _bounds, _events, _mapped, _relative, _stored, _table, _targets
 from riverlog.sources import files, mcap_source
 from riverlog.sources.folders import file_system, scratch
 
@@ -191,15 +191,10 @@ def colour_reject(spark, sf_dir):
     return _mapped(rows, one, "vec_id long, kept long")
 
 
-def _targets(rel: DataFrame) -> DataFrame:
-    clips = _clips(rel)
-    return cut.targets(clips, cut.removed(clips, _bounds(rel), _keys(rel), BY, "topic", HOUR), BY, "file")
-
-
 def cut_manifest(spark, sf_dir):
     """Each recording's record with its logs, as text."""
     rel = _relative(spark, sf_dir)
-    targets = _targets(rel)
+    targets = _stored(_targets(rel), "targets")
     counted = joins.route(rel.select("file", "t"), targets.select("file", "name", "a", "b"), BY, cell=HOUR).groupBy("name").agg(F.count("*").alias("messages"))
     got = reports.cut_records(targets, counted, _bounds(rel), BY)
     text = lambda c: F.array_join(F.transform(c, lambda x: F.format_string("%s %d-%d %d", x["name"], x["a"], x["b"], x["messages"])), ", ").alias(c)

@@ -34,7 +34,7 @@ CHANNELS = "file string, channel_id int, topic string, message_encoding string,
 STATISTICS = "file string, status string, messages long, channels int, chunks int"
 RECORDS = "file string, ordinal long, kind string, bytes long, channel_id int, topic string, schema_id int, schema_name string, log_time long, name string, media_type string, metadata map<string,string>, content binary"
 SCHEMAS = {"messages": MESSAGES, "channels": CHANNELS, "statistics": STATISTICS, "records": RECORDS}
-SPLIT_BYTES, FILES_A_TASK = 64 << 20, 4096
+SPLIT_BYTES, FILES_A_TASK = 64 << 20, 256
 BATCH_ROWS, BATCH_BYTES = 8192, 4 << 20
 _KINDS = {"string": pa.string(), "binary": pa.binary(), "int": pa.int32(), "long": pa.int64(), "map<string,string>": pa.map_(pa.string(), pa.string())}
 ARROW = {k: pa.schema([(c.split(" ")[0], _KINDS[c.split(" ")[1]]) for c in s.split(", ")]) for k, s in SCHEMAS.items()}
