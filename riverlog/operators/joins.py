@@ -25,10 +25,16 @@ def route(messages: DataFrame, spans: DataFrame, by: list[str], t: str = "t", *,
     """Each message with every span (a, b, and its other columns) whose closed range holds it.
 
     cell: a stretch of time, in t's unit, of about as many messages as a task takes. An equi-join on time cells: a span stands in each cell it touches, so a long recording is not one join key.
+    A recording whose spans are long for its rows has wider cells, so that its spans stand in no more cells than it has messages and three times its spans.
     """
-    of = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("long")
-    spread = spans.where("b >= a").withColumn("_c", F.explode(F.sequence(of("a"), of("b"))))
-    return messages.withColumn("_c", of(t)).join(spread, [*by, "_c"]).where(F.col(t).between(F.col("a"), F.col("b"))).drop("_c")
+    whole = spans.where("b >= a")
+    rows = messages.groupBy(*by).agg(F.count("*").alias("_n"))
+    sizes = whole.groupBy(*by).agg(F.sum((F.col("b") - F.col("a")).cast("double")).alias("_long"), F.count("*").alias("_m")).join(rows, by)
+    widths = sizes.select(*by, F.greatest(F.lit(cell), F.ceil(F.col("_long") / (F.col("_n") + F.col("_m"))).cast("long")).alias("_w"))
+    of = lambda c: F.expr(f"({c} - pmod({c}, _w)) div _w")
+    spread = whole.join(widths, by).withColumn("_c", F.explode(F.sequence(of("a"), of("b")))).drop("_w")
+    # Spark takes an exploded table to be as small as the one before, so it might be broadcast: merged here.
+    return messages.join(widths, by).withColumn("_c", of(t)).drop("_w").join(spread.hint("merge"), [*by, "_c"]).where(F.col(t).between(F.col("a"), F.col("b"))).drop("_c")
 
 
 def band(left: DataFrame, right: DataFrame, by: list[str], t: str, other: str, width: int) -> DataFrame:
