@@ -21,7 +21,8 @@ def snap(keep: DataFrame, keyframes: DataFrame, by: list[str], topic: str, min_k
     keys = keyframes.select(*on, "t").withColumn("k", F.col("t"))
     ahead = asof(each.withColumn("t", F.col("a")), keys, on, "t", "k", "next", forward=True)
     nxt = ahead.groupBy(*by, "a", "b").agg(F.max(F.coalesce("next", "b")).alias("nxt"), F.count_if(F.col("next").isNull()).alias("topics_without"))
-    back = asof(nxt.join(topics, by).withColumn("t", F.col("nxt")), keys, on, "t", "k", "prev")
+    # Dealt anew, so that the second half's sorts are not held beside those of the first.
+    back = asof(nxt.repartition(*by).join(topics, by).withColumn("t", F.col("nxt")), keys, on, "t", "k", "prev")
     first = back.groupBy(*by, "a", "b", "nxt", "topics_without").agg(F.min(F.coalesce("prev", F.lit(0))).alias("low"))
     start = F.when(F.col("low") < F.col("a"), F.col("nxt")).otherwise(F.col("low"))
     return first.select(*by, start.alias("a"), "b", "topics_without").where((F.col("b") - F.col("a") >= min_keep) & (F.col("b") > F.col("a")))

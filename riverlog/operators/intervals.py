@@ -34,11 +34,12 @@ def union(df: DataFrame, by: list[str], gap: int = 0) -> DataFrame:
 
 def complement(drops: DataFrame, bounds: DataFrame, by: list[str], min_keep: int = 0) -> DataFrame:
     """What disjoint drops leave of [0, duration], runs of min_keep or more. Recordings of `bounds`(by, duration) without drops stay whole."""
-    cursor = F.coalesce(F.max("b").over(Window.partitionBy(*by).orderBy("a").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inner = drops.select(*by, F.greatest(cursor, F.lit(0)).alias("s"), F.col("a").alias("e"))
-    ends = drops.groupBy(*by).agg(F.max("b").alias("s"))
-    tail = bounds.join(ends, by, "left").select(*by, F.greatest(F.coalesce("s", F.lit(0)), F.lit(0)).alias("s"), F.col("duration").alias("e"))
-    return inner.unionByName(tail).where(F.col("e") - F.col("s") >= min_keep).select(*by, F.col("s").alias("a"), F.col("e").alias("b"))
+    none = F.lit(None).cast("long")
+    ends = bounds.select(*by, F.col("duration").cast("long").alias("a"), none.alias("b"), F.lit(1).alias("_end"))
+    # A recording's end stands behind all its drops: one window, in which no row meets another one by a join.
+    cursor = F.max("b").over(Window.partitionBy(*by).orderBy("_end", "a").rowsBetween(Window.unboundedPreceding, -1))
+    runs = drops.select(*by, F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), F.lit(0).alias("_end")).unionByName(ends)
+    return runs.select(*by, F.greatest(F.coalesce(cursor, F.lit(0)), F.lit(0)).alias("s"), F.col("a").alias("e")).where(F.col("e") - F.col("s") >= min_keep).select(*by, F.col("s").alias("a"), F.col("e").alias("b"))
 
 
 def gaps(keep: DataFrame, bounds: DataFrame, by: list[str]) -> DataFrame:
@@ -47,11 +48,12 @@ def gaps(keep: DataFrame, bounds: DataFrame, by: list[str]) -> DataFrame:
 
 
 def plan_summary(keep: DataFrame, bounds: DataFrame, by: list[str]) -> DataFrame:
-    """Per recording: segments, kept, removed, longest, the upper median run, kept_ppm (parts of a million)."""
-    size = F.col("b") - F.col("a")
-    runs = F.array_sort(F.collect_list(size))
-    got = keep.groupBy(*by).agg(F.count("*").alias("segments"), F.sum(size).alias("kept"), F.max(size).alias("longest"), F.element_at(runs, (F.count("*") / 2).cast("int") + 1).alias("median"))
-    full = bounds.join(got, by, "left").na.fill(0, ["segments", "kept", "longest", "median"])
+    """Per recording of `bounds`, one row each: segments, kept, removed, longest, the upper median run, kept_ppm (parts of a million)."""
+    runs = keep.select(*by, F.lit(None).cast("long").alias("duration"), (F.col("b") - F.col("a")).alias("_run"), F.lit(False).alias("_whole"))
+    both = runs.unionByName(bounds.select(*by, F.col("duration").cast("long").alias("duration"), F.lit(None).cast("long").alias("_run"), F.lit(True).alias("_whole")))
+    median = F.element_at(F.array_sort(F.collect_list("_run")), (F.count("_run") / 2).cast("int") + 1)
+    got = both.groupBy(*by).agg(F.max("duration").alias("duration"), F.max("_whole").alias("_whole"), F.count("_run").alias("segments"), F.sum("_run").alias("kept"), F.max("_run").alias("longest"), F.when(F.count("_run") > 0, median).alias("median"))
+    full = got.where("_whole").drop("_whole").na.fill(0, ["segments", "kept", "longest", "median"])
     return full.withColumn("removed", F.col("duration") - F.col("kept")).withColumn("kept_ppm", F.when(F.col("duration") > 0, F.floor(F.col("kept") * 1_000_000 / F.col("duration"))).otherwise(0).cast("long"))
 
 

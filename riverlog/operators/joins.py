@@ -21,6 +21,20 @@ def asof(left: DataFrame, right: DataFrame, by: list[str], t: str, value: str, o
     return met.select(*by, F.col("_t").alias(t), *[F.col(f"_left.{c}").alias(c) for c in rest], near.alias(out))
 
 
+def asof_clock(rows: DataFrame, by: list[str], t: str, value: str, out: str, first: int, step: int, last: str) -> DataFrame:
+    """by, k, out: for the ticks k = 0, 1, ... at first + k * step of each group, the value of its row at or before the tick, of several at
+    one time the least, else null; up to k = the column `last`, the same in all rows of a group.
+
+    Each row gives the ticks from its own time to the next row's, a group's first one also those before it: ticks are made behind the
+    window and never sorted. Rows without a time show nothing, but their group has its clock.
+    """
+    w = Window.partitionBy(*by).orderBy(t, F.col(value).desc_nulls_first())
+    begin = F.coalesce(F.greatest(F.lit(0).cast("long"), F.expr(f"(`{t}` - {first} + {step - 1}) div {step}")), F.lit(0).cast("long"))
+    met = rows.withColumn("_a", begin).withColumn("_from", F.when(F.lag("_a").over(w).isNull(), 0).otherwise(F.col("_a"))).withColumn("_to", F.least(F.lead("_a").over(w) - 1, F.col(last)))
+    ticks = met.where("_from <= _to").withColumn("k", F.explode(F.sequence("_from", "_to")))
+    return ticks.select(*by, "k", F.when(F.col(t).isNotNull() & (F.col("k") >= F.col("_a")), F.col(value)).alias(out))
+
+
 def route(messages: DataFrame, spans: DataFrame, by: list[str], t: str = "t", *, cell: int) -> DataFrame:
     """Each message with every span (a, b, and its other columns) whose closed range holds it.
 

@@ -36,23 +36,31 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.col("user_id").alias("file"), F.col("event_type").alias("topic"), F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), "value")
 
 
+def _recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each recording's first time and how long it is."""
+    return _events(spark, sf_dir).where("file IS NOT NULL").groupBy("file").agg(F.min("t").alias("t0"), (F.max("t") - F.min("t")).alias("duration"))
+
+
 def _relative(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Times from each recording's first event on; the starts are summed up first, so no recording is one task's."""
     e = _events(spark, sf_dir)
-    first = e.groupBy("file").agg(F.min("t").alias("t0"))
-    return e.join(first, "file").select("event_id", "file", "topic", (F.col("t") - F.col("t0")).alias("t"), "value")
+    return e.join(_recordings(spark, sf_dir), "file").select("event_id", "file", "topic", (F.col("t") - F.col("t0")).alias("t"), "value")
 
 
-def _bounds(rel: DataFrame) -> DataFrame:
-    return rel.groupBy("file").agg(F.max("t").alias("duration"))
+def _bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recordings(spark, sf_dir).select("file", "duration")
 
 
 def _hits(rel: DataFrame) -> DataFrame:
     return rel.where(F.col("value") >= detect.threshold(F.col("topic"), CONF, OVERRIDES))
 
 
-def _drops(rel: DataFrame) -> DataFrame:
-    return intervals.union(intervals.pad(intervals.sessions(_hits(rel), CHANNEL, gap=GAP), 0, PAD), BY)
+def _drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions are made of the hits' own times and then counted from their recording's start, so only hits are sorted. The spans are
+    dealt anew at the end: what follows, also by recording, is another task's and holds its own memory."""
+    found = intervals.sessions(_hits(_events(spark, sf_dir)), CHANNEL, gap=GAP).join(_recordings(spark, sf_dir), "file")
+    spans = found.select("file", (F.col("a") - F.col("t0")).alias("a"), (F.col("b") - F.col("t0")).alias("b"))
+    return intervals.union(intervals.pad(spans, 0, PAD), BY).repartition(*BY)
 
 
 def _keys(rel: DataFrame) -> DataFrame:
@@ -60,6 +68,12 @@ def _keys(rel: DataFrame) -> DataFrame:
     return detect.indexed(rel, CHANNEL, ["t", "event_id"]).where("idx % 10 = 1").select("file", "topic", "t")
 
 
+def _keyframes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """_keys of all recordings, stored: places are counted by the events' own times, and keyframes alone meet their recordings."""
+    keys = _keys(_events(spark, sf_dir)).join(_recordings(spark, sf_dir), "file")
+    return _stored(keys.select("file", "topic", (F.col("t") - F.col("t0")).alias("t")), "keyframes")
+
+
 #: Common parts of the SQL.
 _E = "e AS (SELECT event_id, user_id AS file, event_type AS topic, epoch_us(ts) AS t, value FROM events)"
 _REL = f"{_E}, rel AS (SELECT event_id, file, topic, t - min(t) OVER (PARTITION BY file) AS t, value FROM e), bounds AS (SELECT file, max(t) AS duration FROM rel GROUP BY file)"
@@ -90,19 +104,19 @@ def _stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _targets(rel: DataFrame) -> DataFrame:
+def _targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clips and removed spans with the names of their logs."""
-    keys = _stored(_keys(rel), "keyframes")
-    clips = _stored(cut.snap(_keep(rel), keys, BY, "topic", MIN_KEEP), "clips")
-    return cut.targets(clips, cut.removed(clips, _bounds(rel), keys, BY, "topic", HOUR), BY, "file")
+    keys = _keyframes(spark, sf_dir)
+    clips = _stored(cut.snap(_keep(spark, sf_dir), keys, BY, "topic", MIN_KEEP), "clips")
+    return cut.targets(clips, cut.removed(clips, _bounds(spark, sf_dir), keys, BY, "topic", HOUR), BY, "file")
 
 
-def _keep(rel: DataFrame) -> DataFrame:
-    return intervals.complement(_drops(rel), _bounds(rel), BY, MIN_KEEP)
+def _keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.complement(_drops(spark, sf_dir), _bounds(spark, sf_dir), BY, MIN_KEEP)
 
 
-def _clips(rel: DataFrame) -> DataFrame:
-    return cut.snap(_keep(rel), _keys(rel), BY, "topic", MIN_KEEP)
+def _clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut.snap(_keep(spark, sf_dir), _keyframes(spark, sf_dir), BY, "topic", MIN_KEEP)
 
 
 def threshold_by_topic(spark, sf_dir):
@@ -124,26 +138,23 @@ def channel_summary(spark, sf_dir):
 
 
 def interval_union(spark, sf_dir):
-    return _drops(_relative(spark, sf_dir))
+    return _drops(spark, sf_dir)
 
 
 def complement_keep(spark, sf_dir):
-    return _keep(_relative(spark, sf_dir))
+    return _keep(spark, sf_dir)
 
 
 def gaps_removed(spark, sf_dir):
-    rel = _relative(spark, sf_dir)
-    return intervals.gaps(_keep(rel), _bounds(rel), BY)
+    return intervals.gaps(_keep(spark, sf_dir), _bounds(spark, sf_dir), BY)
 
 
 def plan_summary(spark, sf_dir):
-    rel = _relative(spark, sf_dir)
-    return intervals.plan_summary(_keep(rel), _bounds(rel), BY)
+    return intervals.plan_summary(_keep(spark, sf_dir), _bounds(spark, sf_dir), BY)
 
 
 def min_keep_sweep(spark, sf_dir):
-    rel = _relative(spark, sf_dir)
-    return intervals.sweep(_drops(rel), _bounds(rel), BY, SWEEP)
+    return intervals.sweep(_drops(spark, sf_dir), _bounds(spark, sf_dir), BY, SWEEP)
 
 
 def calibrate_conf(spark, sf_dir):
@@ -168,16 +179,16 @@ def snap_back(spark, sf_dir):
 
 
 def cut_clips(spark, sf_dir):
-    return _clips(_relative(spark, sf_dir))
+    return _clips(spark, sf_dir)
 
 
 def cut_targets(spark, sf_dir):
-    return _targets(_relative(spark, sf_dir)).select("file", "kind", "name", "a", "b")
+    return _targets(spark, sf_dir).select("file", "kind", "name", "a", "b")
 
 
 def route_messages(spark, sf_dir):
     rel = _relative(spark, sf_dir)
-    spans = _keep(rel).withColumn("kind", F.lit("keep")).unionByName(_drops(rel).withColumn("kind", F.lit("drop")))
+    spans = _keep(spark, sf_dir).withColumn("kind", F.lit("keep")).unionByName(_drops(spark, sf_dir).withColumn("kind", F.lit("drop")))
     return joins.route(rel.select("event_id", "file", "t"), spans, BY, cell=HOUR).select("event_id", "file", "kind", "a", "b")
 
 
@@ -194,14 +205,17 @@ def hold_majority(spark, sf_dir):
     return _held(spark, sf_dir, detect.hold_majority)
 
 
+def _frames(spark: SparkSession, sf_dir: str, last: str) -> DataFrame:
+    """All rows as frames, with the number of their recording's last tick."""
+    e = _events(spark, sf_dir).join(_recordings(spark, sf_dir), "file")
+    return e.select("file", "topic", (F.col("t") - F.col("t0")).alias("t"), "event_id", F.expr(last).cast("long").alias("last"))
+
+
 def mosaic_align(spark, sf_dir):
     """An output clock of 12 hours, each topic's latest frame at a tick, held until the next."""
-    rel = _relative(spark, sf_dir)
     step = 12 * HOUR
-    ticks = _bounds(rel).select("file", F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("duration"), F.lit(step))).alias("k", "t"))
-    clock = ticks.join(rel.select("file", "topic").distinct(), "file")
-    frames = rel.groupBy("file", "topic", "t").agg(F.min("event_id").alias("frame"))
-    return joins.asof(clock, frames, CHANNEL, "t", "frame", "frame_id").na.fill(-1, ["frame_id"]).select("file", "topic", "k", "t", "frame_id")
+    shown = joins.asof_clock(_frames(spark, sf_dir, f"duration div {step}"), CHANNEL, "t", "event_id", "frame_id", 0, step, "last")
+    return shown.select("file", "topic", F.col("k").cast("int").alias("k"), (F.col("k") * step).alias("t"), F.coalesce("frame_id", F.lit(-1)).alias("frame_id"))
 
 
 def asof_tolerance(spark, sf_dir):
@@ -461,12 +475,11 @@ def blur_summary(spark, sf_dir):
 
 
 def cut_summary(spark, sf_dir):
-    rel = _relative(spark, sf_dir)
-    return reports.cut_summary(_clips(rel), _bounds(rel), BY)
+    return reports.cut_summary(_stored(_clips(spark, sf_dir), "clips"), _bounds(spark, sf_dir), BY)
 
 
 def first_spans(spark, sf_dir):
-    return reports.first_spans(_drops(_relative(spark, sf_dir)), BY)
+    return reports.first_spans(_drops(spark, sf_dir), BY)
 
 
 def detection_summary(spark, sf_dir):
@@ -499,12 +512,10 @@ def lock_step(spark, sf_dir):
 
 def mosaic_clock(spark, sf_dir):
     """A clock of 12 hours; at a tick each topic shows its latest frame up to half a tick later; every second tick stays."""
-    rel, step = _relative(spark, sf_dir), 12 * HOUR
-    last = F.greatest(F.lit(0), F.bround(F.col("duration") / step)).cast("int")
-    ticks = _bounds(rel).select("file", F.explode(F.sequence(F.lit(0), last)).alias("k")).where("k % 2 = 0")
-    clock = ticks.join(rel.select(*CHANNEL).distinct(), "file").withColumn("t", F.col("k").cast("long") * step + step // 2)
-    frames = rel.groupBy(*CHANNEL, "t").agg(F.min("event_id").alias("frame"))
-    return joins.asof(clock, frames, CHANNEL, "t", "frame", "frame_id").na.fill(-1, ["frame_id"]).select("file", "topic", "k", "frame_id")
+    step = 12 * HOUR
+    rows = _frames(spark, sf_dir, f"cast(greatest(0, bround(duration / {step})) as long) div 2")
+    shown = joins.asof_clock(rows, CHANNEL, "t", "event_id", "frame_id", step // 2, 2 * step, "last")
+    return shown.select("file", "topic", (F.col("k") * 2).cast("int").alias("k"), F.coalesce("frame_id", F.lit(-1)).alias("frame_id"))
 
 
 def top_boxes(spark, sf_dir):
@@ -549,7 +560,7 @@ def cut_write(spark, sf_dir):
     """Each clip and each removed span as a log of its own, read again."""
     mcap_source.register(spark)
     rel = _relative(spark, sf_dir)
-    targets = _targets(rel).select("file", "name", "a", "b")
+    targets = _stored(_targets(spark, sf_dir).select("file", "name", "a", "b"), "targets")
     met = joins.route(rel.select("event_id", "file", "topic", "t"), targets, BY, cell=HOUR)
     path = scratch(spark, "clips")
     rows = met.select("name", "topic", F.col("t").alias("log_time"), F.col("event_id").alias("sequence"), F.col("event_id").cast("string").cast("binary").alias("data"))

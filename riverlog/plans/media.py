@@ -194,9 +194,9 @@ def colour_reject(spark, sf_dir):
 def cut_manifest(spark, sf_dir):
     """Each recording's record with its logs, as text."""
     rel = _relative(spark, sf_dir)
-    targets = _stored(_targets(rel), "targets")
+    targets = _stored(_targets(spark, sf_dir), "targets")
     counted = joins.route(rel.select("file", "t"), targets.select("file", "name", "a", "b"), BY, cell=HOUR).groupBy("name").agg(F.count("*").alias("messages"))
-    got = reports.cut_records(targets, counted, _bounds(rel), BY)
+    got = reports.cut_records(targets, counted, _bounds(spark, sf_dir), BY)
     text = lambda c: F.array_join(F.transform(c, lambda x: F.format_string("%s %d-%d %d", x["name"], x["a"], x["b"], x["messages"])), ", ").alias(c)
     return got.select("file", "duration", "kept", "removed", "kept_ppm", text("clips"), text("removed_logs"))
 

@@ -397,3 +397,12 @@ def test_runs_merge_into_a_manifest(spark):
     table = lambda rows: spark.createDataFrame(rows, "file string, run int")
     records, short = reports.merged_manifest(table([("a", 1), ("b", 1)]), table([("c", 1), ("d", 1)]), table([("b", 2), ("c", 2)]), table([("a", 2)]), "file")
     assert sorted(map(tuple, records.collect())) == [("a", 1), ("b", 2), ("c", 2)] and sorted(map(tuple, short.collect())) == [("a", 2), ("d", 1)]
+
+
+def test_clock_as_of(spark):
+    # Inputs and results that are given, not chosen here: fixed values.
+    rows = spark.createDataFrame([("f", 3, 7, 4), ("f", 3, 5, 4), ("f", 25, 8, 4), ("f", 20, 6, 4), ("f", 99, 9, 4), ("g", None, 1, 2), ("g", None, 3, 2), ("g", 11, 2, 2), ("h", None, 1, 0), ("i", 0, None, 1)], "file string, t long, v long, last long")
+    got = {(r["file"], r["k"]): r["out"] for r in joins.asof_clock(rows, ["file"], "t", "v", "out", 0, 10, "last").collect()}
+    assert got == {("f", 0): None, ("f", 1): 5, ("f", 2): 6, ("f", 3): 8, ("f", 4): 8, ("g", 0): None, ("g", 1): None, ("g", 2): 2, ("h", 0): None, ("i", 0): None, ("i", 1): None}
+    late = {(r["file"], r["k"]): r["out"] for r in joins.asof_clock(rows.where("file = 'f'"), ["file"], "t", "v", "out", 5, 20, "last").collect()}
+    assert late == {("f", 0): 5, ("f", 1): 8, ("f", 2): 8, ("f", 3): 8, ("f", 4): 8}
