@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -22,91 +22,144 @@ def stream_sessions(df: DataFrame, by: list[str], ts: str, gap: str, late: str =
     return got.drop("w")
 
 
+#: State is kept for so many buckets of groups, not for each group: a call to Python and its state cost far more than a group's few rows.
+BUCKETS = 1024
+
+
+def _by_buckets(df: DataFrame, by: list[str], ts: str, row: str, late: str, **more: Column) -> DataFrame:
+    """df(_bucket, by as strings, ts, t, row, has, and more) with its watermark. As strings and without nulls: in pandas, long integers
+    beside nulls would become fractions. Rows without `has` only move the watermark; they are dropped in the tasks, as a filter here
+    would be moved before it."""
+    names = [F.col(c).cast("string").alias(f"by{i}") for i, c in enumerate(by)]
+    has = (F.col(row).isNotNull() & F.col(ts).isNotNull()).alias("has")
+    zero = F.lit(0).cast("long")
+    return df.withWatermark(ts, late).select(F.pmod(F.hash(*by), F.lit(BUCKETS)).alias("_bucket"), *names, ts, F.coalesce(F.unix_micros(ts), zero).alias("t"), F.coalesce(F.col(row).cast("long"), zero).alias("row"), has, *[x.alias(c) for c, x in more.items()])
+
+
 def hold_stream(df: DataFrame, by: list[str], ts: str, row: str, flag: str, window: int, late: str = "10 minutes") -> DataFrame:
     """by, row, held: whether any row of the group within window // 2 rows is flagged, as in detect.hold_any, on a stream of
-    df(by, ts, row, flag 0, 1 or null, which is 0), where row is a long that tells rows apart.
+    df(by, ts, row, flag 0, 1 or null, which is 0), where row is a long that tells rows apart. Rows of null `row` only move the watermark.
 
     A row is given out once window // 2 later rows of its group are there, or else when the watermark passes the group's last row. Of a
     group, window - 1 rows stay as state. Within a micro-batch rows come in any order, as its files may; a row that arrives behind given
     out ones is an error, as their windows would have been others; one that is `late` behind the newest of all groups is dropped by the
-    watermark, so `late` must cover how far groups run apart. A group's rows of one micro-batch meet in one task.
+    watermark, so `late` must cover how far groups run apart. Groups are dealt to BUCKETS, whose rows of one micro-batch meet in one task.
     """
     if window < 1 or window % 2 == 0:
         raise ValueError("the window must be odd and at least 1")
     half = window // 2
-    types = {f.name: f.dataType.simpleString() for f in df.select(*by).schema.fields}
-    out = ", ".join(f"`{c}` {types[c]}" for c in by) + f", `{row}` long, held int"
-
-    def give(key: tuple, rows: pd.DataFrame, first: int, stop: int) -> pd.DataFrame:
-        held = rows["flag"].rolling(window, center=True, min_periods=1).max()[first:stop].astype("int32")
-        given = pd.DataFrame({row: rows["row"][first:stop].astype("int64"), "held": held})
-        for i, c in enumerate(by):
-            given.insert(i, c, pd.Series([key[i]] * len(given), index=given.index, dtype=object))
-        return given
+    names = [f"by{i}" for i in range(len(by))]
+    fields = [*names, "t", "row", "flag", "given"]
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        t, ids, flags, done = state.get if state.exists else ([], [], [], 0)
-        rows = pd.DataFrame({"t": pd.Series(t, dtype="int64"), "row": pd.Series(ids, dtype="int64"), "flag": pd.Series(flags, dtype="int64")})
-        if state.hasTimedOut:
+        held = pd.DataFrame(dict(zip(fields, state.get if state.exists else [[] for _ in fields]))).astype({"t": "int64", "row": "int64", "flag": "int64", "given": "bool"})
+        new = [] if state.hasTimedOut else [p.loc[p["has"], [*names, "t", "row", "flag"]].assign(given=False) for p in parts]
+        rows = pd.concat([held.assign(old=True), *(p.assign(old=False) for p in new)], ignore_index=True)
+        if not len(rows):
+            return
+        rows["group"] = rows.groupby(names, dropna=False, sort=False).ngroup()
+        rows = rows.sort_values(["group", "t", "row"], ignore_index=True)
+        group, given = rows["group"].to_numpy(), rows["given"].to_numpy(bool)
+        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        size = np.diff(np.r_[first, len(group)])
+        if (behind := (group[1:] == group[:-1]) & given[1:] & ~given[:-1]).any():
+            raise ValueError(f"a row of {tuple(rows[names].iloc[np.flatnonzero(behind)[0]])} arrives behind rows given out")
+        last = rows["t"].to_numpy()[first + size - 1] // 1000
+        over = np.logical_and.reduceat(rows["old"].to_numpy(bool), first) & (last + 1 < state.getCurrentWatermarkMs())
+        stop = np.where(over, size, np.maximum(np.add.reduceat(given.astype(np.int64), first), size - half))
+        place = np.arange(len(group)) - np.repeat(first, size)
+        flags = rows["flag"].to_numpy(np.int64)
+        out = flags.copy()
+        for d in range(1, half + 1):
+            same = group[d:] == group[:-d]
+            np.maximum(out[d:], np.where(same, flags[:-d], 0), out=out[d:])
+            np.maximum(out[:-d], np.where(same, flags[d:], 0), out=out[:-d])
+        give = (place < np.repeat(stop, size)) & ~given
+        yield rows.loc[give, [*names, "row"]].assign(held=out[give].astype(np.int32))
+        stays = ~np.repeat(over, size) & (place >= np.repeat(stop, size) - half)
+        if not stays.any():
             state.remove()
-            yield give(key, rows, done, len(rows))
             return
-        new = pd.concat([p[["_t", row, flag]].set_axis(["t", "row", "flag"], axis=1) for p in parts])
-        if done and (new["t"].min(), new["row"][new["t"] == new["t"].min()].min()) < (rows["t"][done - 1], rows["row"][done - 1]):
-            raise ValueError(f"a row of {key} arrives behind rows given out")
-        rows = pd.concat([rows, new]).sort_values(["t", "row"], ignore_index=True)
-        stop = max(done, len(rows) - half)
-        yield give(key, rows, done, stop)
-        left = rows[max(0, stop - half) :]
-        state.update((left["t"].tolist(), left["row"].tolist(), left["flag"].astype("int64").tolist(), min(stop, half)))
-        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), int(left["t"].max()) // 1000) + 1)
+        left = rows[stays].assign(given=(given | give)[stays])
+        state.update(tuple([None if x is None or x != x else x for x in left[c].tolist()] for c in fields))
+        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), int(last[~over].min())) + 1)
 
-    rows = df.withWatermark(ts, late).select(*by, ts, F.unix_micros(ts).alias("_t"), row, F.coalesce(F.col(flag).cast("int"), F.lit(0)).alias(flag))
-    return rows.groupBy(*by).applyInPandasWithState(step, out, "t array<long>, ids array<long>, flags array<long>, done int", "append", GroupStateTimeout.EventTimeTimeout)
+    rows = _by_buckets(df, by, ts, row, late, flag=F.coalesce(F.col(flag).cast("long"), F.lit(0).cast("long")))
+    out = ", ".join(f"{c} string" for c in names) + ", row long, held int"
+    kept = ", ".join(f"{c} array<string>" for c in names) + ", t array<long>, row array<long>, flag array<long>, given array<boolean>"
+    got = rows.groupBy("_bucket").applyInPandasWithState(step, out, kept, "append", GroupStateTimeout.EventTimeTimeout)
+    return _as_before(got, df, by).select(*by, F.col("row").alias(row), "held")
+
+
+def _as_before(got: DataFrame, df: DataFrame, by: list[str]) -> DataFrame:
+    """The groups' columns under their names and in their types."""
+    return got.select(*[F.col(f"by{i}").cast(df.schema[c].dataType).alias(c) for i, c in enumerate(by)], *got.columns[len(by) :])
 
 
 class _HeldBoxes(StatefulProcessor):
-    """Rows of a group as a list in state, from the first that a row not yet given out still looks back at, and how many are given out.
+    """Rows of a bucket's groups in state, each group's from the first that a row not yet given out still looks back at; a list of packs
+    of rows, as a row for itself would cost a call.
 
-    Input is only kept, as a group's rows of a micro-batch may come in several calls and in any order. Each call sets a timer at its last
-    row; when the watermark passes it, all rows below are there and in their final order, and those whose later neighbours are leave.
+    Input is only kept, as a group's rows of a micro-batch may come in several calls and in any order. Each call sets a timer at the
+    first end of a group's rows; when the watermark passes it, all rows below are there and in their final order, and those whose later
+    neighbours are leave. Then the next end is the timer.
     """
 
-    def __init__(self, by: list[str], half: int):
-        self.by, self.half = by, half
+    FIELDS = ("t", "row", "boxes", "given")
+
+    def __init__(self, names: list[str], half: int):
+        self.names, self.half = names, half
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", "t long, row long, boxes string")
-        self.given = handle.getValueState("given", "n int")
+        self.packs = handle.getListState("packs", ", ".join(f"{c} array<string>" for c in self.names) + ", t array<long>, row array<long>, boxes array<string>, given array<boolean>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        every = [(int(t), r, b) for part in rows for t, r, b in zip(part["t"].tolist(), part["row"].tolist(), part["boxes"].tolist())]
-        if new := [Row(t=t, row=int(r), boxes=b) for t, r, b in every if r is not None]:
-            self.rows.appendList(new)
-        if every:
-            self.handle.registerTimer(max(timerValues.getCurrentWatermarkInMs(), max(x[0] for x in every) // 1000) + 1)
+        ends: dict[tuple, int] = {}
+        packs = []
+        for part in rows:
+            part = part[part["has"]]
+            if len(part):
+                texts = [[None if x is None or x != x else x for x in part[c].tolist()] for c in self.names]
+                pack = *texts, part["t"].tolist(), part["row"].tolist(), part["boxes"].tolist(), [False] * len(part)
+                packs.append(Row(*self.names, *self.FIELDS)(*pack))
+                for k, t in zip(zip(*texts), pack[len(texts)]):
+                    ends[k] = max(t, ends.get(k, t))
+        if packs:
+            self.packs.appendList(packs)
+            self._wake(ends.values(), timerValues)
         return iter(())
 
+    def _wake(self, ends, timerValues) -> None:
+        self.handle.registerTimer(max(timerValues.getCurrentWatermarkInMs(), min(ends) // 1000) + 1)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.rows.exists():
+        if not self.packs.exists():
             return
-        rows, done = sorted(tuple(r) for r in self.rows.get()), self.given.get()[0] if self.given.exists() else 0
-        final = sum(t // 1000 < timerValues.getCurrentWatermarkInMs() for t, _, _ in rows)
-        stop = len(rows) if final == len(rows) else max(done, final - self.half)
-        yield self._give(key, rows, done, stop)
-        left = rows[max(0, stop - self.half) :]
-        if stop == len(rows):
-            self.rows.clear()
-            self.given.clear()
+        groups: dict[tuple, list[tuple]] = {}
+        for pack in self.packs.get():
+            n = len(self.names)
+            for i, x in enumerate(zip(*pack[n:])):
+                groups.setdefault(tuple(c[i] for c in pack[:n]), []).append(x)
+        now, out, left = timerValues.getCurrentWatermarkInMs(), [], []
+        ends: list[int] = []
+        for k, rows in groups.items():
+            rows.sort(key=lambda x: x[:2])
+            done, final = sum(x[3] for x in rows), sum(x[0] // 1000 < now for x in rows)
+            stop = len(rows) if final == len(rows) else max(done, final - self.half)
+            # Arrays of JSON as texts, without their brackets.
+            inner = [x[2][1:-1] for x in rows]
+            out += [(*k, rows[i][1], f"[{','.join(filter(None, inner[max(0, i - self.half) : i + self.half + 1]))}]") for i in range(done, stop)]
+            if stop < len(rows):
+                left += [(*k, *rows[i][:3], i < stop) for i in range(max(0, stop - self.half), len(rows))]
+                ends.append(rows[-1][0])
+        if left:
+            self.packs.put([Row(*self.names, *self.FIELDS)(*map(list, zip(*left)))])
+            self._wake(ends, timerValues)
         else:
-            self.rows.put([Row(t=t, row=r, boxes=b) for t, r, b in left])
-            self.given.update((min(stop, self.half),))
-
-    def _give(self, key: tuple, rows: list[tuple], first: int, stop: int) -> pd.DataFrame:
-        around = lambda i: [b for _, _, x in rows[max(0, i - self.half) : i + self.half + 1] for b in json.loads(x)]
-        out = pd.DataFrame({c: pd.Series([k] * (stop - first), dtype=object) for c, k in zip(self.by, key)})
-        return out.assign(row=pd.Series([str(r[1]) for r in rows[first:stop]], dtype=object), boxes=pd.Series([json.dumps(around(i)) for i in range(first, stop)], dtype=object))
+            self.packs.clear()
+        if out:
+            yield pd.DataFrame(dict(zip([*self.names, "row", "boxes"], map(list, zip(*out)))))
 
     def close(self) -> None:
         pass
@@ -123,18 +176,17 @@ def hold_boxes_stream(df: DataFrame, by: list[str], ts: str, row: str, boxes: st
 
     Rows stand in order of ts, then row, whatever order they come in. A row leaves once the watermark has passed its window // 2 later
     rows, or the group's last row; so a pause that the watermark passes ends the windows of the rows before it. Rows that come `late`
-    behind the newest of all groups are dropped. Of a group, the rows since the watermark and window - 1 before stay as state.
+    behind the newest of all groups are dropped. Of a group, the rows since the watermark and window - 1 before stay as state;
+    groups are dealt to BUCKETS.
     """
     if window < 1 or window % 2 == 0:
         raise ValueError("the window must be odd and at least 1")
     kind = df.schema[boxes].dataType.simpleString()
-    # All as strings: in pandas, long integers beside nulls would become fractions.
-    text = lambda c: F.col(c).cast("string").alias(c)
-    rows = df.withWatermark(ts, late)
-    rows = rows.select(*map(text, by), ts, F.unix_micros(ts).cast("string").alias("t"), F.col(row).cast("string").alias("row"), F.to_json(F.coalesce(boxes, F.array().cast(kind))).alias("boxes"))
-    schema = ", ".join(f"`{c}` string" for c in [*by, "row", "boxes"])
-    got = rows.groupBy(*by).transformWithStateInPandas(_HeldBoxes(by, window // 2), schema, "Append", "EventTime")
-    return got.select(*[F.col(c).cast(df.schema[c].dataType).alias(c) for c in by], F.col("row").cast("long").alias(row), F.from_json("boxes", kind).alias("boxes"))
+    rows = _by_buckets(df, by, ts, row, late, boxes=F.to_json(F.coalesce(boxes, F.array().cast(kind))))
+    names = [f"by{i}" for i in range(len(by))]
+    schema = ", ".join(f"{c} string" for c in names) + ", row long, boxes string"
+    got = rows.groupBy("_bucket").transformWithStateInPandas(_HeldBoxes(names, window // 2), schema, "Append", "EventTime")
+    return _as_before(got, df, by).select(*by, F.col("row").alias(row), F.from_json("boxes", kind).alias("boxes"))
 
 
 def run_once(out: DataFrame, path: str, checkpoint: str) -> DataFrame:

@@ -406,3 +406,13 @@ def test_clock_as_of(spark):
     assert got == {("f", 0): None, ("f", 1): 5, ("f", 2): 6, ("f", 3): 8, ("f", 4): 8, ("g", 0): None, ("g", 1): None, ("g", 2): 2, ("h", 0): None, ("i", 0): None, ("i", 1): None}
     late = {(r["file"], r["k"]): r["out"] for r in joins.asof_clock(rows.where("file = 'f'"), ["file"], "t", "v", "out", 5, 20, "last").collect()}
     assert late == {("f", 0): 5, ("f", 1): 8, ("f", 2): 8, ("f", 3): 8, ("f", 4): 8}
+
+
+def test_rows_without_a_number_only_move_a_stream(spark, tmp_path):
+    """Groups share their state's buckets; numbers beside nulls stay whole."""
+    src, out, at = (str(tmp_path / x) for x in ("in", "out", "state"))
+    big = 2**53 + 1
+    rows = [("a", i, big + 2 * i, int(i == 1)) for i in range(4)] + [(None, 1, 7, 1), ("a", 2, None, 1), ("z", 10**6, None, 1)]
+    spark.createDataFrame(rows, "file string, s long, id long, flag int").selectExpr("file", "timestamp_seconds(1000000000 + s * 60) AS ts", "id", "flag").write.parquet(src)
+    held = streaming.hold_stream(spark.readStream.schema("file string, ts timestamp, id long, flag int").parquet(src), ["file"], "ts", "id", "flag", 3)
+    assert {(r["file"], r["id"]): r["held"] for r in streaming.run_once(held, out, at).collect()} == {("a", big): 1, ("a", big + 2): 1, ("a", big + 4): 1, ("a", big + 6): 0, (None, 7): 1}
