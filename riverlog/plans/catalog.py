@@ -546,7 +546,8 @@ def keyframe_scan(spark, sf_dir):
     kind = pa.schema([("topic", pa.string()), ("schema_name", pa.string()), ("log_time", pa.int64()), ("sequence", pa.int64()), ("data", pa.binary())])
 
     def packets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        # A few rows at a time: a batch of Spark's holds thousands of texts, and each stands in up to four packets.
+        for b in (x.slice(i, 64) for x in batches for i in range(0, x.num_rows, 64)):
             rows = [(s or "", mcap_source.VIDEO if i % 4 else "other", i, i, _packets(i, t) if i % 3 else b"") for i, s, t in zip(*(c.to_pylist() for c in b.columns))]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)] if rows else [pa.array([], f.type) for f in kind], schema=kind)
 

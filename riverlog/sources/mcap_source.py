@@ -16,6 +16,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ RECORDS = "file string, ordinal long, kind string, bytes long, channel_id int, t
 SCHEMAS = {"messages": MESSAGES, "channels": CHANNELS, "statistics": STATISTICS, "records": RECORDS}
 SPLIT_BYTES, FILES_A_TASK = 64 << 20, 256
 BATCH_ROWS, BATCH_BYTES = 8192, 4 << 20
+#: A log takes so many rows of a batch as Python values at once.
+LOG_ROWS = 256
 _KINDS = {"string": pa.string(), "binary": pa.binary(), "int": pa.int32(), "long": pa.int64(), "map<string,string>": pa.map_(pa.string(), pa.string())}
 ARROW = {k: pa.schema([(c.split(" ")[0], _KINDS[c.split(" ")[1]]) for c in s.split(", ")]) for k, s in SCHEMAS.items()}
 #: Schema name of video messages: fixed value.
@@ -109,12 +112,14 @@ class McapReader(DataSourceReader):
     def partitions(self) -> list[Piece]:
         out, held, size = [], [], 0
         whole = self.what != "messages" or self.mode == "sequential" or self.first
-        for file, n in _listed(self.path):
+        logs = _listed(self.path)
+        most = min(FILES_A_TASK, max(16, len(logs) // 256))  # few logs are few tasks' work, but not one task's
+        for file, n in logs:
             step = max(1, n if whole else self.split_bytes)
             for a in range(0, max(1, n), step):
                 held.append((file, a, min(n, a + step)))
                 size += min(n, a + step) - a
-                if size >= self.split_bytes or len(held) >= FILES_A_TASK:
+                if size >= self.split_bytes or len(held) >= most:
                     out.append(Piece(held))
                     held, size = [], 0
         return [*out, Piece(held)] if held else out
@@ -338,15 +343,20 @@ class _Log:
         self.out, self.writer, self.channels, self.schemas = out, mcap.Writer(out, compression=compression), {}, {}
 
     def add(self, rows: pa.RecordBatch) -> None:
+        for i in range(0, rows.num_rows, LOG_ROWS):
+            self._add(rows.slice(i, LOG_ROWS))
+
+    def _add(self, rows: pa.RecordBatch) -> None:
         n, at = rows.num_rows, {c: i for i, c in enumerate(rows.schema.names)}
-        column = lambda c, none=None: rows.column(at[c]).to_pylist() if c in at else [none] * n
-        meta = [tuple(sorted(dict(m or ()).items())) for m in column("metadata")]
+        column = lambda c: rows.column(at[c]).to_pylist() if c in at else repeat(None, n)
+        meta = (tuple(sorted(dict(m or ()).items())) for m in column("metadata")) if "metadata" in at else repeat((), n)
         keys = zip(column("topic"), column("schema_name"), column("schema_encoding"), column("schema_data"), column("message_encoding"), meta, column("channel_id"))
+        put, known = self.writer.message, self.channels
         for key, sequence, log_time, published, data in zip(keys, column("sequence"), column("log_time"), column("publish_time"), column("data")):
-            number = self.channels.get(key)
+            number = known.get(key)
             if number is None:
                 number = self._channel(key)
-            self.writer.message(number, sequence or 0, log_time, log_time if published is None else published, data or b"")
+            put(number, sequence or 0, log_time, log_time if published is None else published, data or b"")
 
     def _channel(self, key: tuple) -> int:
         topic, name, encoding, data, message_encoding, meta, _ = key

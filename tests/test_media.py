@@ -9,6 +9,7 @@ import time
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -416,3 +417,19 @@ def test_rows_without_a_number_only_move_a_stream(spark, tmp_path):
     spark.createDataFrame(rows, "file string, s long, id long, flag int").selectExpr("file", "timestamp_seconds(1000000000 + s * 60) AS ts", "id", "flag").write.parquet(src)
     held = streaming.hold_stream(spark.readStream.schema("file string, ts timestamp, id long, flag int").parquet(src), ["file"], "ts", "id", "flag", 3)
     assert {(r["file"], r["id"]): r["held"] for r in streaming.run_once(held, out, at).collect()} == {("a", big): 1, ("a", big + 2): 1, ("a", big + 4): 1, ("a", big + 6): 0, (None, 7): 1}
+
+
+def test_few_logs_are_several_tasks(spark, tmp_path):
+    mcap_source.register(spark)
+    rows = spark.range(40).selectExpr("CAST(id AS STRING) AS name", "'a' AS topic", "id AS log_time", "CAST('x' AS BINARY) AS data")
+    rows.repartition("name").sortWithinPartitions("name").write.format("mcap").option("split", "name").mode("append").save(str(tmp_path / "logs"))
+    reader = mcap_source.McapReader({"path": str(tmp_path / "logs")})
+    assert [len(p.parts) for p in reader.partitions()] == [16, 16, 8]
+
+
+def test_a_log_takes_few_rows_at_a_time(monkeypatch):
+    sizes, add = [], mcap_source._Log._add
+    monkeypatch.setattr(mcap_source._Log, "_add", lambda self, rows: (sizes.append(rows.num_rows), add(self, rows))[1])
+    log = mcap_source._Log(io.BytesIO(), "zstd")
+    log.add(pa.RecordBatch.from_arrays([pa.array(["a"] * 600), pa.array(range(600))], ["topic", "log_time"]))
+    assert sizes == [256, 256, 88] and sum(log.writer.counts.values()) == 600
