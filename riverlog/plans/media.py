@@ -28,15 +28,20 @@ def stream_probe(spark, sf_dir):
     mcap_source.register(spark)
     kind = pa.schema([("name", pa.string()), ("topic", pa.string()), ("log_time", pa.int64()), ("data", pa.binary())])
 
+    def message(codec: str, sps: bytes = b"") -> bytes:
+        return wire.encode({3: wire.DELIMITER + b"\xf0" + sps + b"\x00\x00\x01\x41x", 4: codec.encode()})
+
+    plain = {codec: message(codec) for codec in ("h264", "h265")}
+
     def packets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for i, size in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                codec = "h265" if i % 2 else "h264"
-                for k in range(11):
-                    sps = video.parameter_set(2 * (16 + 7 * size + i % 3), 2 * (40 + i % 500), codec) if k == i % 11 else b""
-                    rows.append((f"parts{i // 1000}", f"/cam/{i}", k, wire.encode({3: wire.DELIMITER + b"\xf0" + sps + b"\x00\x00\x01\x41x", 4: codec.encode()})))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)] if rows else [pa.array([], f.type) for f in kind], schema=kind)
+            for part in (b.slice(i, 512) for i in range(0, b.num_rows, 512)):
+                rows = []
+                for i, size in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    codec, name, topic = "h265" if i % 2 else "h264", f"parts{i // 1000}", f"/cam/{i}"
+                    sps = video.parameter_set(2 * (16 + 7 * size + i % 3), 2 * (40 + i % 500), codec)
+                    rows += [(name, topic, k, message(codec, sps) if k == i % 11 else plain[codec]) for k in range(11)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)], schema=kind)
 
     made = _table(spark, sf_dir, "part").select("p_partkey", "p_size").mapInArrow(packets, "name string, topic string, log_time long, data binary")
     path = scratch(spark, "streams")
