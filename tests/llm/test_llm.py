@@ -528,3 +528,41 @@ def test_near_duplicates_among_look_alikes(spark):
                     moved = True
     got = {r["doc_id"]: r["component_id"] for r in o10.near_duplicates(docs(spark, texts)).collect()}
     assert [got[i] for i in range(len(texts))] == comp and 1 < len(set(comp)) < 150
+
+
+def test_repeated_passages_of_words(spark, monkeypatch):
+    """Runs of over 50 words in fewer than 400 bytes, whatever spaces part them; against a look at every run. One of 50 words stays."""
+    rng = random.Random(11)
+    fresh = lambda n: " ".join("".join(rng.choice("abcdefghé") for _ in range(rng.randint(2, 7))) for _ in range(n))
+    p, q, r = fresh(51), fresh(50), fresh(70)
+    assert max(len(x.encode()) for x in (p, q)) < 400
+    texts = [fresh(20) + " " + p + "\n" + fresh(9), p.replace(" ", "\n", 7) + "  end", "a " + q + " b", "c " + q + " d", fresh(3) + " " + r + " " + fresh(60) + " " + " ".join(r.split()[:60]), fresh(400), "", None, fresh(90) + "　" + fresh(2)]
+    rows = docs(spark, texts)
+    words, seen = [(t or "").split(" ") if "\n" not in (t or "") else re.split("[ \n]+", t) for t in texts], {}
+    for k, w in enumerate(words):
+        for i in range(len(w) - 50):
+            seen.setdefault(tuple(w[i : i + 51]), []).append((k, i))
+    gone = {(k, i + j) for at in seen.values() if len(at) > 1 for k, i in at for j in range(51)}
+    want = [[x for i, x in enumerate(w) if (k, i) not in gone and x] for k, w in enumerate(words)]
+    for width, limit in ((common.WORD_BYTES, o7.CODES), (30, 5)):
+        monkeypatch.setattr(o7, "WORD_BYTES", width)
+        monkeypatch.setattr(o7, "CODES", limit)
+        codes = o7.Codes(b"k")
+        assert all(o7.word_codes((t or "").encode(), codes) == b"".join(codes[x] for x in (t or "").encode().split()) for t in texts)
+    got = {r["doc_id"]: r for r in o7.remove_repeats(rows.repartition(3), as_text=True, words=51).collect()}
+    assert [[x for x in re.split("[ \n]+", got[i]["kept"]) if x] for i in range(len(texts))] == want
+    assert got[2]["kept"] == texts[2] and got[1]["kept"] == "  end" and len(want[4]) == 3 + 10 + 60 and got[5]["kept"] == texts[5]
+    assert {r["doc_id"]: r["n_removed"] for r in o7.remove_repeats(rows).collect()}[1] == 0
+
+
+def test_tables_of_a_search_go(spark):
+    """What op7 and the pipeline's stages store on the way is deleted when they return."""
+    import corpus_pipeline
+    from riverlog.sources import folders
+
+    at = folders.shared_dir(spark).removeprefix("file://")
+    rows, before = spark.read.parquet(f"{SF}/documents.parquet"), set(os.listdir(at))
+    setting = spark.conf.get(common.SHUFFLES_END, None)
+    out = [o7.remove_repeats(rows), corpus_pipeline.near_dedup(spark, rows, SF), corpus_pipeline.repeated_strings(spark, rows, SF)]
+    assert sorted(x.rsplit("-", 1)[0] for x in set(os.listdir(at)) - before) == ["gone", "spans", "spans"]
+    assert all(df.count() for df in out) and spark.conf.get(common.SHUFFLES_END, None) == setting
