@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverlog.llm.common import map_arrow, stored, table
+from riverlog.llm.common import map_arrow, split, stored, table
 from riverlog.llm.graph import components
 
 SHINGLE = 5
@@ -38,6 +38,9 @@ HASHES, BATCH, WIDTH, DEALS = 128, 16, 5, 4
 ROUNDS = 3
 #: Chance of being a link below which a pair is dropped.
 MISS = 1e-7
+#: Classes whose band keys are spelled at once, and bytes of band keys that one task counts: hardly any two of a task's keys are equal,
+#: so its table in memory is about seven times that.
+SPELLED, COUNTED = 256, 4 << 20
 #: Bits of an odd sketch, kept as longs.
 BITS = 1024
 #: Bits of the filter by which texts that no pair needs stay where they are: 4 MB at any size of input. A full one lets all pass.
@@ -127,7 +130,7 @@ def _keys(classes: DataFrame) -> DataFrame:
     """rep, n, key for each band of classes(rep, n, sig)."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(at, SPELLED) for x in batches for at in range(0, x.num_rows, SPELLED)):
             sig = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint32).reshape(-1, HASHES)
             key = np.tile(_mix(np.arange(1, len(_PLACES) + 1, dtype=np.uint64)), (len(sig), 1))
             with np.errstate(over="ignore"):
@@ -238,12 +241,14 @@ def near_duplicates(docs: DataFrame, num: int = NUM, den: int = DEN, miss: float
     named = signed.where("n > 0 AND doc_id IS NOT NULL")
     least = named.groupBy("fp").agg(F.min(F.struct("doc_id", "h", "n", "sig")).alias("m"))
     classes = stored(least.select("fp", "m.*", F.monotonically_increasing_id().alias("rep")), "classes")
-    keys = stored(_keys(classes), "bands")
+    keys = stored(_keys(classes), "bands", group=COUNTED)
     # Buckets of two or more, and in them one row of each member.
     size = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     tried, links = None, _of_one_id(named, classes)
     comp = components(links)
-    buckets = _labelled(stored(keys.join(size, "key"), "buckets"), comp)
+    with split(docs.sparkSession, COUNTED):
+        buckets = stored(keys.join(size, "key"), "buckets")
+    buckets = _labelled(buckets, comp)
     for i in range(ROUNDS + 2):
         ends = buckets.groupBy("key").agg(F.min(F.struct("comp", "rep", "n")).alias("lo"), F.max("comp").alias("high")).where("lo.comp < high").drop("high")
         buckets = stored(buckets.join(ends, "key"), "open-buckets")

@@ -174,7 +174,7 @@ def write_tokens(docs: DataFrame, out: str, vocabulary: str, bits: int | None =
             f.move(part, name)
             yield pa.RecordBatch.from_pylist([{"shard": shard, "n_docs": len(writer.docs), "n_tokens": writer.total, "file": f"{out}/shard-{shard:08d}.rvtk"}], schema=pa.schema([("shard", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("file", pa.string())]))
 
-    return stored(map_arrow(ordered, write, "shard int, n_docs long, n_tokens long, file string"), "token-manifest")
+    return stored(map_arrow(ordered, write, "shard int, n_docs long, n_tokens long, file string", tokens.OWNER), "token-manifest")
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:

@@ -141,7 +141,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> Dat
             cols = list(zip(*rows)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), cut, "doc_id long, piece int, start long, length long, ids_crc32 long", tokens.OWNER)
 
 
 def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, region_pieces: int = REGION_PIECES, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:

@@ -14,6 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from riverlog.llm.common import kept
+
+#: What map_arrow calls the owner of a worker's encoders.
+OWNER = "tokens"
 #: Words of one generation of a worker's cache; two are kept, at some 170 bytes a word.
 CACHE_WORDS = 200_000
 #: Characters whose words are looked at at once: what is held besides the cache does not depend on batches or texts.
@@ -108,14 +112,12 @@ def _cut(text: str) -> Iterator[str]:
         at = end.start() if end else len(text)
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    """The worker's encoder for a file; it stays between tasks."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    """The worker's encoder for a file; it stays between tasks of OWNER."""
+    encoders = kept(OWNER)
+    if path not in encoders:
+        encoders[path] = WordEncoder(path)
+    return encoders[path]
 
 
 def default_vocabulary() -> str:
