@@ -2,10 +2,11 @@
 
 Median splits of a bounded sample deal the vectors to cells, so that a shard's vectors lie close together; a cell of more rows
 than a shard takes is several shards. Each shard's vectors are split at medians of the widest dimension into leaves with tight
-bounding boxes. A query visits leaves by falling bound (the largest inner product any point of the box can have) and stops when
-the bound is below its kth score. The kth score is propagated: each block of queries, all of one cell, first searches a shard of
-its own cell, and takes the scores found there along. Then only queries whose score a cell's tight box reaches go on to that
-cell. Trees and query blocks are binary rows of bounded size, met by an equi-join on the cell.
+bounding boxes. Of a leaf only those queries look at the points whose kth score its bound (the largest inner product any point of
+the box can have) reaches. The kth score is propagated: each block of queries, all of one cell, first searches a shard of its own
+cell, and takes the scores found there along from tree to tree. Trees and query blocks are binary rows of bounded size. A task takes
+some blocks and some trees and lets those meet where the cell's tight box is reached; it reads both, so neither is ever copied to a
+shuffle for each of the other, broadcast or sent to the driver.
 """
 
 from __future__ import annotations
@@ -15,12 +16,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riverlog.llm.common import hash01, map_arrow, prepare, stored, table
 
 SHARD_ROWS, QUERY_ROWS, LEAF_ROWS = 8192, 512, 256
+#: A task meets so many bytes of trees, and so many blocks of queries.
+TREE_BYTES, BLOCKS = 8 << 20, 8
 #: Components in the sample that places the cells' splits, and rows of it in a cell at least.
 SAMPLE_VALUES, SAMPLE_ROWS = 1 << 20, 8
 
@@ -104,38 +108,65 @@ def reached(queries: dict[str, np.ndarray], lo: np.ndarray, hi: np.ndarray) -> n
 
 def _exact(points: np.ndarray, queries: np.ndarray) -> type:
     """The cheapest number type whose sums of products are exact."""
-    top = lambda x: int(np.abs(x).max(initial=0)) if not (x == np.iinfo(np.int64).min).any() else 1 << 63
+    top = lambda x: max(-int(x.min(initial=0)), int(x.max(initial=0)))
     most = top(points) * top(queries) * max(1, points.shape[1])
     return np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else object
 
 
-def search(tree: dict[str, np.ndarray], queries: dict[str, np.ndarray], k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each query: its place, and the vec_ids, rows and scores of its k best points, if they reach the query's tau."""
-    kind = _exact(tree["points"], queries["points"])
-    points, asked = tree["points"].astype(kind), queries["points"].astype(kind)
-    bounds = _bounds(asked, tree["lo"], tree["hi"], kind)
-    for i in range(len(asked)):
-        kth, ids, rows, scores = queries["tau"][i], [], [], []
-        for leaf in np.argsort(-bounds[i], kind="stable"):
-            if bounds[i, leaf] < kth:
-                break
-            a, b = tree["offsets"][leaf], tree["offsets"][leaf + 1]
-            s = points[a:b] @ asked[i]
-            near = np.flatnonzero((s >= kth) & (tree["rows"][a:b] != queries["rows"][i]))
-            if not len(near):
+def _narrow(points: np.ndarray) -> np.ndarray:
+    """The same numbers in the smallest type that holds them all."""
+    low, high = int(points.min(initial=0)), int(points.max(initial=0))
+    return points.astype(next(x for x in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(x).min <= low and high <= np.iinfo(x).max))
+
+
+class Best:
+    """The k best points found for each query of a block, as far as they reach its tau, which rises with them."""
+
+    def __init__(self, queries: dict[str, np.ndarray], k: int):
+        self.queries, self.k, self.tau, self.held, self.n = queries, k, queries["tau"].astype(object), [], 0
+        self.most = 16 * k * len(self.tau) + (1 << 16)
+
+    def search(self, tree: dict[str, np.ndarray]) -> None:
+        kind = _exact(tree["points"], self.queries["points"])
+        points, asked, own = tree["points"].astype(kind), self.queries["points"].astype(kind), self.queries["rows"]
+        bounds = _bounds(asked, tree["lo"], tree["hi"], kind)
+        exact = np.float64 if kind is not object and all(float(x) == x for x in self.tau) else object
+        tau = self.tau.astype(exact)
+        for leaf in np.argsort(-bounds.max(0, initial=-np.inf), kind="stable"):
+            near = np.flatnonzero((bounds[:, leaf] >= tau).astype(bool))
+            if not near.size:
                 continue
-            ids.append(tree["ids"][a:b][near])
-            rows.append(tree["rows"][a:b][near])
-            scores.append(s[near])
-            if sum(map(len, ids)) >= k:
-                one, two, three = np.concatenate(ids), np.concatenate(rows), np.concatenate(scores)
-                best = np.lexsort((two, one, -three))[:k]
-                ids, rows, scores = [one[best]], [two[best]], [three[best]]
-                kth = max(kth, three[best[-1]])
-        if ids:
-            one, two, three = np.concatenate(ids), np.concatenate(rows), np.concatenate(scores)
-            best = np.lexsort((two, one, -three))[:k]
-            yield i, one[best], two[best], three[best]
+            a, b = tree["offsets"][leaf], tree["offsets"][leaf + 1]
+            scores, least = asked[near] @ points[a:b].T, tau[near]
+            if b - a > self.k + 1:  # its k + 1 best, of which one may be the query itself
+                least = np.maximum(least, np.partition(scores, b - a - self.k - 1, axis=1)[:, b - a - self.k - 1].astype(exact))
+            which, at = np.nonzero((scores >= least[:, None]).astype(bool))
+            one, score, row = near[which], scores[which, at], tree["rows"][a:b][at]
+            other = row != own[one]
+            self.held.append((one[other], tree["ids"][a:b][at][other], row[other], score[other]))
+            self.n += int(other.sum())
+            if self.n > self.most:
+                self._keep()
+                tau = self.tau.astype(exact)
+        self._keep()
+
+    def _keep(self) -> None:
+        one, ids, rows, scores = self.found()
+        self.held, self.n = [(one, ids, rows, scores)], len(one)
+        full = np.flatnonzero(np.bincount(one, minlength=len(self.tau)) == self.k)
+        kth = scores[np.searchsorted(one, full, side="right") - 1]
+        self.tau[full] = [max(x, int(y)) for x, y in zip(self.tau[full], kth)]
+
+    def found(self) -> tuple[np.ndarray, ...]:
+        """Each found point's query, vec_id, row and score: by query, then best first."""
+        if not self.held:
+            return *(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0)
+        one, ids, rows, scores = (np.concatenate(x) for x in zip(*self.held))
+        order = np.lexsort((rows, ids, -scores, one))
+        one = one[order]
+        place = np.arange(len(one)) - np.searchsorted(one, one)
+        order, one = order[place < self.k], one[place < self.k]
+        return one, ids[order], rows[order], scores[order]
 
 
 def _points(t: pa.Table) -> np.ndarray:
@@ -165,11 +196,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int = S
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
 
     chance = min(1.0, SAMPLE_VALUES / max(1, counts["dim"]) / counts["n"])
-    sample: dict[int, list] = {}
-    for r in rows.where(hash01(F.col("row"), "splits") < chance).select("dim", "v").toArrow().to_batches():
-        for dim, v in zip(r.column("dim").to_pylist(), r.column("v").to_pylist()):
-            sample.setdefault(dim, []).append(v)
-    splits = {dim: build_splits(np.array(v, np.int64).reshape(len(v), -1), -(-int(len(v) / chance) // shard_rows)) for dim, v in sample.items()}
+    sample = rows.where(hash01(F.col("row"), "splits") < chance).select("dim", "v").toArrow()
+    splits = {}
+    for dim in np.unique(sample.column("dim").to_numpy()).tolist():
+        points = _points(sample.filter(pa.compute.equal(sample.column("dim"), dim)))
+        splits[dim] = build_splits(points, -(-int(len(points) / chance) // shard_rows))
+    del sample
     dealing = spark.sparkContext.broadcast(splits)  # fewer nodes than sampled rows
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,12 +225,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int = S
     def tree(t: pa.Table) -> pa.Table:
         points = _points(t)
         order, offsets, lo, hi = build_tree(points)
-        raw = _dump(points=points[order], ids=t.column("vec_id").to_numpy()[order], rows=t.column("row").to_numpy()[order], offsets=offsets, lo=lo, hi=hi)
+        raw = _dump(points=_narrow(points[order]), ids=t.column("vec_id").to_numpy()[order], rows=t.column("row").to_numpy()[order], offsets=offsets, lo=lo, hi=hi)
         box = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (lo.min(0), hi.max(0))]
         return pa.Table.from_arrays([*(t.column(c).slice(0, 1).cast(group.field(c).type) for c in group.names), pa.array([raw], pa.binary()), *box], [*group.names, "tree", "lo", "hi"])
 
     def block(t: pa.Table) -> pa.Table:
-        raw = _dump(points=_points(t), ids=t.column("vec_id").to_numpy(), rows=t.column("row").to_numpy(), tau=np.full(t.num_rows, -np.inf))
+        raw = _dump(points=_narrow(_points(t)), ids=t.column("vec_id").to_numpy(), rows=t.column("row").to_numpy(), tau=np.full(t.num_rows, -np.inf))
         return pa.Table.from_arrays([*(t.column(c).slice(0, 1).cast(kind) for c, kind in (("dim", pa.int32()), ("cell", pa.int64()), ("home", pa.int64()))), pa.array([raw], pa.binary())], ["dim", "cell", "part", "queries"])
 
     trees = stored(placed.withColumn("part", part("shards")).groupBy("dim", "cell", "part").applyInArrow(tree, "dim int, cell long, part long, tree binary, lo array<long>, hi array<long>"), "trees")
@@ -212,39 +244,46 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int = S
         boxes[int(dim)] = {"cell": of_dim["cell"].to_numpy()[::dim], **{c: of_dim[c].to_numpy(np.int64).reshape(-1, dim) for c in ("lo", "hi")}}
     shared = spark.sparkContext.broadcast(boxes)
 
-    piece = pa.schema([("dim", pa.int32()), ("cell", pa.int64()), ("queries", pa.binary())])
+    seeds = pa.schema([("queries", pa.binary()), ("reached", pa.list_(pa.int64()))])
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks with the kth scores of their home, and the keys of the cells whose boxes any of their queries reaches."""
         for b in batches:
-            for dim, cell, queries, raw in zip(*(b.column(c).to_pylist() for c in ("dim", "cell", "queries", "tree"))):
-                q = _load(queries)
-                for i, _, _, scores in search(_load(raw), q, k) if raw is not None else ():
-                    if len(scores) == k and float(scores[-1]) == scores[-1]:
-                        q["tau"][i] = float(scores[-1])
-                yield pa.RecordBatch.from_pydict({"dim": [dim], "cell": [cell], "queries": [_dump(**q)]}, schema=piece)
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each block, for each cell, the queries whose tau its box reaches."""
-        for b in batches:
-            for dim, queries in zip(b.column("dim").to_pylist(), b.column("queries").to_pylist()):
+            for dim, queries, raw in zip(*(b.column(c).to_pylist() for c in ("dim", "queries", "tree"))):
                 q, known = _load(queries), shared.value.get(dim)
-                near = reached(q, known["lo"], known["hi"]) if known else np.ones((len(q["ids"]), 1), bool)
-                for cell, go in zip(known["cell"].tolist() if known else [0], near.T):
-                    if go.any():
-                        yield pa.RecordBatch.from_pydict({"dim": [dim], "cell": [cell], "queries": [_dump(**{c: x[go] for c, x in q.items()})]}, schema=piece)
+                if raw is not None:
+                    best = Best(q, k)
+                    best.search(_load(raw))
+                    q["tau"] = np.array([x if float(x) == x else y for x, y in zip(best.tau, q["tau"])], np.float64)
+                cells = known["cell"][reached(q, known["lo"], known["hi"]).any(0)].tolist() if known else [0]
+                yield pa.RecordBatch.from_pydict({"queries": [_dump(**q)], "reached": [[(dim << 32) + c for c in cells]]}, schema=seeds)
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The best of each block, whose trees come one after the other, among all trees of this task."""
+        last, best = None, None
         for b in batches:
-            for queries, raw in zip(b.column("queries").to_pylist(), b.column("tree").to_pylist()):
-                q, out = _load(queries), ([], [], [], [], [])
-                for i, ids, at, scores in search(_load(raw), q, k):
-                    for x, y in zip(out, (np.full(len(ids), q["ids"][i]), np.full(len(ids), q["rows"][i]), ids, at, np.array([_clip(s) for s in scores], np.int64))):
-                        x.append(y)
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["query_id", "query_row", "vec_id", "row", "score"])
-
-    seeded = stored(asked.join(trees, ["dim", "cell", "part"], "left").select("dim", "cell", "queries", "tree").mapInArrow(first, "dim int, cell long, queries binary"), "query-blocks")
-    pairs = seeded.mapInArrow(spread, "dim int, cell long, queries binary").join(trees, ["dim", "cell"])
+            for i in range(b.num_rows):
+                queries = b.column(0)[i].as_py()
+                if queries != last:
+                    if best is not None:
+                        yield rows_of(best)
+                    last, best = queries, Best(_load(queries), k)
+                best.search(_load(b.column(1)[i].as_py()))
+        if best is not None:
+            yield rows_of(best)
+
+    def rows_of(best: Best) -> pa.RecordBatch:
+        one, ids, at, scores = best.found()
+        columns = best.queries["ids"][one], best.queries["rows"][one], ids, at, np.array([_clip(s) for s in scores], np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["query_id", "query_row", "vec_id", "row", "score"])
+
+    # Spark takes trees and blocks for small, as their files are packed: merged here, else they might be broadcast.
+    blocks = stored(asked.join(trees.hint("merge"), ["dim", "cell", "part"], "left").select("dim", "queries", "tree").mapInArrow(first, "queries binary, reached array<long>"), "query-blocks")
+    n, size = blocks.count(), trees.agg(F.sum(F.length("tree"))).first()[0]
+    wide = -(-size // TREE_BYTES)
+    long = min(max(n, 1), max(-(-n // BLOCKS), -(-2 * spark.sparkContext.defaultParallelism // wide)))
+    keyed = trees.select((F.shiftleft(F.col("dim").cast("long"), 32) + F.col("cell")).alias("key"), "tree").repartition(wide)
+    pairs = blocks.repartition(long).join(keyed.hint("shuffle_replicate_nl"), F.array_contains("reached", F.col("key")))
     found = pairs.select("queries", "tree").mapInArrow(rest, "query_id long, query_row long, vec_id long, row long, score long")
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -4,6 +4,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -102,3 +103,32 @@ def test_top_k_in_all_number_types(spark, scale):
             every = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in ints if j != i)[:7]
             cut = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
             assert sorted(got[i]) == [(k + 1, j, cut(-s)) for k, (s, j) in enumerate(every)]
+
+
+def test_search_broadcasts_neither_trees_nor_queries(spark, monkeypatch):
+    """Packed files look small; unpacked, and each block once for each cell, they filled the driver."""
+    plans, kept = {}, o5.stored
+    monkeypatch.setattr(o5, "stored", lambda df, what: (plans.update({what: df}), kept(df, what))[1])
+    rng = np.random.default_rng(3)
+    rows = [(i, x.tolist()) for i, x in enumerate(rng.normal(size=(600, 4)).astype(np.float32))]
+    plans["end"] = o5.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, 5, shard_rows=64)
+    plan = lambda what: plans[what]._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert {x.split("SortMergeJoin")[0].strip(" :+-") for x in plan("query-blocks") if "LeftOuter" in x} == {""}
+    assert any("CartesianProduct" in x for x in plan("end")) and not any("Broadcast" in x for x in plan("end"))
+
+
+def test_best_points_of_many_trees(monkeypatch):
+    """Ties, the query itself, and more found points than are held: as if all trees were one."""
+    rng = np.random.default_rng(4)
+    v = rng.integers(-4, 5, size=(3000, 3))
+    q = {"points": v[:40], "ids": np.arange(40), "rows": np.arange(40), "tau": np.full(40, -np.inf)}
+    best = o5.Best(q, 7)
+    best.most = 500
+    for part in np.array_split(rng.permutation(3000), 5):
+        order, offsets, lo, hi = o5.build_tree(v[part], 64)
+        best.search({"points": o5._narrow(v[part][order]), "ids": part[order] // 2, "rows": part[order], "offsets": offsets, "lo": lo, "hi": hi})
+    one, ids, rows, scores = best.found()
+    for i in range(40):
+        want = sorted((-int(v[i] @ v[j]), j // 2, j) for j in range(3000) if j != i)[:7]
+        assert [(-int(s), a, b) for s, a, b in zip(scores[one == i], ids[one == i], rows[one == i])] == want
+    assert o5._exact(np.array([[-128]], np.int8), np.array([[1 << 17]])) is np.float64
