@@ -565,8 +565,8 @@ def cut_write(spark, sf_dir):
     met = joins.route(rel.select("event_id", "file", "topic", "t"), targets, BY, cell=HOUR)
     path = scratch(spark, "clips")
     rows = met.select("name", "topic", F.col("t").alias("log_time"), F.col("event_id").alias("sequence"), F.col("event_id").cast("string").cast("binary").alias("data"))
-    rows.repartition("name").sortWithinPartitions("name", "log_time", "sequence").write.format("mcap").option("split", "name").mode("append").save(path)
-    return spark.read.format("mcap").load(path).select(F.regexp_replace("file", r"\.mcap$", "").alias("name"), F.col("sequence").alias("event_id"), "topic")
+    rows.repartition("name").sortWithinPartitions("name", "log_time", "sequence").write.format("mcap").option("split", "name").option("folders", "true").mode("append").save(path)
+    return spark.read.format("mcap").option("folders", "true").load(path).select(F.regexp_replace("file", r"\.mcap$", "").alias("name"), F.col("sequence").alias("event_id"), "topic")
 
 
 def swap_write(spark, sf_dir):

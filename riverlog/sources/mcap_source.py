@@ -6,12 +6,16 @@ alone. Filters on topic, schema_name and log_time reach the chunk index. records
 end of a log's data. only = keyframes gives video messages that hold a keyframe: in field 3 of the payload where the channel's encoding is
 protobuf, else in the payload itself. first = n stops once it has n messages of each channel, the chunks taken by their first times.
 
-Options for writing: compression = zstd | lz4 | none; split.
+Options for writing: compression = zstd | lz4 | none; split; folders = true | false.
+
+folders = true, when writing and when reading: the logs stand in folders of the folder, of LOGS_A_FOLDER logs at most, which tasks list. So the
+driver knows the folders alone, where there are too many logs for one list. Such a folder is written once; a name is one log's among all.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 import uuid
 from collections.abc import Iterator
@@ -36,6 +40,8 @@ STATISTICS = "file string, status string, messages long, channels int, chunks in
 RECORDS = "file string, ordinal long, kind string, bytes long, channel_id int, topic string, schema_id int, schema_name string, log_time long, name string, media_type string, metadata map<string,string>, content binary"
 SCHEMAS = {"messages": MESSAGES, "channels": CHANNELS, "statistics": STATISTICS, "records": RECORDS}
 SPLIT_BYTES, FILES_A_TASK = 64 << 20, 256
+#: Logs in a folder that tasks write, and folders' tasks at most in a read of folders.
+LOGS_A_FOLDER, FOLDER_TASKS = 256, 4096
 BATCH_ROWS, BATCH_BYTES = 8192, 4 << 20
 #: A log takes so many rows of a batch as Python values at once.
 LOG_ROWS = 256
@@ -72,8 +78,14 @@ def _open(path: str):
     return fs.open_input_file(at)
 
 
+def _folders(path: str) -> list[str]:
+    fs, at = file_system(path)
+    prefix = path.rstrip("/")
+    return sorted(f"{prefix}/{x.base_name}" for x in fs.get_file_info(pafs.FileSelector(at)) if x.type == pafs.FileType.Directory and not x.base_name.startswith((".", "_")))
+
+
 class Piece(InputPartition):
-    """(file, first byte, end byte) of each part of a log that a task reads."""
+    """(file, first byte, end byte) of each part of a log that a task reads; (folder, None, None): all its logs."""
 
     def __init__(self, parts: list[tuple[str, int, int]]):
         self.parts = parts
@@ -83,6 +95,7 @@ class McapReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.what, self.mode = options["path"], options.get("records", "messages"), options.get("mode", "indexed")
         self.payload, self.split_bytes = options.get("payload", "true").lower() == "true", int(options.get("split_bytes", SPLIT_BYTES))
+        self.folders = options.get("folders", "false").lower() == "true"
         self.only = options.get("only")
         if self.only not in (None, "keyframes") or self.only and (self.what != "messages" or self.mode == "sequential"):
             raise ValueError("only = keyframes goes with messages by index")
@@ -110,6 +123,10 @@ class McapReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[Piece]:
+        if self.folders:
+            found = [(f, None, None) for f in _folders(self.path)]
+            most = max(1, -(-len(found) // FOLDER_TASKS))
+            return [Piece(found[i : i + most]) for i in range(0, len(found), most)] or [Piece([])]
         out, held, size = [], [], 0
         whole = self.what != "messages" or self.mode == "sequential" or self.first
         logs = _listed(self.path)
@@ -122,7 +139,7 @@ class McapReader(DataSourceReader):
                 if size >= self.split_bytes or len(held) >= most:
                     out.append(Piece(held))
                     held, size = [], 0
-        return [*out, Piece(held)] if held else out
+        return [*out, Piece(held)] if held or not out else out
 
     def read(self, piece: Piece) -> Iterator[pa.RecordBatch]:
         """Arrow batches of about BATCH_ROWS rows or BATCH_BYTES of payload."""
@@ -139,7 +156,8 @@ class McapReader(DataSourceReader):
 
     def _batches(self, piece: Piece) -> Iterator[pa.RecordBatch]:
         schema = ARROW[self.what]
-        for file, a, b in piece.parts:
+        parts = ((file, a, b) if b is not None else (f, 0, max(1, n)) for file, a, b in piece.parts for f, n in (_listed(file) if b is None else [(file, b)]))
+        for file, a, b in parts:
             name = file.rsplit("/", 1)[-1]
             with _open(file) as f:
                 if self.what == "messages" and self.mode != "sequential":
@@ -256,8 +274,10 @@ def _is_key(data: bytes, encoding: str) -> bool:
 
 
 class Wrote(WriterCommitMessage):
-    def __init__(self, files: list[tuple[str, str]]):
-        self.files = files
+    """A task's own folder aside: so many numbered folders of logs, and a file of the logs' names in order."""
+
+    def __init__(self, own: str, folders: int):
+        self.own, self.folders = own, folders
 
 
 def file_name(value: object) -> str:
@@ -269,37 +289,46 @@ def file_name(value: object) -> str:
 
 class McapWriter(DataSourceArrowWriter):
     """One file for each non-empty partition, or with the option `split` for each value of that column, by which partitions are then
-    sorted. Files are written aside and moved into place when all tasks are done. A log of a taken name is an error when appending."""
+    sorted. Files are written aside and moved into place when all tasks are done. A log of a taken name is an error when appending.
+
+    The driver gets a task's folder from it, not the names of its logs, and goes through those a folder at a time."""
 
     def __init__(self, options: dict, overwrite: bool, names: list[str]):
         self.path, self.overwrite, self.names = options["path"].rstrip("/"), overwrite, names
         self.compression, self.split = options.get("compression", "zstd"), options.get("split")
         self.compression = "" if self.compression == "none" else self.compression
+        self.folders, self.aside = options.get("folders", "false").lower() == "true", f".{uuid.uuid4().hex}.part"
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Wrote:
         fs, root = file_system(self.path)
         own = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:8]}"
-        files, name, log = [], None, None
+        at, names, name, log = f"{root}/{self.aside}/{own}", set(), None, None
+        folders = logs = size = 0
         try:
             for b in batches:
                 for wanted, part in self._split(b, own):
                     if wanted != name:
                         if log is not None:
                             log.close()
-                        else:
-                            fs.create_dir(root, recursive=True)
-                        at = f"{root}/.{uuid.uuid4().hex}.part"
-                        files.append((at, f"{root}/{wanted}.mcap"))
-                        name, log = wanted, _Log(fs.open_output_stream(at), self.compression)
+                            size += log.writer.at
+                        if wanted in names:
+                            raise ValueError(f"rows of one {self.split} are not together: repartition and sort by it")
+                        if not folders or logs >= LOGS_A_FOLDER or size >= SPLIT_BYTES:
+                            fs.create_dir(f"{at}/{folders:05d}", recursive=True)
+                            folders, logs, size = folders + 1, 0, 0
+                        names.add(wanted)
+                        name, logs = wanted, logs + 1
+                        log = _Log(fs.open_output_stream(f"{at}/{folders - 1:05d}/{wanted}.mcap"), self.compression)
                     log.add(part)
             if log is not None:
                 log.close()
+                with fs.open_output_stream(f"{at}/names") as f:
+                    f.write(b"".join(sorted(x.encode() + b"\n" for x in names)))
         except BaseException:
-            for at, _ in files:
-                if fs.get_file_info(at).type == pafs.FileType.File:
-                    fs.delete_file(at)
+            if folders:
+                fs.delete_dir(at)
             raise
-        return Wrote(files)
+        return Wrote(own, folders)
 
     def _split(self, b: pa.RecordBatch, own: str) -> Iterator[tuple[str, pa.RecordBatch]]:
         """(name, rows that belong to it) in order."""
@@ -317,23 +346,54 @@ class McapWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[Wrote]) -> None:
         fs, root = file_system(self.path)
-        files = [f for m in messages if m for f in m.files]
-        names = {name for _, name in files}
-        there = {x.path for x in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)) if x.base_name.endswith(".mcap")}
-        taken = sorted(n for n in names if n.rsplit("/", 1)[-1] in {x.rsplit("/", 1)[-1] for x in there})
-        if len(names) < len(files) or taken and not self.overwrite:
+        fs.create_dir(root, recursive=True)
+        done = [m for m in messages if m and m.folders]
+        there = {x.base_name for x in fs.get_file_info(pafs.FileSelector(root)) if x.base_name.endswith(".mcap") or self.folders and x.type == pafs.FileType.Directory and not x.base_name.startswith((".", "_"))}
+        gone, last, wrong = set(there), None, None
+        if self.folders and there and not self.overwrite:
+            wrong = FileExistsError(f"{root} holds logs already, and folders of logs are written once")
+        for name in heapq.merge(*(_lines(fs, f"{root}/{self.aside}/{m.own}/names") for m in done)):
+            log = f"{name.decode()}.mcap"
+            if log in gone and not self.overwrite:
+                wrong = wrong or FileExistsError(f"there is a log {root}/{log} already")
+            if name == last:
+                wrong = wrong or ValueError(f"rows of one {self.split} are not together: repartition and sort by it")
+            if wrong:
+                break
+            gone.discard(log)
+            last = name
+        if wrong:
             self.abort(messages)
-            raise FileExistsError(f"there is a log {taken[0]} already") if taken else ValueError(f"rows of one {self.split} are not together: repartition and sort by it")
+            raise wrong
         with ThreadPoolExecutor(16) as pool:
-            list(pool.map(lambda f: fs.move(*f), files))
+            for at, to in ((f"{root}/{self.aside}/{m.own}/{k:05d}", f"{root}/{m.own}-{k:05d}") for m in done for k in range(m.folders)):
+                if self.folders and fs.type_name in ("local", "hdfs"):
+                    fs.move(at, to)
+                    continue
+                to = to if self.folders else root
+                fs.create_dir(to, recursive=True)
+                list(pool.map(lambda x: fs.move(x.path, f"{to}/{x.base_name}"), fs.get_file_info(pafs.FileSelector(at))))  # noqa: B023
             if self.overwrite:
-                kept = {n.rsplit("/", 1)[-1] for n in names}
-                list(pool.map(fs.delete_file, (x for x in there if x.rsplit("/", 1)[-1] not in kept)))
+                list(pool.map(lambda x: fs.delete_file(f"{root}/{x}") if x.endswith(".mcap") else fs.delete_dir(f"{root}/{x}"), gone))
+        self.abort(messages)
 
     def abort(self, messages: list[Wrote]) -> None:
-        fs, _ = file_system(self.path)
-        for at, _ in (f for m in messages if m for f in m.files):
-            fs.delete_file(at)
+        """What is aside goes, also that of tasks that failed."""
+        fs, root = file_system(self.path)
+        if fs.get_file_info(f"{root}/{self.aside}").type == pafs.FileType.Directory:
+            fs.delete_dir(f"{root}/{self.aside}")
+
+
+def _lines(fs: pafs.FileSystem, path: str, part: int = 1 << 14) -> Iterator[bytes]:
+    """A file's lines, some of them held at a time and the file open for those alone: there is one for each task."""
+    at, rest, raw = 0, b"", b"\n"
+    while raw:
+        with fs.open_input_file(path) as f:
+            f.seek(at)
+            raw = f.read(part)
+        at += len(raw)
+        *lines, rest = (rest + raw).split(b"\n")
+        yield from lines
 
 
 class _Log:

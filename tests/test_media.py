@@ -4,6 +4,7 @@ import glob
 import io
 import json
 import os
+import pickle
 import struct
 import time
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from riverlog.functions import video, wire
 from riverlog.operators import boxes, detect, intervals, joins, mosaic, reports
-from riverlog.plans import media
+from riverlog.plans import catalog, media
 from riverlog.sources import files, mcap, mcap_source
 from riverlog.streaming import sessions as streaming
 
@@ -433,3 +434,63 @@ def test_a_log_takes_few_rows_at_a_time(monkeypatch):
     log = mcap_source._Log(io.BytesIO(), "zstd")
     log.add(pa.RecordBatch.from_arrays([pa.array(["a"] * 600), pa.array(range(600))], ["topic", "log_time"]))
     assert sizes == [256, 256, 88] and sum(log.writer.counts.values()) == 600
+
+
+def test_driver_knows_folders_of_logs_alone(spark, tmp_path, monkeypatch):
+    """Of many logs, the commit and the read get folders from tasks and list, not each log's name."""
+    mcap_source.register(spark)
+    at, made = str(tmp_path / "logs"), []
+    monkeypatch.setattr(mcap_source, "TaskContext", type("T", (), {"get": lambda: type("T", (), {"partitionId": lambda self: 0})()}))
+    rows = lambda names: pa.RecordBatch.from_pydict({"name": names, "topic": ["/a"] * len(names), "log_time": list(range(len(names)))})
+    writer = lambda at, overwrite=False, **o: mcap_source.McapWriter({"path": at, "split": "name", **o}, overwrite, ["name", "topic", "log_time"])
+    w = writer(at, folders="true")
+    for n in (10, 600):
+        made.append(w.write(iter([rows([f"{n}_{i}" for i in range(n)])])))
+    assert len(pickle.dumps(made[0])) == len(pickle.dumps(made[1])) and sorted(os.listdir(tmp_path / "logs")) == [w.aside]
+    w.commit([*made, w.write(iter([rows([])]))])
+    folders = sorted(os.listdir(tmp_path / "logs"))
+    assert sorted(len(os.listdir(f"{at}/{x}")) for x in folders) == [10, 88, 256, 256]
+    reader = mcap_source.McapReader({"path": at, "folders": "true"})
+    assert [p.parts for p in reader.partitions()] == [[(f"{at}/{x}", None, None)] for x in folders]
+    got = spark.read.format("mcap").option("folders", "true").load(at).select("file", "log_time").collect()
+    assert sorted(map(tuple, got)) == sorted((f"{n}_{i}.mcap", i) for n in (10, 600) for i in range(n))
+    w = writer(at, folders="true")
+    with pytest.raises(FileExistsError, match="written once"):
+        w.commit([w.write(iter([rows(["new"])]))])
+    for o in ({"folders": "true"}, {}):  # one name from two tasks
+        w = writer(str(tmp_path / "twice"), **o)
+        with pytest.raises(ValueError, match="not together"):
+            w.commit([w.write(iter([rows(["a", "x"])])), w.write(iter([rows(["x", "y"])]))])
+        assert os.listdir(tmp_path / "twice") == []
+    assert sorted(os.listdir(at)) == folders
+    w = writer(at, True, folders="true")
+    w.commit([w.write(iter([rows(["b", "a"])]))])
+    assert [sorted(os.listdir(f"{at}/{x}")) for x in os.listdir(at)] == [["a.mcap", "b.mcap"]]
+    none = writer(str(tmp_path / "none"), folders="true")
+    none.commit([])
+    for o in ({"folders": "true"}, {}):
+        assert spark.read.format("mcap").options(**o).load(str(tmp_path / "none")).count() == 0
+
+
+def test_names_of_logs_are_read_in_parts(tmp_path):
+    names = [b"x" * (i % 50) + b"%d" % i for i in range(300)]
+    (tmp_path / "names").write_bytes(b"".join(x + b"\n" for x in names))
+    fs, at = mcap_source.file_system(str(tmp_path / "names"))
+    assert all(list(mcap_source._lines(fs, at, n)) == names for n in (1, 7, 1 << 14))
+    (tmp_path / "names").write_bytes(b"")
+    assert list(mcap_source._lines(fs, at)) == []
+
+
+def test_parts_of_small_logs(spark, tmp_path):
+    mcap_source.register(spark)
+    (tmp_path / "a.mcap").write_bytes(log(300))
+    got = spark.read.format("mcap").option("split_bytes", 1500).load(str(tmp_path))
+    assert sorted(r["sequence"] for r in got.collect()) == list(range(300))
+
+
+def test_cut_write_makes_folders_of_logs(spark, monkeypatch):
+    made, scratch = [], catalog.scratch
+    monkeypatch.setattr(catalog, "scratch", lambda s, what: made.append(scratch(s, what)) or made[-1])
+    names = catalog.cut_write(spark, SF).select("name").distinct().count()
+    logs = glob.glob(f"{made[-1].removeprefix('file://')}/part-*/*.mcap")
+    assert len(logs) == names > 0 and not glob.glob(f"{made[-1].removeprefix('file://')}/*.mcap")
