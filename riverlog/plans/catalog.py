@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -104,6 +105,21 @@ def _stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _merged(spark: SparkSession) -> Iterator[None]:
+    """Joins that are computed within are merged. Spark takes a column of a table for as small as its share of the packed file, so some
+    6,000,000 rows could be broadcast as one of 9 MB and fill the driver."""
+    names = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = [spark.conf.get(x, None) for x in names]
+    for x in names:
+        spark.conf.set(x, "-1")
+    try:
+        yield
+    finally:
+        for x, value in zip(names, before):
+            spark.conf.unset(x) if value is None else spark.conf.set(x, value)
+
+
 def _targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clips and removed spans with the names of their logs."""
     keys = _keyframes(spark, sf_dir)
@@ -560,12 +576,13 @@ def keyframe_scan(spark, sf_dir):
 def cut_write(spark, sf_dir):
     """Each clip and each removed span as a log of its own, read again."""
     mcap_source.register(spark)
-    rel = _relative(spark, sf_dir)
-    targets = _stored(_targets(spark, sf_dir).select("file", "name", "a", "b"), "targets")
-    met = joins.route(rel.select("event_id", "file", "topic", "t"), targets, BY, cell=HOUR)
-    path = scratch(spark, "clips")
-    rows = met.select("name", "topic", F.col("t").alias("log_time"), F.col("event_id").alias("sequence"), F.col("event_id").cast("string").cast("binary").alias("data"))
-    rows.repartition("name").sortWithinPartitions("name", "log_time", "sequence").write.format("mcap").option("split", "name").option("folders", "true").mode("append").save(path)
+    path = scratch(spark, "logs")
+    with _merged(spark):
+        rel = _relative(spark, sf_dir)
+        targets = _stored(_targets(spark, sf_dir).select("file", "name", "a", "b"), "targets")
+        met = joins.route(rel.select("event_id", "file", "topic", "t"), targets, BY, cell=HOUR)
+        rows = met.select("name", "topic", F.col("t").alias("log_time"), F.col("event_id").alias("sequence"), F.col("event_id").cast("string").cast("binary").alias("data"))
+        rows.repartition("name").sortWithinPartitions("name", "log_time", "sequence").write.format("mcap").option("split", "name").option("folders", "true").mode("append").save(path)
     return spark.read.format("mcap").option("folders", "true").load(path).select(F.regexp_replace("file", r"\.mcap$", "").alias("name"), F.col("sequence").alias("event_id"), "topic")
 
 

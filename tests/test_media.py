@@ -488,9 +488,15 @@ def test_parts_of_small_logs(spark, tmp_path):
     assert sorted(r["sequence"] for r in got.collect()) == list(range(300))
 
 
-def test_cut_write_makes_folders_of_logs(spark, monkeypatch):
-    made, scratch = [], catalog.scratch
-    monkeypatch.setattr(catalog, "scratch", lambda s, what: made.append(scratch(s, what)) or made[-1])
+def test_cut_write_makes_folders_of_logs_and_broadcasts_nothing(spark, monkeypatch):
+    made, plans, scratch, stored, route = {}, [], catalog.scratch, catalog._stored, joins.route
+    planned = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
+    monkeypatch.setattr(catalog, "scratch", lambda s, what: made.setdefault(what, scratch(s, what)))
+    monkeypatch.setattr(catalog, "_stored", lambda df, what: stored(planned(df), what))
+    monkeypatch.setattr(joins, "route", lambda *a, **b: planned(route(*a, **b)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     names = catalog.cut_write(spark, SF).select("name").distinct().count()
-    logs = glob.glob(f"{made[-1].removeprefix('file://')}/part-*/*.mcap")
-    assert len(logs) == names > 0 and not glob.glob(f"{made[-1].removeprefix('file://')}/*.mcap")
+    at = made["logs"].removeprefix("file://")
+    assert len(glob.glob(f"{at}/part-*/*.mcap")) == names > 0 and not glob.glob(f"{at}/*.mcap")
+    assert len(plans) == 4 and all("Join" in x and "Broadcast" not in x for x in plans)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before and spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
